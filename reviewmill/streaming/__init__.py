@@ -1,0 +1 @@
+"""Intentionally empty: every supported job is a batch job over stored reviews."""
