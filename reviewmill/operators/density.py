@@ -72,6 +72,8 @@ class _Pivots:
         self.part = np.arange(len(reps))
 
     def similarity(self, vectors: np.ndarray) -> np.ndarray:
+        if not len(vectors):
+            return np.zeros((0, len(self.reps)))
         return np.clip(vectors @ self.vectors.T, -1.0, 1.0)
 
     def reach(self, reps: np.ndarray, similarity: np.ndarray) -> np.ndarray:
@@ -79,9 +81,10 @@ class _Pivots:
         return ((1.0 - similarity) <= self.eps) | (reps[:, None] == self.reps[None, :])
 
     def certain_core(self, reps, weights, reach, min_samples: int) -> np.ndarray:
+        """Points whose own weight and pivots in reach suffice, and pivots counted as core."""
         own = reps[:, None] == self.reps[None, :]
-        others = (reach & ~own) @ self.weights
-        return (weights + others) >= min_samples
+        others = (reach & ~own).astype("float64") @ self.weights
+        return ((weights + others) >= min_samples) | (own & self.core[None, :]).any(axis=1)
 
 
 def _matrix(column: pd.Series) -> np.ndarray:
@@ -102,7 +105,7 @@ def _pivot_cores(reps: DataFrame, pivots: _Pivots, min_samples: int) -> None:
         for b in batches:
             ids = b["rep"].to_numpy()
             reach = pivots.reach(ids, pivots.similarity(_matrix(b["vec"])))
-            total += reach.T @ b["w"].to_numpy()
+            total += (reach.T.astype("float64") @ b["w"].to_numpy()).astype("int64")
         yield pd.DataFrame({"p": np.arange(len(total)), "n": total})
 
     sums = reps.mapInPandas(weigh, "p int, n long").groupBy("p").agg(F.sum("n").alias("n"))
@@ -145,9 +148,6 @@ def _place(reps: DataFrame, pivots: _Pivots, min_samples: int) -> DataFrame:
             similarity = pivots.similarity(_matrix(b["vec"]))
             reach = pivots.reach(ids, similarity)
             proven = pivots.certain_core(ids, b["w"].to_numpy(), reach, min_samples)
-            at = np.flatnonzero(np.isin(pivots.reps, ids))
-            for p in at:
-                proven[ids == pivots.reps[p]] = pivots.core[p]
             near = reach & pivots.core[None, :] & proven[:, None]
             first = np.where(near.any(axis=1), pivots.part[near.argmax(axis=1)], -1)
             cell = similarity.argmax(axis=1)
@@ -255,7 +255,7 @@ def _neighbour_kernel(eps: float, min_samples: int):
         ids, others, weights = q["rep"].to_numpy(), p["rep"].to_numpy(), p["w"].to_numpy()
         found = []
         for part, near in _within(q, p, eps):
-            mine, n = ids[part], near @ weights
+            mine, n = ids[part], (near.astype("float64") @ weights).astype("int64")
             found.append(pd.DataFrame({"q": mine, "x": None, "n": n}).astype("Int64"))
             few = n < min_samples
             row, col = np.nonzero(near & few[:, None])
@@ -413,17 +413,19 @@ def dbscan(
     outside = cores.filter(F.col("part") != int(largest))
     edges = _meet(outside, cores, chosen, block, _edge_kernel(eps), "a long, b long")
     components = connected_components(edges)
-    rooted = (
-        cores.select("rep", F.col("part").alias("node"))
-        .join(components, "node", "left")
-        .select("rep", F.coalesce("root", "node").alias("root"))
+    # one cluster may hold most points: these joins meet a hot node, root or core point
+    nodes = cores.select("rep", F.col("part").alias("node"))
+    rooted = salted_join(nodes, components, ["node"], "left").select(
+        "rep", F.coalesce("root", "node").alias("root")
+    )
+    numbered = cut_lineage(
+        salted_join(rooted, _numbered(rooted), ["root"]).select("rep", "cluster")
     )
-    numbered = cut_lineage(rooted.join(_numbered(rooted), "root").select("rep", "cluster"))
 
     # points below min_samples keep their neighbours: the lowest core cluster among them
+    listed = found.filter("x IS NOT NULL").select("q", "x")
     borders = (
-        found.filter("x IS NOT NULL")
-        .join(numbered.withColumnRenamed("rep", "x"), "x")
+        salted_join(listed, numbered.withColumnRenamed("rep", "x"), ["x"])
         .groupBy(F.col("q").alias("rep"))
         .agg(F.min("cluster").alias("near"))
     )

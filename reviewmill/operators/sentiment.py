@@ -289,6 +289,13 @@ def class_pivot(counts: DataFrame, keys: list[str]) -> DataFrame:
     return wide.agg(F.sum("n")).fillna(0)
 
 
+def mean_polarity(min_length: int = 2) -> Column:
+    """Aggregate over scored tokens: mean polarity of words of at least ``min_length``
+    characters, 0 without any."""
+    hit = F.when(F.length("word") >= min_length, F.col("polarity").cast("double"))
+    return F.coalesce(F.avg(hit), F.lit(0.0))
+
+
 def review_scores(
     df: DataFrame,
     words: str,
@@ -297,13 +304,11 @@ def review_scores(
     keep: list[str] | None = None,
     min_length: int = 2,
 ) -> DataFrame:
-    """Mean polarity per review over lexicon words of at least ``min_length`` characters;
-    0 when there is none."""
+    """Mean polarity per review of the space-separated ``words`` column."""
     keys = [row_id, *(keep or [])]
     tokens = explode_tokens(df, words, keys, "space", keep_empty_rows=True)
     scored = lookup_join(tokens, lexicon, ["word"], "left")
-    hit = F.when(F.length("word") >= min_length, F.col("polarity").cast("double"))
-    return scored.groupBy(*keys).agg(F.coalesce(F.avg(hit), F.lit(0.0)).alias("sent_score"))
+    return scored.groupBy(*keys).agg(mean_polarity(min_length).alias("sent_score"))
 
 
 def result_record(report: DataFrame, keys: list[str]) -> DataFrame:

@@ -95,17 +95,23 @@ def _ordered(value: Column, condition: Column | None = None) -> Column:
 
 
 def regroup(
-    tokens: DataFrame, row_id: str, columns: dict[str, Column], separator: str = " "
+    tokens: DataFrame,
+    row_id: str,
+    columns: dict[str, Column],
+    separator: str = " ",
+    extra: list[Column] | None = None,
 ) -> DataFrame:
     """Join the tokens of each row id again, one text column per entry of ``columns``.
 
     An entry is an expression over the token row; a null result leaves the token out.
+    ``extra`` are further aggregates over the same tokens.
     """
     merged = {
         name: F.array_join(_ordered(value, value.isNotNull()), separator)
         for name, value in columns.items()
     }
-    return tokens.groupBy(row_id).agg(*[c.alias(name) for name, c in merged.items()])
+    texts = [c.alias(name) for name, c in merged.items()]
+    return tokens.groupBy(row_id).agg(*texts, *(extra or []))
 
 
 def _attach(df: DataFrame, texts: DataFrame, row_id: str, names: list[str]) -> DataFrame:

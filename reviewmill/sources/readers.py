@@ -179,9 +179,9 @@ def read_result_parts(
 
 
 def read_corpus(spark: SparkSession, path: str) -> DataFrame:
-    """A folder of text files, one row per file: ``file_id, text``."""
-    whole = spark.read.option("wholetext", True).text(path)
-    return whole.select(F.col("_metadata.file_name").alias("file_id"), F.col("value").alias("text"))
+    """Text files, one row per file: ``file_id`` (the full path) and ``text``."""
+    whole = spark.read.text(path, wholetext=True)
+    return whole.select(F.col("_metadata.file_path").alias("file_id"), F.col("value").alias("text"))
 
 
 def read_embeddings(spark: SparkSession, path: str) -> DataFrame:

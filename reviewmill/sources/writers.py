@@ -48,15 +48,15 @@ def write_partitioned(df: DataFrame, path: str, by: list[str]) -> None:
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Compute once: reuse the table stored at ``path``, or store it there first.
 
-    A folder left by an interrupted write holds no committed file and is written again.
+    A folder without the commit marker was left by an interrupted write and is replaced.
     """
     spark = df.sparkSession
     try:
-        return spark.read.schema(df.schema).parquet(path)
+        spark.read.format("binaryFile").load(f"{path}/_SUCCESS")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-    df.write.mode("overwrite").parquet(path)
+        df.write.mode("overwrite").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
