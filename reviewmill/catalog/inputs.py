@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from reviewmill.session import local_table
+
 LEXICON = [
     ("the", 1), ("of", -1), ("in", 0), ("and", 1), ("to", -1), ("is", 2), ("that", -2),
     ("for", 1), ("it", -1), ("on", 0), ("was", -2), ("with", 1), ("be", 2), ("as", 0),
@@ -75,15 +77,15 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def lexicon(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(LEXICON, "word string, polarity int")
+    return local_table(spark, LEXICON, "word string, polarity int")
 
 
 def stop_words(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in STOP], "word string")
+    return local_table(spark, [(w,) for w in STOP], "word string")
 
 
 def dictionary(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(DICTIONARY, "surface string, lemma string, pos string")
+    return local_table(spark, DICTIONARY, "surface string, lemma string, pos string")
 
 
 def core(spark: SparkSession, sf_dir: str) -> DataFrame:

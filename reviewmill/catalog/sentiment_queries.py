@@ -11,6 +11,7 @@ from reviewmill.operators import profile
 from reviewmill.operators import sentiment as st
 from reviewmill.operators import tokens as tk
 from reviewmill.plans import jobs
+from reviewmill.session import local_table
 
 REPORT = "positive_pct, neutral_pct, negative_pct, top_positive, top_neutral, top_negative"
 
@@ -74,7 +75,7 @@ def sentiment_token_percentages(spark, sf_dir):
     tokens = tk.explode_tokens(inp.reviews(spark, sf_dir), "review_text", ["shop_name"])
     counts = st.count_class_words(tokens, inp.lexicon(spark), ["shop_name"], "drop")
     totals = st.class_totals(counts, ["shop_name"])
-    return totals.select("shop_name", *st._percentages(None)).select(
+    return totals.select("shop_name", *st.percentages()).select(
         "shop_name", "positive_pct", "negative_pct", "neutral_pct"
     )
 
@@ -257,7 +258,7 @@ _PREDICATES = [("be다", 2), ("un다", -1), ("er다", 1)]
 
 def _scored(spark, sf_dir):
     lexicon = inp.lexicon(spark).union(
-        spark.createDataFrame(_PREDICATES, "word string, polarity int")
+        local_table(spark, _PREDICATES, "word string, polarity int")
     )
     return jobs.review_scores(
         inp.reviews(spark, sf_dir),

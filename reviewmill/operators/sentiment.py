@@ -23,6 +23,8 @@ from reviewmill.operators.keywords import ranked_list, top_k, top_words
 from reviewmill.operators.skew import lookup_join
 from reviewmill.operators.tokens import explode_tokens
 
+REPORT_ORDER = ("Positive", "Neutral", "Negative")
+
 
 def count_class_words(
     tokens: DataFrame, lexicon: DataFrame, keys: list[str], unmatched: str = "drop"
@@ -85,21 +87,60 @@ def class_keywords(counts: DataFrame, keys: list[str], k: int, separator: str =
     )
 
 
-def _percentages(digits: int | None) -> list[Column]:
+def percentages(digits: int | None = None) -> list[Column]:
+    """Percentage columns over the columns of ``class_totals``."""
     return [
         percentage(name.lower(), "total", digits).alias(f"{name.lower()}_pct")
-        for name in ("Positive", "Neutral", "Negative")
+        for name in REPORT_ORDER
     ]
 
 
-def _report(totals: DataFrame, words: DataFrame, keys: list[str], digits: int | None) -> DataFrame:
-    return totals.join(words, keys, "left").select(
+def _class_rows(counts: DataFrame, keys: list[str]) -> DataFrame:
+    """Per-class sums in the row shape of ``_report``."""
+    return counts.groupBy(*keys, "sentiment").agg(F.sum("n").alias("n")).select(
         *keys,
-        *_percentages(digits),
-        *[
-            F.coalesce(f"top_{name.lower()}", F.lit("")).alias(f"top_{name.lower()}")
-            for name in ("Positive", "Neutral", "Negative")
-        ],
+        F.lit(0).alias("is_word"),
+        "sentiment",
+        F.lit(None).cast("string").alias("word"),
+        "n",
+        F.lit(1).alias("rank"),
+    )
+
+
+def _report(
+    rows: DataFrame, keys: list[str], digits: int | None, suppress_pure: bool = False
+) -> DataFrame:
+    """One report row per group from class rows (``is_word = 0``, n texts or tokens) and
+    ranked keyword rows (``is_word = 1``). At most a few rows per group arrive here."""
+
+    def total(name: str | None) -> Column:
+        known = F.col("sentiment") == name if name else F.col("sentiment").isNotNull()
+        return F.coalesce(F.sum(F.when((F.col("is_word") == 0) & known, F.col("n"))), F.lit(0))
+
+    def words(name: str) -> Column:
+        return ranked_list("word", (F.col("is_word") == 1) & (F.col("sentiment") == name))
+
+    wide = rows.groupBy(*keys).agg(
+        *[total(name).alias(name.lower()) for name in CLASSES],
+        total(None).alias("total"),
+        *[F.array_join(words(name), ", ").alias(f"top_{name.lower()}") for name in CLASSES],
+    )
+
+    def listed(name: str) -> Column:
+        column = F.col(f"top_{name.lower()}")
+        if not suppress_pure:
+            return column
+        pure_elsewhere = F.lit(False)
+        for other in ("Positive", "Negative"):
+            if other != name:
+                share = percentage(other.lower(), "total", digits)
+                pure_elsewhere = pure_elsewhere | (share == 100)
+        return F.when(pure_elsewhere, F.lit("")).otherwise(column)
+
+    return wide.select(
+        *keys,
+        *percentages(digits),
+        *[listed(name).alias(f"top_{name.lower()}") for name in REPORT_ORDER],
     )
 
 
@@ -111,11 +152,14 @@ def sentiment_by_token(
     k: int = 5,
     digits: int | None = None,
 ) -> DataFrame:
-    """Token-level report. Both halves read the same ``(keys, sentiment, word)`` counts, so
-    the text is scanned and shuffled once. With ``unmatched='keep'`` groups without any
-    lexicon word stay, with null percentages."""
+    """Token-level report. Class sums and keywords read the same ``(keys, sentiment, word)``
+    shuffle and meet in a union, so the text is scanned once. With ``unmatched='keep'``
+    groups without any lexicon word stay, with null percentages."""
     counts = count_class_words(tokens, lexicon, keys, unmatched)
-    return _report(class_totals(counts, keys), class_keywords(counts, keys, k), keys, digits)
+    ranked = top_words(counts, [*keys, "sentiment"], k).select(
+        *keys, F.lit(1).alias("is_word"), "sentiment", "word", "n", "rank"
+    )
+    return _report(_class_rows(counts, keys).unionByName(ranked), keys, digits)
 
 
 def polarity_counts(tokens: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataFrame:
@@ -212,40 +256,7 @@ def sentiment_by_review(
         merged, [*keys, "is_word", "sentiment"], [F.desc("n"), F.asc("word")], k
     )
 
-    def reviews(name: str | None) -> Column:
-        hit = F.col("is_word") == 0
-        if name:
-            hit = hit & (F.col("sentiment") == name)
-        return F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0))
-
-    def words(name: str) -> Column:
-        return ranked_list("word", (F.col("is_word") == 1) & (F.col("sentiment") == name))
-
-    result = ranked.groupBy(*keys).agg(
-        *[reviews(name).alias(name.lower()) for name in CLASSES],
-        reviews(None).alias("total"),
-        *[F.array_join(words(name), ", ").alias(f"top_{name.lower()}") for name in CLASSES],
-    )
-
-    def listed(name: str) -> Column:
-        column = F.col(f"top_{name.lower()}")
-        if not suppress_pure:
-            return column
-        pure_elsewhere = F.lit(False)
-        for other in ("Positive", "Negative"):
-            if other != name:
-                share = percentage(other.lower(), "total", digits)
-                pure_elsewhere = pure_elsewhere | (share == 100)
-        return F.when(pure_elsewhere, F.lit("")).otherwise(column)
-
-    return result.select(
-        *keys,
-        *_percentages(digits),
-        *[
-            listed(name).alias(f"top_{name.lower()}")
-            for name in ("Positive", "Neutral", "Negative")
-        ],
-    )
+    return _report(ranked, keys, digits, suppress_pure)
 
 
 def sentiment_by_merged_text(
@@ -313,14 +324,13 @@ def review_scores(
 
 def result_record(report: DataFrame, keys: list[str]) -> DataFrame:
     """Nested form: a ratio map and a keyword-list map per group."""
-    names = ("Positive", "Neutral", "Negative")
     ratios = F.create_map(
-        *[x for n in names for x in (F.lit(n), F.col(f"{n.lower()}_pct"))]
+        *[x for n in REPORT_ORDER for x in (F.lit(n), F.col(f"{n.lower()}_pct"))]
     )
     words = F.create_map(
         *[
             x
-            for n in names
+            for n in REPORT_ORDER
             for x in (
                 F.lit(n),
                 F.filter(F.split(f"top_{n.lower()}", ", "), lambda w: w != ""),

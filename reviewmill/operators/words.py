@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from reviewmill.functions.constants import FOOD_TOPICS, OTHER_TOPIC
 from reviewmill.operators.keywords import top_k, top_words
 from reviewmill.operators.skew import lookup_join
+from reviewmill.session import local_table
 
 
 def count_words(tokens: DataFrame, keys: list[str] | None = None, output: str = "n") -> DataFrame:
@@ -47,7 +48,7 @@ def topic_profile(
     other: str = OTHER_TOPIC,
 ) -> DataFrame:
     """Summed frequency of each topic among the top words, one column per topic."""
-    table = top.sparkSession.createDataFrame(topic_table(topics), "word string, topic string")
+    table = local_table(top.sparkSession, topic_table(topics), "word string, topic string")
     assigned = lookup_join(top, table, ["word"], "left").withColumn(
         "topic", F.coalesce("topic", F.lit(other))
     )

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import pandas as pd
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
@@ -20,3 +22,9 @@ def build_session(app: str = "reviewmill", master: str | None = None, **conf: st
     for key, value in {**SETTINGS, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
+
+
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """Small literal table. Goes through Arrow, so it is a local relation of known size."""
+    columns = StructType.fromDDL(schema).names
+    return spark.createDataFrame(pd.DataFrame(rows, columns=columns), schema)

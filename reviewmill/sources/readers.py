@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions.constants import REVIEW_COLUMNS, REVIEW_COLUMNS_KO
 from reviewmill.functions import text as tx
+from reviewmill.session import local_table
 
 REVIEW_SCHEMA = ", ".join(f"{c} string" for c in REVIEW_COLUMNS)
 CORE_SCHEMA = (
@@ -155,7 +156,7 @@ def join_word_lists(first: DataFrame, *others: DataFrame) -> DataFrame:
 
 
 def word_list(spark: SparkSession, words: list[str]) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in words], "word string").distinct()
+    return local_table(spark, [(w,) for w in words], "word string").distinct()
 
 
 def read_result_parts(
