@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.session import local_table
+from reviewmill.sources import readers
 
 LEXICON = [
     ("the", 1), ("of", -1), ("in", 0), ("and", 1), ("to", -1), ("is", 2), ("that", -2),
@@ -66,8 +67,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return readers.spread(table(spark, sf_dir, "documents"))
+
+
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.col("doc_id").alias("review_id"),
         F.col("lang").alias("university_name"),
         F.col("source").alias("shop_name"),
@@ -118,7 +123,7 @@ CORE_SQL = (
 
 def cafe_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents dealt to (nation, brand), so that they join the café ranking."""
-    docs = table(spark, sf_dir, "documents")
+    docs = documents(spark, sf_dir)
     return docs.select(
         F.col("doc_id").alias("review_id"),
         F.concat(F.lit("NATION_"), F.col("doc_id") % 25).alias("university"),

@@ -13,6 +13,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from reviewmill.operators.skew import cut_lineage
+
 # the term covariance of the projection is kept on one machine: 4096^2 doubles = 128 MB
 MAX_TERMS = 4096
 MAX_CLUSTERS = 1024
@@ -74,7 +76,12 @@ def similarity_matrix(pairs: DataFrame, groups: list[str] | None = None) -> Data
 
 
 def term_vectors(top: DataFrame, key: str, value: str = "n", max_terms: int = MAX_TERMS) -> DataFrame:
-    """``key, features``: dense vectors over the joint vocabulary of the top words."""
+    """``key, features``: dense vectors over the joint vocabulary of the top words.
+
+    The top words (at most k rows per group) and the vectors are written out once: the
+    fitting algorithms pass over them many times and must not go back to the texts.
+    """
+    top = cut_lineage(top.select(key, "word", value))
     words = top.select("word").distinct()
     if words.limit(max_terms + 1).count() > max_terms:
         raise ValueError(f"more than {max_terms} distinct top words: compare fewer words per group")
@@ -84,7 +91,8 @@ def term_vectors(top: DataFrame, key: str, value: str = "n", max_terms: int = MA
         F.map_from_entries(F.collect_list(F.struct("word", F.col(value).cast("double")))).alias("m")
     )
     dense = F.transform(F.col("v"), lambda w: F.coalesce(F.try_element_at("m", w), F.lit(0.0)))
-    return freqs.withColumn("v", vocabulary).select(key, array_to_vector(dense).alias("features"))
+    rows = freqs.withColumn("v", vocabulary)
+    return cut_lineage(rows.select(key, array_to_vector(dense).alias("features")))
 
 
 def bisect(vectors: DataFrame, k: int = 2, seed: int = 42) -> DataFrame:

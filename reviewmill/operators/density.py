@@ -10,7 +10,7 @@ edges leave a task. What keeps the work small:
    certainly one cluster. Pairs inside the largest such cluster need no test.
 3. What is left ("queries") visits only the cells (points by nearest pivot) that the
    triangle inequality on angles cannot rule out.
-4. Cells are cut into blocks of bounded size, so a hot cell is many tasks.
+4. Small cells are packed together and large ones cut, into blocks of bounded size.
 
 Steps 2 to 4 only skip pairs whose outcome is already proven.
 """
@@ -35,21 +35,25 @@ _POINT = "rep long, w long, vec array<double>, cell int, angle double, proven bo
 
 
 def _unit(df: DataFrame, row_id: str, vector: str, eps: float) -> DataFrame:
-    """``id, vec, alone``: unit vectors; zero vectors stay zero.
+    """``id, vec, alone``: unit vectors, written once so that no embedding is made twice.
 
-    A zero vector has distance 1 to everything, its own copies included, so below that
-    radius it must not be merged with its copies.
+    A zero vector stays zero. It has distance 1 to everything, its own copies included, so
+    below that radius ``alone`` keeps it from being merged with its copies.
     """
-    v = F.transform(F.col(vector), lambda x: x.cast("double"))
-    rows = df.select(F.col(row_id).cast("long").alias("id"), v.alias("v"))
-    norm = F.sqrt(F.aggregate("v", F.lit(0.0), lambda acc, x: acc + x * x))
-    rows = rows.withColumn("norm", norm)
-    # adding 0.0 turns -0.0 into 0.0, so that equal vectors group together
-    unit = F.when(
-        F.col("norm") > 0, F.transform("v", lambda x: x / F.col("norm") + F.lit(0.0))
-    ).otherwise(F.transform("v", lambda x: x * 0.0 + F.lit(0.0)))
-    alone = F.when((F.col("norm") == 0) & F.lit(eps < 1), F.col("id")).otherwise(F.lit(-1))
-    return rows.select("id", unit.alias("vec"), alone.alias("alone"))
+
+    def normalize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            if b.empty:
+                continue
+            raw = _matrix(b["vec"])
+            norm = np.sqrt((raw * raw).sum(axis=1))
+            unit = raw / np.where(norm > 0, norm, 1.0)[:, None] + 0.0  # no negative zeros
+            ids = b["id"].to_numpy()
+            alone = np.where((norm == 0) & (eps < 1), ids, -1)
+            yield pd.DataFrame({"id": ids, "vec": list(unit), "alone": alone})
+
+    rows = df.select(F.col(row_id).cast("long").alias("id"), F.col(vector).alias("vec"))
+    return cut_lineage(rows.mapInPandas(normalize, "id long, vec array<double>, alone long"))
 
 
 def _representatives(points: DataFrame) -> DataFrame:
@@ -167,15 +171,37 @@ def _place(reps: DataFrame, pivots: _Pivots, min_samples: int) -> DataFrame:
     return cut_lineage(reps.select("rep", "w", "vec").mapInPandas(place, _POINT))
 
 
-def _cell_plan(points: DataFrame, pivots: _Pivots, block: int) -> tuple[np.ndarray, np.ndarray]:
-    """Covering angle and number of blocks of each cell (one row per pivot)."""
-    radius = np.full(len(pivots.reps), -10.0)
-    blocks = np.ones(len(pivots.reps), dtype="int64")
-    stats = points.groupBy("cell").agg(F.max("angle").alias("r"), F.count(F.lit(1)).alias("n"))
-    for cell, r, n in stats.collect():
-        radius[cell] = r
-        blocks[cell] = -(-n // block)
-    return radius, blocks
+class _Plan:
+    """Where points live: cells packed into bins of about ``block`` points, so that a query
+    is not copied more often than the data size asks for. A cell beyond ``block`` points is
+    a bin of its own with several blocks."""
+
+    def __init__(self, points: DataFrame, pivots: _Pivots, block: int):
+        count = len(pivots.reps)
+        radius = np.full(count, -10.0)
+        sizes = np.zeros(count, dtype="int64")
+        stats = points.groupBy("cell").agg(F.max("angle").alias("r"), F.count(F.lit(1)).alias("n"))
+        for cell, r, n in stats.collect():  # at most one row per pivot
+            radius[cell], sizes[cell] = r, n
+        widest = np.arccos(np.clip(1.0 - pivots.eps, -1.0, 1.0))
+        self.limit = widest + radius + _ANGLE_SLACK
+        # neighbouring cells share a bin where possible: walk them by angle to the first pivot
+        order = np.argsort(-pivots.similarity(pivots.vectors)[:, 0], kind="stable")
+        self.bin_of = np.zeros(count, dtype="int64")
+        bins: list[int] = [0]
+        for cell in order:
+            if bins[-1] and bins[-1] + sizes[cell] > block:
+                bins.append(0)
+            self.bin_of[cell] = len(bins) - 1
+            bins[-1] += int(sizes[cell])
+        self.blocks = [max(1, -(-n // block)) for n in bins]
+
+    def visits(self, pivots: _Pivots, vectors: np.ndarray) -> np.ndarray:
+        """Bins (columns) that may hold neighbours of each vector."""
+        cells = np.arccos(pivots.similarity(vectors)) <= self.limit[None, :]
+        members = np.zeros((len(self.bin_of), len(self.blocks)), dtype="float32")
+        members[np.arange(len(self.bin_of)), self.bin_of] = 1
+        return (cells.astype("float32") @ members) > 0
 
 
 def _meet(
@@ -183,58 +209,50 @@ def _meet(
 ) -> DataFrame:
     """Run ``kernel(queries, points)`` on every pair of blocks that may hold neighbours.
 
-    Tasks are keyed by (cell, point block, query block). A query is copied to the cells in
-    reach, a point to the query blocks of its own cell.
+    Tasks are keyed by (bin, point block, query block). A query is copied to the bins in
+    reach, a point to the query blocks of its own bin.
     """
-    radius, blocks = _cell_plan(points, pivots, block)
-    limit = np.arccos(np.clip(1.0 - pivots.eps, -1.0, 1.0)) + radius + _ANGLE_SLACK
+    plan = _Plan(points, pivots, block)
     columns = "rep long, w long, vec array<double>, part long"
+    asked = queries.select("rep", "w", "vec", "part")
 
     def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            angles = np.arccos(pivots.similarity(_matrix(b["vec"])))
-            row, cell = np.nonzero(angles <= limit[None, :])
-            out = b.iloc[row].assign(cell=cell)
+            row, target = np.nonzero(plan.visits(pivots, _matrix(b["vec"])))
+            out = b.iloc[row].assign(bin=target)
             for start in range(0, len(out), 10_000):
                 yield out.iloc[start : start + 10_000]
 
-    visits = queries.select("rep", "w", "vec", "part").mapInPandas(visit, columns + ", cell int")
-    counted = queries.select("rep", "w", "vec", "part").mapInPandas(
-        lambda it: _count_visits(it, pivots, limit), "cell int, n long"
-    )
-    query_blocks = np.ones(len(pivots.reps), dtype="int64")
-    for cell, n in counted.groupBy("cell").agg(F.sum("n").alias("n")).collect():
-        query_blocks[cell] = max(1, -(-n // block))
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(len(plan.blocks), dtype="int64")
+        for b in batches:
+            total += plan.visits(pivots, _matrix(b["vec"])).sum(axis=0)
+        yield pd.DataFrame({"bin": np.arange(len(total)), "n": total})
 
-    point_blocks = F.element_at(F.lit([int(x) for x in blocks]), F.col("cell") + 1)
-    meet_blocks = F.element_at(F.lit([int(x) for x in query_blocks]), F.col("cell") + 1)
+    query_blocks = [1] * len(plan.blocks)
+    counted = asked.mapInPandas(count, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n"))
+    for target, n in counted.collect():  # at most one row per pivot
+        query_blocks[target] = max(1, -(-n // block))
+
+    point_blocks = F.element_at(F.lit(plan.blocks), F.col("bin") + 1)
+    meet_blocks = F.element_at(F.lit(query_blocks), F.col("bin") + 1)
     spread = F.xxhash64("rep")
-    q = visits.select(
+    zero = F.lit(0)
+    q = asked.mapInPandas(visit, columns + ", bin int").select(
         "*",
-        F.pmod(spread, meet_blocks).alias("qb"),
-        F.explode(F.sequence(F.lit(0).cast("long"), point_blocks - 1)).alias("pb"),
+        F.pmod(spread, meet_blocks).cast("int").alias("qb"),
+        F.explode(F.sequence(zero, point_blocks - 1)).alias("pb"),
     )
-    p = points.select(
-        "rep",
-        "w",
-        "vec",
-        "part",
-        "cell",
-        F.pmod(spread, point_blocks).alias("pb"),
-        F.explode(F.sequence(F.lit(0).cast("long"), meet_blocks - 1)).alias("qb"),
+    home = F.element_at(F.lit([int(x) for x in plan.bin_of]), F.col("cell") + 1)
+    p = points.select("rep", "w", "vec", "part", home.cast("int").alias("bin")).select(
+        "*",
+        F.pmod(spread, point_blocks).cast("int").alias("pb"),
+        F.explode(F.sequence(zero, meet_blocks - 1)).alias("qb"),
     )
-    keys = ["cell", "pb", "qb"]
+    keys = ["bin", "pb", "qb"]
     return q.groupBy(*keys).cogroup(p.groupBy(*keys)).applyInPandas(kernel, schema)
 
 
-def _count_visits(batches: Iterator[pd.DataFrame], pivots: _Pivots, limit: np.ndarray):
-    total = np.zeros(len(pivots.reps), dtype="int64")
-    for b in batches:
-        angles = np.arccos(pivots.similarity(_matrix(b["vec"])))
-        total += (angles <= limit[None, :]).sum(axis=0)
-    yield pd.DataFrame({"cell": np.arange(len(total)), "n": total})
-
-
 def _within(q: pd.DataFrame, p: pd.DataFrame, eps: float):
     """Neighbour masks, CHUNK queries at a time."""
     pv, pid = _matrix(p["vec"]), p["rep"].to_numpy()

@@ -189,6 +189,16 @@ def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(EMBEDDING_SCHEMA).parquet(path)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Deal rows out when the input has fewer splits than the session has cores.
+
+    A file with one large row group is one task however many cores there are. Inputs with
+    enough splits, which is every large table, are returned as they are.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 # ---- records inside text lines --------------------------------------------
 
 
