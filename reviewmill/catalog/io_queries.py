@@ -151,15 +151,32 @@ def _load_toy_tagger():
 @register(
     "udf_hooks",
     f"""WITH {inp.REVIEWS_SQL},
-toks AS (SELECT shop_name, unnest({sq.split_space('review_text')}) AS w FROM reviews)
-SELECT shop_name, CASE WHEN length(w) % 2 = 1 THEN 'Noun' ELSE 'Verb' END AS pos, count(*) AS n
-FROM toks WHERE w <> '' GROUP BY ALL""",
+toks AS (SELECT review_id, unnest({sq.split_space('review_text')}) AS w FROM reviews)
+SELECT review_id, count(*) FILTER (length(w) % 2 = 1) AS nouns,
+       count(*) FILTER (length(w) % 2 = 0) AS verbs FROM toks WHERE w <> '' GROUP BY ALL""",
 )
 def udf_hooks(spark, sf_dir):
     tagged = hooks.tag_with(
-        inp.reviews(spark, sf_dir), "review_text", ["shop_name"], _load_toy_tagger
+        inp.reviews(spark, sf_dir), "review_text", "review_id", _load_toy_tagger
     )
-    return tagged.groupBy("shop_name", "pos").agg(F.count(F.lit(1)).alias("n"))
+    return tagged.groupBy("review_id").agg(
+        F.count_if(F.col("pos") == "Noun").alias("nouns"),
+        F.count_if(F.col("pos") == "Verb").alias("verbs"),
+    )
+
+
+def _load_joiner():
+    return lambda text: text.replace(" ", "_")
+
+
+@register(
+    "udf_text",
+    f"""WITH {inp.REVIEWS_SQL}
+SELECT review_id, replace(review_text, ' ', '_') AS joined FROM reviews""",
+)
+def udf_text(spark, sf_dir):
+    join = hooks.text_function(_load_joiner)
+    return inp.reviews(spark, sf_dir).select("review_id", join("review_text").alias("joined"))
 
 
 @register(

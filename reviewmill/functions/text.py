@@ -15,6 +15,12 @@ from reviewmill.functions.constants import EMOJI_RANGES, PUNCTUATION_PAIRS, TAG_
 
 # Unicode whitespace, as one character-class body
 WS = r"\s\x0B\x1C-\x1F\x{85}\p{Z}"
+# the same whitespace as a character set
+WS_CHARS = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
+    + "".join(map(chr, range(0x2000, 0x200B)))
+    + "\u2028\u2029\u202f\u205f\u3000"
+)
 # letters, numbers and underscore: a "word character" without combining marks
 WORD = r"\p{L}\p{N}_"
 EMOJI = "[" + "".join(rf"\x{{{a:X}}}-\x{{{b:X}}}" for a, b in EMOJI_RANGES) + "]"
@@ -75,8 +81,8 @@ def sentences(c: Column | str) -> Column:
 
 
 def strip(c: Column | str) -> Column:
-    """Trim any Unicode whitespace from both ends."""
-    return F.regexp_replace(_col(c), f"^[{WS}]+|[{WS}]+$", "")
+    """Trim any Unicode whitespace from both ends, in linear time."""
+    return F.trim(_col(c), F.lit(WS_CHARS))
 
 
 def collapse_whitespace(c: Column | str) -> Column:

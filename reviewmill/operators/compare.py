@@ -30,15 +30,15 @@ def cosine_similarity(
     unordered pair is formed once; a word shared by very many groups is spread over
     ``blocks * blocks`` tasks.
     """
-    norms = top.groupBy(key).agg(F.sqrt(F.sum(F.col(value) * F.col(value))).alias("norm"))
-    unit = (
-        top.select(key, "word", value)
-        .join(norms, key)
-        .select(
-            F.col(key).alias("g"),
-            "word",
-            (F.col(value) / F.col("norm")).alias("w"),
-            F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("own"),
+    entries = F.collect_list(F.struct("word", F.col(value).cast("double").alias("n")))
+    grouped = top.groupBy(key).agg(F.sqrt(F.sum(F.col(value) * F.col(value))).alias("norm"), entries.alias("e"))
+    # at most k rows per group, written once: both sides of the join read it
+    unit = cut_lineage(
+        grouped.select(F.col(key).alias("g"), "norm", F.explode("e").alias("e")).select(
+            "g",
+            "e.word",
+            (F.col("e.n") / F.col("norm")).alias("w"),
+            F.pmod(F.xxhash64("g"), F.lit(blocks)).cast("int").alias("own"),
         )
     )
     every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
@@ -61,9 +61,8 @@ def cosine_similarity(
         ).alias("p"),
         "cosine",
     ).select("p.g1", "p.g2", "cosine")
-    diagonal = norms.select(
-        F.col(key).alias("g1"), F.col(key).alias("g2"), F.lit(1.0).alias("cosine")
-    )
+    diagonal = unit.select(F.col("g").alias("g1"), F.col("g").alias("g2")).distinct()
+    diagonal = diagonal.withColumn("cosine", F.lit(1.0))
     return mirrored.unionByName(diagonal)
 
 

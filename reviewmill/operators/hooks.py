@@ -4,37 +4,49 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-TAGGED = "array<struct<surface:string,lemma:string,pos:string>>"
 Tagger = Callable[[str], list[tuple[str, str, str]]]
 
 
-def tagger_column(load_tagger: Callable[[], Tagger], text: Column | str) -> Column:
-    """Column of tagged tokens from an external tagger, loaded once per task and called on
-    Arrow batches. A null text gives an empty list."""
+def tag_with(
+    df: DataFrame, text: str, row_id: str, load_tagger: Callable[[], Tagger]
+) -> DataFrame:
+    """Token rows ``row_id, token_no, surface, lemma, pos`` from an external tagger that each
+    task loads once. Null texts give no tokens."""
+    source = df.select(F.col(row_id).cast("long").alias("id"), F.col(text).alias("t")).dropna()
 
-    @F.pandas_udf(TAGGED)
-    def tag(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         tagger = load_tagger()
-        names = ("surface", "lemma", "pos")
-        for texts in batches:
-            yield texts.map(
-                lambda t: [dict(zip(names, token, strict=True)) for token in tagger(t)]
-                if isinstance(t, str)
-                else []
+        for batch in batches:
+            tagged = [tagger(t) for t in batch["t"]]
+            sizes = [len(tokens) for tokens in tagged]
+            flat = pd.DataFrame(
+                [token for tokens in tagged for token in tokens],
+                columns=["surface", "lemma", "pos"],
             )
+            flat.insert(0, "token_no", np.concatenate([np.arange(n) for n in sizes] or [[]]))
+            flat.insert(0, "id", np.repeat(batch["id"].to_numpy(), sizes))
+            yield flat
 
-    return tag(text)
+    schema = "id long, token_no int, surface string, lemma string, pos string"
+    return source.mapInPandas(run, schema).withColumnRenamed("id", row_id)
 
 
-def tag_with(df: DataFrame, text: str, keep: list[str], load_tagger: Callable[[], Tagger]) -> DataFrame:
-    """Token rows ``keep, token_no, surface, lemma, pos``, as the dictionary tagger makes."""
-    tagged = df.select(*keep, tagger_column(load_tagger, text).alias("_tagged"))
-    rows = tagged.select(*keep, F.posexplode("_tagged").alias("token_no", "t"))
-    return rows.select(*keep, "token_no", "t.surface", "t.lemma", "t.pos")
+def text_function(load: Callable[[], Callable[[str], str]]) -> Callable[[str], Column]:
+    """Text-to-text column function over Arrow batches; null becomes ``''``. For code with no
+    Spark equivalent: everything in ``functions.text`` is faster."""
+
+    @F.pandas_udf("string")
+    def apply(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        function = load()
+        for texts in batches:
+            yield texts.map(lambda t: function(t) if isinstance(t, str) else "")
+
+    return apply
 
 
 def map_records(

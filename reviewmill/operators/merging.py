@@ -42,7 +42,8 @@ def merge_text(
         present = present & F.col(key).isNotNull()
     rows = df.filter(present).select(
         *keys,
-        F.floor(F.col(row_id) / slice_rows).alias("_slice"),
+        # never null, so that no null filter makes the two uses of `slices` differ
+        F.coalesce(F.floor(F.col(row_id) / slice_rows), F.lit(-1)).alias("_slice"),
         F.col(row_id).alias("_id"),
         F.col(text).alias("_text"),
     )
