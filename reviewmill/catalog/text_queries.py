@@ -318,7 +318,7 @@ def morphemes(spark, sf_dir):
     )
     return tk.regroup(
         tokens,
-        "review_id",
+        ["review_id"],
         {"morphs": F.col("lemma"), "tagged": F.concat_ws("/", "lemma", "pos")},
     )
 

@@ -17,6 +17,7 @@ Steps 2 to 4 only skip pairs whose outcome is already proven.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.operators.skew import cut_lineage, salted_join
 
-PIVOTS = 64
+MIN_PIVOTS, MAX_PIVOTS = 64, 2048
 BLOCK = 4096
 CHUNK = 512
 _ANGLE_SLACK = 1e-6
@@ -95,7 +96,11 @@ def _matrix(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_numpy()).astype("float64") if len(column) else np.zeros((0, 0))
 
 
-def _choose_pivots(reps: DataFrame, count: int, eps: float) -> _Pivots:
+def _choose_pivots(reps: DataFrame, count: int | None, eps: float) -> _Pivots:
+    """A deterministic sample. Its size grows with the root of the data, within bounds that
+    keep it small on every machine."""
+    if count is None:
+        count = min(MAX_PIVOTS, max(MIN_PIVOTS, math.isqrt(reps.count()) // 16))
     rows = reps.orderBy(F.xxhash64("rep"), "rep").limit(count).collect()
     vectors = np.array([r["vec"] for r in rows], dtype="float64")
     return _Pivots([r["rep"] for r in rows], [r["w"] for r in rows], vectors, eps)
@@ -128,19 +133,27 @@ def _pivot_parts(reps: DataFrame, pivots: _Pivots, min_samples: int) -> None:
             sure = pivots.certain_core(ids, b["w"].to_numpy(), reach, min_samples)
             near = (reach[sure] & pivots.core).astype("float32")
             together |= (near.T @ near) > 0
-        a, b2 = np.nonzero(together)
-        yield pd.DataFrame({"a": a, "b": b2})
-
+        root = np.arange(len(together))
+        while True:
+            low = np.where(together, root[None, :], root[:, None]).min(axis=1)
+            low = low[low]
+            if np.array_equal(low, root):
+                break
+            root = low
+        moved = np.flatnonzero(root != np.arange(len(root)))
+        yield pd.DataFrame({"a": moved, "b": root[moved]})
+
+    # each task sends a spanning forest of the pivots, not their pairs
     edges = reps.mapInPandas(link, "a int, b int").distinct().collect()
+    a = np.array([e[0] for e in edges], dtype="int64")
+    b = np.array([e[1] for e in edges], dtype="int64")
     part = pivots.part
-    changed = True
-    while changed:  # at most PIVOTS rounds over at most PIVOTS^2 edges
-        changed = False
-        for a, b in edges:
-            low = min(part[a], part[b])
-            if part[a] != low or part[b] != low:
-                part[a] = part[b] = low
-                changed = True
+    while True:
+        low = np.minimum(part[a], part[b])
+        if (part[a] == low).all() and (part[b] == low).all():
+            return
+        np.minimum.at(part, a, low)
+        np.minimum.at(part, b, low)
 
 
 def _place(reps: DataFrame, pivots: _Pivots, min_samples: int) -> DataFrame:
@@ -357,7 +370,7 @@ def _numbered(roots: DataFrame) -> DataFrame:
 
 
 def neighbour_counts(
-    df: DataFrame, row_id: str, vector: str, eps: float, pivots: int = PIVOTS, block: int = BLOCK
+    df: DataFrame, row_id: str, vector: str, eps: float, pivots: int | None = None, block: int = BLOCK
 ) -> DataFrame:
     """Exact number of points within ``eps`` cosine distance of each point, itself included."""
     points = _unit(df, row_id, vector, eps)
@@ -378,7 +391,7 @@ def dbscan(
     vector: str,
     eps: float = 1.0,
     min_samples: int = 5,
-    pivots: int = PIVOTS,
+    pivots: int | None = None,
     block: int = BLOCK,
 ) -> DataFrame:
     """``row_id, cluster, is_core``. Noise is cluster -1; clusters are numbered by their

@@ -89,9 +89,8 @@ def groups_with_match(
         (F.col("part_no") + 1).alias("part_no"),
         F.substring(text, -seam_chars, seam_chars).alias("_tail"),
     )
-    heads = parts.filter("part_no > 0").select(
-        *keys, "part_no", F.substring(text, 1, seam_chars).alias("_head")
-    )
+    # part 0 meets no tail; filtering it out would only keep the shuffle from being shared
+    heads = parts.select(*keys, "part_no", F.substring(text, 1, seam_chars).alias("_head"))
     seams = heads.join(tails, [*keys, "part_no"]).select(
         *keys, F.concat_ws(separator, "_tail", "_head").alias(text)
     )

@@ -59,14 +59,17 @@ def tag_tokens(
     dictionary: DataFrame,
     default_pos: str = "Unknown",
     normalize: Callable[[Column], Column] | None = None,
+    keep_empty_rows: bool = False,
 ) -> DataFrame:
     """Tokens with ``token_no, surface, lemma, pos``.
 
     Digit runs default to Number, punctuation runs to Punctuation, other unknown words to
     ``default_pos`` with the surface as lemma. ``normalize`` rewrites a surface form before
-    the lookup (spelling normalisation).
+    the lookup (spelling normalisation). With ``keep_empty_rows`` a text without tokens, or
+    no text, leaves one row of nulls.
     """
-    rows = df.select(*keep, F.posexplode(tx.word_tokens(text)).alias("token_no", "surface"))
+    explode = F.posexplode_outer if keep_empty_rows else F.posexplode
+    rows = df.select(*keep, explode(tx.word_tokens(text)).alias("token_no", "surface"))
     if normalize is not None:
         rows = rows.withColumn("surface", normalize(F.col("surface")))
     entries = dictionary.select(
@@ -76,7 +79,7 @@ def tag_tokens(
     fallback = (
         F.when(F.col("surface").rlike(r"^\p{N}"), "Number")
         .when(F.col("surface").rlike(r"^[\p{L}\p{M}]"), default_pos)
-        .otherwise("Punctuation")
+        .when(F.col("surface").isNotNull(), "Punctuation")
     )
     return tagged.select(
         *keep,
@@ -96,14 +99,15 @@ def _ordered(value: Column, condition: Column | None = None) -> Column:
 
 def regroup(
     tokens: DataFrame,
-    row_id: str,
+    keys: list[str],
     columns: dict[str, Column],
     separator: str = " ",
     extra: list[Column] | None = None,
 ) -> DataFrame:
-    """Join the tokens of each row id again, one text column per entry of ``columns``.
+    """Join the tokens of each row again, one text column per entry of ``columns``.
 
-    An entry is an expression over the token row; a null result leaves the token out.
+    ``keys`` are the row id and further columns of the row that are to be kept; these should
+    be short, as every token row repeats them. An entry is an expression over the token row; a null result leaves the token out.
     ``extra`` are further aggregates over the same tokens.
     """
     merged = {
@@ -111,12 +115,7 @@ def regroup(
         for name, value in columns.items()
     }
     texts = [c.alias(name) for name, c in merged.items()]
-    return tokens.groupBy(row_id).agg(*texts, *(extra or []))
-
-
-def _attach(df: DataFrame, texts: DataFrame, row_id: str, names: list[str]) -> DataFrame:
-    joined = df.join(texts, row_id, "left")
-    return joined.select(*df.columns, *[F.coalesce(n, F.lit("")).alias(n) for n in names])
+    return tokens.groupBy(*keys).agg(*texts, *(extra or []))
 
 
 def _selected(value: str, classes: list[str] | None) -> Column:
@@ -134,11 +133,13 @@ def content_text(
     value: str = "lemma",
     default_pos: str = "Unknown",
     output: str = "processed_review",
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """Add the space-joined lemmas of the selected classes; missing text gives ``''``."""
-    tokens = tag_tokens(df, text, [row_id], dictionary, default_pos)
-    texts = regroup(tokens, row_id, {output: _selected(value, classes)})
-    return _attach(df, texts, row_id, [output])
+    """``row_id, keep, output``: the space-joined lemmas of the selected classes, ``''`` for
+    missing text. One scan and one shuffle by row id, which no hot shop can unbalance."""
+    keys = [row_id, *(keep or [])]
+    tokens = tag_tokens(df, text, keys, dictionary, default_pos, keep_empty_rows=True)
+    return regroup(tokens, keys, {output: _selected(value, classes)})
 
 
 def pos_columns(
@@ -148,11 +149,13 @@ def pos_columns(
     dictionary: DataFrame,
     columns: dict[str, list[str]],
     default_pos: str = "Unknown",
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    """Add one text column per part-of-speech selection, from a single tagging pass."""
-    tokens = tag_tokens(df, text, [row_id], dictionary, default_pos)
+    """One text column per part-of-speech selection, from a single tagging pass."""
+    keys = [row_id, *(keep or [])]
+    tokens = tag_tokens(df, text, keys, dictionary, default_pos, keep_empty_rows=True)
     picks = {name: _selected("lemma", classes) for name, classes in columns.items()}
-    return _attach(df, regroup(tokens, row_id, picks), row_id, list(columns))
+    return regroup(tokens, keys, picks)
 
 
 def lemma_column() -> Column:
@@ -170,9 +173,12 @@ def lemmatize(
     dictionary: DataFrame,
     default_pos: str = "Unknown",
     output: str = "words",
+    keep: list[str] | None = None,
 ) -> DataFrame:
-    tokens = tag_tokens(df, text, [row_id], dictionary, default_pos)
-    return _attach(df, regroup(tokens, row_id, {output: lemma_column()}), row_id, [output])
+    """``row_id, keep, output``: nouns and '다' forms of verbs and adjectives, in order."""
+    keys = [row_id, *(keep or [])]
+    tokens = tag_tokens(df, text, keys, dictionary, default_pos, keep_empty_rows=True)
+    return regroup(tokens, keys, {output: lemma_column()})
 
 
 def without_stop_words(tokens: DataFrame, stop: DataFrame, column: str = "word") -> DataFrame:

@@ -63,7 +63,7 @@ def category_words(ranked: DataFrame, cafe_words: DataFrame) -> DataFrame:
     once per café, however many categories list the café.
     """
     listed = ranked.select("category", "university", "cafeName").distinct()
-    joined = cafe_words.join(listed, ["university", "cafeName"])
+    joined = lookup_join(cafe_words, listed, ["university", "cafeName"])
     return joined.groupBy("category", "word").agg(F.sum("n").alias("count"))
 
 

@@ -24,7 +24,7 @@ from reviewmill.operators import sentiment as st
 from reviewmill.operators import tokens as tk
 from reviewmill.operators.keywords import first_rows
 from reviewmill.operators.ranking import rank_cafes
-from reviewmill.operators.skew import lookup_join, salted_join
+from reviewmill.operators.skew import cut_lineage, lookup_join, salted_join
 from reviewmill.sources.crawl import flatten_crawl
 
 UNIVERSITY, SHOP, TEXT, ROW = "university_name", "shop_name", "review_text", "review_id"
@@ -41,7 +41,9 @@ def preprocess_reviews(
     """Reviews of one university whose content words match the keyword:
     ``university_name, shop_name, processed_review, keyword``."""
     mine = filters.of_university(reviews, university)
-    processed = tk.content_text(mine, TEXT, ROW, dictionary, CONTENT_POS, "lemma", default_pos)
+    processed = tk.content_text(
+        mine, TEXT, ROW, dictionary, CONTENT_POS, "lemma", default_pos, keep=[UNIVERSITY, SHOP]
+    )
     kept = processed.filter(filters.keyword_match("processed_review", keyword, regex))
     return kept.select(
         ROW, UNIVERSITY, SHOP, "processed_review", F.lit(keyword).alias("keyword")
@@ -146,12 +148,14 @@ def category_word_counts(
     tokenized, and each once. Cleaning and tokenizing act within a review, so the merged
     text per café is not needed.
     """
-    ranked = rank_cafes(core, k)
-    cafes = ranked.select("university", "cafeName").distinct()
-    listed = reviews.join(cafes, ["university", "cafeName"], "left_semi").withColumn(
+    keys = ["university", "cafeName"]
+    # a few rows per university and category; written once, so its size can be measured and
+    # the reviews need not be shuffled to find the listed cafés
+    ranked = cut_lineage(rank_cafes(core, k))
+    cafes = ranked.select(*keys).distinct()
+    listed = lookup_join(reviews, cafes, keys, "left_semi").withColumn(
         "_clean", clean_review_text(text)
     )
-    keys = ["university", "cafeName"]
     found = tk.class_words(
         listed, "_clean", keys, dictionary, EXPRESSIVE_POS, stop, "surface", min_length, default_pos
     )
@@ -235,7 +239,7 @@ def review_scores(
         "adjectives": F.when(F.col("pos") == "Adjective", F.col("lemma")),
         "words": F.col("word"),
     }
-    scored = tk.regroup(tokens, row_id, columns, extra=[st.mean_polarity().alias("sent_score")])
+    scored = tk.regroup(tokens, [row_id], columns, extra=[st.mean_polarity().alias("sent_score")])
     joined = reviews.join(scored, row_id)
     return filters.non_zero(joined).withColumn("sentiment", sign_class_ko("sent_score"))
 
