@@ -91,6 +91,52 @@ toks AS (
 {sq.review_report(keys, k, 2, tie, pure)}"""
 
 
+def _filtered(keys: list[str], test: str) -> str:
+    cols = ", ".join(keys)
+    tokens = sq.split_whitespace("processed_review")
+    return f"""
+WITH {inp.LEXICON_SQL}, {inp.REVIEWS_SQL}, {inp.DICTIONARY_SQL},
+{sq.tagged('reviews', ['review_id', 'university_name', 'shop_name'], 'review_text')},
+processed AS (
+  SELECT review_id, university_name, shop_name, coalesce(string_agg(lemma, ' ' ORDER BY token_no)
+         FILTER (pos IN ('Noun', 'Verb', 'Adjective', 'Adverb')), '') AS processed_review
+  FROM tagged GROUP BY ALL),
+toks AS (
+  SELECT {cols}, review_id,
+         unnest(CASE WHEN len({tokens}) = 0 THEN [NULL] ELSE {tokens} END) AS word
+  FROM processed WHERE university_name = 'en' AND {test}),
+{sq.review_report(keys, 3, 2, 'reference', False)}"""
+
+
+def _filtered_report(spark, sf_dir, keyword, regex, keys):
+    return jobs.filtered_sentiment(
+        inp.reviews(spark, sf_dir),
+        "en",
+        keyword,
+        inp.dictionary(spark),
+        inp.lexicon(spark),
+        keys,
+        regex,
+        default_pos="Noun",
+    )
+
+
+@register(
+    "filtered_sentiment_shop",
+    _filtered(["shop_name"], "regexp_matches(processed_review, 'with|tion$')"),
+)
+def filtered_sentiment_shop(spark, sf_dir):
+    return _filtered_report(spark, sf_dir, "with|tion$", True, ("shop_name",))
+
+
+@register(
+    "filtered_sentiment_university",
+    _filtered(["university_name"], "contains(processed_review, 'that')"),
+)
+def filtered_sentiment_university(spark, sf_dir):
+    return _filtered_report(spark, sf_dir, "that", False, ("university_name",))
+
+
 def _by_review(spark, sf_dir, keys, **options):
     return jobs.sentiment_report(
         inp.reviews(spark, sf_dir),
@@ -342,6 +388,21 @@ def report_text(spark, sf_dir):
     return st.report_table(sentiment_token_all(spark, sf_dir), "shop_name")
 
 
+@register(
+    "report_headings",
+    _review(["shop_name"]).replace(
+        "SELECT t.shop_name, positive_pct", 'SELECT t.shop_name AS "Shop Name", positive_pct AS "Positive (%)"'
+    )
+    .replace(' "Positive (%)", neutral_pct, negative_pct,',
+             ' "Positive (%)", neutral_pct AS "Neutral (%)", negative_pct AS "Negative (%)",')
+    .replace("coalesce(top_positive, '') AS top_positive", "coalesce(top_positive, '') AS \"Top Positive Keywords\"")
+    .replace("coalesce(top_neutral, '') AS top_neutral", "coalesce(top_neutral, '') AS \"Top Neutral Keywords\"")
+    .replace("coalesce(top_negative, '') AS top_negative", "coalesce(top_negative, '') AS \"Top Negative Keywords\""),
+)
+def report_headings(spark, sf_dir):
+    return st.headed_report(_by_review(spark, sf_dir, ("shop_name",)), "shop_name")
+
+
 @register(
     "result_record",
     _matched(sq.split_whitespace("review_text"), ["shop_name"], 6, 2).replace(

@@ -340,6 +340,21 @@ def result_record(report: DataFrame, keys: list[str]) -> DataFrame:
     return report.select(*keys, ratios.alias("sentiment_ratios"), words.alias("top_keywords"))
 
 
+def headed_report(report: DataFrame, name: str, heading: str = "Shop Name") -> DataFrame:
+    """The seven report columns under their published headings; missing values are 0 and ''."""
+    return report.select(
+        F.col(name).alias(heading),
+        *[
+            F.coalesce(f"{label.lower()}_pct", F.lit(0.0)).alias(f"{label} (%)")
+            for label in REPORT_ORDER
+        ],
+        *[
+            F.coalesce(f"top_{label.lower()}", F.lit("")).alias(f"Top {label} Keywords")
+            for label in REPORT_ORDER
+        ],
+    )
+
+
 def report_table(
     report: DataFrame, name: str, ascending: bool = False, k: int = 3, width: int = 20
 ) -> DataFrame:

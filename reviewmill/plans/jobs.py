@@ -107,6 +107,36 @@ def sentiment_report(
     raise ValueError(f"mode must be token, review or merged, not {mode!r}")
 
 
+def filtered_sentiment(
+    reviews: DataFrame,
+    university: str,
+    keyword: str,
+    dictionary: DataFrame,
+    lexicon: DataFrame,
+    keys: tuple[str, ...] = (SHOP,),
+    regex: bool = True,
+    k: int = 3,
+    tie: str = "reference",
+    suppress_pure: bool = False,
+    default_pos: str = "Unknown",
+) -> DataFrame:
+    """Review-level report over the content words of one university's reviews that match the
+    keyword: preprocessing and scoring in one plan, nothing is stored in between."""
+    processed = preprocess_reviews(reviews, university, keyword, dictionary, regex, default_pos)
+    return sentiment_report(
+        processed,
+        "processed_review",
+        lexicon,
+        "review",
+        keys,
+        k=k,
+        digits=2,
+        splitter="whitespace",
+        tie=tie,
+        suppress_pure=suppress_pure,
+    )
+
+
 def tagged_sentiment(
     reviews: DataFrame,
     lexicon: DataFrame,
@@ -293,6 +323,7 @@ __all__ = [
     "clean_reviews",
     "cluster_texts",
     "compare_universities",
+    "filtered_sentiment",
     "flatten_crawl",
     "merge_shop_text",
     "merged_first_rows",

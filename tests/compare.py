@@ -6,6 +6,7 @@
 from __future__ import annotations
 
 import math
+import os
 import sys
 import time
 from pathlib import Path
@@ -67,10 +68,10 @@ def main() -> None:
 
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     wanted = sys.argv[2:]
-    spark = build_session(
-        master="local[8]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.ui.enabled": "false", "spark.driver.memory": "8g"},
-    )
+    settings = {"spark.ui.enabled": "false", "spark.ui.showConsoleProgress": "false", "spark.driver.memory": "8g"}
+    if not os.environ.get("PLAIN_SESSION"):
+        settings["spark.sql.shuffle.partitions"] = "8"
+    spark = build_session(master="local[8]", **settings)
     spark.sparkContext.setLogLevel("ERROR")
     connection, sql = connect(sf_dir), oracle_sql()
     bad = 0
