@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.operators.skew import cut_lineage, salted_join
+from reviewmill.operators.skew import cut_lineage, hot_key_join
 
 MIN_PIVOTS, MAX_PIVOTS = 64, 2048
 BLOCK = 4096
@@ -346,12 +346,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both.groupBy(F.col("a").alias("node")).agg(F.least("a", F.min("b")).alias("root"))
     )
     while True:
-        seen = salted_join(
-            both.withColumnRenamed("b", "node"), labels, ["node"], "inner"
-        ).select(F.col("a").alias("node"), "root")
-        lowest = seen.unionByName(labels).groupBy("node").agg(F.min("root").alias("root"))
+        # a star centre is a hot node here, a large component a hot root below
+        seen = hot_key_join(both.withColumnRenamed("b", "node"), labels, ["node"])
+        lowest = (
+            seen.select(F.col("a").alias("node"), "root")
+            .unionByName(labels)
+            .groupBy("node")
+            .agg(F.min("root").alias("root"))
+        )
         jump = labels.select(F.col("node").alias("root"), F.col("root").alias("next"))
-        jumped = salted_join(lowest, jump, ["root"], "left").select(
+        jumped = hot_key_join(cut_lineage(lowest), jump, ["root"], "left").select(
             "node", F.least(F.col("root"), F.coalesce("next", "root")).alias("root")
         )
         updated = cut_lineage(jumped)
@@ -379,8 +383,8 @@ def neighbour_counts(
     placed = _place(reps, chosen, 1)
     found = _meet(placed, placed, chosen, block, _neighbour_kernel(eps, 0), "q long, x long, n long")
     counts = found.groupBy("q").agg(F.sum("n").alias("neighbours"))
-    back = salted_join(points, reps.select("vec", "alone", "rep"), ["vec", "alone"])
-    return salted_join(back, counts.withColumnRenamed("q", "rep"), ["rep"]).select(
+    counted = reps.select("vec", "alone", "rep").join(counts.withColumnRenamed("q", "rep"), "rep")
+    return hot_key_join(points, counted.drop("rep"), ["vec", "alone"]).select(
         F.col("id").alias(row_id), "neighbours"
     )
 
@@ -442,21 +446,25 @@ def dbscan(
     )
     cores = cut_lineage(flagged.filter("core").withColumn("part", node).drop("late", "core"))
     outside = cores.filter(F.col("part") != int(largest))
-    edges = _meet(outside, cores, chosen, block, _edge_kernel(eps), "a long, b long")
+    edges = cut_lineage(
+        _meet(outside, cores, chosen, block, _edge_kernel(eps), "a long, b long")
+    )
     components = connected_components(edges)
     # one cluster may hold most points: these joins meet a hot node, root or core point
     nodes = cores.select("rep", F.col("part").alias("node"))
-    rooted = salted_join(nodes, components, ["node"], "left").select(
-        "rep", F.coalesce("root", "node").alias("root")
+    rooted = cut_lineage(
+        hot_key_join(nodes, components, ["node"], "left").select(
+            "rep", F.coalesce("root", "node").alias("root")
+        )
     )
     numbered = cut_lineage(
-        salted_join(rooted, _numbered(rooted), ["root"]).select("rep", "cluster")
+        hot_key_join(rooted, _numbered(rooted), ["root"]).select("rep", "cluster")
     )
 
     # points below min_samples keep their neighbours: the lowest core cluster among them
     listed = found.filter("x IS NOT NULL").select("q", "x")
     borders = (
-        salted_join(listed, numbered.withColumnRenamed("rep", "x"), ["x"])
+        hot_key_join(listed, numbered.withColumnRenamed("rep", "x"), ["x"])
         .groupBy(F.col("q").alias("rep"))
         .agg(F.min("cluster").alias("near"))
     )
@@ -471,6 +479,6 @@ def dbscan(
             F.col("cluster").isNotNull().alias("is_core"),
         )
     )
-    return salted_join(points, labels, ["vec", "alone"]).select(
+    return hot_key_join(points, labels, ["vec", "alone"]).select(
         F.col("id").alias(row_id), "cluster", "is_core"
     )

@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 200_000
 BROADCAST_CHARS = 16_000_000
 SALTS = 32
+HOT_ROWS = 1_000_000
+HOT_KEYS = 10_000
 
 
 def fits_broadcast(
@@ -45,6 +47,30 @@ def salted_join(
     return salted_left.join(salted_right, [*on, "_salt"], how).drop("_salt")
 
 
+def hot_key_join(
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Join two large tables when a few keys of ``left`` may be very frequent.
+
+    Keys that hold more than ``hot_rows`` rows and more than one part in ``HOT_KEYS`` of
+    ``left`` are looked up in a broadcast of their rows of ``right`` (unique per key), so at
+    most ``HOT_KEYS`` rows; all other keys are joined plainly. Nothing is copied per salt.
+    ``left`` should be a stored table: its keys are counted first.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"hot_key_join cannot do {how!r}")
+    total = left.count()
+    if total <= hot_rows:
+        return left.join(right, on, how)
+    limit = max(hot_rows, total // HOT_KEYS)
+    frequent = left.groupBy(*on).count().filter(F.col("count") > limit).select(*on)
+    frequent = F.broadcast(cut_lineage(frequent))
+    few = F.broadcast(right.join(frequent, on, "left_semi"))
+    hot = left.join(frequent, on, "left_semi").join(few, on, how)
+    cold = left.join(frequent, on, "left_anti").join(right, on, how)
+    return hot.unionByName(cold)
+
+
 def lookup_join(
     left: DataFrame, small: DataFrame, on: list[str], how: str = "inner", salts: int = SALTS
 ) -> DataFrame:

@@ -87,3 +87,13 @@ def test_components_of_a_long_chain(spark):
 def test_empty_input(spark):
     frame = spark.createDataFrame([], "id long, v array<float>")
     assert density.dbscan(frame, "id", "v").count() == 0
+
+
+def test_hot_joins_inside_dbscan(spark, monkeypatch):
+    from reviewmill.operators import skew
+
+    monkeypatch.setattr(skew.hot_key_join, "__defaults__", ("inner", 20))
+    points = blobs(8, copies=60)
+    labels, core, _ = brute_force(points, 0.1, 5)
+    got_labels, got_core = run(spark, points, 0.1, pivots=5, block=30)
+    assert (got_core == core).all() and (got_labels == labels).all()

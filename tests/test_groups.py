@@ -138,6 +138,21 @@ def test_salted_join_matches_plain_join(spark):
         assert sorted(map(str, skew.salted_join(left, right, ["k"], how, 5).collect())) == plain
 
 
+def test_hot_key_join_matches_plain_join(spark):
+    left = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0))
+        .when(F.col("id") % 7 == 0, F.lit(None))
+        .otherwise(F.col("id") % 50)
+        .alias("k"),
+        "id",
+    )
+    right = spark.range(0, 40, 2).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    for how in ("inner", "left"):
+        plain = sorted(map(str, left.join(right, ["k"], how).collect()))
+        got = skew.hot_key_join(left, right, ["k"], how, hot_rows=100)
+        assert sorted(map(str, got.collect())) == plain
+
+
 def test_fits_broadcast(spark):
     small = spark.createDataFrame([("a",), ("bb",)], "word string")
     assert skew.fits_broadcast(small)
