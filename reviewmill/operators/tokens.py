@@ -90,13 +90,6 @@ def tag_tokens(
     )
 
 
-def _ordered(value: Column, condition: Column | None = None) -> Column:
-    pair = F.struct(F.col("token_no").alias("i"), value.alias("v"))
-    if condition is not None:
-        pair = F.when(condition, pair)
-    return F.transform(F.array_sort(F.collect_list(pair)), lambda s: s["v"])
-
-
 def regroup(
     tokens: DataFrame,
     keys: list[str],
@@ -110,12 +103,18 @@ def regroup(
     be short, as every token row repeats them. An entry is an expression over the token row; a null result leaves the token out.
     ``extra`` are further aggregates over the same tokens.
     """
-    merged = {
-        name: F.array_join(_ordered(value, value.isNotNull()), separator)
-        for name, value in columns.items()
-    }
-    texts = [c.alias(name) for name, c in merged.items()]
-    return tokens.groupBy(*keys).agg(*texts, *(extra or []))
+    fields = {name: f"v{i}" for i, name in enumerate(columns)}
+    values = [value.alias(fields[name]) for name, value in columns.items()]
+    wanted = F.coalesce(*[F.when(value.isNotNull(), True) for value in columns.values()])
+    # one sorted list of the tokens that any column wants, at most one text long
+    listed = F.array_sort(F.collect_list(F.when(wanted, F.struct("token_no", *values))))
+    grouped = tokens.groupBy(*keys).agg(listed.alias("_tokens"), *(extra or []))
+
+    def text(field: str) -> Column:
+        return F.array_join(F.transform("_tokens", lambda t: t[field]), separator)
+
+    others = [c for c in grouped.columns if c not in (*keys, "_tokens")]
+    return grouped.select(*keys, *[text(f).alias(name) for name, f in fields.items()], *others)
 
 
 def _selected(value: str, classes: list[str] | None) -> Column:
