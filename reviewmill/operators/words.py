@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill.functions.constants import FOOD_TOPICS, OTHER_TOPIC
-from reviewmill.operators.keywords import top_k, top_words
+from reviewmill.operators.keywords import top_words
 from reviewmill.operators.skew import lookup_join
 from reviewmill.session import local_table
 
@@ -71,7 +71,6 @@ __all__ = [
     "category_words",
     "count_words",
     "term_cloud",
-    "top_k",
     "top_words_by_group",
     "topic_profile",
     "topic_table",

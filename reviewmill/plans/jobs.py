@@ -19,10 +19,11 @@ from reviewmill.functions.constants import (
     NO_TAGS,
 )
 from reviewmill.functions.scoring import sign_class_ko
-from reviewmill.operators import compare, density, embedding, filters, merging, profile, words
+from reviewmill.operators import compare, density, embedding, filters, merging, words
 from reviewmill.operators import sentiment as st
 from reviewmill.operators import tokens as tk
 from reviewmill.operators.keywords import first_rows
+from reviewmill.operators.profile import null_profile
 from reviewmill.operators.ranking import rank_cafes
 from reviewmill.operators.skew import cut_lineage, lookup_join, salted_join
 from reviewmill.sources.crawl import flatten_crawl
@@ -329,7 +330,7 @@ __all__ = [
     "merged_first_rows",
     "noun_lists",
     "preprocess_reviews",
-    "profile",
+    "null_profile",
     "review_scores",
     "sentiment_report",
     "tag_frequencies",

@@ -19,6 +19,7 @@ RANKING_SCHEMA = (
     "totalReviewerCount long, totalVisitCount long"
 )
 LEXICON_SCHEMA = "word string, polarity int"
+SPREAD_SPLITS = 64
 EMBEDDING_SCHEMA = "id long, embedding array<float>"
 
 
@@ -190,13 +191,14 @@ def read_embeddings(spark: SparkSession, path: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Deal rows out when the input has fewer splits than the session has cores.
+    """Deal rows out when a small input has fewer splits than the session has cores.
 
-    A file with one large row group is one task however many cores there are. Inputs with
-    enough splits, which is every large table, are returned as they are.
+    A file with one large row group is one task however many cores there are. The shuffle
+    this costs is bounded by ``SPREAD_SPLITS`` splits; larger inputs are returned as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    few = df.rdd.getNumPartitions() < min(cores, SPREAD_SPLITS)
+    return df.repartition(cores) if few else df
 
 
 # ---- records inside text lines --------------------------------------------
