@@ -217,12 +217,12 @@ class ByteBpe:
         at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == keys, self.pair_values[at], -1)
 
-    def learn(self, pieces: Iterable[str]) -> None:
-        """Remember the ids of the pieces not seen lately, in two generations of bounded size."""
+    def learn(self, pieces: set[str]) -> None:
+        """Remember the ids of pieces, in two generations of bounded size."""
         if len(self.recent) >= CACHE_PIECES:
             self.older, self.recent = self.recent, {}
         unknown = []
-        for piece in pieces:
+        for piece in pieces.difference(self.recent):
             ids = self.older.get(piece)
             if ids is None:
                 unknown.append(piece)
@@ -234,7 +234,7 @@ class ByteBpe:
 
     def encode_all(self, texts: list[str], pattern: str = KNOWN_PATTERN) -> list[list[int]]:
         pieces = [split(text, pattern) for text in texts]
-        self.learn(set(chain.from_iterable(pieces)).difference(self.recent))
+        self.learn(set(chain.from_iterable(pieces)))
         ids_of = self.recent.__getitem__
         return [list(chain.from_iterable(map(ids_of, p))) for p in pieces]
 

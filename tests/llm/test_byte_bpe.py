@@ -51,6 +51,13 @@ def test_both_queues_match_the_library(coder, library, monkeypatch, bulk):
     assert coder.encode_all(texts) == [library.encode_ordinary(t) for t in texts]
 
 
+def test_full_cache_is_turned_over(coder, library, monkeypatch):
+    monkeypatch.setattr(byte_bpe, "CACHE_PIECES", 10)
+    coder.recent, coder.older = {}, {}
+    for text in _texts(300):
+        assert coder.encode_all([text, text]) == [library.encode_ordinary(text)] * 2
+
+
 def test_bulk_leaves_order_sensitive_pieces_to_the_single_queue():
     """'abc' ranks below 'bc', so merging 'bc' may open a pair of lower rank."""
     letters = [bytes([b]) for b in range(256)]
