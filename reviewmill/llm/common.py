@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewmill.operators.skew import scratch_path
@@ -61,3 +61,25 @@ def components(edges: DataFrame, left: str, right: str, name: str = "components"
         links = stored(small.unionByName(smallest.select("u", F.col("m").alias("v"))).distinct(), name)
     nodes = links.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return nodes.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
+
+
+def with_running_sums(df: DataFrame, order: list[Column], sums: dict[str, str], name: str) -> DataFrame:
+    """Add ``new = sum of the column over all rows before this one`` for ``new: column`` in
+    ``sums``, and ``row_index`` from 0, in a global order of unique rows.
+
+    Rows are range-sorted into partitions and written; one row per partition and sum meets in
+    a single task, so a table of any size never does.
+    """
+    parts = stored(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), name)
+    values = {"row_index": F.lit(1).cast("long")} | {new: F.col(old) for new, old in sums.items()}
+    totals = parts.groupBy("_part").agg(*[F.sum(v).alias(f"_{k}") for k, v in values.items()])
+    earlier = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        "_part", *[F.coalesce(F.sum(f"_{k}").over(earlier), F.lit(0)).alias(f"_{k}") for k in values]
+    )
+    before = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    placed = parts.join(offsets, "_part")
+    return placed.select(
+        *df.columns,
+        *[(F.col(f"_{k}") + F.coalesce(F.sum(v).over(before), F.lit(0))).alias(k) for k, v in values.items()],
+    )

@@ -7,10 +7,23 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import byte_bpe
+from reviewmill.llm import byte_bpe, cuckoo_dedup, mixing, sharding
 from reviewmill.llm.common import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
+SHARDS = 24
+
+
+def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
+
+
+def op3_cuckoo_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cuckoo_dedup.dedup(read_table(spark, sf_dir, "documents"))
+
+
+def op4_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard_documents(read_table(spark, sf_dir, "documents"), SHARDS)
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,8 +33,13 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op9_byte_bpe": op9_byte_bpe}
+    return {
+        "op2_mix_sources": op2_mix_sources,
+        "op3_cuckoo_dedup": op3_cuckoo_dedup,
+        "op4_virtual_slots": op4_virtual_slots,
+        "op9_byte_bpe": op9_byte_bpe,
+    }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op2_mix_sources": mixing.SQL, "op3_cuckoo_dedup": cuckoo_dedup.SQL}
