@@ -7,13 +7,17 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import byte_bpe, cuckoo_dedup, mixing, sharding, toxicity
+from reviewmill.llm import byte_bpe, cuckoo_dedup, dart_minhash, mixing, sharding, toxicity
 from reviewmill.llm.common import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
 SHARDS = 24
 
 
+def op1_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dart_minhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def op2_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(read_table(spark, sf_dir, "documents"))
 
@@ -38,6 +42,7 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_dart_minhash": op1_dart_minhash,
         "op2_mix_sources": op2_mix_sources,
         "op3_cuckoo_dedup": op3_cuckoo_dedup,
         "op4_virtual_slots": op4_virtual_slots,
