@@ -395,6 +395,24 @@ def score_documents(docs: DataFrame, model: bytes | None, doc_id: str = "doc_id"
     return rows.mapInArrow(score, SCHEMA)
 
 
+def clean_documents(docs: DataFrame, model: bytes | None, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, all columns, where they are read."""
+    if model is None:
+        return docs
+    sent = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = Scorer(Network.load(sent.value))
+        for batch in batches:
+            numbered = pa.RecordBatch.from_arrays([pa.array(np.arange(batch.num_rows)), batch.column(at)], ["n", "t"])
+            for rows, texts in text_chunks(numbered, CHUNK_CHARS):
+                best = scorer.score(texts)[0]
+                yield batch.take(rows.filter(pa.array(best < threshold)))
+
+    return docs.mapInArrow(clean, docs.schema)
+
+
 def text_chunks(batch: pa.RecordBatch, chars: int) -> Iterator[tuple[pa.Array, list[str | None]]]:
     """Ids and texts of a batch, in slices of about ``chars`` characters."""
     texts, first, size = [], 0, 0
