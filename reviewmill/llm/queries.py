@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import byte_bpe, cuckoo_dedup, dart_minhash, mixing, sharding, toxicity
+from reviewmill.llm import byte_bpe, cuckoo_dedup, dart_minhash, mixing, secrets, sharding, toxicity
 from reviewmill.llm.common import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -40,6 +40,10 @@ def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.token_digests(encoded)
 
 
+def op10_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.span_digests(secrets.secrets(read_table(spark, sf_dir, "documents")))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_dart_minhash": op1_dart_minhash,
@@ -48,6 +52,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op4_virtual_slots": op4_virtual_slots,
         "op8_toxicity": op8_toxicity,
         "op9_byte_bpe": op9_byte_bpe,
+        "op10_secrets": op10_secrets,
     }
 
 
