@@ -270,10 +270,10 @@ def span_text(spans: str) -> Column:
 
 
 def span_digests(found: DataFrame) -> DataFrame:
-    counts = [
-        F.size(F.filter("base", lambda s, kind=kind: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
-        for kind in KINDS[:3]
-    ]
+    def count(kind: str) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [count(kind) for kind in KINDS[:3]]
     return found.select(
         "doc_id", *counts, F.sha2(span_text("base"), 256).alias("base_sha256"), span_text("spans").alias("spans")
     )
