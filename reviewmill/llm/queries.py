@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import byte_bpe, cuckoo_dedup, dart_minhash, mixing, secrets, sharding, toxicity
+from reviewmill.llm import byte_bpe, cuckoo_dedup, dart_minhash, hyper_langid, mixing, secrets, sharding, toxicity
 from reviewmill.llm.common import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -30,6 +30,10 @@ def op4_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op6_hyper_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyper_langid.language(read_table(spark, sf_dir, "documents"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -50,6 +54,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_mix_sources": op2_mix_sources,
         "op3_cuckoo_dedup": op3_cuckoo_dedup,
         "op4_virtual_slots": op4_virtual_slots,
+        "op6_hyper_langid": op6_hyper_langid,
         "op8_toxicity": op8_toxicity,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_secrets": op10_secrets,
