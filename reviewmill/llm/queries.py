@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import byte_bpe, cuckoo_dedup, dart_minhash, hyper_langid, mixing, secrets, sharding, toxicity
+from reviewmill.llm import byte_bpe, cuckoo_dedup, dart_minhash, hyper_langid, mixing, rotation_codes, secrets, sharding, toxicity
 from reviewmill.llm.common import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -34,6 +34,10 @@ def op6_hyper_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyper_langid.language(read_table(spark, sf_dir, "documents"))
 
 
+def op7_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotation_codes.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -55,6 +59,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_cuckoo_dedup": op3_cuckoo_dedup,
         "op4_virtual_slots": op4_virtual_slots,
         "op6_hyper_langid": op6_hyper_langid,
+        "op7_rotation_codes": op7_rotation_codes,
         "op8_toxicity": op8_toxicity,
         "op9_byte_bpe": op9_byte_bpe,
         "op10_secrets": op10_secrets,
@@ -62,4 +67,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mix_sources": mixing.SQL, "op3_cuckoo_dedup": cuckoo_dedup.SQL}
+    return {"op2_mix_sources": mixing.SQL, "op3_cuckoo_dedup": cuckoo_dedup.SQL, "op7_rotation_codes": rotation_codes.SQL}
