@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import byte_bpe, cuckoo_dedup, dart_minhash, hyper_langid, mixing, rotation_codes, secrets, sharding, toxicity
+from reviewmill.llm import byte_bpe, cuckoo_dedup, dart_minhash, hyper_langid, mixing, rotation_codes, secrets, sharding, toxicity, warc_revisits
 from reviewmill.llm.common import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -30,6 +30,10 @@ def op4_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(read_table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_revisits.resolved_pages(spark, sf_dir)
+
+
 def op6_hyper_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hyper_langid.language(read_table(spark, sf_dir, "documents"))
 
@@ -58,6 +62,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_mix_sources": op2_mix_sources,
         "op3_cuckoo_dedup": op3_cuckoo_dedup,
         "op4_virtual_slots": op4_virtual_slots,
+        "op5_warc_revisits": op5_warc_revisits,
         "op6_hyper_langid": op6_hyper_langid,
         "op7_rotation_codes": op7_rotation_codes,
         "op8_toxicity": op8_toxicity,
@@ -67,4 +72,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mix_sources": mixing.SQL, "op3_cuckoo_dedup": cuckoo_dedup.SQL, "op7_rotation_codes": rotation_codes.SQL}
+    return {"op2_mix_sources": mixing.SQL, "op3_cuckoo_dedup": cuckoo_dedup.SQL, "op5_warc_revisits": warc_revisits.SQL, "op7_rotation_codes": rotation_codes.SQL}

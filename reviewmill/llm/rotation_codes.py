@@ -209,8 +209,8 @@ SQL = """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
   WHERE label IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(embedding, x -> x <> 0)) > 0
+    AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x FOR x IN embedding IF x <> 0]) > 0
 ), links AS (
   SELECT a.vec_id AS a, b.vec_id AS b
   FROM v AS a JOIN v AS b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
