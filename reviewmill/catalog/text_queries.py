@@ -356,20 +356,17 @@ def preprocess_filter_literal(spark, sf_dir):
 
 
 # small bounds on purpose, so that groups really are cut into several parts
-_BOUNDS = {"slice_rows": 64, "part_chars": 50_000}
+_BOUNDS = {"slice_rows": 16, "part_chars": 50_000}
 
 
 def _parts_sql(source: str, where: str = "TRUE") -> str:
     return f"""
-slices AS (
-  SELECT university_name, shop_name, review_id // 64 AS slice,
-         string_agg(review_text, ' ' ORDER BY review_id) AS txt
-  FROM {source} WHERE {where} GROUP BY ALL),
 numbered AS (
-  SELECT *, CAST(floor((sum(length(txt) + 1) OVER (PARTITION BY university_name, shop_name ORDER BY slice
-             ROWS UNBOUNDED PRECEDING) - length(txt) - 1) / 50000) AS BIGINT) AS part_no FROM slices),
+  SELECT *, CAST(floor((sum(length(review_text) + 1) OVER (
+             PARTITION BY university_name, shop_name ORDER BY review_id ROWS UNBOUNDED PRECEDING)
+             - length(review_text) - 1) / 50000) AS BIGINT) AS part_no FROM {source} WHERE {where}),
 parts AS (
-  SELECT university_name, shop_name, part_no, string_agg(txt, ' ' ORDER BY slice) AS merged_text
+  SELECT university_name, shop_name, part_no, string_agg(review_text, ' ' ORDER BY review_id) AS merged_text
   FROM numbered GROUP BY ALL)"""
 
 
@@ -392,17 +389,49 @@ def review_level_filter(spark, sf_dir):
     )
 
 
+def _shops_sql(test: str) -> str:
+    return f"""WITH {inp.REVIEWS_SQL}, {_parts_sql('reviews')},
+whole AS (SELECT university_name, shop_name FROM reviews GROUP BY ALL HAVING {test})
+SELECT parts.* FROM parts JOIN whole USING (university_name, shop_name)"""
+
+
+def _shops(spark, sf_dir, keyword, regex=True):
+    return jobs.merge_shop_text(
+        inp.reviews(spark, sf_dir), "review_text", keyword, "shop", regex, **_BOUNDS
+    )
+
+
+@register("shop_level_filter", _shops_sql("bool_or(regexp_matches(review_text, '[.] Th[a-z]+ing'))"))
+def shop_level_filter(spark, sf_dir):
+    return _shops(spark, sf_dir, "[.] Th[a-z]+ing")
+
+
 @register(
-    "shop_level_filter",
-    f"""WITH {inp.REVIEWS_SQL}, {_parts_sql('reviews')},
-whole AS (
-  SELECT university_name, shop_name FROM reviews GROUP BY ALL
-  HAVING regexp_matches(string_agg(review_text, ' ' ORDER BY review_id), '[.] Th[a-z]+ing'))
-SELECT parts.* FROM parts JOIN whole USING (university_name, shop_name)""",
+    "shop_level_literal",
+    _shops_sql("contains(string_agg(review_text, ' ' ORDER BY review_id), 'er. Re')"),
 )
-def shop_level_filter(spark, sf_dir):
-    return jobs.merge_shop_text(
-        inp.reviews(spark, sf_dir), "review_text", "[.] Th[a-z]+ing", "shop", **_BOUNDS
+def shop_level_literal(spark, sf_dir):
+    """The literal also matches where one review ends and the next begins."""
+    return _shops(spark, sf_dir, "er. Re", False)
+
+
+@register("shop_level_anchor", _shops_sql("bool_or(regexp_matches(review_text, '^Th.*ed[.]$', 's'))"))
+def shop_level_anchor(spark, sf_dir):
+    return _shops(spark, sf_dir, "(?s)^Th.*ed[.]$")
+
+
+@register(
+    "merged_parts_rejoined",
+    f"""WITH {inp.REVIEWS_SQL}
+SELECT university_name, shop_name, string_agg(review_text, ' ' ORDER BY review_id) AS merged_text
+FROM reviews WHERE university_name IS NOT NULL AND shop_name IS NOT NULL GROUP BY ALL""",
+)
+def merged_parts_rejoined(spark, sf_dir):
+    """The parts of a group, joined in order, are its texts, joined in order."""
+    parts = jobs.merge_shop_text(inp.reviews(spark, sf_dir), "review_text", **_BOUNDS)
+    pairs = F.array_sort(F.collect_list(F.struct("part_no", "merged_text")))
+    return parts.groupBy("university_name", "shop_name").agg(
+        F.array_join(F.transform(pairs, lambda p: p["merged_text"]), " ").alias("merged_text")
     )
 
 

@@ -130,13 +130,10 @@ def vocabulary(spark, sf_dir):
 per_review AS (
   SELECT university_name, review_id, string_agg(word, '|' ORDER BY token_no) AS words
   FROM nouns GROUP BY ALL),
-slices AS (
-  SELECT university_name, review_id // 64 AS slice, string_agg(words, '|' ORDER BY review_id) AS txt
-  FROM per_review GROUP BY ALL),
 numbered AS (
-  SELECT *, CAST(floor((sum(length(txt) + 1) OVER (PARTITION BY university_name ORDER BY slice
-             ROWS UNBOUNDED PRECEDING) - length(txt) - 1) / 200000) AS BIGINT) AS part_no FROM slices)
-SELECT university_name, part_no, string_agg(txt, '|' ORDER BY slice) AS words
+  SELECT *, CAST(floor((sum(length(words) + 1) OVER (PARTITION BY university_name ORDER BY review_id
+             ROWS UNBOUNDED PRECEDING) - length(words) - 1) / 200000) AS BIGINT) AS part_no FROM per_review)
+SELECT university_name, part_no, string_agg(words, '|' ORDER BY review_id) AS words
 FROM numbered GROUP BY ALL""",
 )
 def noun_lists_university(spark, sf_dir):
@@ -145,7 +142,7 @@ def noun_lists_university(spark, sf_dir):
         inp.dictionary(spark),
         _stop(spark),
         default_pos="Noun",
-        slice_rows=64,
+        slice_rows=16,
         part_chars=200_000,
     )
 

@@ -2,11 +2,13 @@
 
 A group may hold a third of all rows, so its merged text cannot be one value. The text is
 cut into numbered parts; ``separator.join(parts in order)`` is the whole text, nothing is
-dropped. Groups below ``part_chars`` have exactly one part, number 0.
+dropped. A part holds the rows that begin within ``part_chars`` characters, so it is longer
+than that by less than one text; groups below ``part_chars`` have exactly one part, number 0.
 
-Rows are first merged per slice of ``slice_rows`` consecutive ids (bounded by construction),
-then neighbouring slices are packed into parts by a running length. Only slice lengths go
-through the per-group window, never text.
+Where a row begins is a running length in three levels: rows in slices of ``slice_rows``
+consecutive ids, slices in blocks of ``slice_rows``, blocks of a group. One task sees the
+lengths of one slice, one block, or one group's blocks, never of all rows of a group. How
+rows fall into slices changes nothing in the result.
 """
 
 from __future__ import annotations
@@ -14,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewmill.operators.skew import lookup_join
+
 SLICE_ROWS = 4096
 PART_CHARS = 16_000_000
 
@@ -23,6 +27,12 @@ def _joined(order: str, value: str, separator: str) -> Column:
     return F.array_join(F.transform(pairs, lambda s: s[value]), separator)
 
 
+def _before(partition: list[str], order: str, chars: str) -> Column:
+    """Running length of all that comes earlier in the partition."""
+    earlier = Window.partitionBy(*partition).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(chars).over(earlier), F.lit(0))
+
+
 def merge_text(
     df: DataFrame,
     keys: list[str],
@@ -35,32 +45,32 @@ def merge_text(
 ) -> DataFrame:
     """Rows ``keys, part_no, output``: texts of each group joined in ``row_id`` order.
 
-    ``row_id`` is a unique integer. Null texts and rows with a null key are left out.
+    ``row_id`` is a unique integer. Null texts and rows with a null key are left out. The
+    texts are read twice, for their lengths and for the parts, and the parts are shuffled.
     """
     present = F.col(text).isNotNull()
     for key in keys:
         present = present & F.col(key).isNotNull()
+    slice_no = F.coalesce(F.floor(F.col(row_id) / slice_rows), F.lit(-1))
     rows = df.filter(present).select(
         *keys,
-        # never null, so that no null filter makes the two uses of `slices` differ
-        F.coalesce(F.floor(F.col(row_id) / slice_rows), F.lit(-1)).alias("_slice"),
+        slice_no.alias("_slice"),
+        F.floor(slice_no / slice_rows).alias("_block"),
         F.col(row_id).alias("_id"),
+        (F.length(text) + len(separator)).cast("long").alias("_chars"),
         F.col(text).alias("_text"),
     )
-    slices = rows.groupBy(*keys, "_slice").agg(_joined("_id", "_text", separator).alias("_text"))
-    running = (
-        Window.partitionBy(*keys)
-        .orderBy("_slice")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    block, one_slice = [*keys, "_block"], [*keys, "_block", "_slice"]
+    slices = rows.groupBy(*one_slice).agg(F.sum("_chars").alias("_chars"))
+    blocks = slices.groupBy(*block).agg(F.sum("_chars").alias("_chars"))
+    begin = blocks.select(*block, _before(keys, "_block", "_chars").alias("_begin"))
+    starts = slices.join(begin, block).select(
+        *one_slice, (F.col("_begin") + _before(block, "_slice", "_chars")).alias("_begin")
     )
-    # reads the same shuffle as `slices`; only the lengths go on
-    lengths = slices.select(
-        *keys, "_slice", (F.length("_text") + len(separator)).cast("long").alias("_chars")
+    placed = rows.join(starts, one_slice).withColumn(
+        "part_no", F.floor((F.col("_begin") + _before(one_slice, "_id", "_chars")) / part_chars)
     )
-    before = F.sum("_chars").over(running) - F.col("_chars")
-    numbered = lengths.select(*keys, "_slice", F.floor(before / part_chars).alias("part_no"))
-    placed = slices.join(numbered, [*keys, "_slice"])
-    return placed.groupBy(*keys, "part_no").agg(_joined("_slice", "_text", separator).alias(output))
+    return placed.groupBy(*keys, "part_no").agg(_joined("_id", "_text", separator).alias(output))
 
 
 def merge_words(
@@ -74,25 +84,34 @@ def merge_words(
     return merge_text(per_row, keys, "_words", row_id, separator, output="words", **bounds)
 
 
-def groups_with_match(
-    parts: DataFrame, keys: list[str], text: str, match: Column, separator: str = " "
+def groups_with_matching_row(df: DataFrame, keys: list[str], match: Column) -> DataFrame:
+    """Keys of groups of which one row satisfies ``match``, however much text the group has."""
+    return df.filter(match).select(*keys).distinct()
+
+
+def groups_with_literal(
+    parts: DataFrame, keys: list[str], text: str, literal: str, separator: str = " "
 ) -> DataFrame:
-    """Keys of groups whose merged text satisfies ``match`` (an expression over ``text``).
+    """Keys of groups whose whole merged text contains ``literal``, wherever parts are cut.
 
-    Every part is tested, and every seam between two neighbouring parts, so a phrase that
-    starts in one part and ends in the next is found as well. Only a match longer than the
-    seam, in a group of several parts, needs larger parts.
+    A hit lies inside one part, or within ``len(literal)`` characters around a border; it may
+    run over parts shorter than that. Each part is therefore looked at together with the ends
+    of as many parts before it as the literal has characters.
     """
-    seam_chars = 65_536
-    tails = parts.select(
-        *keys,
-        (F.col("part_no") + 1).alias("part_no"),
-        F.substring(text, -seam_chars, seam_chars).alias("_tail"),
+    reach = len(literal)
+    unused = next(c for c in map(chr, range(1, reach + 3)) if c not in literal)
+    ends = F.when(F.length(text) <= 2 * reach, F.col(text)).otherwise(
+        F.concat(F.substring(text, 1, reach), F.lit(unused), F.substring(text, -reach, reach))
     )
-    # part 0 meets no tail; filtering it out would only keep the shuffle from being shared
-    heads = parts.select(*keys, "part_no", F.substring(text, 1, seam_chars).alias("_head"))
-    seams = heads.join(tails, [*keys, "part_no"]).select(
-        *keys, F.concat_ws(separator, "_tail", "_head").alias(text)
+    # text stays where it is: only whether it has the literal, and its ends, go on
+    short = parts.select(
+        *keys, "part_no", F.contains(F.col(text), F.lit(literal)).alias("_inside"), ends.alias("_ends")
     )
-    tested = parts.select(*keys, text).unionByName(seams)
-    return tested.filter(match).select(*keys).distinct()
+    around = Window.partitionBy(*keys).orderBy("part_no").rowsBetween(-reach, Window.currentRow)
+    seam = F.array_join(F.collect_list("_ends").over(around), separator)
+    tested = short.select(*keys, (F.col("_inside") | F.contains(seam, F.lit(literal))).alias("_hit"))
+    return tested.filter("_hit").select(*keys).distinct()
+
+
+def keep_groups(df: DataFrame, groups: DataFrame, keys: list[str]) -> DataFrame:
+    return lookup_join(df, groups, keys, "left_semi")

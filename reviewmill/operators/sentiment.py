@@ -34,17 +34,13 @@ def count_class_words(
     ``unmatched='drop'`` forgets unknown words, ``'neutral'`` counts them as Neutral, and
     ``'keep'`` folds them into one row per group with a null class and word.
     """
+    # counting first leaves one row per distinct word for the join, and no hot rows
+    counts = tokens.groupBy(*keys, "word").agg(F.count("word").alias("n"), F.count(F.lit(1)).alias("rows"))
     if unmatched == "drop":
-        known = lookup_join(tokens.select(*keys, "word"), lexicon, ["word"])
-        return (
-            known.withColumn("sentiment", sign_class("polarity"))
-            .groupBy(*keys, "sentiment", "word")
-            .agg(F.count(F.lit(1)).alias("n"))
-        )
+        known = lookup_join(counts, lexicon, ["word"])
+        return known.select(*keys, sign_class("polarity").alias("sentiment"), "word", "n")
+    scored = lookup_join(counts, lexicon, ["word"], "left")
     if unmatched == "neutral":
-        # counting first leaves one row per distinct word for the join
-        counts = tokens.groupBy(*keys, "word").agg(F.count("word").alias("n"))
-        scored = lookup_join(counts, lexicon, ["word"], "left")
         return scored.select(
             *keys,
             sign_class(F.coalesce("polarity", F.lit(0))).alias("sentiment"),
@@ -52,12 +48,11 @@ def count_class_words(
             "n",
         )
     if unmatched == "keep":
-        found = lookup_join(tokens.select(*keys, "word"), lexicon, ["word"], "left")
         return (
-            found.withColumn("sentiment", sign_class("polarity"))
+            scored.withColumn("sentiment", sign_class("polarity"))
             .withColumn("word", F.when(F.col("polarity").isNotNull(), F.col("word")))
             .groupBy(*keys, "sentiment", "word")
-            .agg(F.count(F.lit(1)).alias("n"))
+            .agg(F.sum("rows").alias("n"))
         )
     raise ValueError(f"unmatched must be drop, neutral or keep, not {unmatched!r}")
 
@@ -164,11 +159,16 @@ def sentiment_by_token(
 
 def polarity_counts(tokens: DataFrame, lexicon: DataFrame, keys: list[str]) -> DataFrame:
     """Positive, negative and neutral occurrences of lexicon words per group."""
-    known = lookup_join(tokens.select(*keys, "word"), lexicon, ["word"])
+    counts = tokens.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
+    known = lookup_join(counts, lexicon, ["word"])
+
+    def total(hit: Column) -> Column:
+        return F.coalesce(F.sum(F.when(hit, F.col("n"))), F.lit(0))
+
     return known.groupBy(*keys).agg(
-        F.count_if(F.col("polarity") > 0).alias("positive_count"),
-        F.count_if(F.col("polarity") < 0).alias("negative_count"),
-        F.count_if(F.col("polarity") == 0).alias("neutral_count"),
+        total(F.col("polarity") > 0).alias("positive_count"),
+        total(F.col("polarity") < 0).alias("negative_count"),
+        total(F.col("polarity") == 0).alias("neutral_count"),
     )
 
 

@@ -18,12 +18,20 @@ HOT_KEYS = 10_000
 def fits_broadcast(
     small: DataFrame, rows: int = BROADCAST_ROWS, chars: int = BROADCAST_CHARS
 ) -> bool:
-    """Measure a lookup table: at most ``rows`` rows and ``chars`` characters of key text.
+    """Measure a lookup table: at most ``rows`` rows, and ``chars`` characters or bytes in
+    columns of no fixed width (nested ones as JSON).
 
-    The scan stops after ``rows + 1`` rows, so the check is cheap for any input size.
+    The scan stops after ``rows + 1`` rows, so the check is cheap for any input size. A local
+    table came from the driver and is only counted by the planner, without a job.
     """
-    text = [F.length(f.name) for f in small.schema.fields if f.dataType.typeName() == "string"]
-    size = sum((F.coalesce(c, F.lit(0)) for c in text), F.lit(0))
+    local = _local_rows(small)
+    if local is not None:
+        return local <= rows
+    kinds = {f.name: f.dataType.typeName() for f in small.schema.fields}
+    sized = [F.length(n) for n, kind in kinds.items() if kind in ("string", "binary")]
+    nested = [n for n, kind in kinds.items() if kind in ("array", "map", "struct")]
+    sized += [F.length(F.to_json(F.struct(n))) for n in nested]
+    size = sum((F.coalesce(c, F.lit(0)) for c in sized), F.lit(0))
     measured = small.limit(rows + 1).agg(
         F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(size), F.lit(0)).alias("c")
     )
@@ -31,10 +39,23 @@ def fits_broadcast(
     return n <= rows and c <= chars
 
 
+def _local_rows(df: DataFrame) -> int | None:
+    """Most rows of a plan over one local relation without a join; None for any other."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    leaves = plan.collectLeaves()
+    if leaves.size() != 1 or leaves.apply(0).getClass().getSimpleName() != "LocalRelation":
+        return None
+    if any(word in plan.toString() for word in ("Generate", "Expand")):
+        return None
+    return leaves.apply(0).data().size()
+
+
 def salted_join(
     left: DataFrame, right: DataFrame, on: list[str], how: str = "inner", salts: int = SALTS
 ) -> DataFrame:
-    """Equi-join that spreads every left key over ``salts`` tasks.
+    """Equi-join that spreads every left key over ``salts`` tasks, for sessions without
+    adaptive execution. The salt is a hash of the row, so rows should differ in some column:
+    count equal rows first.
 
     ``right`` must hold few rows per key (a lookup or a per-group table): it is copied once
     per salt. Supports inner, left, left_semi and left_anti.
@@ -74,9 +95,15 @@ def hot_key_join(
 def lookup_join(
     left: DataFrame, small: DataFrame, on: list[str], how: str = "inner", salts: int = SALTS
 ) -> DataFrame:
-    """Join against a lookup: broadcast when its measured size is bounded, salted otherwise."""
+    """Join against a lookup: broadcast when its measured size is bounded. Otherwise a shuffled
+    join, whose hot partitions adaptive execution splits on the left without copying the whole
+    lookup; where that is switched off, a salted one."""
     if fits_broadcast(small):
         return left.join(F.broadcast(small), on, how)
+    conf = left.sparkSession.conf
+    splits = ("spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled")
+    if all(conf.get(name) == "true" for name in splits):
+        return left.join(small, on, how)
     return salted_join(left, small, on, how, salts)
 
 

@@ -1,7 +1,8 @@
 """The composite jobs: reviews and word lists in, report tables out.
 
-All jobs are lazy. Filters on plain columns come first, so they reach the scan; text work
-starts on what is left.
+Filters on plain columns come first, so they reach the scan; text work starts on what is
+left. A job runs while a plan is built only where a table that is not local has to be
+measured before it may be broadcast, or an iteration written out.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from reviewmill.operators import tokens as tk
 from reviewmill.operators.keywords import first_rows
 from reviewmill.operators.profile import null_profile
 from reviewmill.operators.ranking import rank_cafes
-from reviewmill.operators.skew import cut_lineage, lookup_join, salted_join
+from reviewmill.operators.skew import cut_lineage, lookup_join
 from reviewmill.sources.crawl import flatten_crawl
 
 UNIVERSITY, SHOP, TEXT, ROW = "university_name", "shop_name", "review_text", "review_id"
@@ -63,21 +64,27 @@ def merge_shop_text(
 ) -> DataFrame:
     """Merged text per shop, in bounded parts (see ``operators.merging``).
 
-    ``level='review'`` drops reviews without the keyword before merging, ``'shop'`` keeps a
-    shop whole when its merged text has the keyword anywhere.
+    ``level='review'`` drops reviews without the keyword before merging. ``'shop'`` keeps a
+    shop whole: for a regular expression when one of its reviews matches, so ``^`` and ``$``
+    are the ends of a review; for a literal when it stands anywhere in the merged text, also
+    across reviews. Neither depends on how much text a shop has or how it is cut into parts.
     """
     if level not in ("review", "shop"):
         raise ValueError(f"level must be 'review' or 'shop', not {level!r}")
     groups = list(keys)
     source = reviews
-    if keyword is not None and level == "review":
-        source = source.filter(filters.keyword_match(text, keyword, regex))
+    if keyword is not None and (level == "review" or regex):
+        match = filters.keyword_match(text, keyword, regex)
+        if level == "review":
+            source = source.filter(match)
+        else:
+            shops = merging.groups_with_matching_row(source, groups, match)
+            source = merging.keep_groups(source, shops, groups)
     parts = merging.merge_text(source, groups, text, row_id, **bounds)
-    if keyword is None or level == "review":
+    if keyword is None or level == "review" or regex:
         return parts
-    match = filters.keyword_match("merged_text", keyword, regex)
-    matching = merging.groups_with_match(parts, groups, "merged_text", match)
-    return salted_join(parts, matching, groups, "left_semi")
+    shops = merging.groups_with_literal(parts, groups, "merged_text", keyword)
+    return merging.keep_groups(parts, shops, groups)
 
 
 def sentiment_report(
@@ -296,7 +303,7 @@ def merged_first_rows(
 ) -> DataFrame:
     """First row of each group next to the merged text of the group (one row per part)."""
     parts = merging.merge_text(df, keys, text, row_id, **bounds)
-    return salted_join(parts, first_rows(df.drop(text), keys, row_id), keys)
+    return lookup_join(parts, first_rows(df.drop(text), keys, row_id), keys)
 
 
 def cluster_texts(

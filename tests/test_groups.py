@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import random
-import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -46,19 +45,43 @@ def test_parts_hold_the_whole_text(frame, texts, bounds):
     assert (max(len(v) for v in got.values()) > 1) == bool(bounds)
 
 
-def test_match_across_parts(frame, texts):
+BOUNDS = [{}, {"slice_rows": 5, "part_chars": 60}, {"slice_rows": 2, "part_chars": 1}, {"slice_rows": 100, "part_chars": 7}]
+
+
+def _shops(frame, keyword, regex, **bounds):
+    kept = jobs.merge_shop_text(frame, "t", keyword, "shop", regex, keys=("shop_name",), **bounds)
+    return {r.shop_name for r in kept.select("shop_name").distinct().collect()}
+
+
+def test_literal_across_reviews_at_any_cut(frame, texts):
+    whole = {}
+    for _, _, shop, text in texts:
+        whole.setdefault(shop, []).append(text)
+    whole = {shop: " ".join(t) for shop, t in whole.items()}
     hot = [t for _, _, s, t in texts if s == "hot"]
-    whole = " ".join(hot)
-    bounds = {"slice_rows": 5, "part_chars": 60}
-    for left, right in zip(hot[20:40], hot[21:41], strict=True):
-        phrase = left[-3:] + " " + right[:4]
-        assert phrase in whole
-        kept = jobs.merge_shop_text(
-            frame, "t", re.escape(phrase), "shop", keys=("shop_name",), **bounds
-        )
-        assert "hot" in {r.shop_name for r in kept.select("shop_name").distinct().collect()}
-        if left == hot[22]:
-            break
+    for phrase in (hot[20][-3:] + " " + hot[21][:4], f"{hot[5]} {hot[6]} {hot[7]}", " ", "w1", "xx w", "none"):
+        want = {shop for shop, text in whole.items() if phrase in text}
+        for bounds in BOUNDS:
+            assert _shops(frame, phrase, False, **bounds) == want, (phrase, bounds)
+
+
+def test_regex_sees_one_review_at_any_cut(spark):
+    rows = [(1, "a", "alpha x"), (2, "a", "x beta"), (3, "b", "beta"), (4, "c", "alpha"), (5, "d", "alpha beta")]
+    frame = spark.createDataFrame(rows, "review_id long, shop_name string, t string")
+    for bounds in BOUNDS:
+        assert _shops(frame, "^beta", True, **bounds) == {"b"}
+        assert _shops(frame, "alpha$", True, **bounds) == {"c"}
+        assert _shops(frame, "alpha.*beta", True, **bounds) == {"d"}
+
+
+def test_parts_are_bounded_in_characters(spark):
+    rows = [(i, "s", "y" * size) for i, size in enumerate([5, 90_000, 5, 5, 120_000, 3] + [10] * 300)]
+    frame = spark.createDataFrame(rows, "review_id long, shop_name string, t string")
+    parts = {r.part_no: r.merged_text for r in merging.merge_text(frame, ["shop_name"], "t", "review_id", part_chars=1_000).collect()}
+    assert " ".join(parts[n] for n in sorted(parts)) == " ".join(t for _, _, t in rows)
+    longest = {max(map(len, p.split(" "))) for p in parts.values()}
+    assert longest == {90_000, 120_000, 10}
+    assert all(len(p) <= 1_000 + max(map(len, p.split(" "))) for p in parts.values())
 
 
 def test_first_rows(frame, texts):

@@ -124,6 +124,39 @@ def test_report_order(reviews, lexicon):
         assert shares == sorted(shares, reverse=not ascending)
 
 
+def test_hot_word_is_counted_before_the_join(spark, monkeypatch):
+    """One (shop, word) pair in nine rows of ten reaches a shuffled lookup as a single row."""
+    from reviewmill.operators import skew
+
+    monkeypatch.setattr(skew, "fits_broadcast", lambda small: False)
+    tokens = spark.range(20_000).selectExpr(
+        "IF(id % 10 > 0, 'hot', concat('s', id % 7)) AS shop_name",
+        "IF(id % 10 > 0, 'the', concat('w', id % 50)) AS word",
+    )
+    words = spark.createDataFrame([("the", 1), ("w0", -1)], "word string, polarity int")
+    seen = []
+    join = skew.lookup_join
+    monkeypatch.setattr(st, "lookup_join", lambda left, *rest: seen.append(left.count()) or join(left, *rest))
+    for unmatched in ("drop", "keep", "neutral"):
+        counts = st.count_class_words(tokens, words, ["shop_name"], unmatched)
+        hot = counts.filter("shop_name = 'hot' AND word = 'the'").first()
+        assert hot.n == 18_000
+    assert st.polarity_counts(tokens, words, ["shop_name"]).filter("shop_name = 'hot'").first()[1] == 18_000
+    assert max(seen) <= 1 + 7 * 50
+
+
+def test_reports_are_built_without_a_job(spark, reviews):
+    from reviewmill.session import local_table
+
+    words = local_table(spark, [("좋다", 1), ("나쁘다", -1)], "word string, polarity int")
+    context = spark.sparkContext
+    context.setJobGroup("plan-only", "no job may run")
+    for mode in ("token", "review", "merged"):
+        jobs.sentiment_report(reviews, "review_text", words, mode)
+    assert not context.statusTracker().getJobIdsForGroup("plan-only")
+    context.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_large_lexicon_uses_the_salted_join(reviews, lexicon, monkeypatch):
     from reviewmill.operators import skew
 
