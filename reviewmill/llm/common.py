@@ -44,14 +44,7 @@ def components(edges: DataFrame, left: str, right: str, name: str = "components"
         F.greatest(left, right).cast("long").alias("u"), F.least(left, right).cast("long").alias("v")
     )
     links = stored(links.filter("u > v").distinct(), name)
-    seen = None
-    while True:
-        state = links.agg(
-            F.count(F.lit(1)).alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("h")
-        ).first()
-        if (state.n, state.h) == seen or state.n == 0:
-            break
-        seen = (state.n, state.h)
+    while not _all_stars(links):
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         lowest = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.join(lowest, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -63,6 +56,14 @@ def components(edges: DataFrame, left: str, right: str, name: str = "components"
     return nodes.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def _all_stars(links: DataFrame) -> bool:
+    """Whether every left node has one right node, and no right node is a left one."""
+    ends = links.select(F.col("u").alias("node"), F.lit(1).alias("left"), F.lit(0).alias("right"))
+    ends = ends.unionByName(links.select(F.col("v").alias("node"), F.lit(0).alias("left"), F.lit(1).alias("right")))
+    seen = ends.groupBy("node").agg(F.sum("left").alias("left"), F.max("right").alias("right"))
+    return seen.filter((F.col("left") > 1) | ((F.col("left") == 1) & (F.col("right") == 1))).isEmpty()
+
+
 def with_running_sums(df: DataFrame, order: list[Column], sums: dict[str, str], name: str) -> DataFrame:
     """Add ``new = sum of the column over all rows before this one`` for ``new: column`` in
     ``sums``, and ``row_index`` from 0, in a global order of unique rows.

@@ -13,9 +13,9 @@ BANDS bands of ROWS coordinates make the candidates (a pair of similarity 0.8 me
 with probability 0.99993). Two bits of every coordinate rule out candidates that lie 5.5 standard
 deviations below the threshold (one in 10**7 of the rest); every link is verified on the whole runs. Copies (equal words) are
 one node. Groups are not paired up: a bucket offers its smallest node to the others first,
-and pairs within one component are never looked at again. What is left between components
-meets only where the distances to the smallest node allow a link (distance is a metric, so a
-pair within 0.2 differs by at most 0.2 in it).
+and pairs within one component are never looked at again. What is left between components is
+paired in buckets of at most PAIRED_NODES nodes; larger ones are compared as a whole in tiles
+of bounded size, which send only the links that connect components.
 
 Defined results: null counts as empty; all texts without a word are copies of each other;
 fewer than five words are one run; rows that share an id are one node; a row without an id is
@@ -28,6 +28,7 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,6 +40,10 @@ BANDS = 24
 ROWS = 5
 COORDINATES = BANDS * ROWS
 SIMILARITY = 0.8
+PAIRED_NODES = 50
+TILE_NODES = 1_500
+TILE_RUNS = 1_000_000
+TILE_COLUMNS = 4_096
 CHUNK_WORDS = 150_000
 CHUNK_DOCS = 256
 
@@ -278,12 +283,11 @@ def near_duplicates(
     runs = stored(
         texts.join(wanted, "node", "left_semi").mapInArrow(_tagged_runs, RUNS).dropDuplicates(["node"]), "dart-runs"
     )
-    links = _links(members, runs, similarity)
-    reached = components(links, "a", "b", "dart-components")
+    reached = _linked_nodes(members, runs, similarity)
     rows = sketched.select("doc_id", "digest").join(
         classes.select("digest", F.col("node").alias("copy_of")), "digest"
     )
-    found = rows.join(reached, rows.copy_of == reached.node, "left")
+    found = rows.join(reached, rows.copy_of == reached.of, "left")
     class_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "copy_of"))
     return found.select(
         "doc_id",
@@ -293,8 +297,8 @@ def near_duplicates(
     )
 
 
-def _links(members: DataFrame, runs: DataFrame, similarity: float) -> DataFrame:
-    """Verified pairs ``a, b`` that connect all nodes which any candidate link connects."""
+def _linked_nodes(members: DataFrame, runs: DataFrame, similarity: float) -> DataFrame:
+    """``of, component`` of all nodes that have a verified link."""
     star = stored(
         members.filter((F.col("node") != F.col("pivot")) & _may_link("", "_pivot", similarity))
         .groupBy(F.col("pivot").alias("a"), F.col("node").alias("b"))
@@ -310,41 +314,106 @@ def _links(members: DataFrame, runs: DataFrame, similarity: float) -> DataFrame:
     label = _labels(linked)
     rest = _apart(star.join(tested, ["a", "b"], "left_anti"), label)
     more = _verified(rest, runs, "dart-rest")
-    tested, linked = tested.unionByName(more), linked.unionByName(more.filter(F.col("similarity") >= similarity))
+    new = more.filter(F.col("similarity") >= similarity)
+    tested, linked = tested.unionByName(more), linked.unionByName(new)
+    if not new.isEmpty():
+        label = _labels(linked)
 
     # last the pairs without a pivot, in buckets that still hold several components
-    label = _labels(linked)
     labelled = members.join(label, members.node == label.of, "left").select(
         "bucket", "node", "weight", *BITS, "pivot", F.coalesce("component", "node").alias("component")
     )
     mixed = labelled.groupBy("bucket").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("n")
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.count(F.lit(1)).alias("n"),
+        F.sum("weight").alias("runs_in_all"),
     )
-    several = mixed.filter("low < high AND n > 2").select("bucket")
-    left_over = stored(labelled.join(several, "bucket", "left_semi").filter("node != pivot"), "dart-left")
-    spokes = left_over.select(F.col("pivot").alias("a"), F.col("node").alias("b")).distinct()
-    measured = _verified(spokes.join(tested, ["a", "b"], "left_anti"), runs, "dart-spokes")
-    distances = tested.unionByName(measured).select(
-        F.col("a").alias("pivot"), F.col("b").alias("node"), (1 - F.col("similarity")).alias("distance")
+    several = mixed.filter("low < high AND n > 2").select(
+        "bucket", "n", F.greatest(F.ceil(F.col("n") / TILE_NODES), F.ceil(F.col("runs_in_all") / TILE_RUNS)).alias("blocks")
     )
-    placed = left_over.join(distances, ["pivot", "node"])
-    ends = ("node", "weight", "component", "distance", *BITS)
-    x = placed.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ends])
-    y = placed.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ends])
+    left_over = stored(labelled.join(several, "bucket"), "dart-left")
+    few = left_over.filter((F.col("n") <= PAIRED_NODES) & (F.col("node") != F.col("pivot")))
+    ends = ("node", "weight", "component", *BITS)
+    x = few.select("bucket", *[F.col(c).alias(f"{c}_a") for c in ends])
+    y = few.select("bucket", *[F.col(c).alias(f"{c}_b") for c in ends])
     possible = (
-        (x.node_a < y.node_b)
-        & (x.component_a != y.component_b)
-        & _may_link("_a", "_b", similarity)
-        & (F.abs(x.distance_a - y.distance_b) <= 1 - similarity + 1e-9)
+        (x.node_a < y.node_b) & (x.component_a != y.component_b) & _may_link("_a", "_b", similarity)
     )
     pairs = x.join(y, (x.bucket == y.bucket) & possible).select(
         F.col("node_a").alias("a"), F.col("node_b").alias("b")
     )
     pairs = pairs.distinct().join(tested, ["a", "b"], "left_anti")
-    last = _verified(pairs, runs, "dart-last")
-    found = linked.unionByName(last.filter(F.col("similarity") >= similarity)).select("a", "b")
-    hidden = measured.filter(F.col("similarity") >= similarity).select("a", "b")
-    return found.unionByName(hidden)
+    last = _verified(pairs, runs, "dart-last").filter(F.col("similarity") >= similarity).select("a", "b")
+    many = _tiled(left_over.filter(F.col("n") > PAIRED_NODES), runs, similarity)
+    new = stored(last.unionByName(many), "dart-new")
+    if new.isEmpty():
+        return label
+    return _labels(linked.select("a", "b").unionByName(new))
+
+
+def _tiled(left_over: DataFrame, runs: DataFrame, similarity: float) -> DataFrame:
+    """Links ``a, b`` between components inside large buckets, as a spanning forest per tile.
+
+    A bucket is cut into blocks of bounded nodes and runs, and every two blocks make a tile.
+    No pair leaves a task: the runs that several nodes of the tile share make an incidence
+    matrix, whose product with itself is all intersections at once.
+    """
+    blocks = left_over.withColumn("block", F.pmod(F.xxhash64("node"), "blocks"))
+    spread = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tiles = spread.select(
+        "bucket", "node", "component", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
+    )
+
+    def tile(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("node", ignore_index=True)
+        links = tile_links(rows["runs"].tolist(), rows["component"].to_numpy(), similarity)
+        nodes = rows["node"].to_numpy()
+        return pd.DataFrame([(nodes[i], nodes[j]) for i, j in links], columns=["a", "b"])
+
+    joined = tiles.join(runs, "node")
+    return joined.groupBy("bucket", "low", "high").applyInPandas(tile, "a long, b long").distinct()
+
+
+def tile_links(sets: list[np.ndarray], component: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """Links that connect the components of some sets of runs, few enough to span them.
+
+    Only rows outside the most common component are multiplied, with all rows.
+    """
+    names, label, counts = np.unique(component, return_inverse=True, return_counts=True)
+    if len(names) < 2:
+        return []
+    asked = np.flatnonzero(label != counts.argmax())
+    sizes = np.array([len(s) for s in sets], np.float64)
+    owner = np.repeat(np.arange(len(sets)), sizes.astype(np.int64))
+    _, column, uses = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.cumsum(uses > 1) - 1
+    wanted = uses[column] > 1
+    owner, column = owner[wanted], shared[column[wanted]]
+    order = np.argsort(column, kind="stable")
+    owner, column = owner[order], column[order]
+    common = np.zeros((len(asked), len(sets)), np.float32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, TILE_COLUMNS):
+        part = slice(*np.searchsorted(column, [first, first + TILE_COLUMNS]))
+        matrix = np.zeros((len(sets), TILE_COLUMNS), np.float32)
+        matrix[owner[part], column[part] - first] = 1
+        common += matrix[asked] @ matrix.T
+    alike = common >= similarity * (sizes[asked][:, None] + sizes[None, :] - common) - 1e-9
+    parent = list(range(len(names)))
+
+    def root(i: int) -> int:
+        while parent[i] != i:
+            parent[i] = i = parent[parent[i]]
+        return i
+
+    links = []
+    for row, j in zip(*np.nonzero(alike & (label[asked][:, None] != label[None, :])), strict=True):
+        i = asked[row]
+        x, y = root(label[i]), root(label[j])
+        if x != y:
+            parent[x] = y
+            links.append((int(min(i, j)), int(max(i, j))))
+    return links
 
 
 def _labels(links: DataFrame) -> DataFrame:

@@ -84,8 +84,39 @@ def test_classes_against_all_pairs(spark, seed):
     assert docs.columns == dm.kept_documents(docs).columns
 
 
-def test_links_that_miss_the_pivot(spark):
+def test_tile_links_span_the_components():
+    draw = np.random.default_rng(4)
+    for _ in range(20):
+        base = draw.integers(0, 2**62, 60)
+        sets = [np.unique(np.where(draw.random(60) < 0.12, draw.integers(0, 2**62, 60), base)) for _ in range(40)]
+        component = draw.integers(0, 15, 40)
+        links = dm.tile_links(sets, component, 0.8)
+        parent = {int(c): int(c) for c in component}
+
+        def find(c, parent=parent):
+            while parent[c] != c:
+                c = parent[c]
+            return c
+
+        want = dict(parent)
+        for i in range(40):
+            for j in range(i):
+                shared = len(np.intersect1d(sets[i], sets[j]))
+                if shared >= 0.8 * (len(sets[i]) + len(sets[j]) - shared) and component[i] != component[j]:
+                    x, y = sorted((find(int(component[i]), want), find(int(component[j]), want)))
+                    want[y] = x
+        for i, j in links:
+            x, y = sorted((find(int(component[i])), find(int(component[j]))))
+            assert x != y
+            parent[y] = x
+        assert [find(c) for c in parent] == [find(c, want) for c in want]
+
+
+@pytest.mark.parametrize("limits", [{}, {"PAIRED_NODES": 2}, {"PAIRED_NODES": 2, "TILE_NODES": 4}])
+def test_links_that_miss_the_pivot(spark, monkeypatch, limits):
     """A chain: neighbours are alike, the ends are not, so one star cannot hold it."""
+    for name, value in limits.items():
+        monkeypatch.setattr(dm, name, value)
     words = [f"w{i}" for i in range(400)]
     rows = [(100 - i, " ".join(words[6 * i : 6 * i + 200])) for i in range(20)]
     got = dm.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
