@@ -101,10 +101,10 @@ def centroid_outliers(spark, sf_dir):
     )
 
 
-def _dbscan_sql(eps: float) -> str:
+def _dbscan_sql(eps: float, vectors: str = "embeddings", before: str = "") -> str:
     return f"""
-WITH RECURSIVE unit AS (
-  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+WITH RECURSIVE {before} unit AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM {vectors}),
 near AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM unit a, unit b
   WHERE a.vec_id = b.vec_id OR 1 - list_cosine_similarity(a.v, b.v) <= {eps}),
@@ -121,7 +121,7 @@ border AS (
   WHERE a NOT IN (SELECT id FROM core) GROUP BY a)
 SELECT vec_id, CAST(coalesce(n.cluster, b.cluster, -1) AS BIGINT) AS cluster,
        n.cluster IS NOT NULL AS is_core
-FROM embeddings LEFT JOIN numbered n ON n.id = vec_id LEFT JOIN border b ON b.id = vec_id"""
+FROM {vectors} LEFT JOIN numbered n ON n.id = vec_id LEFT JOIN border b ON b.id = vec_id"""
 
 
 @register("dbscan_cosine", _dbscan_sql(0.68))
@@ -129,16 +129,7 @@ def dbscan_cosine(spark, sf_dir):
     return density.dbscan(inp.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 0.68, 5)
 
 
-@register(
-    "dbscan_default_radius",
-    """
-WITH near AS (
-  SELECT a.vec_id AS a, count(*) AS n FROM embeddings a JOIN embeddings b
-  ON a.vec_id = b.vec_id OR 1 - list_cosine_similarity(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) <= 1.0
-  GROUP BY a.vec_id)
-SELECT a AS vec_id, CAST(CASE WHEN n >= 5 THEN 0 ELSE -1 END AS BIGINT) AS cluster, n >= 5 AS is_core
-FROM near""",
-)
+@register("dbscan_default_radius", _dbscan_sql(1.0))
 def dbscan_default_radius(spark, sf_dir):
     return density.dbscan(inp.table(spark, sf_dir, "embeddings"), "vec_id", "embedding", 1.0, 5)
 
@@ -156,11 +147,63 @@ def neighbour_counts(spark, sf_dir):
     )
 
 
-@register("embed_texts")
+def _hashed_sql(dimensions: int) -> str:
+    return f"""
+reviews AS ({inp.REVIEWS_SQL.removeprefix("reviews AS (")[:-1]}),
+words AS (
+  SELECT review_id, unnest(regexp_extract_all(coalesce(review_text, ''), '[^ \\t\\n\\v\\f\\r]+')) AS w FROM reviews),
+places AS (
+  SELECT review_id, ('0x' || substr(md5(w), 1, 8))::BIGINT % {dimensions} AS place, count(*) AS n FROM words GROUP BY ALL),
+shares AS (
+  SELECT review_id, place, n / sqrt(sum(n * n) OVER (PARTITION BY review_id)) AS value FROM places),
+hashed AS (
+  SELECT review_id AS vec_id,
+         (SELECT list(coalesce(value, 0)::FLOAT ORDER BY i) FROM range({dimensions}) AS r(i)
+          LEFT JOIN shares ON shares.place = i AND shares.review_id = reviews.review_id) AS embedding
+  FROM reviews)"""
+
+
+@register(
+    "embed_texts",
+    f"""WITH {_hashed_sql(64)}
+SELECT review_id, place AS dimension, round(value::FLOAT::DOUBLE, 5) AS value FROM shares""",
+)
 def embed_texts(spark, sf_dir):
-    return embedding.embed_hashing(inp.reviews(spark, sf_dir), "review_text", "review_id", 64)
+    """The non-zero coordinates of the hashed text vectors."""
+    vectors = embedding.embed_hashing(inp.reviews(spark, sf_dir), "review_text", "review_id", 64)
+    long = vectors.select("review_id", F.posexplode("embedding").alias("dimension", "value"))
+    return long.filter("value <> 0").select(
+        "review_id",
+        F.col("dimension").cast("long").alias("dimension"),
+        F.round(F.col("value").cast("double"), 5).alias("value"),
+    )
 
 
-@register("cluster_texts")
+@register(
+    "cluster_texts",
+    _dbscan_sql(0.5, "hashed", _hashed_sql(256) + ",").replace("SELECT vec_id, CAST(coalesce", "SELECT vec_id AS review_id, CAST(coalesce"),
+)
 def cluster_texts(spark, sf_dir):
     return jobs.cluster_texts(inp.reviews(spark, sf_dir), eps=0.5)
+
+
+@register(
+    "encoded_batches",
+    """SELECT vec_id AS id, len(embedding) AS n_values, round(list_sum(embedding), 3) AS total
+FROM (SELECT review_id AS vec_id, [length(review_text)::DOUBLE, 1.0] AS embedding
+      FROM (SELECT doc_id AS review_id, coalesce("text", '') AS review_text FROM documents))""",
+)
+def encoded_batches(spark, sf_dir):
+    """A batch encoder loaded once per task, here one that measures the text."""
+    import numpy as np
+
+    def load():
+        return lambda texts: np.array([[len(t), 1] for t in texts])
+
+    found = embedding.embed_batches(inp.reviews(spark, sf_dir), "review_text", "review_id", load)
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
+    return found.select(
+        F.col("review_id").alias("id"),
+        F.size("embedding").cast("long").alias("n_values"),
+        F.round(total, 3).alias("total"),
+    )

@@ -203,3 +203,30 @@ def udf_map_reduce(spark, sf_dir):
         inp.reviews(spark, sf_dir).select("shop_name", "review_text"), measure, schema
     )
     return hooks.combine_by_key(pairs, ["shop_name"], total, schema)
+
+
+@register(
+    "io_partitioned",
+    f"""WITH {inp.REVIEWS_SQL}
+SELECT university_name, count(*) AS n, sum(n_chars)::BIGINT AS chars FROM reviews GROUP BY ALL""",
+)
+def io_partitioned(spark, sf_dir):
+    """One folder per university, read back as a table."""
+    path = scratch_path(spark, "by-university")
+    rows = inp.reviews(spark, sf_dir).select("review_id", "university_name", "n_chars")
+    writers.write_partitioned(rows, path, ["university_name"])
+    return spark.read.parquet(path).groupBy("university_name").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("n_chars").alias("chars")
+    )
+
+
+@register(
+    "io_single_file",
+    f"""WITH {inp.REVIEWS_SQL} SELECT review_id, n_chars, 1 AS files FROM reviews""",
+)
+def io_single_file(spark, sf_dir):
+    path = scratch_path(spark, "one-file")
+    writers.write_csv(inp.reviews(spark, sf_dir).select("review_id", "n_chars"), path, single_file=True)
+    back = spark.read.option("header", True).schema("review_id long, n_chars long").csv(path)
+    files = back.select(F.col("_metadata.file_path").alias("f")).distinct().count()
+    return back.select("review_id", "n_chars", F.lit(files).alias("files"))

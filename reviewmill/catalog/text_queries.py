@@ -624,3 +624,45 @@ def flatten_crawl(spark, sf_dir):
     return crawl.flatten_crawl(shops).withColumn(
         "shop_avg_rating", F.col("shop_avg_rating").cast("double")
     )
+
+
+@register(
+    "blank_reviews_skipped",
+    f"""WITH {inp.REVIEWS_SQL}
+SELECT review_id FROM reviews WHERE review_id % 3 <> 0 AND trim(review_text) <> ''""",
+)
+def blank_reviews_skipped(spark, sf_dir):
+    """Reviews that are null or white space only don't reach a report."""
+    blanked = inp.reviews(spark, sf_dir).withColumn(
+        "review_text", F.when(F.col("review_id") % 3 != 0, F.col("review_text")).otherwise(" \t")
+    )
+    return filters.not_blank(blanked, "review_text").select("review_id")
+
+
+@register(
+    "nonzero_scores",
+    f"""WITH {inp.REVIEWS_SQL}
+SELECT review_id, CAST(n_chars % 3 AS DOUBLE) - 1 AS sent_score FROM reviews WHERE n_chars % 3 <> 1""",
+)
+def nonzero_scores(spark, sf_dir):
+    scored = inp.reviews(spark, sf_dir).select(
+        "review_id", ((F.col("n_chars") % 3).cast("double") - 1).alias("sent_score")
+    )
+    return filters.non_zero(scored)
+
+
+@register(
+    "first_items_and_lookups",
+    f"""WITH {inp.REVIEWS_SQL},
+words AS (SELECT review_id, string_split(review_text, ' ') AS w, university_name AS u FROM reviews)
+SELECT review_id, array_to_string(w[1:3], ' ') AS head, CASE WHEN u = 'en' THEN len(w) ELSE -1 END AS n_en FROM words""",
+)
+def first_items_and_lookups(spark, sf_dir):
+    """The first items of a list, and a map entry with a default."""
+    words = inp.reviews(spark, sf_dir).withColumn("w", tx.split_space("review_text"))
+    by_language = F.create_map(F.col("university_name"), F.size("w").cast("long"))
+    return words.select(
+        "review_id",
+        F.array_join(tx.first_items("w", 3), " ").alias("head"),
+        tx.map_get(by_language, "en", -1).alias("n_en"),
+    )

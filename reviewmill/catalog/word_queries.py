@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from reviewmill.catalog import inputs as inp
 from reviewmill.catalog import sql_parts as sq
 from reviewmill.catalog.registry import register
-from reviewmill.functions.constants import RANKING_CATEGORIES
+from reviewmill.functions.constants import CUSTOM_STOP_WORDS, RANKING_CATEGORIES
 from reviewmill.operators import tokens as tk
 from reviewmill.operators import words as wd
 from reviewmill.operators.ranking import rank_cafes
@@ -119,6 +119,23 @@ def top_words_university(spark, sf_dir):
     return _top_words(spark, sf_dir)
 
 
+@register(
+    "top_words_custom_stop",
+    f"""{_NOUNS},
+fewer AS (
+  SELECT *, row_number() OVER (PARTITION BY university_name ORDER BY n DESC, word) AS rank_no FROM counts
+  WHERE word NOT IN ({", ".join(inp.quoted(w) for w in [*CUSTOM_STOP_WORDS, "this", "le"])}))
+SELECT university_name, word, n, CAST(rank_no AS INTEGER) AS rank FROM fewer WHERE rank_no <= 20""",
+)
+def top_words_custom_stop(spark, sf_dir):
+    """The report's rerun: its extra stop words on top of the given ones."""
+    extra = readers.word_list(spark, [*CUSTOM_STOP_WORDS, "this", "le"])
+    stop = readers.join_word_lists(_stop(spark), extra)
+    return jobs.top_words_by_university(
+        inp.reviews(spark, sf_dir), inp.dictionary(spark), stop, 20, default_pos="Noun"
+    )
+
+
 @register("vocabulary", f"{_NOUNS} SELECT DISTINCT word FROM top WHERE rk <= 10")
 def vocabulary(spark, sf_dir):
     return wd.vocabulary(_top_words(spark, sf_dir, 10))

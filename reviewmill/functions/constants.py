@@ -50,8 +50,6 @@ REVIEW_COLUMNS_KO = [
 # --- fixed values: defaults for missing fields -----------------------------
 NO_REVIEW = "리뷰 없음"
 NO_TAGS = "태그 없음"
-NO_RATING = "평점 없음"
-NO_VISITS = "방문 정보 없음"
 HEADER_MARK = "대학교 이름"
 
 # --- fixed values: ordered tag phrase replacements (order matters) ---------

@@ -56,14 +56,6 @@ def split_pipe(c: Column | str) -> Column:
     return F.split(_col(c), "[|]")
 
 
-SPLITTERS = {
-    "space": split_space,
-    "whitespace": split_whitespace,
-    "delimiters": split_delimiters,
-    "pipe": split_pipe,
-}
-
-
 def word_tokens(c: Column | str) -> Column:
     """Cut text into letter runs, digit runs and punctuation runs, in order."""
     return F.regexp_extract_all(

@@ -6,8 +6,6 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.feature import HashingTF, Normalizer
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,13 +17,32 @@ Encoder = Callable[[list[str]], np.ndarray]
 def embed_hashing(
     df: DataFrame, text: str, row_id: str, dimensions: int = 256, output: str = "embedding"
 ) -> DataFrame:
-    """Unit-length hashed term frequencies; missing text is embedded as empty."""
+    """Unit-length hashed term frequencies; missing text is embedded as empty.
+
+    A token's place is its MD5 modulo ``dimensions``, which any engine can compute. Tokens of
+    a row are counted in the task that reads it, so at most ``dimensions`` counts per row are
+    shuffled. ``row_id`` is unique.
+    """
     tokens = df.select(
-        F.col(row_id), tx.split_whitespace(F.coalesce(text, F.lit(""))).alias("_tokens")
+        F.col(row_id),
+        F.explode_outer(tx.split_whitespace(F.coalesce(text, F.lit("")))).alias("_token"),
+    )
+    hashed = F.conv(F.substring(F.md5("_token"), 1, 8), 16, 10).cast("long") % dimensions
+    counts = tokens.groupBy(row_id, hashed.cast("int").alias("_place")).agg(F.count("_token").alias("_n"))
+    filled = counts.groupBy(row_id).agg(
+        F.map_from_entries(
+            F.collect_list(F.when(F.col("_n") > 0, F.struct("_place", F.col("_n").cast("double"))))
+        ).alias("_counts"),
+        F.sqrt(F.sum(F.col("_n") * F.col("_n"))).alias("_length"),
+    )
+    places = F.sequence(F.lit(0), F.lit(dimensions - 1))
+    unit = F.transform(
+        places,
+        lambda i: (
+            F.coalesce(F.try_element_at("_counts", i), F.lit(0.0)) / F.greatest("_length", F.lit(1.0))
+        ).cast("float"),
     )
-    counted = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=dimensions).transform(tokens)
-    unit = Normalizer(inputCol="_tf", outputCol="_unit", p=2.0).transform(counted)
-    return unit.select(row_id, vector_to_array("_unit", "float32").alias(output))
+    return filled.select(row_id, unit.alias(output))
 
 
 def embed_batches(

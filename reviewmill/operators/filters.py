@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from reviewmill.functions import text as tx
 from reviewmill.functions.constants import HEADER_MARK
 
+BYTE_ORDER_MARK = "\ufeff"
+
 
 def of_university(df: DataFrame, name: str, column: str = "university_name") -> DataFrame:
     return df.filter(F.col(column) == name)
@@ -23,8 +25,8 @@ def without_header(
     df: DataFrame, column: str = "university_name", mark: str = HEADER_MARK
 ) -> DataFrame:
     """Drop header rows that were read as data, with or without a byte-order mark."""
-    value = F.regexp_replace(F.col(column), "^﻿", "")
-    return df.filter(value.isNull() | (value != mark))
+    value = F.col(column)
+    return df.filter(value.isNull() | ~value.isin(mark, BYTE_ORDER_MARK + mark))
 
 
 def with_emoji(df: DataFrame, column: str) -> DataFrame:

@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewmill.operators.skew import fits_broadcast
+
 
 def top_k(
     df: DataFrame, keys: list[str], order: list[Column], k: int, rank: str = "rank"
@@ -27,8 +29,16 @@ def ranked_list(value: str, condition: Column, rank: str = "rank") -> Column:
 
 
 def first_rows(df: DataFrame, keys: list[str], order: str) -> DataFrame:
-    """First row of every key by ``order``. An aggregate rather than a window, so copies of
-    one hot key are reduced in each task before the shuffle."""
-    rest = [c for c in df.columns if c not in keys]
-    first = df.groupBy(*keys).agg(F.min_by(F.struct(*rest), F.col(order)).alias("_row"))
-    return first.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in rest]).select(*df.columns)
+    """First row of every key by ``order``, which is unique within a key.
+
+    Only keys and smallest order values are aggregated; the rows are found again by a semi
+    join on both, so a hot key is neither sorted nor gathered. Null keys are keys of their own.
+    """
+    # every key has a row: one whose order values are all null is found by a null
+    firsts = df.groupBy(*keys).agg(F.min(order).alias("_first"))
+    renamed = firsts.select(*[F.col(k).alias(f"_key_{i}") for i, k in enumerate(keys)], "_first")
+    same = df[order].eqNullSafe(renamed["_first"])
+    for i, key in enumerate(keys):
+        same = same & df[key].eqNullSafe(renamed[f"_key_{i}"])
+    small = F.broadcast(renamed) if fits_broadcast(renamed) else renamed
+    return df.join(small, same, "left_semi")

@@ -69,19 +69,6 @@ def class_totals(counts: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def class_keywords(counts: DataFrame, keys: list[str], k: int, separator: str = ", ") -> DataFrame:
-    """Top-k words of every class, joined into one text column per class."""
-    ranked = top_words(counts.filter("sentiment IS NOT NULL"), [*keys, "sentiment"], k)
-    return ranked.groupBy(*keys).agg(
-        *[
-            F.array_join(ranked_list("word", F.col("sentiment") == name), separator).alias(
-                f"top_{name.lower()}"
-            )
-            for name in CLASSES
-        ]
-    )
-
-
 def percentages(digits: int | None = None) -> list[Column]:
     """Percentage columns over the columns of ``class_totals``."""
     return [
@@ -186,24 +173,6 @@ def _class_counts() -> list[Column]:
     return [F.count_if(F.col("sentiment") == name).alias(name.lower()) for name in CLASSES]
 
 
-def review_classes(
-    df: DataFrame,
-    text: str,
-    row_id: str,
-    lexicon: DataFrame,
-    keep: list[str] | None = None,
-    splitter: str = "whitespace",
-    tie: str = "reference",
-) -> DataFrame:
-    """Dominant class of every review. Tokens of one review sit in one task, so only one
-    row of counts per review is shuffled."""
-    keys = [row_id, *(keep or [])]
-    counts = _scored_tokens(df, text, keys, lexicon, splitter).groupBy(*keys).agg(*_class_counts())
-    return counts.withColumn(
-        "sentiment", dominant_class("positive", "negative", "neutral", tie)
-    )
-
-
 def sentiment_by_review(
     df: DataFrame,
     text: str,

@@ -108,8 +108,9 @@ def lookup_join(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only for local masters."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared checkpoint folder: the setting, or else the folder the context was
+    given; a temporary one only for a local master that has neither."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):

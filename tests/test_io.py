@@ -84,13 +84,11 @@ def test_materialize_replaces_interrupted_output(spark, tmp_path):
     assert writers.materialize(spark.range(9), str(path)).count() == 3
 
 
-def test_single_file_and_limit(spark, tmp_path, monkeypatch):
+def test_single_file(spark, tmp_path):
     path = tmp_path / "one"
     writers.write_csv(spark.range(100).repartition(4), str(path), single_file=True)
     assert len([p for p in path.iterdir() if p.name.startswith("part")]) == 1
-    monkeypatch.setattr(writers, "SINGLE_FILE_ROWS", 10)
-    with pytest.raises(ValueError):
-        writers.write_csv(spark.range(100), str(path), single_file=True)
+    assert spark.read.option("header", True).csv(str(path)).count() == 100
 
 
 def test_safe_name():
