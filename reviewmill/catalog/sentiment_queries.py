@@ -311,6 +311,7 @@ def _scored(spark, sf_dir):
         lexicon,
         inp.dictionary(spark),
         clean=F.col,
+        with_text=False,
         default_pos="Noun",
     )
 

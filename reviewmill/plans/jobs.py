@@ -266,20 +266,31 @@ def review_scores(
     row_id: str = ROW,
     clean: Callable[[str], Column] = tx.hangul_only,
     default_pos: str = "Unknown",
+    with_text: bool = True,
 ) -> DataFrame:
     """Reviews with noun, adjective and lemma columns and their mean polarity; reviews that
-    score 0 are dropped, the others get their class."""
+    score 0 are dropped, the others get their class.
+
+    The texts are read once. Short columns of a review travel with its tokens; only the text
+    itself is joined back, to the reviews that stay, unless ``with_text`` is off.
+    """
+    short = [c for c in reviews.columns if c not in (row_id, text)]
     cleaned = reviews.withColumn("_clean", F.coalesce(clean(text), F.lit("")))
-    tokens = tk.tag_tokens(cleaned, "_clean", [row_id], dictionary, default_pos)
+    tokens = tk.tag_tokens(cleaned, "_clean", [row_id, *short], dictionary, default_pos)
     tokens = lookup_join(tokens.withColumn("word", tk.lemma_column()), lexicon, ["word"], "left")
     columns = {
         "nouns": F.when(F.col("pos") == "Noun", F.col("lemma")),
         "adjectives": F.when(F.col("pos") == "Adjective", F.col("lemma")),
         "words": F.col("word"),
     }
-    scored = tk.regroup(tokens, [row_id], columns, extra=[st.mean_polarity().alias("sent_score")])
-    joined = reviews.join(scored, row_id)
-    return filters.non_zero(joined).withColumn("sentiment", sign_class_ko("sent_score"))
+    scored = tk.regroup(
+        tokens, [row_id, *short], columns, extra=[st.mean_polarity().alias("sent_score")]
+    )
+    scored = filters.non_zero(scored).withColumn("sentiment", sign_class_ko("sent_score"))
+    if not with_text:
+        return scored
+    added = ["nouns", "adjectives", "words", "sent_score", "sentiment"]
+    return reviews.select(row_id, text).join(scored, row_id).select(*reviews.columns, *added)
 
 
 def clean_reviews(raw: DataFrame) -> DataFrame:
