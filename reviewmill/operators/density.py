@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill.operators.skew import cut_lineage, hot_key_join
@@ -367,10 +367,19 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
 
 def _numbered(roots: DataFrame) -> DataFrame:
-    """``root, cluster``: clusters numbered from 0 by their smallest core id."""
-    ordered = roots.select("root").distinct().sort("root")
-    pairs = ordered.rdd.map(lambda r: r[0]).zipWithIndex()
-    return roots.sparkSession.createDataFrame(pairs, "root long, cluster long")
+    """``root, cluster``: clusters numbered from 0 by their smallest core id.
+
+    Roots are range-sorted into partitions and written; only one count per partition meets in
+    a single task.
+    """
+    ordered = roots.select("root").distinct().repartitionByRange("root")
+    parts = cut_lineage(ordered.withColumn("part", F.spark_partition_id()))
+    earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = parts.groupBy("part").count().select(
+        "part", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("before")
+    )
+    inside = F.row_number().over(Window.partitionBy("part").orderBy("root"))
+    return parts.join(before, "part").select("root", (F.col("before") + inside - 1).alias("cluster"))
 
 
 def neighbour_counts(

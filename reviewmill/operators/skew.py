@@ -1,7 +1,9 @@
-"""Joins and checkpoints that stay balanced when one key holds a third of all rows."""
+"""Joins that stay balanced when one key holds a third of all rows, and scratch tables."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -124,6 +126,7 @@ _LOCAL_FOLDER: list[str] = []
 def _local_folder() -> str:
     if not _LOCAL_FOLDER:
         _LOCAL_FOLDER.append(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
+        atexit.register(shutil.rmtree, _LOCAL_FOLDER[0], ignore_errors=True)
     return _LOCAL_FOLDER[0]
 
 
@@ -133,9 +136,8 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the shared folder: survives the loss of any executor."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
-    return df.checkpoint(eager=True)
+    """Write ``df`` to the shared folder and read it back: survives the loss of any executor,
+    computes the plan once (a checkpoint computes it twice) and keeps columns prunable."""
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
