@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.operators.skew import scratch_path
 
+HOT_SHARE = 1_000
 SPACE = r"[\x20\x09-\x0D]"
 
 
@@ -56,6 +57,19 @@ def components(edges: DataFrame, left: str, right: str, name: str = "components"
     return nodes.unionByName(links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())
 
 
+def join_classes(rows: DataFrame, classes: DataFrame, total: int, key: str = "digest") -> DataFrame:
+    """Inner join of ``rows`` with one row per key that knows its number of rows (``copies``).
+
+    Keys that hold more than one in HOT_SHARE of all ``total`` rows are met by a broadcast of at
+    most HOT_SHARE classes, so they stay spread; the rest is an ordinary join.
+    """
+    is_hot = F.col("copies") * HOT_SHARE > total
+    hot = F.broadcast(classes.filter(is_hot))
+    often = rows.join(hot, key)
+    seldom = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(classes.filter(~is_hot), key)
+    return often.unionByName(seldom)
+
+
 def _all_stars(links: DataFrame) -> bool:
     """Whether every left node has one right node, and no right node is a left one."""
     ends = links.select(F.col("u").alias("node"), F.lit(1).alias("left"), F.lit(0).alias("right"))

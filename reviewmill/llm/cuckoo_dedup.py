@@ -23,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import normal_text, stored
+from reviewmill.llm.common import join_classes, normal_text, stored
 
 SLOTS = 4
 FINGERPRINT_BITS = 16
@@ -31,7 +31,6 @@ MAX_KICKS = 500
 FIRST_BUCKETS = 64
 SHARD_ROWS = 500_000
 SALTS = 8
-HOT_SHARE = 1_000
 NO_ID = (1 << 63) - 1
 
 ENTRIES = (
@@ -189,29 +188,19 @@ def digest_rows(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
 
 
 def dedup(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows ``doc_id, keep_id, group_size, kept, text_sha256``, one per document.
-
-    Rows of the few digests that hold more than one in HOT_SHARE of all rows meet their entry
-    by a broadcast of at most HOT_SHARE entries; the rest is an ordinary join on the digest.
-    """
+    """Rows ``doc_id, keep_id, group_size, kept, text_sha256``, one per document."""
     spark = docs.sparkSession
     rows = stored(digest_rows(docs, doc_id, text), "digests")
     total = rows.count()
     index = CuckooIndex.build(rows, _shards(spark, total))
-    entries = index.entries.select("digest", "keep_id", F.col("copies").alias("group_size"))
-    is_hot = F.col("group_size") * HOT_SHARE > total
-    hot = F.broadcast(entries.filter(is_hot))
-    often = rows.join(hot, "digest")
-    seldom = rows.join(F.broadcast(hot.select("digest")), "digest", "left_anti").join(
-        entries.filter(~is_hot), "digest"
-    )
+    entries = index.entries.select("digest", "keep_id", "copies")
     rank = F.coalesce("doc_id", F.lit(NO_ID))
     repeated = Window.partitionBy("digest", rank).orderBy("keep_id")
-    found = often.unionByName(seldom).withColumn("_copy", F.row_number().over(repeated))
+    found = join_classes(rows, entries, total).withColumn("_copy", F.row_number().over(repeated))
     return found.select(
         "doc_id",
         F.when(F.col("keep_id") < NO_ID, F.col("keep_id")).alias("keep_id"),
-        "group_size",
+        F.col("copies").alias("group_size"),
         ((rank == F.col("keep_id")) & (F.col("_copy") == 1)).alias("kept"),
         F.col("digest").alias("text_sha256"),
     )

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import components, stored
+from reviewmill.llm.common import components, join_classes, stored
 
 SHINGLE = 5
 BANDS = 24
@@ -259,7 +259,7 @@ def near_duplicates(
     """Rows ``doc_id, copy_of, class_id, kept``: the smallest id with equal words, the smallest
     id that links reach, and whether that is the row's own."""
     sketched = stored(sketches(docs, doc_id, text), "dart-sketches")
-    classes = sketched.groupBy("digest").agg(F.min("doc_id").alias("node"))
+    classes = sketched.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"))
     nodes = sketched.join(
         classes, (sketched.digest == classes.digest) & (sketched.doc_id == classes.node)
     ).select("node", "weight", *BITS, F.explode("buckets").alias("bucket"))
@@ -284,16 +284,17 @@ def near_duplicates(
         texts.join(wanted, "node", "left_semi").mapInArrow(_tagged_runs, RUNS).dropDuplicates(["node"]), "dart-runs"
     )
     reached = _linked_nodes(members, runs, similarity)
-    rows = sketched.select("doc_id", "digest").join(
-        classes.select("digest", F.col("node").alias("copy_of")), "digest"
+    labelled = classes.join(reached, classes.node == reached.of, "left").select(
+        "digest", "copies", F.col("node").alias("copy_of"), F.coalesce("component", "node").alias("class")
     )
-    found = rows.join(reached, rows.copy_of == reached.of, "left")
-    class_id = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "copy_of"))
+    rows = sketched.select("doc_id", "digest")
+    found = join_classes(rows, stored(labelled, "dart-classes"), rows.count())
+    known = F.col("doc_id").isNotNull()
     return found.select(
         "doc_id",
-        F.when(F.col("doc_id").isNotNull(), F.col("copy_of")).alias("copy_of"),
-        class_id.alias("class_id"),
-        F.coalesce(F.col("doc_id") == class_id, F.lit(True)).alias("kept"),
+        F.when(known, F.col("copy_of")).alias("copy_of"),
+        F.when(known, F.col("class")).alias("class_id"),
+        F.coalesce(F.col("doc_id") == F.col("class"), F.lit(True)).alias("kept"),
     )
 
 
