@@ -157,13 +157,18 @@ def test_reports_are_built_without_a_job(spark, reviews):
     context.setLocalProperty("spark.jobGroup.id", None)
 
 
-def test_large_lexicon_uses_the_salted_join(reviews, lexicon, monkeypatch):
+def test_large_lexicon_is_joined_by_shuffle(spark, reviews, lexicon, monkeypatch):
     from reviewmill.operators import skew
 
     tokens = tk.explode_tokens(reviews, "review_text", ["shop_name"])
     plain = result(st.sentiment_by_token(tokens, lexicon, ["shop_name"], "neutral"))
     monkeypatch.setattr(skew, "fits_broadcast", lambda small: False)
     assert result(st.sentiment_by_token(tokens, lexicon, ["shop_name"], "neutral")) == plain
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")  # salted then
+    try:
+        assert result(st.sentiment_by_token(tokens, lexicon, ["shop_name"], "neutral")) == plain
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
 
 
 def test_review_scores(spark, lexicon):
