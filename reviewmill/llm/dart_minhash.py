@@ -436,3 +436,36 @@ def kept_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         F.col("doc_id").alias("_gone")
     )
     return docs.join(gone.distinct(), F.col(doc_id).cast("long") == F.col("_gone"), "left_anti").select(*docs.columns)
+
+
+SQL = r"""
+WITH RECURSIVE texts AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents
+), copies AS (
+  SELECT doc_id, w, min(doc_id) OVER (PARTITION BY array_to_string(w, ' ')) AS copy_of FROM texts
+), nodes AS (
+  SELECT doc_id AS node, w FROM copies WHERE doc_id = copy_of AND len(w) > 0
+), places AS (
+  SELECT node, w, unnest(range(1, greatest(len(w) - 3, 2))) AS i FROM nodes
+), runs AS (
+  SELECT node, array_to_string(w[i:i + 4], ' ') AS run, count(*) AS n FROM places GROUP BY ALL
+), sizes AS (
+  SELECT node, sum(n) AS n FROM runs GROUP BY node
+), shared AS (
+  SELECT a.node AS a, b.node AS b, sum(least(a.n, b.n)) AS n
+  FROM runs AS a JOIN runs AS b ON a.run = b.run AND a.node < b.node GROUP BY ALL
+), near AS (
+  SELECT shared.a, shared.b FROM shared JOIN sizes AS x ON x.node = a JOIN sizes AS y ON y.node = b
+  WHERE shared.n / (x.n + y.n - shared.n) >= 0.8
+), links AS (
+  SELECT a, b FROM near UNION ALL SELECT b, a FROM near
+), reach AS (
+  SELECT a, b FROM links
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), lowest AS (
+  SELECT a, least(a, min(b)) AS class_id FROM reach GROUP BY a
+)
+SELECT doc_id, copy_of, coalesce(class_id, copy_of) AS class_id, doc_id = coalesce(class_id, copy_of) AS kept
+FROM copies LEFT JOIN lowest ON lowest.a = copy_of
+"""

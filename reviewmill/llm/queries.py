@@ -72,4 +72,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_mix_sources": mixing.SQL, "op3_cuckoo_dedup": cuckoo_dedup.SQL, "op5_warc_revisits": warc_revisits.SQL, "op7_rotation_codes": rotation_codes.SQL}
+    return {
+        "op1_dart_minhash": dart_minhash.SQL,
+        "op2_mix_sources": mixing.SQL,
+        "op3_cuckoo_dedup": cuckoo_dedup.SQL,
+        "op5_warc_revisits": warc_revisits.SQL,
+        "op7_rotation_codes": rotation_codes.SQL,
+    }
