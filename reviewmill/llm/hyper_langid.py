@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 DIMENSIONS = 1_024
 SAMPLE = 400
+PARTS = 64
 KNOWN_TRIGRAMS = 20_000
 UNKNOWN = "und"
 _SEED = 20_011
@@ -128,8 +129,12 @@ def learn(
     """Prototype of each language, from ``sample`` documents each at most."""
     ids = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"))
     usable = ids.filter(~held_out("doc_id") & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
-    in_order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = usable.withColumn("place", F.row_number().over(in_order)).filter(F.col("place") <= sample)
+    chosen = usable.withColumn("place", F.xxhash64("doc_id"))
+    # first within parts of a language, so that the last step sees PARTS * sample rows of one
+    for part in (F.pmod("place", F.lit(PARTS)), F.lit(0)):
+        in_order = Window.partitionBy("lang", "part").orderBy("place", "doc_id")
+        ranked = chosen.withColumn("part", part).withColumn("rank", F.row_number().over(in_order))
+        chosen = ranked.filter(F.col("rank") <= sample).select("doc_id", "lang", "place")
     wanted = F.broadcast(chosen.select("doc_id", "lang").distinct())
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
     texts = texts.join(wanted, ["doc_id", "lang"], "left_semi").select("lang", "text")
