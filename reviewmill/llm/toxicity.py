@@ -6,31 +6,36 @@ passes read a window of words, attention pools the states, one output scores the
 Training sees documents: a document is toxic unless all of its windows are clean (noisy or).
 A document's score is the highest of all its overlapping windows, over the whole text.
 
-Training uses at most MOST_TOXIC and MOST_CLEAN labelled documents of at most TRAIN_CHARS
-characters, the first in hash order; this sample alone is gathered in one task. Scoring has no
-shuffle: the model (fixed size) is sent to the tasks.
-
-Defined results: null and empty texts, and texts without a word, score 0; with no labelled row
-of either kind every score is 0; repeated rows score alike; an empty table gives an empty
-result; other columns are ignored.
+Training uses at most MOST_TOXIC and MOST_CLEAN labelled documents with a word, the first in
+hash order, of any length and whole. The sample ends early with the document that brings it to
+TOXIC_CHARS or CLEAN_CHARS characters, so one document of each kind is in whatever its length.
+This sample alone is gathered in one task. Scoring has no shuffle: the model (fixed size) is
+sent to the tasks.
+
+Defined results: null and empty texts, and texts without a word, score 0; if of either kind no
+labelled document outside the held-out quarter has a word, nothing can be learned: every score
+is 0, with a warning; repeated rows score alike; an empty table gives an empty result; other
+columns are ignored.
 """
 
 from __future__ import annotations
 
 import io
 import re
+import warnings
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MOST_TOXIC = 1_000
 MOST_CLEAN = 2_000
-TRAIN_CHARS = 2_500
+TOXIC_CHARS = 10_000_000
+CLEAN_CHARS = 20_000_000
 WINDOW = 48
 STRIDE = 36
 HIDDEN = 8
@@ -50,6 +55,7 @@ THRESHOLD = 0.3
 SHUT = -30.0  # keeps an update gate closed, so padding passes a state on unchanged
 
 _WORD = re.compile(r"\w+")
+A_WORD = r"[\p{L}\p{N}_]"  # what \w is to Python, for Spark
 SCHEMA = "doc_id long, score double, windows long, top_window long"
 
 
@@ -246,6 +252,27 @@ def document_loss(logits: np.ndarray, owner: np.ndarray, toxic: np.ndarray) -> t
     return loss, (-by_clean[owner] * chance / len(toxic)).astype(np.float32)
 
 
+def batch_gradient(
+    network: Network, inputs: np.ndarray, windows: np.ndarray, owner: np.ndarray, toxic: np.ndarray
+) -> tuple[np.ndarray, dict]:
+    """Gradient of the documents' loss. What it needs is kept for WINDOW_BATCH windows at a time;
+    when there are more, each part runs again once the slopes of all windows are known."""
+    gates = network.gates(inputs)
+    parts = [slice(i, i + WINDOW_BATCH) for i in range(0, len(windows), WINDOW_BATCH)]
+    if len(parts) == 1:
+        logits, kept = network.run(gates, windows, keep=True)
+        return network.gradient(windows, len(inputs), document_loss(logits, owner, toxic)[1], kept)
+    logits = np.concatenate([network.run(gates, windows[part])[0] for part in parts])
+    slope = document_loss(logits, owner, toxic)[1]
+    d_rows, by = np.zeros((len(inputs), 6 * HIDDEN), np.float32), {}
+    for part in parts:
+        kept = network.run(gates, windows[part], keep=True)[1]
+        more, more_by = network.gradient(windows[part], len(inputs), slope[part], kept)
+        d_rows += more
+        by = {k: by.get(k, 0) + g for k, g in more_by.items()}
+    return d_rows, by
+
+
 def train(texts: list[str], toxic: list[int], epochs: int = EPOCHS) -> Network:
     documents = [words_of(t) for t in texts]
     some = [i for i, d in enumerate(documents) if d]
@@ -268,9 +295,7 @@ def train(texts: list[str], toxic: list[int], epochs: int = EPOCHS) -> Network:
             unseen = draw.random(len(words)) < 0.3  # learn to do without the word itself
             ids = np.where(unseen, 0, ids)
             inputs[:, :WORD_DIM] = network.p["word"][ids]
-            logits, kept = network.run(network.gates(inputs), windows, keep=True)
-            _, slope = document_loss(logits, owner, labels[chosen])
-            d_rows, by = network.gradient(windows, len(words), slope, kept)
+            d_rows, by = batch_gradient(network, inputs, windows, owner, labels[chosen])
             by |= {"input": inputs.T @ d_rows, "bias": d_rows.sum(0)}
             d_inputs = d_rows @ network.p["input"].T
             by["word"] = _summed(ids, d_inputs[:, :WORD_DIM], len(network.p["word"]))
@@ -342,36 +367,44 @@ def held_out(doc_id: str) -> Column:
 
 def training_rows(docs: DataFrame, labels: DataFrame, doc_id: str, text: str, label: str) -> DataFrame:
     """The bounded sample: ``toxic, place, text``, the first documents of each label in hash
-    order. A document with several labels counts as toxic if one of them says so."""
+    order that have a word. A document with several labels counts as toxic if one of them says
+    so; rows that repeat count once."""
     known = labels.filter(~held_out("doc_id") & F.col("doc_id").isNotNull() & F.col(label).isin(0, 1))
     known = known.groupBy("doc_id").agg(F.max(label).alias("toxic"))
-    known = known.withColumn("place", F.xxhash64("doc_id"))
-    # three times as many candidates as needed, as long texts are passed over
+    texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"))
+    mark = F.xxhash64("text").alias("mark")
+    worded = texts.filter(F.rlike("text", F.lit(A_WORD)))
+    found = worded.select("doc_id", mark, F.length("text").cast("long").alias("chars")).join(known, "doc_id")
+    found = found.distinct().withColumn("place", F.xxhash64("doc_id"))
+    # the running length is taken over the first rows only, never over all labelled ones
+    earlier = Window.partitionBy("toxic").orderBy("place", "doc_id", "mark").rowsBetween(Window.unboundedPreceding, -1)
     chosen = None
-    for value, most in ((1, MOST_TOXIC), (0, MOST_CLEAN)):
-        part = known.filter(F.col("toxic") == value).orderBy("place", "doc_id").limit(3 * most)
+    for value, most, chars in ((1, MOST_TOXIC, TOXIC_CHARS), (0, MOST_CLEAN, CLEAN_CHARS)):
+        part = found.filter(F.col("toxic") == value).orderBy("place", "doc_id", "mark").limit(most)
+        part = part.withColumn("before", F.coalesce(F.sum("chars").over(earlier), F.lit(0)))
+        part = part.filter(F.col("before") < chars).select("doc_id", "mark", "toxic", "place")
         chosen = part if chosen is None else chosen.unionByName(part)
-    short = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text")).filter(
-        F.length("text").between(1, TRAIN_CHARS)
-    )
-    return short.join(F.broadcast(chosen), "doc_id").select("toxic", "place", "text")
+    sample = texts.select("doc_id", "text", mark).join(F.broadcast(chosen), ["doc_id", "mark"])
+    return sample.dropDuplicates(["doc_id", "mark"]).select("toxic", "place", "text")
 
 
 def fit(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label: str = "toxic") -> bytes | None:
-    """A trained model, or None if a kind of label is missing."""
+    """A trained model, or None with a warning if no document of a kind can be learned from."""
 
     def learn(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["place", "text"])
-        toxic, clean = rows[rows["toxic"] == 1][:MOST_TOXIC], rows[rows["toxic"] == 0][:MOST_CLEAN]
-        if not len(toxic) or not len(clean):
+        if rows["toxic"].nunique() < 2:
             return pd.DataFrame({"model": []})
-        chosen = pd.concat([toxic, clean])
-        network = train(chosen["text"].tolist(), chosen["toxic"].tolist())
+        rows = rows.sort_values("toxic", ascending=False, kind="stable")
+        network = train(rows["text"].tolist(), rows["toxic"].tolist())
         return pd.DataFrame({"model": [network.dump()]})
 
     sample = training_rows(docs, labels, doc_id, text, label)
     found = sample.groupBy().applyInPandas(learn, "model binary").collect()
-    return bytes(found[0].model) if found else None
+    if not found:
+        warnings.warn("toxicity: no labelled document with a word of one kind, every score is 0", stacklevel=2)
+        return None
+    return bytes(found[0].model)
 
 
 def score_documents(docs: DataFrame, model: bytes | None, doc_id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -98,3 +98,40 @@ def test_forgotten_words_score_alike(monkeypatch):
     scorer = Scorer(network)
     got = np.concatenate([scorer.score([t])[0] for t in texts])
     assert got == pytest.approx(want, abs=1e-5)
+
+
+def test_long_documents_are_learned_from(spark):
+    rows = [(i, t + " ba ko ti" * 300 if y or i % 3 == 0 else t, y) for i, t, y in _corpus(1_200, 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, score int")
+    labels = docs.selectExpr("doc_id", "score AS toxic")
+    sample = toxicity.training_rows(docs, labels, "doc_id", "text", "toxic").collect()
+    learnable = {i for i, _, _ in rows if zlib.crc32(str(i).encode()) % 4 != 2}
+    assert sorted(r.text for r in sample) == sorted(t for i, t, _ in rows if i in learnable)
+    got = toxicity.toxicity(docs, labels).collect()
+    truth = {i: y for i, _, y in rows}
+    assert np.mean([r.predicted == truth[r.doc_id] for r in got if r.held_out]) >= 0.9
+
+
+def test_sample_is_bounded_whole_and_not_starved(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "MOST_TOXIC", 3)
+    monkeypatch.setattr(toxicity, "TOXIC_CHARS", 1)
+    monkeypatch.setattr(toxicity, "MOST_CLEAN", 5)
+    rows = [(i, "" if i % 10 else f"w{i} " * 2_000, int(i % 20 == 0)) for i in range(800)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    labels = docs.select("doc_id", "toxic")
+    sample = toxicity.training_rows(docs.unionByName(docs), labels, "doc_id", "text", "toxic").collect()
+    assert sorted(r.toxic for r in sample) == [0] * 5 + [1]
+    assert {r.text for r in sample} <= {t for _, t, _ in rows if t}
+
+
+def test_gradient_in_parts(monkeypatch):
+    draw = np.random.default_rng(3)
+    network = Network({"a": 1})
+    inputs = network.features(["a", "b", "cd"])[0]
+    windows, owner = toxicity.window_index([draw.integers(0, 3, n) for n in (400, 7, 90)])
+    labels = np.array([1, 0, 1])
+    want = toxicity.batch_gradient(network, inputs, windows, owner, labels)
+    monkeypatch.setattr(toxicity, "WINDOW_BATCH", 4)
+    got = toxicity.batch_gradient(network, inputs, windows, owner, labels)
+    assert np.allclose(got[0], want[0], atol=1e-5)
+    assert all(np.allclose(got[1][k], want[1][k], atol=1e-5) for k in want[1])
