@@ -9,7 +9,7 @@ from reviewmill.catalog import sql_parts as sq
 from reviewmill.catalog.registry import register
 from reviewmill.functions import text as tx
 from reviewmill.functions.constants import PUNCTUATION_PAIRS, TAG_REPLACEMENTS
-from reviewmill.operators import filters, keywords, profile
+from reviewmill.operators import filters, keywords, merging, profile
 from reviewmill.operators import tokens as tk
 from reviewmill.plans import jobs
 from reviewmill.sources import crawl, readers
@@ -435,6 +435,24 @@ def merged_parts_rejoined(spark, sf_dir):
     )
 
 
+@register(
+    "merged_part_offsets",
+    f"""WITH {inp.REVIEWS_SQL},
+begun AS (
+  SELECT *, CAST(sum(length(review_text) + 1) OVER (
+             PARTITION BY university_name, shop_name ORDER BY review_id ROWS UNBOUNDED PRECEDING)
+             - length(review_text) - 1 AS BIGINT) AS begin_at FROM reviews
+  WHERE university_name IS NOT NULL AND shop_name IS NOT NULL AND review_text IS NOT NULL)
+SELECT university_name, shop_name, begin_at // 50000 AS part_no, min(begin_at) AS "begin",
+       CAST(max(begin_at + length(review_text)) - min(begin_at) AS BIGINT) AS n_chars,
+       md5(string_agg(review_text, ' ' ORDER BY review_id)) AS digest FROM begun GROUP BY ALL""",
+)
+def merged_part_offsets(spark, sf_dir):
+    """Parts laid end to end are the whole text of a group: each begins where its first review does."""
+    parts = jobs.merge_shop_text(inp.reviews(spark, sf_dir), "review_text", **_BOUNDS)
+    return merging.part_offsets(parts, ["university_name", "shop_name"], "merged_text")
+
+
 @register(
     "merge_text_window",
     f"""WITH {inp.REVIEWS_SQL}, {_parts_sql('reviews')},

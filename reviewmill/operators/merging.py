@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewmill.operators.skew import lookup_join
+from reviewmill.operators.skew import cut_lineage, lookup_join
 
 SLICE_ROWS = 4096
 PART_CHARS = 16_000_000
@@ -73,6 +73,29 @@ def merge_text(
     return placed.groupBy(*keys, "part_no").agg(_joined("_id", "_text", separator).alias(output))
 
 
+def part_offsets(
+    parts: DataFrame, keys: list[str], text: str, separator: str = " ", block_parts: int = SLICE_ROWS
+) -> DataFrame:
+    """Rows ``keys, part_no, begin, n_chars, digest``: where each part begins in the whole text
+    of its group, its length and its MD5, without joining the parts. One task sees the lengths
+    of one block of parts, or one group's blocks."""
+    block = [*keys, "_block"]
+    sized = cut_lineage(
+        parts.select(
+            *keys,
+            "part_no",
+            F.floor(F.col("part_no") / block_parts).alias("_block"),
+            F.length(text).cast("long").alias("n_chars"),
+            F.md5(F.col(text).cast("binary")).alias("digest"),
+        ).withColumn("_chars", F.col("n_chars") + len(separator))
+    )
+    blocks = sized.groupBy(*block).agg(F.sum("_chars").alias("_chars"))
+    begin = blocks.select(*block, _before(keys, "_block", "_chars").alias("_begin"))
+    return sized.join(begin, block).select(
+        *keys, "part_no", (F.col("_begin") + _before(block, "part_no", "_chars")).alias("begin"), "n_chars", "digest"
+    )
+
+
 def merge_words(
     tokens: DataFrame, keys: list[str], row_id: str, separator: str = "|", **bounds: int
 ) -> DataFrame:

@@ -201,6 +201,24 @@ def test_cosine_blocks_do_not_change_the_result(spark):
         assert cosine == pytest.approx(dot / norm(vectors[g1]) / norm(vectors[g2]), abs=1e-8)
 
 
+def test_part_offsets_without_rejoining(spark):
+    import hashlib
+
+    draw = random.Random(8)
+    rows = [(i, "ab"[i % 7 == 0], "".join(draw.choices("xyü😀 ", k=draw.randrange(0, 30)))) for i in range(400)]
+    frame = spark.createDataFrame(rows, "review_id long, shop_name string, t string")
+    parts = jobs.merge_shop_text(frame, "t", keys=("shop_name",), slice_rows=4, part_chars=50)
+    found = merging.part_offsets(parts, ["shop_name"], "merged_text", block_parts=3).collect()
+    for shop in "ab":
+        whole = " ".join(t for _, s, t in rows if s == shop)
+        mine = sorted((r for r in found if r.shop_name == shop), key=lambda r: r.part_no)
+        assert len(mine) > 9
+        for r in mine:
+            assert r.digest == hashlib.md5(whole[r.begin : r.begin + r.n_chars].encode()).hexdigest()
+        ends = [r.begin + r.n_chars for r in mine]
+        assert [r.begin for r in mine] == [0, *(e + 1 for e in ends[:-1])] and ends[-1] == len(whole)
+
+
 def test_principal_components_match_numpy(spark):
     import numpy as np
 
