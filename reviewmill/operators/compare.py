@@ -13,11 +13,11 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.operators.skew import cut_lineage
+from reviewmill.operators.skew import cut_lineage, lookup_join
 
 # the term covariance of the projection is kept on one machine: 4096^2 doubles = 128 MB
 MAX_TERMS = 4096
-MAX_CLUSTERS = 1024
+CENTRE_BLOCK = 1024
 PAIR_BLOCKS = 8
 
 
@@ -122,33 +122,48 @@ def centroid_outliers(
     vector: str,
     cluster: str,
     std_factor: float = 1.0,
-    max_clusters: int = MAX_CLUSTERS,
+    block: int = CENTRE_BLOCK,
 ) -> DataFrame:
     """Distance of every point to the nearest cluster centre (of any cluster) and a flag for
     distances above mean + ``std_factor`` sample standard deviations.
 
-    ``vector`` is an array of numbers. Centres are a scalar subquery: one row per cluster,
-    refused beyond ``max_clusters``.
+    ``vector`` is an array of numbers. Up to ``block`` centres are a scalar subquery. More of
+    them stay a table of blocks: each point meets every block, and only its smallest distances
+    are shuffled.
     """
     arrays = points.withColumn("_v", F.col(vector).cast("array<double>"))
     means = arrays.groupBy(cluster).agg(Summarizer.mean(array_to_vector("_v")).alias("m"))
-    collected = means.select(vector_to_array("m").alias("m"), cluster).agg(
-        F.sort_array(F.collect_list(F.struct(F.col(cluster).cast("string"), "m"))).alias("c")
-    )
-    centres = collected.select(
-        F.when(F.size("c") <= max_clusters, F.transform("c", lambda s: s["m"])).otherwise(
-            F.raise_error(F.lit("too many clusters")).cast("array<array<double>>")
-        )
-    ).scalar()
-    measured = (
-        arrays.withColumn("_centres", centres)
-        .withColumn(
-            "distance_to_center",
-            F.array_min(F.transform("_centres", lambda c: _distance(F.col("_v"), c))),
-        )
-        .drop("_centres", "_v")
-    )
+    means = cut_lineage(means.select(F.col(cluster).alias("c"), vector_to_array("m").alias("m")))
+    found = means.count()
+    if found <= block:
+        collected = means.agg(F.sort_array(F.collect_list(F.struct(F.col("c").cast("string"), "m"))).alias("c"))
+        centres = collected.select(F.transform("c", lambda s: s["m"]).alias("m")).scalar()
+        measured = arrays.withColumn("_centres", centres)
+        measured = measured.withColumn("distance_to_center", _nearest(F.col("_v"), F.col("_centres")))
+        measured = measured.drop("_centres", "_v")
+    else:
+        measured = _nearest_in_blocks(points, vector, means, -(-found // block))
     limit = measured.agg(
         (F.avg("distance_to_center") + std_factor * F.stddev_samp("distance_to_center")).alias("t")
     ).scalar()
     return measured.withColumn("is_noise", F.col("distance_to_center") > limit)
+
+
+def _nearest(point: Column, centres: Column) -> Column:
+    return F.array_min(F.transform(centres, lambda c: _distance(point, c)))
+
+
+def _nearest_in_blocks(points: DataFrame, vector: str, means: DataFrame, blocks: int) -> DataFrame:
+    """``points`` with ``distance_to_center``, the smallest over ``blocks`` blocks of centres.
+    Points are numbered and written once, as they are read for the distances and for the rows."""
+    numbered = cut_lineage(points.withColumn("_id", F.monotonically_increasing_id()))
+    own = F.pmod(F.xxhash64("c"), F.lit(blocks)).cast("int").alias("_block")
+    centres = cut_lineage(means.select(own, "m").groupBy("_block").agg(F.collect_list("m").alias("_centres")))
+    asked = numbered.select(
+        "_id",
+        F.col(vector).cast("array<double>").alias("_v"),
+        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"),
+    )
+    near = lookup_join(asked, centres, ["_block"]).select("_id", _nearest(F.col("_v"), F.col("_centres")).alias("_d"))
+    nearest = near.groupBy("_id").agg(F.min("_d").alias("distance_to_center"))
+    return numbered.join(nearest, "_id", "left").drop("_id")

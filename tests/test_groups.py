@@ -201,6 +201,30 @@ def test_cosine_blocks_do_not_change_the_result(spark):
         assert cosine == pytest.approx(dot / norm(vectors[g1]) / norm(vectors[g2]), abs=1e-8)
 
 
+def test_outliers_beyond_one_block_of_centres(spark):
+    import numpy as np
+
+    draw = np.random.default_rng(5)
+    vectors = draw.normal(size=(2_600, 3)).round(3)
+    rows = [(i, i // 2, v.tolist()) for i, v in enumerate(vectors)]
+    frame = spark.createDataFrame(rows, "vec_id long, label int, v array<double>")
+    frame = frame.unionByName(frame.filter("vec_id = 7"))  # a row that repeats stays twice
+    members = {}
+    for r in frame.collect():
+        members.setdefault(r.label, []).append(r.v)
+    centres = np.array([np.mean(m, axis=0) for m in members.values()])
+    want = np.sqrt(((vectors[:, None] - centres[None]) ** 2).sum(2)).min(1)
+    every = np.append(want, want[7])
+    limit = every.mean() + every.std(ddof=1)
+    found = compare.centroid_outliers(frame, "v", "label")
+    assert found.columns == ["vec_id", "label", "v", "distance_to_center", "is_noise"]
+    got = found.collect()
+    assert sorted(r.vec_id for r in got) == sorted([*range(2_600), 7])
+    for r in got:
+        assert r.distance_to_center == pytest.approx(want[r.vec_id], abs=1e-9)
+        assert r.is_noise == (want[r.vec_id] > limit)
+
+
 def test_part_offsets_without_rejoining(spark):
     import hashlib
 
