@@ -168,6 +168,17 @@ def base_spans(text: str, tokens: list[re.Match]) -> list[tuple[int, int, int]]:
     return sorted(found)
 
 
+def uncovered(first: int, last: int, spans: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """The pieces of a stretch that no span ``(start, kind, end)`` covers; spans come by start."""
+    pieces = []
+    for start, _, end in spans:
+        if end > first and start < last:
+            if start > first:
+                pieces.append((first, start))
+            first = max(first, end)
+    return [*pieces, (first, last)] if first < last else pieces
+
+
 def scan(text: str | None, model: TextModel) -> tuple[list[tuple], list[tuple]]:
     """Pattern spans, and candidates outside of them, each as ``(kind, start, end, p_text, p_random)``."""
     text = text or ""
@@ -175,9 +186,10 @@ def scan(text: str | None, model: TextModel) -> tuple[list[tuple], list[tuple]]:
     base = base_spans(text, tokens)
     candidates = []
     for match in tokens:
-        first, last = match.span()
-        if all(end <= first or start >= last for start, _, end in base):
-            candidates.append(("random", first, last, model.p_value(match[0]), randomness(match[0])))
+        for first, last in uncovered(*match.span(), base):
+            piece = text[first:last]
+            if len(piece) >= LEAST_CHARS:
+                candidates.append(("random", first, last, model.p_value(piece), randomness(piece)))
     return [(KINDS[kind], start, end, None, None) for start, kind, end in base], candidates
 
 

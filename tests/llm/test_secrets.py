@@ -87,3 +87,16 @@ def test_very_long_text():
     model = secrets.TextModel(secrets.pair_counts(_texts()))
     text = "word " * 100_000 + HEX32 + " word" * 100_000
     assert secrets.scan(text, model)[0] == [("hex", 500_000, 500_032, None, None)]
+
+
+def test_rest_of_a_token_beside_a_pattern():
+    model = secrets.TextModel(secrets.pair_counts(_texts()))
+    for text in (f"{HEX32}/{KEY}", f"a AKIA{'Z9' * 8}_{KEY} b", f"{KEY}-{HEX32}-{KEY}"):
+        base, candidates = secrets.scan(text, model)
+        covered = {i for _, start, end, *_ in base for i in range(start, end)}
+        assert len(base) == 1 and len(candidates) == text.count(KEY)
+        for _, start, end, p_text, p_random in candidates:
+            assert KEY in text[start:end] and not covered & set(range(start, end))
+            assert end - start <= len(KEY) + 1 and p_text < 1e-6 and p_random > 0.001
+    assert secrets.uncovered(0, 9, [(0, 2, 9), (3, 0, 5)]) == []
+    assert secrets.uncovered(2, 20, [(0, 0, 4), (3, 2, 6), (8, 1, 9), (20, 2, 30)]) == [(6, 8), (9, 20)]
