@@ -4,7 +4,9 @@ A word enters as the embedding of the word (rare ones share one) next to the emb
 character n-grams, so that unseen inflections of a known stem still count. Two recurrent
 passes read a window of words, attention pools the states, one output scores the window.
 Training sees documents: a document is toxic unless all of its windows are clean (noisy or).
-A document's score is the highest of all its overlapping windows, over the whole text.
+A document's score is the highest of all its windows, over the whole text. Each begins half a
+window after the one before it, so a passage of up to 25 words stands whole in one of them, and
+of a longer one at least 25 words and half the rest up to 48 do.
 
 Training uses at most MOST_TOXIC and MOST_CLEAN labelled documents with a word, the first in
 hash order, of any length and whole. The sample ends early with the document that brings it to
@@ -37,7 +39,7 @@ MOST_CLEAN = 2_000
 TOXIC_CHARS = 10_000_000
 CLEAN_CHARS = 20_000_000
 WINDOW = 48
-STRIDE = 36
+STRIDE = WINDOW // 2
 HIDDEN = 8
 WORD_DIM = 16
 GRAM_DIM = 16

@@ -135,3 +135,11 @@ def test_gradient_in_parts(monkeypatch):
     got = toxicity.batch_gradient(network, inputs, windows, owner, labels)
     assert np.allclose(got[0], want[0], atol=1e-5)
     assert all(np.allclose(got[1][k], want[1][k], atol=1e-5) for k in want[1])
+
+
+def test_passages_at_every_offset_to_a_window_edge():
+    for size in range(20, 41):
+        for at in range(3 * toxicity.WINDOW):
+            starts = toxicity.window_starts(at + size + 100)
+            seen = max(min(at + size, s + toxicity.WINDOW) - max(at, s) for s in starts)
+            assert seen >= (size if size <= 25 else 25 + (size - 25) // 2), (size, at)
