@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import byte_bpe, cuckoo_dedup, dart_minhash, grid_codes, hyper_langid, mixing, rotation_codes, secrets, sharding, toxicity, warc_revisits
+from reviewmill.llm import byte_bpe, cuckoo_dedup, dart_minhash, divergence, grid_codes, hyper_langid, mixing, rotation_codes, secrets, sharding, toxicity, warc_revisits
 from reviewmill.llm.common import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -60,6 +60,10 @@ def op11_grid_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid_codes.compressed(read_table(spark, sf_dir, "embeddings"))
 
 
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_dart_minhash": op1_dart_minhash,
@@ -73,6 +77,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_byte_bpe": op9_byte_bpe,
         "op10_secrets": op10_secrets,
         "op11_grid_codes": op11_grid_codes,
+        "op12_divergence": op12_divergence,
     }
 
 
@@ -84,4 +89,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_warc_revisits": warc_revisits.SQL,
         "op7_rotation_codes": rotation_codes.SQL,
         "op11_grid_codes": grid_codes.SQL,
+        "op12_divergence": divergence.SQL,
     }
