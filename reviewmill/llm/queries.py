@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import byte_bpe, cuckoo_dedup, dart_minhash, divergence, grid_codes, hyper_langid, mixing, rotation_codes, secrets, sharding, toxicity, warc_revisits
+from reviewmill.llm import byte_bpe, context_mixing, cuckoo_dedup, dart_minhash, divergence, grid_codes, hyper_langid, mixing, rotation_codes, secrets, sharding, toxicity, warc_revisits
 from reviewmill.llm.common import read_table
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -64,6 +64,10 @@ def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(read_table(spark, sf_dir, "documents"))
 
 
+def op13_context_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_mixing.scores(read_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_dart_minhash": op1_dart_minhash,
@@ -78,6 +82,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op10_secrets": op10_secrets,
         "op11_grid_codes": op11_grid_codes,
         "op12_divergence": op12_divergence,
+        "op13_context_mixing": op13_context_mixing,
     }
 
 
