@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -98,3 +103,43 @@ def with_running_sums(df: DataFrame, order: list[Column], sums: dict[str, str],
         *df.columns,
         *[(F.col(f"_{k}") + F.coalesce(F.sum(v).over(before), F.lit(0))).alias(k) for k, v in values.items()],
     )
+
+
+def text_slices(batches: Iterator[pa.RecordBatch], size: int, text: str = "text") -> Iterator[pa.RecordBatch]:
+    """Slices of about ``size`` bytes of text, at least one row each."""
+    for batch in batches:
+        sizes = np.cumsum(pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False), dtype=np.int64)
+        first = 0
+        while first < batch.num_rows:
+            done = sizes[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(sizes, done + size)))
+            yield batch.slice(first, last - first)
+            first = last
+
+
+def byte_table(outside: list[int]) -> np.ndarray:
+    """For each byte its form in a token: A to Z in lower case, 0 for the bytes ``outside``."""
+    table = np.arange(256, dtype=np.uint8)
+    table[65:91] += 32
+    table[outside] = 0
+    return table
+
+
+def tokens_of(text: pa.Array, table: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """All runs of bytes that ``table`` keeps, in its form, and where each text's runs begin (and
+    the last ones end). Null counts as empty; a text that holds NUL is cut there if 0 is outside."""
+    rows = np.frombuffer(text.buffers()[1], np.int32)[text.offset : text.offset + len(text) + 1].astype(np.int64)
+    held = text.buffers()[2]
+    data = np.frombuffer(held, np.uint8)[rows[0] : rows[-1]] if held is not None else np.zeros(0, np.uint8)
+    rows -= rows[0]
+    low = table[data]
+    inside = low > 0
+    opens = inside.copy()
+    opens[1:] &= ~inside[:-1]
+    first = rows[:-1][rows[:-1] < rows[1:]]
+    opens[first] = inside[first]  # a run ends with its text
+    starts = np.flatnonzero(opens)
+    kept = low[inside]
+    offsets = np.append(np.cumsum(inside)[starts] - 1, len(kept)).astype(np.int32)
+    found = pa.StringArray.from_buffers(len(starts), pa.py_buffer(offsets), pa.py_buffer(kept))
+    return found, np.searchsorted(starts, rows)
