@@ -30,9 +30,10 @@ from pyspark.sql import functions as F
 KNOWN_PATTERN = (
     r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 )
-CACHE_PIECES = 250_000
+CACHE_BYTES = 48 << 20
+PIECE_BYTES = 250  # of a short piece, its ids and its place in the cache
 BULK_PIECES = 1_000
-CHUNK_CHARS = 1 << 22
+CHUNK_CHARS = 1 << 20
 SCHEMA = "doc_id long, token_ids array<int>, decoded binary"
 
 _OTHER, _LETTER, _NUMBER, _SPACE = range(4)
@@ -43,8 +44,7 @@ class ByteBpe:
         pairs = (line.split() for line in rank_lines.splitlines() if line.strip())
         self.ranks = {base64.b64decode(token): int(rank) for token, rank in pairs}
         self.tokens = {rank: token for token, rank in self.ranks.items()}
-        self.recent: dict[str, tuple[int, ...]] = {}
-        self.older: dict[str, tuple[int, ...]] = {}
+        self.forget()
         self.byte_ids = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         made = [
             (self.ranks[token[:i]] << 32 | self.ranks[token[i:]], rank)
@@ -217,10 +217,16 @@ class ByteBpe:
         at = np.minimum(np.searchsorted(self.pair_keys, keys), len(self.pair_keys) - 1)
         return np.where(self.pair_keys[at] == keys, self.pair_values[at], -1)
 
+    def forget(self) -> None:
+        """Drop all pieces seen so far."""
+        self.recent: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
+        self.held = 0
+
     def learn(self, pieces: set[str]) -> None:
-        """Remember the ids of pieces, in two generations of bounded size."""
-        if len(self.recent) >= CACHE_PIECES:
-            self.older, self.recent = self.recent, {}
+        """Remember the ids of pieces, in two generations of about CACHE_BYTES each."""
+        if self.held >= CACHE_BYTES:
+            self.older, self.recent, self.held = self.recent, {}, 0
         unknown = []
         for piece in pieces.difference(self.recent):
             ids = self.older.get(piece)
@@ -228,9 +234,12 @@ class ByteBpe:
                 unknown.append(piece)
             else:
                 self.recent[piece] = ids
+                self.held += PIECE_BYTES + len(piece) + 8 * len(ids)
         data = [piece.encode() for piece in unknown]
         found = self.merge_all(data) if len(data) >= BULK_PIECES else map(tuple, map(self.merge, data))
-        self.recent.update(zip(unknown, found, strict=True))
+        for piece, ids in zip(unknown, found, strict=True):
+            self.recent[piece] = ids
+            self.held += PIECE_BYTES + len(piece) + 8 * len(ids)
 
     def encode_all(self, texts: list[str], pattern: str = KNOWN_PATTERN) -> list[list[int]]:
         pieces = [split(text, pattern) for text in texts]
@@ -308,18 +317,21 @@ def encode_documents(
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder = _coder(lines.value)
         gc.disable()  # nothing here makes cycles, and the cache would be walked again and again
-        for part in _chunks(batches):
-            ids = coder.encode_all([t or "" for t in part.column(1).to_pylist()], pattern)
-            offsets = np.zeros(len(ids) + 1, np.int32)
-            np.cumsum([len(i) for i in ids], out=offsets[1:])
-            flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
-            columns = [
-                part.column(0),
-                pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
-                pa.array([coder.decode(i) for i in ids], pa.binary()),
-            ]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "token_ids", "decoded"])
-        gc.enable()
+        try:
+            for part in _chunks(batches):
+                ids = coder.encode_all([t or "" for t in part.column(1).to_pylist()], pattern)
+                offsets = np.zeros(len(ids) + 1, np.int32)
+                np.cumsum([len(i) for i in ids], out=offsets[1:])
+                flat = np.fromiter(chain.from_iterable(ids), np.int32, int(offsets[-1]))
+                columns = [
+                    part.column(0),
+                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                    pa.array([coder.decode(i) for i in ids], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["doc_id", "token_ids", "decoded"])
+        finally:  # also when the reader stops early: workers serve other tasks later
+            coder.forget()
+            gc.enable()
 
     rows = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).alias("text"))
     return rows.mapInArrow(encode, SCHEMA)

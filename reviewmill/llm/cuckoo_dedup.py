@@ -211,18 +211,16 @@ def _shards(spark: SparkSession, rows: int) -> int:
 
 
 def kept_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    stay = dedup(docs, doc_id, text).filter("kept").select(
-        F.coalesce("doc_id", F.lit(NO_ID)).alias("_rank"), F.col("text_sha256").alias("_digest")
-    )
-    rows = docs.withColumns(
-        {
-            "_rank": F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)),
-            "_digest": F.sha2(normal_text(text), 256),
-        }
+    """The rows of ``docs`` that stay, with all their columns, whatever their names."""
+    rank = F.coalesce(F.col("doc_id"), F.lit(NO_ID)).alias("rank")
+    stay = dedup(docs, doc_id, text).filter("kept").select(rank, F.col("text_sha256").alias("digest"))
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.coalesce(F.col(doc_id).cast("long"), F.lit(NO_ID)).alias("rank"),
+        F.sha2(normal_text(text), 256).alias("digest"),
     )
     # repeated rows share rank and digest; the join has brought them together already
-    return rows.join(stay, ["_rank", "_digest"], "left_semi").dropDuplicates(["_rank", "_digest"]).select(*docs.columns)
+    return rows.join(stay, ["rank", "digest"], "left_semi").dropDuplicates(["rank", "digest"]).select("row.*")
 
 
 SQL = r"""

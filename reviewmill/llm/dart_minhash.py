@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import components, join_classes, stored
+from reviewmill.llm.common import components, join_classes, normal_text, stored, with_running_sums
 
 SHINGLE = 5
 BANDS = 24
@@ -253,16 +253,30 @@ def sketches(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Dat
     return rows.mapInArrow(_sketch, SKETCH)
 
 
+def text_digest(text: str) -> Column:
+    """The digest of a sketch: words with one space between them."""
+    return F.substring(F.sha2(F.trim(normal_text(text)), 256), 1, 32)
+
+
 def near_duplicates(
     docs: DataFrame, similarity: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
     """Rows ``doc_id, copy_of, class_id, kept``: the smallest id with equal words, the smallest
-    id that links reach, and whether that is the row's own."""
+    id that links reach, and whether that is the row's own. Texts that share an id are apart."""
+    return _labelled_rows(docs, similarity, doc_id, text).drop("digest")
+
+
+def _labelled_rows(docs: DataFrame, similarity: float, doc_id: str, text: str) -> DataFrame:
     sketched = stored(sketches(docs, doc_id, text), "dart-sketches")
-    classes = sketched.groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("copies"))
-    nodes = sketched.join(
-        classes, (sketched.digest == classes.digest) & (sketched.doc_id == classes.node)
-    ).select("node", "weight", *BITS, F.explode("buckets").alias("bucket"))
+    classes = sketched.groupBy("digest").agg(F.min("doc_id").alias("copy_of"), F.count(F.lit(1)).alias("copies"))
+    # a node is a text, not an id; numbers follow the ids, so the smallest node has the smallest id
+    order = [F.col("copy_of").asc_nulls_last(), F.col("digest").asc()]
+    classes = with_running_sums(classes, order, {}, "dart-texts").withColumnRenamed("row_index", "node")
+    classes = stored(classes, "dart-nodes")
+    own = classes.select("digest", F.col("copy_of").alias("doc_id"), "node")
+    nodes = sketched.join(own, ["digest", "doc_id"]).select(
+        "node", "weight", *BITS, F.explode("buckets").alias("bucket")
+    )
     nodes = nodes.dropDuplicates(["bucket", "node"])
     shared = nodes.groupBy("bucket").agg(
         F.min(F.struct("node", "weight", *BITS)).alias("pivot"), F.count(F.lit(1)).alias("n")
@@ -278,20 +292,24 @@ def near_duplicates(
         ),
         "dart-members",
     )
-    texts = docs.select(F.col(doc_id).cast("long").alias("node"), F.col(text).alias("text"))
-    wanted = members.select("node").distinct()
-    runs = stored(
-        texts.join(wanted, "node", "left_semi").mapInArrow(_tagged_runs, RUNS).dropDuplicates(["node"]), "dart-runs"
+    texts = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"), text_digest(text).alias("digest"), F.col(text).alias("text")
     )
+    wanted = own.join(members.select("node").distinct(), "node", "left_semi")
+    wanted = texts.join(wanted, ["doc_id", "digest"]).select("node", "text")
+    runs = stored(wanted.mapInArrow(_tagged_runs, RUNS).dropDuplicates(["node"]), "dart-runs")
     reached = _linked_nodes(members, runs, similarity)
+    firsts = classes.select(F.col("node").alias("component"), F.col("copy_of").alias("first"))
+    reached = reached.join(firsts, "component").select("of", "first")
     labelled = classes.join(reached, classes.node == reached.of, "left").select(
-        "digest", "copies", F.col("node").alias("copy_of"), F.coalesce("component", "node").alias("class")
+        "digest", "copies", "copy_of", F.coalesce("first", "copy_of").alias("class")
     )
     rows = sketched.select("doc_id", "digest")
     found = join_classes(rows, stored(labelled, "dart-classes"), rows.count())
     known = F.col("doc_id").isNotNull()
     return found.select(
         "doc_id",
+        "digest",
         F.when(known, F.col("copy_of")).alias("copy_of"),
         F.when(known, F.col("class")).alias("class_id"),
         F.coalesce(F.col("doc_id") == F.col("class"), F.lit(True)).alias("kept"),
@@ -431,11 +449,15 @@ def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` with the smallest id of their class, all columns."""
-    gone = near_duplicates(docs, doc_id=doc_id, text=text).filter(~F.col("kept")).select(
-        F.col("doc_id").alias("_gone")
+    """The rows of ``docs`` with the smallest id of their class, all columns whatever their names. A
+    row goes by its id and its text, so another text under the same id stays."""
+    gone = _labelled_rows(docs, SIMILARITY, doc_id, text).filter(~F.col("kept")).select("doc_id", "digest")
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        F.col(doc_id).cast("long").alias("doc_id"),
+        text_digest(text).alias("digest"),
     )
-    return docs.join(gone.distinct(), F.col(doc_id).cast("long") == F.col("_gone"), "left_anti").select(*docs.columns)
+    return rows.join(gone.distinct(), ["doc_id", "digest"], "left_anti").select("row.*")
 
 
 SQL = r"""

@@ -50,8 +50,9 @@ GRAM_SIZES = (3, 4)
 EPOCHS = 3
 BATCH_DOCS = 48
 RATE = 0.01
-CACHED_WORDS = 200_000
-CHUNK_CHARS = 1 << 21
+CACHED_WORDS = 100_000
+LEARNED_WORDS = 10_000
+CHUNK_CHARS = 1 << 19
 WINDOW_BATCH = 2_048
 THRESHOLD = 0.3
 SHUT = -30.0  # keeps an update gate closed, so padding passes a state on unchanged
@@ -333,9 +334,11 @@ class Scorer:
             old, self.gates = self.gates, self._table(2 * (count + more))
             for way in range(2):
                 self.gates[way][:count] = old[way][:count]
-        found = self.network.gates(self.network.features(words)[0])
-        for way in range(2):
-            self.gates[way][count : count + more] = found[way][:-1]
+        for a in range(0, more, LEARNED_WORDS):  # the n-grams of a slice are held at once
+            some = words[a : a + LEARNED_WORDS]
+            found = self.network.gates(self.network.features(some)[0])
+            for way in range(2):
+                self.gates[way][count + a : count + a + len(some)] = found[way][:-1]
         self.number.update(zip(words, range(count, count + more), strict=True))
 
     def score(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

@@ -52,7 +52,7 @@ def test_both_queues_match_the_library(coder, library, monkeypatch, bulk):
 
 
 def test_full_cache_is_turned_over(coder, library, monkeypatch):
-    monkeypatch.setattr(byte_bpe, "CACHE_PIECES", 10)
+    monkeypatch.setattr(byte_bpe, "CACHE_BYTES", 10 * byte_bpe.PIECE_BYTES)
     coder.recent, coder.older = {}, {}
     for text in _texts(300):
         assert coder.encode_all([text, text]) == [library.encode_ordinary(text)] * 2

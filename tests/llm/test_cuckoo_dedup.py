@@ -82,3 +82,11 @@ def test_hot_text(spark):
 
 def test_empty_table(spark):
     assert cuckoo_dedup.dedup(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_columns_with_clashing_names(spark):
+    rows = [(1, "a b", "mine", "m2", 3), (2, "a  b", "x", "y", 4), (2, "c", "x", "z", 5), (None, "c", "n", "n", 6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _rank string, _digest string, digest int")
+    kept = cuckoo_dedup.kept_documents(docs)
+    assert kept.columns == docs.columns
+    assert sorted((tuple(r) for r in kept.collect()), key=str) == sorted([rows[0], rows[2]], key=str)

@@ -131,3 +131,22 @@ def test_odd_rows(spark):
     classes = {r.doc_id: r.class_id for r in got}
     assert classes == {4: 2, 2: 2, 9: 2, 5: 5, 7: 5, None: None, 1: 1, 8: 3, 3: 3}
     assert dm.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_one_id_with_several_texts(spark):
+    base = [f"w{i}" for i in range(200)]
+    near = base[:195] + ["x1", "x2", "x3", "x4", "x5"]
+    rows = [(1, " ".join(base)), (5, " ".join(near)), (5, "quite another text under the same id"), (None, " ".join(base))]
+    docs = spark.createDataFrame([(*r, "g", "d", 7) for r in rows], "doc_id long, text string, _gone string, digest string, row int")
+    got = sorted(((r.doc_id, r.class_id, r.kept) for r in dm.near_duplicates(docs).collect()), key=str)
+    assert got == sorted([(1, 1, True), (5, 1, False), (5, 5, True), (None, None, True)], key=str)
+    kept = dm.kept_documents(docs)
+    assert kept.columns == docs.columns
+    assert sorted(kept.collect(), key=str) == sorted((r for r in docs.collect() if r.text != rows[1][1]), key=str)
+
+
+def test_digest_is_that_of_the_sketch(spark):
+    texts = [None, "", " \n", "a  b", " a\tb ", "é\u00a0x \x1f y", "long " * 30_000]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    sketched = {r.doc_id: r.digest for r in dm.sketches(docs).collect()}
+    assert {r.doc_id: r.d for r in docs.select("doc_id", dm.text_digest("text").alias("d")).collect()} == sketched

@@ -45,3 +45,33 @@ def test_near_copies_against_all_pairs(stages):
     single, distinct = stages[2], stages[3]
     classes = _classes([(r.doc_id, r.text) for r in single.collect()])
     assert sorted(r.doc_id for r in distinct.collect()) == sorted(set(classes.values()))
+
+
+ODD = "doc_id long, text string, lang string, source string, n_chars long, _rank string, _digest string, _gone int, size int, doc int, row int, digest string"
+
+
+@pytest.mark.parametrize("rows", [
+    [],
+    [
+        (1, None, None, None, None), (2, "", "en", "a", 0), (3, " \n", "en", None, 2), (4, "one two", "en", "a", 7),
+        (4, "one  two", "en", "a", 8), (4, "another text", "en", "b", 12), (None, "no id", "en", "b", 5),
+        (None, "no id", "en", "b", 5), (7, "word " * 60_000, "en", "c", 300_000), (8, "one two", None, "c", 7),
+    ],
+])
+def test_odd_rows_through_all_stages(spark, rows):
+    import corpus_pipeline
+
+    docs = spark.createDataFrame([(*r, "mine", "m2", 1, 2, 3, 4, "d") for r in rows], ODD)
+    given = {tuple(r) for r in docs.collect()}
+    seen = docs
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        seen = stage(spark, seen, SF)
+        assert seen.columns == docs.columns, name
+        found = [tuple(r) for r in seen.collect()]
+        assert set(found) <= given, name
+        seen = spark.createDataFrame(found, ODD)
+    texts = {r[1] for r in found}
+    if rows:
+        assert {"another text", "word " * 60_000} <= texts
+    encoded = corpus_pipeline.STAGES[-1][1](spark, seen, SF).collect()
+    assert len(encoded) == len(found)
