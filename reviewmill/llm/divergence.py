@@ -30,17 +30,21 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.ml.feature import CountVectorizer
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.feature import CountVectorizer, CountVectorizerModel
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import stored
-from reviewmill.operators.skew import lookup_join
+from reviewmill.llm.common import byte_table, stored, text_slices, tokens_of, with_running_sums
+from reviewmill.operators.skew import lookup_join, scratch_path
 
 LEAST_DOCUMENTS = 3
 TOP_TERMS = 200
 UNIT = 1_000_000_000
-SLICE_TERMS = 2_000_000
+NARROW = 9_000_000_000
+SLICE_TERMS = 3_000_000
+SLICE_BYTES = 1 << 20
+COUNTED_BYTES = 1 << 23
+VECTOR_ROWS = 4_096
 BLOCK_ENTRIES = 1 << 16
 TILE_PAIRS = 1 << 21
 STEP = 1 << 20
@@ -52,97 +56,146 @@ TERM = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
-def lower_ascii(text: Column) -> Column:
-    """Only A to Z in lower case; ASCII texts take the plain function, which does the same."""
-    return F.when(F.rlike(text, F.lit(r"[^\x00-\x7F]")), F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
+def numbered_groups(docs: DataFrame) -> DataFrame:
+    """One row ``lang, source, gid`` per occurring language and source."""
+    found = docs.select("lang", "source").distinct()
+    return with_running_sums(found, [F.col("lang").asc(), F.col("source").asc()], {}, "divergence-groups").select(
+        "lang", "source", F.col("row_index").alias("gid")
+    )
 
 
-def document_terms(docs: DataFrame, text: str, lang: str, source: str) -> DataFrame:
-    """Rows ``lang, source, terms``: every term with its language and a zero character before it."""
-    rows = docs.select(
-        *[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in ((lang, "lang"), (source, "source"))],
-        F.regexp_extract_all(lower_ascii(F.coalesce(F.col(text), F.lit(""))), F.lit(TERM), F.lit(0)).alias("terms"),
-    )
-    prefix = F.concat(F.col("lang"), F.lit("\0"))
-    named = rows.withColumn("terms", F.transform("terms", lambda t: F.concat(prefix, t)))
-    return stored(named, "divergence-terms")
+IN_TERM = byte_table([*range(65), *range(91, 97), *range(123, 128)])
 
 
-def term_slices(terms: DataFrame, slice_terms: int) -> list[DataFrame]:
-    """The rows of ``terms`` dealt by a hash of the term, each slice with a bounded vocabulary."""
-    distinct = terms.select(F.explode("terms").alias("term")).agg(F.approx_count_distinct("term", DISTINCT_ERROR)).first()[0]
-    count = max(1, -(-int(distinct * (1 + 3 * DISTINCT_ERROR)) // slice_terms))
-    if count == 1:
-        return [terms]
+def terms_of(batch: pa.RecordBatch, once: bool = False) -> tuple[pa.Array, np.ndarray]:
+    """All terms of a batch ``gid, lang, text``, each after its language and a zero character, and
+    where each row's terms begin (and the last ones end); with ``once`` a row's distinct terms."""
+    terms, begins = tokens_of(batch.column("text"), IN_TERM)
+    owner = np.repeat(np.arange(batch.num_rows), np.diff(begins))
+    if once:
+        coded = terms.dictionary_encode()
+        size = max(1, len(coded.dictionary))
+        distinct = pa.array(owner * size + coded.indices.to_numpy()).unique().to_numpy()  # still row by row
+        terms, owner = coded.dictionary.take(pa.array(distinct % size)), distinct // size
+        begins = np.searchsorted(owner, np.arange(batch.num_rows + 1))
+    return pc.binary_join_element_wise(batch.column("lang").take(pa.array(owner)), terms, "\0"), begins
 
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                parts: dict[int, list[str]] = {}
-                for term in row["terms"]:
-                    parts.setdefault(zlib.crc32(term.encode()) % count, []).append(term)
-                some = [row | {"terms": own, "slice": k} for k, own in parts.items()]
-                if some:
-                    yield pa.RecordBatch.from_pylist(some, schema)
-
-    schema = pa.schema(
-        [("lang", pa.string()), ("source", pa.string()), ("terms", pa.list_(pa.string())), ("slice", pa.int32())]
-    )
-    dealt = terms.mapInArrow(deal, "lang string, source string, terms array<string>, slice int")
-    spread = F.pmod(F.xxhash64("terms"), F.lit(16))
-    dealt = stored(dealt.repartition("slice", spread).sortWithinPartitions("slice"), "divergence-slices")
-    return [dealt.filter(F.col("slice") == k).select("lang", "source", "terms") for k in range(count)]
 
+def distinct_terms(docs: DataFrame) -> int:
+    """More terms than there are, by an estimate and three times its standard error."""
 
-def add_vectors(vectors: DataFrame) -> DataFrame:
-    """Rows ``lang, source, at, count``: the sparse vectors ``v`` summed per language and source."""
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, COUNTED_BYTES):
+            terms, begins = tokens_of(batch.column("text"), IN_TERM)
+            coded, langs = terms.dictionary_encode(), batch.column("lang").dictionary_encode()
+            size = max(1, len(coded.dictionary))
+            of_lang = np.repeat(langs.indices.to_numpy().astype(np.int64), np.diff(begins))
+            found = pa.array(of_lang * size + coded.indices.to_numpy()).unique().to_numpy()
+            lang = langs.dictionary.take(pa.array(found // size))
+            term = coded.dictionary.take(pa.array(found % size))
+            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(lang, term, "\0")], ["term"])
 
-    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            frame = pd.DataFrame({"lang": batch.column("lang").to_pylist(), "source": batch.column("source").to_pylist()})
-            group = frame.groupby(["lang", "source"], sort=False).ngroup().to_numpy()
-            names = frame.drop_duplicates().to_numpy()
-            vector = batch.column("v")
-            indices, values = pc.struct_field(vector, "indices"), pc.struct_field(vector, "values")
-            sizes = pc.list_value_length(indices).to_numpy(zero_copy_only=False)
-            owner = np.repeat(group, sizes.astype(np.int64))
-            key = (owner.astype(np.int64) << 32) | indices.flatten().to_numpy().astype(np.int64)
-            distinct, place = np.unique(key, return_inverse=True)
-            counts = np.zeros(len(distinct), np.int64)
-            np.add.at(counts, place.ravel(), values.flatten().to_numpy().astype(np.int64))
-            own = distinct >> 32
+    found = docs.mapInArrow(distinct, "term string").agg(F.approx_count_distinct("term", DISTINCT_ERROR)).first()[0]
+    return int(found * (1 + 3 * DISTINCT_ERROR))
+
+
+def term_slices(docs: DataFrame, slice_terms: int) -> list[tuple[DataFrame, DataFrame]]:
+    """Rows ``gid, terms`` in slices by a hash of the term, each of a bounded vocabulary: for a fit,
+    which needs to see a term once per row, and for the vectors."""
+    count = max(1, -(-distinct_terms(docs) // slice_terms))
+
+    def whole(batches: Iterator[pa.RecordBatch], once: bool = False) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, SLICE_BYTES):
+            terms, begins = terms_of(batch, once)
+            lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), terms)
+            yield pa.RecordBatch.from_arrays([batch.column("gid"), lists], ["gid", "terms"])
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        return whole(batches, once=True)
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches, SLICE_BYTES):
+            terms, begins = terms_of(batch)
+            coded = terms.dictionary_encode()
+            of_term = [zlib.crc32(t.encode()) % count for t in coded.dictionary.to_pylist()]
+            dealt = np.array(of_term, np.int64)[coded.indices.to_numpy()]
+            place = dealt * batch.num_rows + np.repeat(np.arange(batch.num_rows), np.diff(begins))
+            order = np.argsort(place, kind="stable")
+            rows, sizes = np.unique(place, return_counts=True)
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)), pa.int32()), terms.take(pa.array(order)))
+            own = batch.column("gid").take(pa.array(rows % batch.num_rows))
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(names[:, 0], pa.string()).take(pa.array(own)),
-                    pa.array(names[:, 1], pa.string()).take(pa.array(own)),
-                    pa.array(distinct & 0xFFFFFFFF, pa.int64()),
-                    pa.array(counts),
-                ],
-                ["lang", "source", "at", "count"],
+                [own, lists, pa.array(rows // batch.num_rows, pa.int32())], ["gid", "terms", "slice"]
             )
 
-    summed = vectors.mapInArrow(add_up, "lang string, source string, at long, count long")
-    return summed.groupBy("lang", "source", "at").agg(F.sum("count").alias("count"))
+    if count == 1:
+        columns = "gid long, terms array<string>"
+        return [(docs.mapInArrow(distinct, columns), docs.mapInArrow(whole, columns))]
+    dealt = docs.mapInArrow(deal, "gid long, terms array<string>, slice int")
+    dealt = stored(dealt.sortWithinPartitions("slice"), "divergence-slices")  # a fit reads its pages only
+    parts = [dealt.filter(F.col("slice") == k).select("gid", "terms") for k in range(count)]
+    return [(part, part) for part in parts]
+
+
+def add_vectors(vectors: DataFrame) -> DataFrame:
+    """Rows ``gid, at, count``: the sparse vectors ``v`` summed per group, as far as a task sees them."""
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for a in range(0, whole.num_rows, VECTOR_ROWS):
+                batch = whole.slice(a, VECTOR_ROWS)
+                groups, group = np.unique(batch.column("gid").to_numpy(), return_inverse=True)
+                indices, values = (pc.struct_field(batch.column("v"), n) for n in ("indices", "values"))
+                sizes = pc.list_value_length(indices).to_numpy(zero_copy_only=False).astype(np.int64)
+                key = np.repeat(group.ravel().astype(np.int64) << 32, sizes) | indices.flatten().to_numpy()
+                order = np.argsort(key)
+                key, count = key[order], values.flatten().to_numpy()[order].astype(np.int64)
+                begins = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
+                key, count = key[begins], np.add.reduceat(count, begins) if len(begins) else count
+                columns = [groups[key >> 32], key & 0xFFFFFFFF, count]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gid", "at", "count"])
+
+    return vectors.mapInArrow(add_up, "gid long, at long, count long")
+
+
+def fitted_terms(model: CountVectorizerModel) -> DataFrame:
+    """Rows ``at, lang, term`` of a fitted vocabulary, by way of the shared folder (the driver's
+    Python never holds it)."""
+    spark = SparkSession.active()
+    path = scratch_path(spark, "divergence-vocabulary")
+    model.write().save(path)
+    keys = spark.read.parquet(f"{path}/data").select(F.posexplode("vocabulary").alias("at", "key"))
+    return keys.select(
+        F.col("at").cast("long").alias("at"),
+        F.expr("left(key, length(key) - length(substring_index(key, '\\0', -1)) - 1)").alias("lang"),
+        F.substring_index("key", "\0", -1).alias("term"),
+    )
 
 
-def group_counts(terms: DataFrame, least: int, slice_terms: int) -> DataFrame:
-    """Rows ``lang, source, term, count`` of the kept terms that occur in a group; written once."""
-    spark = terms.sparkSession
-    found = []
-    for part in term_slices(terms, slice_terms):
-        fitted = CountVectorizer(inputCol="terms", outputCol="v", minDF=float(least), vocabSize=INTEGER_MAX).fit(part)
-        keys = [key.rpartition("\0") for key in fitted.vocabulary]
-        words = pd.DataFrame({"at": range(len(keys)), "term": [k[2] for k in keys]}).astype({"at": "int64", "term": "object"})
-        vocabulary = spark.createDataFrame(words, "at long, term string")
-        sums = add_vectors(fitted.transform(part).select("lang", "source", "v"))
-        found.append(stored(sums.join(vocabulary, "at").select("lang", "source", "term", "count"), "divergence-counts"))
-    return reduce(DataFrame.unionByName, found)
+def group_counts(docs: DataFrame, least: int, slice_terms: int) -> tuple[DataFrame, DataFrame]:
+    """Rows ``gid, lang, term, count, of_lang`` of the kept terms that occur in a group (and their
+    count in the language), written once; and the number of kept terms by language."""
+    found, sizes = [], []
+    of_term = Window.partitionBy("at")
+    for once, part in term_slices(docs, slice_terms):
+        model = CountVectorizer(inputCol="terms", outputCol="v", minDF=float(least), vocabSize=INTEGER_MAX).fit(once)
+        vocabulary = stored(fitted_terms(model), "divergence-terms")
+        sizes.append(vocabulary.groupBy("lang").agg(F.count(F.lit(1)).alias("vocabulary")))
+        # dealt by term alone: sums, the language's count and the join need no other shuffle
+        sums = add_vectors(model.transform(part).select("gid", "v")).repartition("at")
+        sums = sums.groupBy("gid", "at").agg(F.sum("count").alias("count"))
+        sums = sums.withColumn("of_lang", F.sum("count").over(of_term)).join(vocabulary, "at")
+        found.append(stored(sums.select("gid", "lang", "term", "count", "of_lang"), "divergence-counts"))
+    kept = reduce(DataFrame.unionByName, sizes).groupBy("lang").agg(F.sum("vocabulary").alias("vocabulary"))
+    return reduce(DataFrame.unionByName, found), kept
 
 
 def share(count: str, total: str, size: str) -> Column:
-    """``1 + floor(UNIT * (count + 1) / (total + size))`` in exact integers; null for an empty vocabulary."""
-    wide = f"(CAST({UNIT} AS DECIMAL(10,0)) * CAST({count} + 1 AS DECIMAL(20,0)))"
-    return F.expr(f"CASE WHEN {size} > 0 THEN 1 + {wide} div CAST({total} + {size} AS DECIMAL(20,0)) END")
+    """``1 + floor(UNIT * (count + 1) / (total + size))`` in exact integers; null for an empty
+    vocabulary. Counts that would not fit are multiplied as decimals."""
+    wide = f"(CAST({UNIT} AS DECIMAL(10,0)) * CAST({count} + 1 AS DECIMAL(20,0))) div CAST({total} + {size} AS DECIMAL(20,0))"
+    narrow = f"({UNIT}L * ({count} + 1)) div ({total} + {size})"
+    return F.expr(f"CASE WHEN {size} > 0 THEN 1 + CASE WHEN {count} < {NARROW}L THEN {narrow} ELSE {wide} END END")
 
 
 def _gap(p: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -248,26 +301,29 @@ def divergence(
 ) -> DataFrame:
     """Rows ``lang, source, part, item, value, rank``: parts ``pair`` (the other sources) and
     ``term`` (the first ``top`` terms that a source uses more than its language does)."""
-    terms = document_terms(docs, text, lang, source)
-    counts = group_counts(terms, least, slice_terms)
-    whole = stored(counts.groupBy("lang", "term").agg(F.sum("count").alias("of_lang")), "divergence-langs")
-    langs = whole.groupBy("lang").agg(F.count(F.lit(1)).alias("vocabulary"), F.sum("of_lang").alias("lang_total"))
-    totals = counts.groupBy("lang", "source").agg(F.sum("count").alias("total"))
-    groups = terms.select("lang", "source").distinct().join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
-    groups = groups.fillna(0, ["total", "vocabulary", "lang_total"])
+    columns = ((lang, "lang"), (source, "source"), (text, "text"))
+    rows = docs.select(*[F.coalesce(F.col(c).cast("string"), F.lit("")).alias(n) for c, n in columns])
+    groups = numbered_groups(rows)
+    groups = stored(groups, "divergence-names")
+    texts = lookup_join(rows, groups, ["lang", "source"]).select("gid", "lang", "text")
+    counts, kept = group_counts(texts, least, slice_terms)
+    totals = counts.groupBy("gid").agg(F.sum("count").alias("total"))
+    groups = groups.join(totals, "gid", "left").join(kept, "lang", "left").fillna(0, ["total", "vocabulary"])
+    whole = F.sum("total").over(Window.partitionBy("lang"))
+    groups = groups.withColumn("lang_total", whole)
     numbered = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
     groups = groups.withColumns({"s": numbered, "absent": share("0L", "total", "vocabulary")})
     groups = stored(groups, "divergence-groups")
 
-    facts = groups.select("lang", "source", "s", "total", "lang_total", "vocabulary")
-    entries = lookup_join(counts, facts, ["lang", "source"]).withColumn("p", share("count", "total", "vocabulary"))
+    facts = groups.select("gid", "source", "s", "total", "lang_total", "vocabulary")
+    entries = lookup_join(counts, facts, ["gid"]).withColumn("p", share("count", "total", "vocabulary"))
     pairs = compare_pairs(entries.select("lang", "s", "term", "p"), groups)
     names = groups.select("lang", "s", "source")
     others = groups.select("lang", F.col("s").alias("t"), F.col("source").alias("item"))
     pairs = lookup_join(lookup_join(pairs, names, ["lang", "s"]), others, ["lang", "t"])
     pairs = pairs.select("lang", "source", F.lit("pair").alias("part"), "item", "value")
 
-    ranked = entries.join(whole, ["lang", "term"]).withColumn("q", share("of_lang", "lang_total", "vocabulary"))
+    ranked = entries.withColumn("q", share("of_lang", "lang_total", "vocabulary"))
     ranked = ranked.filter("p > q").select(
         "lang",
         "source",
