@@ -684,3 +684,47 @@ def first_items_and_lookups(spark, sf_dir):
         F.array_join(tx.first_items("w", 3), " ").alias("head"),
         tx.map_get(by_language, "en", -1).alias("n_en"),
     )
+
+
+# every distinct word is folded from its end, with the best rests of all later starts in a list
+@register(
+    "compound_pieces",
+    f"""WITH RECURSIVE {inp.DICTIONARY_SQL}, {inp.REVIEWS_SQL},
+toks AS (SELECT university_name, unnest(regexp_extract_all(review_text, '{sq.WORD_TOKEN}')) AS word FROM reviews),
+counts AS MATERIALIZED (SELECT university_name, word, count(*) AS n FROM toks GROUP BY ALL),
+cuttable AS MATERIALIZED (SELECT DISTINCT word FROM counts WHERE regexp_matches(word, '^[\\p{{L}}\\p{{M}}]')),
+starts AS (SELECT word, unnest(range(1, length(word) + 1)) AS start FROM cuttable),
+edges AS MATERIALIZED (
+  SELECT word, start, list(length(surface)) AS sizes
+  FROM starts JOIN dictionary ON substr(word, start, length(surface)) = surface GROUP BY ALL),
+fold(word, start, rests) AS (
+  SELECT word, length(word) + 1, [{{'cost': 0::BIGINT, 'steps': []::INTEGER[]}}] FROM cuttable
+  UNION ALL
+  SELECT fold.word, fold.start - 1, list_prepend(list_sort(list_concat(
+      list_transform(coalesce(sizes, []), lambda s: {{
+        'cost': rests[s].cost + 1, 'steps': list_prepend((-s)::INTEGER, rests[s].steps)}}),
+      [{{'cost': rests[1].cost + 1000001, 'steps': list_prepend(0::INTEGER, rests[1].steps)}}]))[1], rests)
+  FROM fold LEFT JOIN edges ON edges.word = fold.word AND edges.start = fold.start - 1 WHERE fold.start > 1),
+steps AS (SELECT word, unnest(rests[1].steps) AS step, generate_subscripts(rests[1].steps, 1) AS no FROM fold WHERE start = 1),
+placed AS (
+  SELECT word, no, step, 1 + coalesce(sum(CASE WHEN step = 0 THEN 1 ELSE -step END) OVER (
+    PARTITION BY word ORDER BY no ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start FROM steps),
+runs AS (
+  SELECT *, sum(CASE WHEN step = 0 AND before = 0 THEN 0 ELSE 1 END) OVER (PARTITION BY word ORDER BY no) AS run
+  FROM (SELECT *, lag(step, 1, 1) OVER (PARTITION BY word ORDER BY no) AS before FROM placed)),
+pieces AS (
+  SELECT word, string_agg(substr(word, start::BIGINT, CASE WHEN step = 0 THEN 1 ELSE -step END), '' ORDER BY no) AS piece
+  FROM runs GROUP BY word, run
+  UNION ALL
+  SELECT word, word FROM (SELECT DISTINCT word FROM counts) WHERE NOT regexp_matches(word, '^[\\p{{L}}\\p{{M}}]'))
+SELECT university_name, piece, coalesce(lemma, piece) AS lemma,
+       coalesce(pos, CASE WHEN regexp_matches(piece, '^\\p{{N}}') THEN 'Number'
+                          WHEN regexp_matches(piece, '^[\\p{{L}}\\p{{M}}]') THEN 'Unknown' ELSE 'Punctuation' END) AS pos,
+       sum(n)::BIGINT AS n
+FROM counts JOIN pieces USING (word) LEFT JOIN dictionary ON piece = surface GROUP BY ALL""",
+)
+def compound_pieces(spark, sf_dir):
+    """Pieces of unspaced words by university: words are counted first, then cut once each."""
+    return jobs.compound_counts(
+        inp.reviews(spark, sf_dir), "review_text", ["university_name"], inp.dictionary(spark)
+    )

@@ -20,7 +20,7 @@ from reviewmill.functions.constants import (
     NO_TAGS,
 )
 from reviewmill.functions.scoring import sign_class_ko
-from reviewmill.operators import compare, density, embedding, filters, merging, words
+from reviewmill.operators import compare, density, embedding, filters, lattice, merging, words
 from reviewmill.operators import sentiment as st
 from reviewmill.operators import tokens as tk
 from reviewmill.operators.keywords import first_rows
@@ -233,6 +233,15 @@ def noun_lists(
     return merging.merge_words(nouns, [key], row_id, **bounds)
 
 
+def compound_counts(reviews: DataFrame, text: str, keys: list[str], dictionary: DataFrame) -> DataFrame:
+    """``keys, piece, lemma, pos, n``: dictionary pieces of the words of each group, counted. Words
+    without spaces are cut along the best path; each distinct word is cut once."""
+    words = reviews.select(*keys, F.explode(tx.word_tokens(text)).alias("word"))
+    counted = words.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
+    pieces = lattice.tagged_pieces(counted, dictionary)
+    return pieces.groupBy(*keys, "piece", "lemma", "pos").agg(F.sum("n").alias("n"))
+
+
 def compare_universities(top: DataFrame, key: str = UNIVERSITY, k: int = 10) -> DataFrame:
     """Two clusters of universities in the plane of two principal components, with distance
     to the nearest centre and outlier flag. ``top`` is ``key, word, n, rank``."""
