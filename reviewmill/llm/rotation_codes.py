@@ -17,7 +17,8 @@ worked off as tiles, two blocks each.
 
 Defined results: a vector that is null, zero or has a null or non-finite component, and one
 whose label or id is null, links with nothing and is its own component; vectors of different
-length don't link; a repeated row is another vector; an empty table gives an empty result;
+length don't link; a repeated row is another vector, and so is a repeated id with another
+vector; an empty table gives an empty result;
 other columns are ignored.
 """
 
@@ -36,6 +37,7 @@ from reviewmill.llm.common import components, stored
 COSINE = 0.98
 BUCKET_ROWS = 64
 TILE_ROWS = 2_000
+PART = 256
 MISSED = 1e-5
 SIGMAS = 6.0
 MOST_BITS = 24
@@ -102,8 +104,19 @@ def _encoded(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             )
 
 
+def _exact(unit: np.ndarray, first: int, mask: np.ndarray) -> np.ndarray:
+    """Which pairs of ``mask`` (rows from ``first`` on, all columns) reach the cosine, by a
+    product over the rows and columns that have candidates at all."""
+    rows, columns = np.flatnonzero(mask.any(axis=1)), np.flatnonzero(mask.any(axis=0))
+    linked = np.zeros_like(mask)
+    if len(rows):
+        linked[np.ix_(rows, columns)] = unit[first + rows] @ unit[columns].T >= COSINE
+    return linked & mask
+
+
 def _tile(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-    """Link counts and a spanning forest of the links of one tile."""
+    """Link counts and a spanning forest of the links of one tile. Pairs are bits of a mask of
+    PART rows at a time, so memory does not depend on how many of them are near."""
     rows = rows.sort_values("rep", ignore_index=True)
     count, band = len(rows), int(key[1])
     unit = units(rows["embedding"].tolist())
@@ -112,32 +125,24 @@ def _tile(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
     ).astype(bool)
     factors, bands = rows["factor"].to_numpy(), np.array(rows["keys"].tolist())
     block, reps, copies = rows["block"].to_numpy(), rows["rep"].to_numpy(), rows["copies"].to_numpy()
-    links, parent = np.zeros(count, np.int64), list(range(count))
+    links, root = np.zeros(count, np.int64), np.arange(count)
     edges = []
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = i = parent[parent[i]]
-        return i
-
-    for first in range(0, count, 512):
-        part = slice(first, first + 512)
-        i, j = np.nonzero(candidates(codes[part], factors[part], unit))
-        i += first
-        wanted = i < j
+    for first in range(0, count, PART):
+        part = slice(first, first + PART)
+        mask = candidates(codes[part], factors[part], unit)
+        mask &= np.arange(count) > np.arange(count)[part, None]
         if key[3] != key[4]:
-            wanted &= block[i] != block[j]
-        i, j = i[wanted], j[wanted]
-        new = (bands[i] == bands[j]).argmax(axis=1) == band
-        i, j = i[new], j[new]
-        linked = np.einsum("nd,nd->n", unit[i], unit[j]) >= COSINE
-        for a, b in zip(i[linked].tolist(), j[linked].tolist(), strict=True):
-            links[a] += copies[b]
-            links[b] += copies[a]
-            x, y = root(a), root(b)
-            if x != y:
-                parent[max(x, y)] = min(x, y)
-                edges.append((reps[a], reps[b]))
+            mask &= block[part, None] != block
+        for earlier in range(band):  # such a pair counts there
+            mask &= bands[part, None, earlier] != bands[:, earlier]
+        mask = _exact(unit, first, mask)
+        links[part] += mask @ copies
+        links += copies[part] @ mask
+        for a in np.flatnonzero(mask.any(axis=1)):
+            met = np.unique(root[np.append(np.flatnonzero(mask[a]), first + a)])
+            if len(met) > 1:
+                edges += [(reps[met[0]], reps[other]) for other in met[1:]]
+                root[np.isin(root, met)] = met[0]
     some = np.flatnonzero(links)
     found = pd.DataFrame({"a": reps[some], "b": reps[some], "links": links[some]})
     joined = pd.DataFrame(edges, columns=["a", "b"]).assign(links=0)
@@ -160,10 +165,11 @@ def near_duplicates(
         F.col(embedding).alias("embedding"),
     ).withColumn("usable", _usable("vec_id", "label", "embedding"))
     usable = rows.filter("usable").withColumn("group", F.struct("label", F.size("embedding").alias("size")))
-    classes = stored(
-        usable.groupBy("group", "embedding").agg(F.min("vec_id").alias("rep"), F.count(F.lit(1)).alias("copies")),
-        "vector-classes",
+    classes = usable.groupBy("group", "embedding").agg(
+        F.min("vec_id").alias("smallest"), F.count(F.lit(1)).alias("copies")
     )
+    # classes go by a number of their own: an id may be repeated with another vector
+    classes = stored(classes.withColumn("rep", F.monotonically_increasing_id()), "vector-classes")
     sizes = classes.groupBy("group").agg(F.count(F.lit(1)).alias("label_rows"))
     kind = dict(vectors.dtypes)[embedding]
     encoded = stored(
@@ -187,15 +193,17 @@ def near_duplicates(
     found = stored(tiles.groupBy(*place, "low", "high").applyInPandas(_tile, FOUND), "vector-links")
     reached = components(found.filter("links = 0"), "a", "b", "vector-components")
     links = found.filter("links > 0").groupBy(F.col("a").alias("rep")).agg(F.sum("links").alias("links"))
-    known = (
+    placed = (
         classes.join(links, "rep", "left")
         .join(reached.withColumnRenamed("node", "rep"), "rep", "left")
-        .select(
-            "group",
-            "embedding",
-            (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-            F.coalesce("component", "rep").alias("component_id"),
-        )
+        .withColumn("component", F.coalesce("component", "rep"))
+    )
+    smallest = placed.groupBy("component").agg(F.min("smallest").alias("component_id"))
+    known = placed.join(smallest, "component").select(
+        "group",
+        "embedding",
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
+        "component_id",
     )
     linked = usable.join(known, ["group", "embedding"]).select("vec_id", "n_links", "component_id")
     alone = rows.filter(~F.col("usable")).select(

@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
+import pandas as pd
 
 from reviewmill.llm import rotation_codes as rc
 
@@ -105,3 +108,35 @@ def test_odd_rows(spark):
     got = sorted(map(str, rc.near_duplicates(twice).collect()))
     assert len(got) == 3 and "n_links=1" in got[0] and "n_links=0" in got[2]
     assert rc.near_duplicates(twice.limit(0)).count() == 0
+
+
+def test_one_id_with_two_vectors(spark):
+    rows = [(5, 1, [1.0, 0.0], 0), (5, 1, [0.0, 1.0], 0), (3, 1, [0.0, 1.01], 0), (9, 1, [1.0, 0.01], 0)]
+    found = rc.near_duplicates(spark.createDataFrame(rows, SCHEMA)).collect()
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in found)
+    assert got == [(3, 1, 3, True), (5, 1, 3, False), (5, 1, 5, True), (9, 1, 5, False)]
+
+
+def test_a_tile_of_near_copies_stays_small():
+    draw, count, size = np.random.default_rng(2), 4_000, 384
+    vectors = draw.standard_normal(size) + 0.02 * draw.standard_normal((count, size))
+    unit = rc.units(list(vectors))
+    codes, factors = rc.encode(unit)
+    rows = pd.DataFrame(
+        {
+            "rep": np.arange(count),
+            "copies": 1,
+            "embedding": list(vectors),
+            "code": [c.tobytes() for c in np.packbits(codes, axis=1)],
+            "factor": factors,
+            "keys": list(np.zeros((count, 1), np.int64)),
+            "block": np.arange(count) % 2,
+        }
+    )
+    tracemalloc.start()
+    found = rc._tile(("g", 0, 0, 0, 1), rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500e6
+    assert (found.loc[found["links"] > 0, "links"] == count // 2).all()
+    assert (found["links"] == 0).sum() == count - 1
