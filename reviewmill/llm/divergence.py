@@ -43,11 +43,11 @@ UNIT = 1_000_000_000
 NARROW = 9_000_000_000
 SLICE_TERMS = 3_000_000
 SLICE_BYTES = 1 << 20
-COUNTED_BYTES = 1 << 23
-VECTOR_ROWS = 4_096
+COUNTED_BYTES = 1 << 21
+VECTOR_ROWS = 1_024
 BLOCK_ENTRIES = 1 << 16
 TILE_PAIRS = 1 << 21
-STEP = 1 << 20
+STEP = 1 << 18
 INTEGER_MAX = (1 << 31) - 1
 DISTINCT_ERROR = 0.02
 
@@ -81,11 +81,19 @@ def terms_of(batch: pa.RecordBatch, once: bool = False) -> tuple[pa.Array, np.nd
     return pc.binary_join_element_wise(batch.column("lang").take(pa.array(owner)), terms, "\0"), begins
 
 
+def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches; when a task is done with them, its worker gives unused memory back."""
+    try:
+        yield from batches
+    finally:
+        pa.default_memory_pool().release_unused()
+
+
 def distinct_terms(docs: DataFrame) -> int:
     """More terms than there are, by an estimate and three times its standard error."""
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, COUNTED_BYTES):
+        for batch in text_slices(released(batches), COUNTED_BYTES):
             terms, begins = tokens_of(batch.column("text"), IN_TERM)
             coded, langs = terms.dictionary_encode(), batch.column("lang").dictionary_encode()
             size = max(1, len(coded.dictionary))
@@ -105,7 +113,7 @@ def term_slices(docs: DataFrame, slice_terms: int) -> list[tuple[DataFrame, Data
     count = max(1, -(-distinct_terms(docs) // slice_terms))
 
     def whole(batches: Iterator[pa.RecordBatch], once: bool = False) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, SLICE_BYTES):
+        for batch in text_slices(released(batches), SLICE_BYTES):
             terms, begins = terms_of(batch, once)
             lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), terms)
             yield pa.RecordBatch.from_arrays([batch.column("gid"), lists], ["gid", "terms"])
@@ -114,7 +122,7 @@ def term_slices(docs: DataFrame, slice_terms: int) -> list[tuple[DataFrame, Data
         return whole(batches, once=True)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(batches, SLICE_BYTES):
+        for batch in text_slices(released(batches), SLICE_BYTES):
             terms, begins = terms_of(batch)
             coded = terms.dictionary_encode()
             of_term = [zlib.crc32(t.encode()) % count for t in coded.dictionary.to_pylist()]
@@ -141,7 +149,7 @@ def add_vectors(vectors: DataFrame) -> DataFrame:
     """Rows ``gid, at, count``: the sparse vectors ``v`` summed per group, as far as a task sees them."""
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
+        for whole in released(batches):
             for a in range(0, whole.num_rows, VECTOR_ROWS):
                 batch = whole.slice(a, VECTOR_ROWS)
                 groups, group = np.unique(batch.column("gid").to_numpy(), return_inverse=True)
