@@ -10,7 +10,9 @@ from reviewmill.catalog.registry import register
 from reviewmill.operators import compare, density, embedding
 from reviewmill.operators import tokens as tk
 from reviewmill.operators import words as wd
+from reviewmill.operators.skew import cut_lineage, scratch_path
 from reviewmill.plans import jobs
+from reviewmill.sources import writers
 
 _TOP = f"""
 WITH {inp.REVIEWS_SQL},
@@ -60,24 +62,91 @@ def similarity_matrix_wide(spark, sf_dir):
     return compare.similarity_matrix(pairs.withColumn("cosine", F.round("cosine", 9)), _LANGS)
 
 
-@register("bisecting_clusters")
+def _power_sql(name: str, matrix: str) -> str:
+    """The largest eigenvector ``v`` of a matrix, the longest coordinate positive, and the square
+    root ``s`` of its eigenvalue."""
+    return f"""
+{name}_power(step, v) AS (
+  SELECT 0, list_transform(rows, lambda r, i: sin(i)) FROM {matrix}
+  UNION ALL
+  SELECT step + 1, list_transform(w, lambda x: x / sqrt(list_inner_product(w, w)))
+  FROM (SELECT step, list_transform(rows, lambda r: list_inner_product(r, v)) AS w
+        FROM {name}_power, {matrix} WHERE step < 1500)),
+{name} AS MATERIALIZED (
+  SELECT list_transform(v, lambda x: CASE WHEN list_max(v) < -list_min(v) THEN -x ELSE x END) AS v, s
+  FROM (SELECT v, list_transform(rows, lambda r: list_inner_product(r, v)) AS w, sqrt(sqrt(list_inner_product(w, w))) AS s
+        FROM {name}_power, {matrix} WHERE step = 1500))"""
+
+
+_PLANE = f"""{_TOP.replace("WITH", "WITH RECURSIVE", 1)},
+ids AS (SELECT g, row_number() OVER (ORDER BY g) AS i FROM norms),
+gram AS (
+  SELECT x.i, y.i AS j, CAST(coalesce(dot, 0) AS DOUBLE) AS d
+  FROM ids x CROSS JOIN ids y LEFT JOIN pairs ON g1 = x.g AND g2 = y.g),
+centred AS (
+  SELECT i, j, d - avg(d) OVER (PARTITION BY i) - avg(d) OVER (PARTITION BY j) + avg(d) OVER () AS d FROM gram),
+k1 AS MATERIALIZED (
+  SELECT list(r ORDER BY i) AS rows FROM (SELECT i, list(d ORDER BY j) AS r FROM centred GROUP BY i)),
+{_power_sql("one", "k1")},
+k2 AS MATERIALIZED (
+  SELECT list_transform(rows, lambda r, i: list_transform(r, lambda x, j: x - s * s * v[i] * v[j])) AS rows
+  FROM k1, one),
+{_power_sql("two", "k2")},
+plane AS (SELECT g, one.s * one.v[i] AS pc1, two.s * two.v[i] AS pc2, i FROM ids, one, two),
+walk(step, c) AS (
+  SELECT 0, list_transform(v, lambda x: CASE WHEN x > 0 THEN CAST(1 AS DOUBLE) ELSE 0 END) FROM one
+  UNION ALL
+  SELECT step + 1,
+         list_transform(a1, lambda x, i: CASE WHEN x - q1 / 2 > a0[i] - q0 / 2 THEN CAST(1 AS DOUBLE) ELSE 0 END)
+  FROM (SELECT *, list_inner_product(c, a1) / n1 AS q1, list_inner_product(b, a0) / n0 AS q0
+        FROM (SELECT *, list_transform(rows, lambda r: list_inner_product(r, c) / n1) AS a1,
+                     list_transform(rows, lambda r: list_inner_product(r, b) / n0) AS a0
+              FROM (SELECT step, c, list_transform(c, lambda x: 1 - x) AS b, list_sum(c) AS n1,
+                           len(c) - list_sum(c) AS n0 FROM walk WHERE step < 60), k1))),
+clusters AS (SELECT g, CAST(c[i] AS INTEGER) AS cluster FROM ids, walk WHERE step = 60)
+"""
+
+
+@register("bisecting_clusters", f"{_PLANE} SELECT g, cluster FROM clusters")
 def bisecting_clusters(spark, sf_dir):
-    vectors = compare.term_vectors(_top(spark, sf_dir), "g")
-    return compare.bisect(vectors, 2).select("g", "cluster")
+    top = cut_lineage(_top(spark, sf_dir))
+    return compare.two_clusters(top, compare.principal_components(top, "g"), "g")
 
 
-@register("pca2")
+@register("pca2", f"{_PLANE} SELECT g, round(pc1, 4) AS pc1, round(pc2, 4) AS pc2 FROM plane")
 def pca2(spark, sf_dir):
-    vectors = compare.term_vectors(_top(spark, sf_dir), "g")
-    projected = compare.principal_components(vectors, 2)
-    return projected.select("g", compare.vector_to_array("pc").alias("pc")).select(
-        "g", F.get("pc", F.lit(0)).alias("pc1"), F.get("pc", F.lit(1)).alias("pc2")
-    )
+    placed = compare.principal_components(_top(spark, sf_dir), "g")
+    return placed.select("g", *[F.round(F.get("pc", F.lit(i)), 4).alias(f"pc{i + 1}") for i in range(2)])
 
 
-@register("compare_universities")
+@register(
+    "compare_universities",
+    f"""{_PLANE},
+points AS (SELECT g, pc1, pc2, cluster + 1 AS cluster FROM plane JOIN clusters USING (g)),
+centres AS (SELECT avg(pc1) AS x, avg(pc2) AS y FROM points GROUP BY cluster),
+near AS (SELECT g, min(sqrt((pc1 - x) ** 2 + (pc2 - y) ** 2)) AS d FROM points, centres GROUP BY g),
+lim AS (SELECT avg(d) + stddev_samp(d) AS t FROM near)
+SELECT g, round(pc1, 4) AS pc1, round(pc2, 4) AS pc2, cluster, round(d, 4) AS distance_to_center, d > t AS is_noise
+FROM points JOIN near USING (g) CROSS JOIN lim""",
+)
 def compare_universities(spark, sf_dir):
-    return jobs.compare_universities(_top(spark, sf_dir), "g")
+    found = jobs.compare_universities(cut_lineage(_top(spark, sf_dir)), "g")
+    return found.withColumns({c: F.round(c, 4) for c in ("pc1", "pc2", "distance_to_center")})
+
+
+@register(
+    "similarity_matrix_csv",
+    _TOP.replace("university_name || '/' || shop_name AS g", "university_name AS g")
+    + "SELECT g1, g2, cosine FROM cosines UNION ALL "
+    + "SELECT a.g, b.g, 0 FROM norms a CROSS JOIN norms b WHERE (a.g, b.g) NOT IN (SELECT (g1, g2) FROM cosines)",
+)
+def similarity_matrix_csv(spark, sf_dir):
+    """The wide matrix as a CSV file with the group as first column, read back as pairs."""
+    path = scratch_path(spark, "similarities")
+    writers.write_csv(similarity_matrix_wide(spark, sf_dir), path, single_file=True)
+    schema = ", ".join(["g1 string", *[f"{g} double" for g in _LANGS]])
+    back = spark.read.option("header", True).schema(schema).csv(path)
+    return back.unpivot("g1", _LANGS, "g2", "cosine")
 
 
 @register(

@@ -6,8 +6,9 @@ group-by-term matrix with at most k entries per group.
 
 from __future__ import annotations
 
-from pyspark.ml.clustering import BisectingKMeans
-from pyspark.ml.feature import PCA, StandardScaler
+import json
+
+import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
@@ -15,8 +16,11 @@ from pyspark.sql import functions as F
 
 from reviewmill.operators.skew import cut_lineage, lookup_join
 
-# the term covariance of the projection is kept on one machine: 4096^2 doubles = 128 MB
-MAX_TERMS = 4096
+# columns that an iteration of the principal components adds, and how exact these are
+BLOCK = 22
+EXACT = 1e-11
+# a share of the table's sum of squares that rounding alone can make up
+NOISE = 1e-12
 CENTRE_BLOCK = 1024
 PAIR_BLOCKS = 8
 
@@ -74,42 +78,138 @@ def similarity_matrix(pairs: DataFrame, groups: list[str] | None = None) -> Data
     return pairs.groupBy("g1").pivot("g2", groups).agg(F.first("cosine")).fillna(0.0)
 
 
-def term_vectors(top: DataFrame, key: str, value: str = "n", max_terms: int = MAX_TERMS) -> DataFrame:
-    """``key, features``: dense vectors over the joint vocabulary of the top words.
+def _times(rows: Column, matrix: np.ndarray) -> Column:
+    """Row vectors times a small matrix of the driver."""
+    columns = F.from_json(F.lit(json.dumps(matrix.T.tolist())), "array<array<double>>")
+    return F.transform(columns, lambda c: _inner(rows, c))
 
-    The top words (at most k rows per group) and the vectors are written out once: the
-    fitting algorithms pass over them many times and must not go back to the texts.
-    """
-    top = cut_lineage(top.select(key, "word", value))
-    words = top.select("word").distinct()
-    if words.limit(max_terms + 1).count() > max_terms:
-        raise ValueError(f"more than {max_terms} distinct top words: compare fewer words per group")
-    vocabulary = words.agg(F.array_sort(F.collect_list("word")).alias("v")).scalar()
-    # k entries per group at most, so the per-group map is small
-    freqs = top.groupBy(key).agg(
-        F.map_from_entries(F.collect_list(F.struct("word", F.col(value).cast("double")))).alias("m")
-    )
-    dense = F.transform(F.col("v"), lambda w: F.coalesce(F.try_element_at("m", w), F.lit(0.0)))
-    rows = freqs.withColumn("v", vocabulary)
-    return cut_lineage(rows.select(key, array_to_vector(dense).alias("features")))
 
+def _inner(a: Column, b: Column) -> Column:
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
 
-def bisect(vectors: DataFrame, k: int = 2, seed: int = 42) -> DataFrame:
-    """Hierarchical split into k clusters (divisive, squared-error objective)."""
-    model = BisectingKMeans(
-        featuresCol="features", predictionCol="cluster", k=k, seed=seed, minDivisibleClusterSize=1.0
-    )
-    return model.fit(vectors).transform(vectors)
 
+def _minus(a: Column, b: Column) -> Column:
+    return F.zip_with(a, b, lambda x, y: x - y)
 
-def principal_components(vectors: DataFrame, k: int = 2, output: str = "pc") -> DataFrame:
-    """Centred projection on the first k principal components. Signs are arbitrary."""
-    centre = StandardScaler(
-        inputCol="features", outputCol="_centred", withMean=True, withStd=False
-    )
-    centred = centre.fit(vectors).transform(vectors)
-    model = PCA(k=k, inputCol="_centred", outputCol=output).fit(centred)
-    return model.transform(centred).drop("_centred")
+
+def _products(state: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Inner products of the columns of ``q`` and of ``y`` with those of ``y``, over all groups."""
+    outer = F.transform(F.concat("q", "y"), lambda a: F.transform("y", lambda b: a * b))
+    total = state.agg(
+        F.max(F.size("q")).alias("known"),
+        F.max(F.size("y")).alias("new"),
+        Summarizer.sum(array_to_vector(F.flatten(outer))).alias("s"),
+    ).first()
+    found = total["s"].toArray().reshape(total["known"] + total["new"], total["new"])
+    return found[: total["known"]], found[total["known"] :]
+
+
+def _extended(state: DataFrame, least: float) -> tuple[DataFrame | None, np.ndarray, np.ndarray]:
+    """``g, q, y`` to ``g, q`` with the part of ``y`` outside ``q`` as further orthonormal columns
+    (None if nothing longer than ``least`` is left); the products of ``q`` and ``y``, and those of
+    the part outside with itself. Projected twice, as once is not orthogonal to the last digits."""
+    first, _ = _products(state)
+    state = cut_lineage(state.withColumn("y", _minus(F.col("y"), _times(F.col("q"), first))))
+    second, rest = _products(state)
+    rest = rest - second.T @ second
+    lengths, axes = np.linalg.eigh((rest + rest.T) / 2)
+    kept = lengths > least**2
+    if not kept.any():
+        return None, first + second, rest
+    scaled = axes[:, kept] / np.sqrt(lengths[kept])
+    outside = _minus(F.col("y"), _times(F.col("q"), second))
+    grown = state.select("g", "q", outside.alias("y")).select("g", F.concat("q", _times(F.col("y"), scaled)).alias("q"))
+    return cut_lineage(grown), first + second, rest
+
+
+def _multiplied(entries: DataFrame, state: DataFrame, width: int) -> DataFrame:
+    """``state`` with ``y``: matrix times its transpose times the last ``width`` columns of ``q``."""
+    last = F.slice("q", -width, width)
+    places = [f"y{i}" for i in range(width)]
+    known = state.select("g", *[F.get(last, F.lit(i)).alias(c) for i, c in enumerate(places)])
+    sums = [F.sum(F.col("x") * F.col(c)).alias(c) for c in places]
+    by_word = entries.join(known, "g").groupBy("word").agg(*sums)
+    by_group = entries.join(by_word, "word").groupBy("g").agg(*sums)
+    return cut_lineage(state.join(by_group.select("g", F.array(*places).alias("y")), "g"))
+
+
+def principal_components(top: DataFrame, key: str, value: str = "n", k: int = 2) -> DataFrame:
+    """``key, pc``: centred projection of the groups on their first k principal components.
+
+    The sparse table stays a table: a block Lanczos iteration multiplies ``BLOCK`` columns per
+    group by the matrix and its transpose (two joins), and the driver sees inner products of
+    columns only, so neither words nor groups are limited. A constant first column centres
+    the groups. It ends when the components are exact to ``EXACT`` of the largest singular
+    value squared, or when no further direction is left. Of each component the coordinate that
+    is largest in absolute value is positive. Missing components are 0, as for a single group, and
+    so are those below ``NOISE`` of the sum of squares.
+    """
+    entries = cut_lineage(top.select(F.col(key).alias("g"), "word", F.col(value).cast("double").alias("x")))
+    groups = cut_lineage(entries.select("g").distinct())
+    count = groups.count()
+    if count == 0:
+        return groups.select(F.col("g").alias(key), F.array().cast("array<double>").alias("pc"))
+    noise = NOISE * entries.agg(F.sum(F.col("x") * F.col("x"))).first()[0]
+    width = min(BLOCK + k, count)
+    start = [F.xxhash64("g", F.lit(i)) / F.lit(2.0**63) for i in range(width)]
+    constant = F.array(F.lit(1 / np.sqrt(count))).alias("q")
+    state = groups.select("g", constant)
+    added, _, _ = _extended(cut_lineage(state.withColumn("y", F.array(*start))), 1e-9)
+    known = np.zeros((0, 0))
+    values, axes = np.zeros(0), np.zeros((0, 0))
+    size = 0
+    while added is not None:
+        state = added
+        width = state.select(F.size("q")).first()[0] - 1 - size
+        size += width
+        added, products, rest = _extended(_multiplied(entries, state, width), noise)
+        grown = np.zeros((size, size))
+        grown[: size - width, : size - width] = known
+        grown[:, size - width :] = products[1:]
+        grown[size - width :] = products[1:].T
+        known = grown
+        values, axes = np.linalg.eigh((known + known.T) / 2)
+        ends = axes[size - width :, -k:]
+        left = np.sqrt(np.maximum(np.einsum("ik,ij,jk->k", ends, rest, ends), 0))
+        if size >= k and (left <= max(EXACT * values.max(), noise)).all():
+            break
+    found = np.zeros((size + 1, k))
+    for i in range(min(k, size)):
+        found[1:, i] = axes[:, -1 - i] * np.sqrt(values[-1 - i] if values[-1 - i] > noise else 0.0)
+    placed = cut_lineage(state.select("g", _times(F.col("q"), found).alias("pc")))
+    one = [F.get("pc", F.lit(i)) for i in range(k)]
+    signs = placed.agg(*[F.max_by(c, F.abs(c)).alias(f"s{i}") for i, c in enumerate(one)]).first()
+    turned = [c * F.lit(-1.0 if s < 0 else 1.0) for c, s in zip(one, signs, strict=True)]
+    return placed.select(F.col("g").alias(key), F.array(*turned).alias("pc"))
+
+
+def two_clusters(top: DataFrame, placed: DataFrame, key: str, value: str = "n", rounds: int = 100) -> DataFrame:
+    """``key, cluster``: groups in two clusters, 0 and 1, of small squared distances to their means.
+
+    ``placed`` is the result of ``principal_components``: the sign of the first one (positive
+    is 1) begins, then groups move to the nearer mean (equally near: 0) until none moves. Means
+    stay a table by word. All groups are in cluster 0 if they don't differ.
+    """
+    entries = cut_lineage(top.select(F.col(key).alias("g"), "word", F.col(value).cast("double").alias("x")))
+    side = (F.get("pc", F.lit(0)) > 0).cast("int").alias("c")
+    state = cut_lineage(placed.select(F.col(key).alias("g"), side))
+    for _ in range(rounds):
+        sizes = {r["c"]: r["count"] for r in state.groupBy("c").count().collect()}
+        if len(sizes) < 2:
+            break
+        own = entries.join(state, "g")
+        mean = {c: F.coalesce(F.sum(F.when(F.col("c") == c, F.col("x"))), F.lit(0.0)) / sizes[c] for c in sizes}
+        means = cut_lineage(own.groupBy("word").agg(mean[0].alias("m0"), mean[1].alias("m1")))
+        apart = means.agg(F.sum(F.col("m1") * F.col("m1") - F.col("m0") * F.col("m0"))).first()[0]
+        toward = F.sum(F.col("x") * (F.col("m1") - F.col("m0")))
+        moved = own.join(means, "word").groupBy("g", F.col("c").alias("before")).agg(
+            (toward > F.lit(apart / 2)).cast("int").alias("c")
+        )
+        moved = cut_lineage(moved)
+        state = moved.select("g", "c")
+        if moved.filter("c <> before").isEmpty():
+            break
+    return state.select(F.col("g").alias(key), F.col("c").alias("cluster"))
 
 
 def _distance(a: Column, b: Column) -> Column:

@@ -245,12 +245,10 @@ def compound_counts(reviews: DataFrame, text: str, keys: list[str], dictionary:
 def compare_universities(top: DataFrame, key: str = UNIVERSITY, k: int = 10) -> DataFrame:
     """Two clusters of universities in the plane of two principal components, with distance
     to the nearest centre and outlier flag. ``top`` is ``key, word, n, rank``."""
-    vectors = compare.term_vectors(top.filter(F.col("rank") <= k), key)
-    clustered = compare.bisect(vectors, 2)
-    placed = compare.principal_components(clustered, 2)
-    points = placed.select(
-        key, (F.col("cluster") + 1).alias("cluster"), compare.vector_to_array("pc").alias("pc")
-    )
+    chosen = top.filter(F.col("rank") <= k)
+    placed = compare.principal_components(chosen, key)
+    clusters = compare.two_clusters(chosen, placed, key)
+    points = placed.join(clusters, key).withColumn("cluster", F.col("cluster") + 1)
     flagged = compare.centroid_outliers(points, "pc", "cluster")
     return flagged.select(
         key,

@@ -243,16 +243,67 @@ def test_part_offsets_without_rejoining(spark):
         assert [r.begin for r in mine] == [0, *(e + 1 for e in ends[:-1])] and ends[-1] == len(whole)
 
 
+def _plane(rows):
+    """Two components of the centred matrix, by singular values, and the centred matrix."""
+    import numpy as np
+
+    groups = sorted({g for g, _, _ in rows})
+    words = {w: i for i, w in enumerate(sorted({w for _, w, _ in rows}))}
+    matrix = np.zeros((len(groups), len(words)))
+    for g, w, n in rows:
+        matrix[groups.index(g), words[w]] = n
+    matrix -= matrix.mean(axis=0)
+    u, s, _ = np.linalg.svd(matrix, full_matrices=False)
+    want = u[:, :2] * s[:2]
+    longest = want[np.abs(want).argmax(axis=0), range(want.shape[1])]
+    return groups, want * np.where(longest < 0, -1, 1), matrix
+
+
 def test_principal_components_match_numpy(spark):
     import numpy as np
 
     rng = random.Random(2)
-    rows = [(f"g{g}", f"w{w}", rng.randrange(1, 90)) for g in range(9) for w in rng.sample(range(14), 6)]
+    few = [(f"g{g}", f"w{w}", rng.randrange(1, 90)) for g in range(9) for w in rng.sample(range(14), 6)]
+    # 120 groups, and more than 5,000 words, most of them in one group only
+    many = [(f"g{g}", f"w{int(12_000 * rng.random() ** 2)}", rng.randrange(1, 90)) for g in range(120) for _ in range(90)]
+    many = list({(g, w): (g, w, n) for g, w, n in many}.values())
+    assert len({w for _, w, _ in many}) > 4_096
+    for rows in (few, many):
+        top = spark.createDataFrame(rows, "g string, word string, n long")
+        groups, want, _ = _plane(rows)
+        placed = {r.g: r.pc for r in compare.principal_components(top, "g").collect()}
+        assert sorted(placed) == groups
+        assert np.allclose([placed[g] for g in groups], want, atol=1e-6)
+
+
+def test_two_clusters_by_loops(spark):
+    import numpy as np
+
+    rng = random.Random(4)
+    rows = [(f"g{g}", f"w{rng.randrange(12) + 8 * (g % 3 == 0)}", rng.randrange(1, 9)) for g in range(40) for _ in range(6)]
+    rows = list({(g, w): (g, w, n) for g, w, n in rows}.values())
     top = spark.createDataFrame(rows, "g string, word string, n long")
-    vectors = compare.term_vectors(top, "g")
-    placed = compare.principal_components(vectors).orderBy("g").collect()
-    matrix = np.array([r.features.toArray() for r in placed])
-    centred = matrix - matrix.mean(axis=0)
-    u, s, _ = np.linalg.svd(centred, full_matrices=False)
-    want = np.abs(u[:, :2] * s[:2])
-    assert np.allclose(np.abs([r.pc.toArray() for r in placed]), want, atol=1e-6)
+    groups, want, matrix = _plane(rows)
+    side = (want[:, 0] > 0).astype(int)
+    while True:
+        far = np.array([((matrix - matrix[side == c].mean(axis=0)) ** 2).sum(1) for c in (0, 1)])
+        nearer = (far[1] < far[0]).astype(int)
+        if (nearer == side).all():
+            break
+        side = nearer
+    placed = compare.principal_components(top, "g")
+    found = {r.g: r.cluster for r in compare.two_clusters(top, placed, "g").collect()}
+    assert [found[g] for g in groups] == side.tolist()
+
+
+def test_components_of_few_groups(spark):
+    schema = "g string, word string, n long"
+    for rows in ([], [("a", "x", 1)], [("a", "x", 1), ("b", "x", 1)]):
+        top = spark.createDataFrame(rows, schema)
+        placed = compare.principal_components(top, "g")
+        assert sorted((r.g, *r.pc) for r in placed.collect()) == [(g, 0, 0) for g in sorted({g for g, _, _ in rows})]
+        assert {r.cluster for r in compare.two_clusters(top, placed, "g").collect()} <= {0}
+    flagged = jobs.compare_universities(spark.createDataFrame([("a", "x", 1, 1), ("b", "x", 3, 1)], schema + ", rank int"), "g")
+    got = sorted((r.g, round(abs(r.pc1), 9), r.cluster) for r in flagged.collect())
+    assert [(g, p) for g, p, _ in got] == [("a", 1), ("b", 1)] and sorted(c for *_, c in got) == [1, 2]
+
