@@ -420,21 +420,6 @@ def shop_level_anchor(spark, sf_dir):
     return _shops(spark, sf_dir, "(?s)^Th.*ed[.]$")
 
 
-@register(
-    "merged_parts_rejoined",
-    f"""WITH {inp.REVIEWS_SQL}
-SELECT university_name, shop_name, string_agg(review_text, ' ' ORDER BY review_id) AS merged_text
-FROM reviews WHERE university_name IS NOT NULL AND shop_name IS NOT NULL GROUP BY ALL""",
-)
-def merged_parts_rejoined(spark, sf_dir):
-    """The parts of a group, joined in order, are its texts, joined in order."""
-    parts = jobs.merge_shop_text(inp.reviews(spark, sf_dir), "review_text", **_BOUNDS)
-    pairs = F.array_sort(F.collect_list(F.struct("part_no", "merged_text")))
-    return parts.groupBy("university_name", "shop_name").agg(
-        F.array_join(F.transform(pairs, lambda p: p["merged_text"]), " ").alias("merged_text")
-    )
-
-
 @register(
     "merged_part_offsets",
     f"""WITH {inp.REVIEWS_SQL},
