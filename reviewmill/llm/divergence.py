@@ -44,7 +44,7 @@ NARROW = 9_000_000_000
 SLICE_TERMS = 3_000_000
 SLICE_BYTES = 1 << 20
 COUNTED_BYTES = 1 << 21
-VECTOR_ROWS = 1_024
+VECTOR_ENTRIES = 1 << 21
 BLOCK_ENTRIES = 1 << 16
 TILE_PAIRS = 1 << 21
 STEP = 1 << 18
@@ -150,8 +150,13 @@ def add_vectors(vectors: DataFrame) -> DataFrame:
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in released(batches):
-            for a in range(0, whole.num_rows, VECTOR_ROWS):
-                batch = whole.slice(a, VECTOR_ROWS)
+            filled = pc.list_value_length(pc.struct_field(whole.column("v"), "indices"))
+            ends = np.cumsum(filled.to_numpy(zero_copy_only=False), dtype=np.int64)
+            last = 0
+            while last < whole.num_rows:
+                first, done = last, ends[last - 1] if last else 0
+                last = max(first + 1, int(np.searchsorted(ends, done + VECTOR_ENTRIES)))
+                batch = whole.slice(first, last - first)
                 groups, group = np.unique(batch.column("gid").to_numpy(), return_inverse=True)
                 indices, values = (pc.struct_field(batch.column("v"), n) for n in ("indices", "values"))
                 sizes = pc.list_value_length(indices).to_numpy(zero_copy_only=False).astype(np.int64)
