@@ -67,15 +67,23 @@ def numbered_groups(docs: DataFrame) -> DataFrame:
 IN_TERM = byte_table([*range(65), *range(91, 97), *range(123, 128)])
 
 
-def terms_of(batch: pa.RecordBatch, once: bool = False) -> tuple[pa.Array, np.ndarray]:
+def terms_of(batch: pa.RecordBatch, most: int = 0) -> tuple[pa.Array, np.ndarray]:
     """All terms of a batch ``gid, lang, text``, each after its language and a zero character, and
-    where each row's terms begin (and the last ones end); with ``once`` a row's distinct terms."""
+    where each row's terms begin (and the last ones end). With ``most`` a row's distinct terms, and
+    a term of a language in the first ``most`` rows only that hold it: more can't tell whether it
+    occurs in that many."""
     terms, begins = tokens_of(batch.column("text"), IN_TERM)
     owner = np.repeat(np.arange(batch.num_rows), np.diff(begins))
-    if once:
-        coded = terms.dictionary_encode()
+    if most:
+        coded, langs = terms.dictionary_encode(), batch.column("lang").dictionary_encode().indices.to_numpy()
         size = max(1, len(coded.dictionary))
         distinct = pa.array(owner * size + coded.indices.to_numpy()).unique().to_numpy()  # still row by row
+        key = langs[distinct // size].astype(np.int64) * size + distinct % size
+        order = np.argsort(key, kind="stable")
+        key = key[order]
+        earlier = np.zeros(len(key), bool)  # as many rows before it hold the term
+        earlier[most:] = key[most:] == key[:-most]
+        distinct = distinct[np.sort(order[~earlier])]
         terms, owner = coded.dictionary.take(pa.array(distinct % size)), distinct // size
         begins = np.searchsorted(owner, np.arange(batch.num_rows + 1))
     return pc.binary_join_element_wise(batch.column("lang").take(pa.array(owner)), terms, "\0"), begins
@@ -107,19 +115,19 @@ def distinct_terms(docs: DataFrame) -> int:
     return int(found * (1 + 3 * DISTINCT_ERROR))
 
 
-def term_slices(docs: DataFrame, slice_terms: int) -> list[tuple[DataFrame, DataFrame]]:
+def term_slices(docs: DataFrame, least: int, slice_terms: int) -> list[tuple[DataFrame, DataFrame]]:
     """Rows ``gid, terms`` in slices by a hash of the term, each of a bounded vocabulary: for a fit,
-    which needs to see a term once per row, and for the vectors."""
+    which needs to see a term once per row and in ``least`` rows of a batch, and for the vectors."""
     count = max(1, -(-distinct_terms(docs) // slice_terms))
 
-    def whole(batches: Iterator[pa.RecordBatch], once: bool = False) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(released(batches), SLICE_BYTES):
-            terms, begins = terms_of(batch, once)
+    def whole(batches: Iterator[pa.RecordBatch], most: int = 0) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(released(batches), COUNTED_BYTES if most else SLICE_BYTES):
+            terms, begins = terms_of(batch, most)
             lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), terms)
             yield pa.RecordBatch.from_arrays([batch.column("gid"), lists], ["gid", "terms"])
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return whole(batches, once=True)
+        return whole(batches, max(1, least))
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(released(batches), SLICE_BYTES):
@@ -190,7 +198,7 @@ def group_counts(docs: DataFrame, least: int, slice_terms: int) -> tuple[DataFra
     count in the language), written once; and the number of kept terms by language."""
     found, sizes = [], []
     of_term = Window.partitionBy("at")
-    for once, part in term_slices(docs, slice_terms):
+    for once, part in term_slices(docs, least, slice_terms):
         model = CountVectorizer(inputCol="terms", outputCol="v", minDF=float(least), vocabSize=INTEGER_MAX).fit(once)
         vocabulary = stored(fitted_terms(model), "divergence-terms")
         sizes.append(vocabulary.groupBy("lang").agg(F.count(F.lit(1)).alias("vocabulary")))

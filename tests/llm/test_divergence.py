@@ -4,6 +4,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from reviewmill.llm import divergence as dv
@@ -114,3 +115,20 @@ def test_pair_matrix(monkeypatch, step):
     got = neither + np.concatenate(got)
     off = ~np.eye(sources, dtype=bool)
     assert (got[off] == want[off]).all()
+
+
+@pytest.mark.parametrize("most", [1, 3, 7])
+def test_a_fit_sees_a_term_in_so_many_rows(most):
+    rows = _rows(50, 9) + [("en", "a", ""), ("xx", "a", "ab ab")]
+    columns = {"gid": [0] * len(rows), "lang": [r[0] for r in rows], "text": [r[2] for r in rows]}
+    batch = pa.RecordBatch.from_pydict(columns)
+    terms, begins = dv.terms_of(batch, most)
+    seen, want = Counter(), []
+    for lang, _, text in rows:
+        found = dict.fromkeys(re.findall(dv.TERM, re.sub("[A-Z]", lambda m: m[0].lower(), text)))
+        found = {f"{lang}\0{t}" for t in found}
+        want.append({t for t in found if seen[t] < most})
+        seen.update(found)
+    got = [terms.slice(a, b - a).to_pylist() for a, b in zip(begins[:-1], begins[1:], strict=True)]
+    assert [set(g) for g in got] == want and sum(map(len, got)) == sum(map(len, want))
+    assert dv.terms_of(batch.slice(0, 0), most)[0].to_pylist() == []
