@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from reviewmill.catalog import inputs as inp
 from reviewmill.catalog import sql_parts as sq
 from reviewmill.catalog.registry import register
-from reviewmill.operators import compare, density, embedding
+from reviewmill.operators import compare, density, embedding, similar
 from reviewmill.operators import tokens as tk
 from reviewmill.operators import words as wd
 from reviewmill.operators.skew import cut_lineage, scratch_path
@@ -43,6 +43,33 @@ def cosine_university(spark, sf_dir):
     return pairs.withColumn("cosine", F.round("cosine", 9))
 
 
+_EXACT = """,
+exact AS (
+  SELECT g1, g2, dot / (x.norm * y.norm) AS cosine
+  FROM pairs JOIN norms x ON x.g = g1 JOIN norms y ON y.g = g2 WHERE g1 <> g2)
+"""
+
+
+@register(
+    "similar_groups",
+    f"{_TOP}{_EXACT} SELECT g1, g2, round(cosine, 9) AS cosine FROM exact WHERE g1 < g2 AND cosine >= 0.75",
+)
+def similar_groups(spark, sf_dir):
+    pairs = similar.similar_groups(_top(spark, sf_dir), "g", 0.75)
+    return pairs.withColumn("cosine", F.round("cosine", 9))
+
+
+@register(
+    "most_similar_groups",
+    f"""{_TOP}{_EXACT}
+SELECT g1, g2, round(cosine, 9) AS cosine, CAST(rank AS INTEGER) AS rank
+FROM (SELECT *, row_number() OVER (PARTITION BY g1 ORDER BY cosine DESC, g2) AS rank FROM exact) WHERE rank <= 3""",
+)
+def most_similar_groups(spark, sf_dir):
+    near = similar.most_similar_groups(_top(spark, sf_dir), "g", 3)
+    return near.withColumn("cosine", F.round("cosine", 9))
+
+
 _LANGS = ["de", "en", "es", "fr"]
 
 
