@@ -70,17 +70,24 @@ def combine_by_key(
     """Grouped reduction with a map-side combiner.
 
     ``combine`` takes rows of ``schema`` with possibly many rows per key and returns one row
-    per key; it must be associative. It runs over each Arrow batch and over the running
-    result of its task before the shuffle, so what reaches the reducer of a key is at most
-    one row per map task, however hot the key is.
+    per key; it must be associative. Before the shuffle it runs over each Arrow batch of a task,
+    whose rows come sorted by key: a key that ends inside a batch leaves at once, only the last
+    one is carried on. So a task holds one batch and one key's row however many keys it has, and
+    a reducer gets at most one row per map task, however hot its key is.
     """
 
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held: list[pd.DataFrame] = []
+        held: pd.DataFrame | None = None
         for batch in batches:
-            merged = pd.concat([*held, batch]) if held else batch
-            held = [combine(merged)]
-        yield from held
-
-    partial = df.mapInPandas(fold, schema)
+            if batch.empty:
+                continue
+            last = batch[keys].iloc[-1]
+            merged = combine(batch if held is None else pd.concat([held, batch], ignore_index=True))
+            same = np.logical_and.reduce([(merged[k] == last[k]) | (merged[k].isna() & pd.isna(last[k])) for k in keys])
+            yield merged[~same]
+            held = merged[same]
+        if held is not None:
+            yield held
+
+    partial = df.sortWithinPartitions(*keys).mapInPandas(fold, schema)
     return partial.groupBy(*keys).applyInPandas(combine, schema)
