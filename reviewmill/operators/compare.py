@@ -7,6 +7,7 @@ group-by-term matrix with at most k entries per group.
 from __future__ import annotations
 
 import json
+import math
 
 import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -22,6 +23,8 @@ EXACT = 1e-11
 # a share of the table's sum of squares that rounding alone can make up
 NOISE = 1e-12
 CENTRE_BLOCK = 1024
+# what rounding can take from a bound between distances
+CELL_SLACK = 1e-9
 PAIR_BLOCKS = 8
 
 
@@ -228,8 +231,7 @@ def centroid_outliers(
     distances above mean + ``std_factor`` sample standard deviations.
 
     ``vector`` is an array of numbers. Up to ``block`` centres are a scalar subquery. More of
-    them stay a table of blocks: each point meets every block, and only its smallest distances
-    are shuffled.
+    them stay a table of cells, and a point meets only the cells that can hold its nearest centre.
     """
     arrays = points.withColumn("_v", F.col(vector).cast("array<double>"))
     means = arrays.groupBy(cluster).agg(Summarizer.mean(array_to_vector("_v")).alias("m"))
@@ -242,7 +244,7 @@ def centroid_outliers(
         measured = measured.withColumn("distance_to_center", _nearest(F.col("_v"), F.col("_centres")))
         measured = measured.drop("_centres", "_v")
     else:
-        measured = _nearest_in_blocks(points, vector, means, -(-found // block))
+        measured = _nearest_in_cells(points, vector, means, found, block)
     limit = measured.agg(
         (F.avg("distance_to_center") + std_factor * F.stddev_samp("distance_to_center")).alias("t")
     ).scalar()
@@ -253,17 +255,52 @@ def _nearest(point: Column, centres: Column) -> Column:
     return F.array_min(F.transform(centres, lambda c: _distance(point, c)))
 
 
-def _nearest_in_blocks(points: DataFrame, vector: str, means: DataFrame, blocks: int) -> DataFrame:
-    """``points`` with ``distance_to_center``, the smallest over ``blocks`` blocks of centres.
-    Points are numbered and written once, as they are read for the distances and for the rows."""
-    numbered = cut_lineage(points.withColumn("_id", F.monotonically_increasing_id()))
-    own = F.pmod(F.xxhash64("c"), F.lit(blocks)).cast("int").alias("_block")
-    centres = cut_lineage(means.select(own, "m").groupBy("_block").agg(F.collect_list("m").alias("_centres")))
-    asked = numbered.select(
-        "_id",
-        F.col(vector).cast("array<double>").alias("_v"),
-        F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("_block"),
+def centre_cells(means: DataFrame, found: int, block: int) -> tuple[DataFrame, DataFrame]:
+    """The ``found`` centres ``c, m`` in cells around some of them: rows ``cell, m, radius``, and rows
+    ``_cell, _centres`` of at most about ``block`` members each, several for a large cell.
+
+    The middles are the first by a hash, as many as the square root of all, at most ``block``; a
+    centre belongs to its nearest one."""
+    middles = means.orderBy(F.xxhash64("c"), F.col("c").cast("string")).limit(min(block, math.isqrt(found - 1) + 1))
+    middles = cut_lineage(middles.select("c", "m"))
+    kept = middles.agg(F.sort_array(F.collect_list(F.struct(F.col("c").cast("string"), "m"))).alias("c"))
+    kept = cut_lineage(kept.select(F.transform("c", lambda s: s["m"]).alias("m")))
+    apart = F.transform("_middles", lambda x: _distance(F.col("m"), x))
+    near = means.withColumn("_middles", kept.select("m").scalar()).withColumn("_apart", apart)
+    near = near.select(
+        "c", "m", F.array_min("_apart").alias("d"), (F.array_position("_apart", F.array_min("_apart")) - 1).alias("_cell")
+    )
+    near = cut_lineage(near.filter("_cell IS NOT NULL"))
+    sizes = near.groupBy("_cell").agg(F.max("d").alias("radius"), F.ceil(F.count(F.lit(1)) / block).alias("parts"))
+    numbered = kept.select(F.posexplode("m").alias("_cell", "m")).withColumn("_cell", F.col("_cell").cast("long"))
+    cells = numbered.join(sizes, "_cell").select(F.col("_cell").alias("cell"), "m", "radius")
+    part = F.pmod(F.xxhash64("c"), F.col("parts")).alias("part")
+    members = near.join(sizes, "_cell").select("_cell", part, "m").groupBy("_cell", "part")
+    return cut_lineage(cells), cut_lineage(members.agg(F.collect_list("m").alias("_centres")).drop("part"))
+
+
+def cells_asked(points: DataFrame, vector: str, cells: DataFrame) -> DataFrame:
+    """Rows of ``points`` with ``_cell``, one per cell that can hold the nearest centre: a centre of
+    a cell is at least the distance to its middle less its radius away, and some middle (a centre
+    itself) is no farther than the nearest one."""
+    known = cells.agg(F.sort_array(F.collect_list(F.struct("cell", "m", "radius"))).alias("k")).select("k").scalar()
+    measured = points.withColumn("_cells", known).withColumn(
+        "_reach",
+        F.transform("_cells", lambda s: F.struct(s["cell"], s["radius"].alias("r"), _distance(F.col(vector), s["m"]).alias("d"))),
     )
-    near = lookup_join(asked, centres, ["_block"]).select("_id", _nearest(F.col("_v"), F.col("_centres")).alias("_d"))
+    measured = measured.withColumn("_best", F.array_min(F.transform("_reach", lambda s: s["d"])))
+    within = F.filter("_reach", lambda s: s["d"] <= F.col("_best") + s["r"] + (s["d"] + s["r"]) * CELL_SLACK)
+    chosen = F.explode(F.transform(within, lambda s: s["cell"])).alias("_cell")
+    return measured.select(*points.columns, chosen)
+
+
+def _nearest_in_cells(points: DataFrame, vector: str, means: DataFrame, found: int, block: int) -> DataFrame:
+    """``points`` with ``distance_to_center``, the smallest over all ``found`` centres; null where the
+    vector is null. Points are numbered and written once, as they are read for the distances and
+    for the rows; only the smallest distances are shuffled."""
+    numbered = cut_lineage(points.withColumn("_id", F.monotonically_increasing_id()))
+    cells, members = centre_cells(means, found, block)
+    asked = cells_asked(numbered.select("_id", F.col(vector).cast("array<double>").alias("_v")), "_v", cells)
+    near = lookup_join(asked, members, ["_cell"]).select("_id", _nearest(F.col("_v"), F.col("_centres")).alias("_d"))
     nearest = near.groupBy("_id").agg(F.min("_d").alias("distance_to_center"))
     return numbered.join(nearest, "_id", "left").drop("_id")

@@ -307,3 +307,59 @@ def test_components_of_few_groups(spark):
     got = sorted((r.g, round(abs(r.pc1), 9), r.cluster) for r in flagged.collect())
     assert [(g, p) for g, p, _ in got] == [("a", 1), ("b", 1)] and sorted(c for *_, c in got) == [1, 2]
 
+
+
+@pytest.mark.parametrize("spread", [0.5, 30.0])
+def test_nearest_of_very_many_centres(spark, spread):
+    """20,000 centres: exact; a point is copied less than half as often as there are blocks of 1,024
+    centres, and compared with less than a tenth of the centres."""
+    import numpy as np
+
+    draw = np.random.default_rng(6)
+    middles = draw.normal(scale=20, size=(100, 2))
+    centres = np.concatenate([m + draw.normal(scale=spread, size=(200, 2)) for m in middles])
+    centres[7] = centres[8]
+    points = draw.normal(scale=30, size=(2_000, 2))
+    means = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(centres)], "c int, m array<double>")
+    rows = [(i, p.tolist(), 1) for i, p in enumerate(points)] + [(-1, None, 1), (0, points[0].tolist(), 1)]
+    frame = spark.createDataFrame(rows, "vec_id long, v array<double>, cell int")
+    got = compare._nearest_in_cells(frame, "v", means, len(centres), 1024).collect()
+    assert sorted(r.vec_id for r in got) == [-1, 0, *range(2_000)]
+    want = np.sqrt(((points[:, None] - centres[None]) ** 2).sum(2)).min(1)
+    for r in got:
+        assert r.distance_to_center == (None if r.vec_id < 0 else pytest.approx(want[r.vec_id], abs=1e-9))
+    cells, members = compare.centre_cells(means, len(centres), 1024)
+    assert members.selectExpr("sum(size(_centres))").first()[0] == len(centres)
+    asked = compare.cells_asked(frame, "v", cells)
+    assert asked.count() < 10 * len(rows)
+    compared = asked.join(members, "_cell").selectExpr("sum(size(_centres))").first()[0]
+    assert compared < 0.1 * len(rows) * len(centres)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_combiner_holds_a_batch_and_one_key(spark, seed):
+    from reviewmill.operators import hooks
+
+    draw = random.Random(seed)
+    rows = [(f"k{i}", "x", 1) for i in range(3_000)]  # a key of its own per row
+    rows += [("hot", draw.choice(["x", None]), 2) for _ in range(3_000)] + [(None, "x", 3)] * 500
+    draw.shuffle(rows)
+
+    def total(batch):
+        assert len(batch) <= 101
+        return batch.groupby(["a", "b"], as_index=False, dropna=False)["n"].sum()
+
+    schema = "a string, b string, n long"
+    frame = spark.createDataFrame(rows, schema).repartition(3)
+    setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, 100)
+    try:
+        got = [tuple(r) for r in hooks.combine_by_key(frame, ["a", "b"], total, schema).collect()]
+    finally:
+        spark.conf.set(setting, before)
+    want = {}
+    for a, b, n in rows:
+        want[a, b] = want.get((a, b), 0) + n
+    assert len(got) == len(want) and {(a, b): n for a, b, n in got} == want
+    assert hooks.combine_by_key(frame.limit(0), ["a", "b"], total, schema).collect() == []
