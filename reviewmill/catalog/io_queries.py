@@ -38,7 +38,7 @@ SELECT university_name, shop_name, CAST(n_chars % 5 AS DOUBLE) AS shop_avg_ratin
 def io_csv(spark, sf_dir):
     path = scratch_path(spark, "reviews-csv")
     writers.write_csv(_eight_columns(spark, sf_dir), path)
-    back = readers.read_reviews(spark, path)
+    back = readers.read_reviews(spark, path, add_id=False)
     return back.select(
         "university_name",
         "shop_name",
@@ -49,6 +49,22 @@ def io_csv(spark, sf_dir):
     )
 
 
+@register(
+    "io_stable_ids",
+    f"""WITH {inp.REVIEWS_SQL}
+SELECT row_number() OVER (ORDER BY review_id) - 1 AS review_id, CAST(review_id AS INTEGER) AS shop_visit_count,
+       md5(review_text) AS review_text FROM reviews""",
+)
+def io_stable_ids(spark, sf_dir):
+    """Files written in the order of the ids; rows get their numbers back however files are split."""
+    path = scratch_path(spark, "ordered-csv")
+    rows = _eight_columns(spark, sf_dir).withColumn("review_text", F.md5("review_text"))
+    rows = rows.repartitionByRange("shop_visit_count").sortWithinPartitions("shop_visit_count")
+    writers.write_csv(rows, path)
+    back = readers.read_reviews(spark, path, multiline=False)
+    return back.select("review_id", "shop_visit_count", "review_text")
+
+
 @register(
     "io_text",
     f"""WITH {inp.REVIEWS_SQL}

@@ -39,14 +39,20 @@ def preprocess_reviews(
     dictionary: DataFrame,
     regex: bool = True,
     default_pos: str = "Unknown",
+    required: bool = False,
 ) -> DataFrame:
     """Reviews of one university whose content words match the keyword:
-    ``university_name, shop_name, processed_review, keyword``."""
+    ``university_name, shop_name, processed_review, keyword``. With ``required`` it raises when the
+    university has no review, or none that matches; each is one look for a first row."""
     mine = filters.of_university(reviews, university)
+    if required:
+        filters.require_rows(mine, f"no reviews of {university}")
     processed = tk.content_text(
         mine, TEXT, ROW, dictionary, CONTENT_POS, "lemma", default_pos, keep=[UNIVERSITY, SHOP]
     )
     kept = processed.filter(filters.keyword_match("processed_review", keyword, regex))
+    if required:
+        filters.require_rows(kept, f"no reviews of {university} with {keyword}")
     return kept.select(
         ROW, UNIVERSITY, SHOP, "processed_review", F.lit(keyword).alias("keyword")
     )

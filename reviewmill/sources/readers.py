@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from reviewmill.functions.constants import REVIEW_COLUMNS, REVIEW_COLUMNS_KO
 from reviewmill.functions import text as tx
+from reviewmill.operators.skew import cut_lineage, lookup_join
 from reviewmill.session import local_table
 
 REVIEW_SCHEMA = ", ".join(f"{c} string" for c in REVIEW_COLUMNS)
@@ -34,8 +35,9 @@ def read_reviews(
     """Review CSV with a header: eight positional columns under their English names.
 
     Quoted commas and line breaks are honoured; a quote inside a quoted field is doubled.
-    Counts and the rating are typed, text such as "no rating" becoming null. ``add_id`` adds
-    the unique integer ``review_id``. ``multiline=False`` lets one large file be split.
+    Counts and the rating are typed, text such as "no rating" becoming null. ``add_id`` adds the
+    integer ``review_id`` of ``stable_ids``, at the price of a first scan that counts rows.
+    ``multiline=False`` lets one large file be split.
     """
     raw = (
         spark.read.schema(REVIEW_SCHEMA)
@@ -52,9 +54,38 @@ def read_reviews(
             "shop_visit_count": F.col("shop_visit_count").try_cast("int"),
         }
     )
-    if add_id:
-        typed = typed.withColumn("review_id", F.monotonically_increasing_id())
-    return typed
+    return stable_ids(typed, "review_id") if add_id else typed
+
+
+def stable_ids(rows: DataFrame, name: str) -> DataFrame:
+    """Rows read from files with integers from 0, by file path and by place in the file.
+
+    They depend on the files alone, not on how these are split or packed into tasks. Rows are
+    counted per split first; a row's number is the count of the rows in earlier files and splits
+    and its place in its split. Should the splits differ between the count and the use (a setting
+    changed in between), the job fails instead of repeating or losing a number.
+    """
+    placed = rows.withColumns(
+        {
+            "_file": F.col("_metadata.file_path"),
+            "_split": F.col("_metadata.file_block_start"),
+            "_row": F.monotonically_increasing_id(),
+        }
+    )
+    splits = placed.groupBy("_file", "_split").agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    splits = cut_lineage(splits)
+    earlier = (Window.unboundedPreceding, -1)
+    files = splits.groupBy("_file").agg(F.sum("_n").alias("_n"))
+    of_files = F.coalesce(F.sum("_n").over(Window.orderBy("_file").rowsBetween(*earlier)), F.lit(0))
+    in_file = F.sum("_n").over(Window.partitionBy("_file").orderBy("_split").rowsBetween(*earlier))
+    starts = splits.withColumn("_before", F.coalesce(in_file, F.lit(0)))
+    starts = starts.join(files.select("_file", of_files.alias("_start")), "_file")
+    starts = cut_lineage(starts.withColumn("_start", F.col("_start") + F.col("_before")).drop("_before"))
+    at = F.col("_row") - F.col("_first")
+    changed = F.raise_error(F.lit("the files are split otherwise than when their rows were counted"))
+    number = F.when((at >= 0) & (at < F.col("_n")), F.col("_start") + at).otherwise(changed.cast("long"))
+    numbered = lookup_join(placed, starts, ["_file", "_split"], "left")
+    return numbered.select(*[F.col(f"`{c}`") for c in rows.columns], number.alias(name))
 
 
 def english_names(df: DataFrame) -> DataFrame:

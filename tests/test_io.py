@@ -169,3 +169,46 @@ def test_shared_folder_follows_the_session(spark):
                 return "/shared/place" if key == "spark.checkpoint.dir" else default
 
     assert shared_folder(Cluster) == "/shared/place"
+
+
+@pytest.mark.parametrize("multiline", [False, True])
+def test_ids_do_not_depend_on_splits(spark, tmp_path, multiline):
+    want, count = [], 0
+    for name, rows in (("b.csv", 300), ("a.csv", 700), ("c.csv", 0), ("d.csv", 1)):
+        texts = [f"{name} {i} " + "x" * (i % 40) for i in range(rows)]
+        lines = [",".join(REVIEW_COLUMNS_KO), *[f"u,s,4.5,{i},{t},d,2,x" for i, t in enumerate(texts)]]
+        (tmp_path / name).write_text("\n".join(lines) + "\n", encoding="utf-8")
+    for name, rows in (("a.csv", 700), ("b.csv", 300), ("d.csv", 1)):
+        want += [(count + i, f"{name} {i} " + "x" * (i % 40)) for i in range(rows)]
+        count += rows
+    settings = {"spark.sql.files.maxPartitionBytes": ("900", "20000", "128m"), "spark.sql.files.openCostInBytes": ("0", "4000", "4m")}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for i in range(3):
+            for k, values in settings.items():
+                spark.conf.set(k, values[i])
+            read = readers.read_reviews(spark, str(tmp_path), multiline=multiline)
+            if i == 0 and not multiline:
+                assert read.rdd.getNumPartitions() > 20
+            got = read.select("review_id", "review_text").collect()
+            assert sorted(tuple(r) for r in got) == want
+            few = read.filter("reviewer_review_count = 250").select("review_id").collect()
+            assert sorted(r[0] for r in few) == [250, 950]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def test_required_rows(spark):
+    from reviewmill.catalog import inputs as inp
+
+    reviews = spark.createDataFrame(
+        [(1, "u", "s", "딸기")], "review_id long, university_name string, shop_name string, review_text string"
+    )
+    dictionary = inp.dictionary(spark)
+    with pytest.raises(ValueError, match="no reviews of v$"):
+        jobs.preprocess_reviews(reviews, "v", "딸기", dictionary, required=True)
+    with pytest.raises(ValueError, match="no reviews of u with 포도"):
+        jobs.preprocess_reviews(reviews, "u", "포도", dictionary, default_pos="Noun", required=True)
+    assert jobs.preprocess_reviews(reviews, "v", "딸기", dictionary).collect() == []
+    assert jobs.preprocess_reviews(reviews, "u", "딸기", dictionary, default_pos="Noun", required=True).count() == 1
