@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from reviewmill.catalog import inputs as inp
 from reviewmill.catalog import sql_parts as sq
 from reviewmill.catalog.registry import register
-from reviewmill.operators import profile
+from reviewmill.operators import ordering, profile
 from reviewmill.operators import sentiment as st
 from reviewmill.operators import tokens as tk
 from reviewmill.plans import jobs
@@ -389,6 +389,19 @@ def report_text(spark, sf_dir):
     return st.report_table(sentiment_token_all(spark, sf_dir), "shop_name")
 
 
+@register(
+    "report_places",
+    f"""{_NEUTRAL}
+SELECT shop_name, row_number() OVER (ORDER BY coalesce(positive_pct, 0) DESC, shop_name) AS place,
+       row_number() OVER (ORDER BY coalesce(positive_pct, 0), shop_name) AS place_rising FROM report""",
+)
+def report_places(spark, sf_dir):
+    """Places of the shops in both orders of the report table."""
+    report = sentiment_token_all(spark, sf_dir).select("shop_name", F.coalesce("positive_pct", F.lit(0.0)).alias("share"))
+    falling = ordering.with_place(report, ["-share", "shop_name"])
+    return ordering.with_place(falling, ["share", "shop_name"], "place_rising").drop("share")
+
+
 @register(
     "report_headings",
     _review(["shop_name"]).replace(

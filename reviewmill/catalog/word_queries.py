@@ -8,6 +8,7 @@ from reviewmill.catalog import inputs as inp
 from reviewmill.catalog import sql_parts as sq
 from reviewmill.catalog.registry import register
 from reviewmill.functions.constants import CUSTOM_STOP_WORDS, RANKING_CATEGORIES
+from reviewmill.operators import ordering
 from reviewmill.operators import tokens as tk
 from reviewmill.operators import words as wd
 from reviewmill.operators.ranking import rank_cafes
@@ -85,6 +86,21 @@ def word_counts(spark, sf_dir):
     return wd.count_words(tokens, output="count").orderBy(F.desc("count"), F.asc("word"))
 
 
+@register(
+    "word_counts_placed",
+    f"""WITH {inp.REVIEWS_SQL},
+toks AS (
+  SELECT unnest(list_filter(string_split_regex(review_text, '[ ",()*]+'), lambda t: length(t) > 1)) AS word
+  FROM reviews),
+counts AS (SELECT word, count(*) AS count FROM toks GROUP BY word)
+SELECT word, count, row_number() OVER (ORDER BY count DESC, word) AS place FROM counts""",
+)
+def word_counts_placed(spark, sf_dir):
+    """The global order as a column."""
+    tokens = tk.explode_tokens(inp.reviews(spark, sf_dir), "review_text", [], "delimiters", min_length=2)
+    return ordering.with_place(wd.count_words(tokens, output="count"), ["-count", "word"])
+
+
 _STOP_BOTH = sorted({*inp.STOP, *inp.MORE_STOP})
 _ALL_STOP_SQL = f"stop(word) AS ({inp.values([(w,) for w in _STOP_BOTH])})"
 _NOUNS = f"""

@@ -363,3 +363,17 @@ def test_combiner_holds_a_batch_and_one_key(spark, seed):
         want[a, b] = want.get((a, b), 0) + n
     assert len(got) == len(want) and {(a, b): n for a, b, n in got} == want
     assert hooks.combine_by_key(frame.limit(0), ["a", "b"], total, schema).collect() == []
+
+
+def test_places_of_all_rows(spark):
+    from reviewmill.operators import ordering
+
+    draw = random.Random(9)
+    rows = [(i, draw.choice([None, 1, 2, 3]), draw.choice("aéZ日"), "r") for i in range(1_000)]
+    frame = spark.createDataFrame(rows, "id int, n int, word string, row string").repartition(7)
+    got = ordering.with_place(frame, ["-n", "word", "id"]).collect()
+    assert frame.columns + ["place"] == got[0].__fields__
+    want = sorted(rows, key=lambda r: (-(r[1] or 0), r[2].encode(), r[0]))
+    assert [tuple(r)[:4] for r in sorted(got, key=lambda r: r.place)] == want
+    assert sorted(r.place for r in got) == list(range(1, 1_001))
+    assert ordering.with_place(frame.limit(0), ["id"]).collect() == []
