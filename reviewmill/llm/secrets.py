@@ -8,13 +8,17 @@ it could be uniform over that alphabet: chi-squared of the symbol counts (with i
 and variance, as short tokens have few counts per symbol), runs above and below the middle of
 the alphabet, and serial correlation of neighbours. Fisher's method combines them.
 
-Being random is no proof: the alternative is text. The likelihood of a candidate under the
-character pairs of the whole corpus gives a p-value for "this is text", sharper the longer the
-candidate is. Benjamini and Hochberg's rule is applied to these within classes of length, so
-the many short candidates don't pay for the few long ones and the other way round. A span is
-added if text is rejected at FALSE_SHARE and randomness is not rejected at LEAST_RANDOM.
-
-Pair counts and the histogram of p-values cover all documents and have a fixed size.
+Being random is no proof: the alternative is text, which passes the battery at times if it is
+short. So the combined statistic is held against its distribution over the text of all documents:
+the token characters of each document's ordinary words, cut into stretches of the least length of
+each class of lengths. The share of stretches that look at least as random is a candidate's p-value
+for "this is text". Benjamini and Hochberg's rule is applied to these within classes of length, so
+the many short candidates don't pay for the few long ones and the other way round: a span is
+added if text is rejected at FALSE_SHARE. A token whose character pairs are those of the corpus
+(at PAIR_LEVEL) is not added, whatever the battery says. A share below one of the stretches can't be
+told, so a corpus of a few texts adds little, and short candidates are added only where many are.
+
+Pair counts and the histograms cover all documents and have a fixed size.
 
 Defined results: null counts as the empty text, which has no spans; spans count code points,
 the end is exclusive; repeated rows are scanned each by itself; other columns are ignored.
@@ -31,13 +35,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.llm.common import stored
+from reviewmill.llm.common import stored, text_slices
 
 KINDS = ("assign", "access", "hex", "random")
 LEAST_CHARS = 20
 LENGTHS = (20, 28, 40, 64, 128)
-FALSE_SHARE = 0.001
-LEAST_RANDOM = 0.001
+FALSE_SHARE = 0.01
+PAIR_LEVEL = 0.001
+RANDOM_BINS = 1_000
+TEXT_BYTES = 1 << 20
+STEP = 1 << 18
 BINS = 1_200
 BINS_PER_DECADE = 20
 
@@ -124,6 +131,52 @@ def randomness(token: str) -> float:
     return math.exp(-half) * (1 + half + half * half / 2)
 
 
+# of each symbol: a bit per encoding that holds it, and its place in each
+_HOLDERS = np.array([sum(1 << i for i, letters in enumerate(_SETS.values()) if c in letters) for c in SYMBOLS], np.int16)
+_PLACE_OF = [np.array([places.get(c, 0) for c in SYMBOLS], np.int16) for places in _PLACES.values()]
+
+
+def _two_sided_of(z: np.ndarray) -> np.ndarray:
+    return np.array([math.erfc(x) for x in (np.abs(z) / math.sqrt(2)).tolist()])
+
+
+def randomness_of(codes: np.ndarray) -> np.ndarray:
+    """``randomness`` of many tokens of one length: rows of symbol numbers."""
+    holders = np.bitwise_and.reduce(_HOLDERS[codes], axis=1)
+    found = np.ones(len(codes))
+    n = codes.shape[1]
+    for at, place in enumerate(_PLACE_OF):
+        rows = np.flatnonzero((holders & -holders) == 1 << at)
+        if not len(rows):
+            continue
+        values, size = place[codes[rows]], len(list(_PLACES.values())[at])
+        counts = np.bincount((np.arange(len(rows))[:, None] * size + values).ravel(), minlength=len(rows) * size)
+        statistic = (counts.reshape(-1, size) ** 2).sum(1) * size / n - n
+        even = _two_sided_of((statistic - (size - 1)) / math.sqrt(2 * (size - 1) * (n - 1) / n))
+        upper = values * 2 >= size
+        ups = upper.sum(1)
+        mean = 2 * ups * (n - ups) / n + 1
+        variance = (mean - 1) * (mean - 2) / (n - 1)
+        z = (1 + (upper[:, 1:] != upper[:, :-1]).sum(1) - mean) / np.sqrt(np.where(variance > 0, variance, 1))
+        turns = np.where(variance > 0, _two_sided_of(z), 1.0)
+        turns[(ups == 0) | (ups == n)] = 2.0 ** (1 - n)
+        centred = values - values.mean(1, keepdims=True)
+        power = (centred * centred).sum(1)
+        correlation = (centred[:, 1:] * centred[:, :-1]).sum(1) / np.where(power > 0, power, 1)
+        serial = np.where(power > 0, _two_sided_of((correlation + 1 / n) * math.sqrt(n)), 2.0 ** (1 - n))
+        half = -sum(np.log(np.maximum(p, 1e-300)) for p in (even, turns, serial))
+        found[rows] = np.exp(-half) * (1 + half + half * half / 2)
+    return found
+
+
+def random_bin(p_random: np.ndarray | float) -> np.ndarray:
+    return np.minimum(np.asarray(np.asarray(p_random) * RANDOM_BINS, np.int64), RANDOM_BINS - 1)
+
+
+def length_class(length: int) -> int:
+    return sum(length >= n for n in LENGTHS[1:])
+
+
 _codes = np.full(256, OTHER, np.int64)
 _codes[np.frombuffer(SYMBOLS.encode(), np.uint8)] = np.arange(OTHER)
 
@@ -135,10 +188,38 @@ def pair_counts(texts: list[str | None]) -> np.ndarray:
     return np.bincount(codes[:-1] * side + codes[1:], minlength=side * side)
 
 
+def text_randomness(texts: list[str | None]) -> np.ndarray:
+    """How random stretches of text look: per class of lengths a histogram of the battery's
+    p-value over all stretches of its least length. Runs that could be candidates are no text; what
+    remains of a document at its end is shorter than a stretch."""
+    encoded = [(t or "").encode() for t in texts]
+    codes = _codes[np.frombuffer(b"\n".join([*encoded, b""]), np.uint8)].astype(np.int8)
+    inside = codes < OTHER
+    edges = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0, append=0))
+    long = edges[1::2] - edges[::2] >= LEAST_CHARS
+    within = np.zeros(len(codes) + 1, np.int8)
+    within[edges[::2][long]], within[edges[1::2][long]] = 1, -1
+    inside &= np.cumsum(within, dtype=np.int8)[:-1] == 0
+    ends = np.cumsum([len(t) + 1 for t in encoded])
+    kept = np.searchsorted(np.flatnonzero(inside), np.append(0, ends))
+    codes, first, sizes = codes[inside], kept[:-1], np.diff(kept)
+    total = np.zeros((len(LENGTHS), RANDOM_BINS), np.int64)
+    for i, n in enumerate(LENGTHS):
+        many = sizes // n
+        earlier = np.cumsum(many) - many
+        starts = np.repeat(first - earlier * n, many) + np.arange(many.sum()) * n
+        step = max(1, STEP // n)
+        for a in range(0, len(starts), step):
+            p_random = randomness_of(codes[starts[a : a + step, None] + np.arange(n)])
+            total[i] += np.bincount(random_bin(p_random), minlength=RANDOM_BINS)
+    return total
+
+
 class TextModel:
-    """What text looks like: log probability of a symbol after another, its mean and spread."""
+    """What text looks like: log probability of a symbol after another, its mean and spread; and
+    per class of lengths the share of text that looks at least as random as each bin."""
 
-    def __init__(self, counts: np.ndarray) -> None:
+    def __init__(self, counts: np.ndarray, stretches: np.ndarray) -> None:
         square = counts.reshape(OTHER + 1, OTHER + 1)[:OTHER, :OTHER].astype(np.float64)
         smooth = square + 0.5
         self.log = np.log(smooth / smooth.sum(axis=1, keepdims=True))
@@ -146,6 +227,14 @@ class TextModel:
         self.mean = float((share * self.log).sum())
         # neighbouring pairs share a symbol: their covariance is covered by doubling
         self.spread = math.sqrt(max(2 * float((share * (self.log - self.mean) ** 2).sum()), 1e-9))
+        as_random = stretches[:, ::-1].cumsum(axis=1)[:, ::-1]
+        self.as_random = (1 + as_random) / (1 + stretches.sum(axis=1, keepdims=True))
+
+    def p_text(self, token: str, p_random: float) -> float:
+        """How likely text of this length looks as random; 1 if its pairs are those of text."""
+        if self.p_value(token) > PAIR_LEVEL:
+            return 1.0
+        return float(self.as_random[length_class(len(token)), random_bin(p_random)])
 
     def p_value(self, token: str) -> float:
         """How likely text of this length is to be as unlikely as the token."""
@@ -189,34 +278,39 @@ def scan(text: str | None, model: TextModel) -> tuple[list[tuple], list[tuple]]:
         for first, last in uncovered(*match.span(), base):
             piece = text[first:last]
             if len(piece) >= LEAST_CHARS:
-                candidates.append(("random", first, last, model.p_value(piece), randomness(piece)))
+                p_random = randomness(piece)
+                candidates.append(("random", first, last, model.p_text(piece, p_random), p_random))
     return [(KINDS[kind], start, end, None, None) for start, kind, end in base], candidates
 
 
-def corpus_pairs(docs: DataFrame, text: str = "text") -> np.ndarray:
-    """Pair counts over all documents: each task adds up its own, a table of fixed size."""
+def corpus_counts(docs: DataFrame, text: str = "text") -> tuple[np.ndarray, np.ndarray]:
+    """``pair_counts`` and ``text_randomness`` of all documents: each task adds up its own, tables of
+    a fixed size."""
+    pairs, cells = (OTHER + 1) ** 2, len(LENGTHS) * RANDOM_BINS
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((OTHER + 1) ** 2, np.int64)
-        for batch in batches:
-            for first in range(0, batch.num_rows, 512):
-                total += pair_counts(batch.column(0).slice(first, 512).to_pylist())
+        total = np.zeros(pairs + cells, np.int64)
+        for batch in text_slices(batches, TEXT_BYTES):
+            texts = batch.column("text").to_pylist()
+            total[:pairs] += pair_counts(texts)
+            total[pairs:] += text_randomness(texts).ravel()
         filled = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(filled), pa.array(total[filled])], ["pair", "n"])
+        yield pa.RecordBatch.from_arrays([pa.array(filled), pa.array(total[filled])], ["cell", "n"])
 
-    parts = docs.select(text).mapInArrow(count, "pair long, n long")
-    total = np.zeros((OTHER + 1) ** 2, np.int64)
-    for pair, n in parts.groupBy("pair").agg(F.sum("n")).collect():
-        total[pair] = n
-    return total
+    texts = docs.select(F.coalesce(F.col(text), F.lit("")).alias("text"))
+    parts = texts.mapInArrow(count, "cell long, n long")
+    total = np.zeros(pairs + cells, np.int64)
+    for cell, n in parts.groupBy("cell").agg(F.sum("n")).collect():
+        total[cell] = n
+    return total[:pairs], total[pairs:].reshape(len(LENGTHS), RANDOM_BINS)
 
 
 def find_spans(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows ``doc_id, base, candidates`` with spans as structs; one scan, no shuffle."""
-    counts = docs.sparkSession.sparkContext.broadcast(corpus_pairs(docs, text))
+    counts = docs.sparkSession.sparkContext.broadcast(corpus_counts(docs, text))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = TextModel(counts.value)
+        model = TextModel(*counts.value)
         names = ("kind", "start", "end", "p_text", "p_random")
         types = (pa.string(), pa.int32(), pa.int32(), pa.float64(), pa.float64())
         kind = pa.list_(pa.struct(list(zip(names, types, strict=True))))
@@ -263,8 +357,7 @@ def secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> Data
     cuts = F.array(*[F.lit(c) for c in cut_bins(counts, FALSE_SHARE)])
     added = F.filter(
         "candidates",
-        lambda c: (c["p_random"] >= LEAST_RANDOM)
-        & (_bin(c["p_text"]) >= F.get(cuts, _length_class(c["end"] - c["start"]))),
+        lambda c: _bin(c["p_text"]) >= F.get(cuts, _length_class(c["end"] - c["start"])),
     )
     # candidates lie outside the pattern spans, so starts differ between the two
     order = F.array(*[F.lit(k) for k in KINDS])
