@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import math
 import random
 import zlib
 
@@ -143,3 +144,52 @@ def test_passages_at_every_offset_to_a_window_edge():
             starts = toxicity.window_starts(at + size + 100)
             seen = max(min(at + size, s + toxicity.WINDOW) - max(at, s) for s in starts)
             assert seen >= (size if size <= 25 else 25 + (size - 25) // 2), (size, at)
+
+
+def _plain_score(network, text):
+    """Highest window of a text: hashes, gates, states and attention by loops over numbers."""
+    h, p = toxicity.HIDDEN, {k: v.astype(float) for k, v in network.p.items()}
+
+    def inputs(word):
+        grams, marked = [], [ord(c) for c in f"<{word}>"]
+        for size in toxicity.GRAM_SIZES:
+            for a in range(len(marked) - size + 1):
+                mixed = 0
+                for n in range(size):
+                    mixed = (mixed * 0x100000001B3 + marked[a + n] + n + 1) % 2**64
+                grams.append((mixed * 0x9E3779B97F4A7C15 % 2**64 >> 40) % toxicity.GRAMS)
+        own = list(p["word"][network.vocabulary.get(word, 0)])
+        total = [sum(p["gram"][g][i] for g in grams) / math.sqrt(max(1, len(grams))) for i in range(toxicity.GRAM_DIM)]
+        return own + total
+
+    def run(rows, name, first):
+        state, states = [0.0] * h, []
+        for x in rows:
+            given = [p["bias"][first + j] + sum(v * p["input"][i][first + j] for i, v in enumerate(x)) for j in range(3 * h)]
+            mixed = [sum(state[i] * p[name][i][j] for i in range(h)) for j in range(3 * h)]
+            update, reset = ([1 / (1 + math.exp(-given[k + j] - mixed[k + j])) for j in range(h)] for k in (0, h))
+            new = [math.tanh(given[2 * h + j] + reset[j] * mixed[2 * h + j]) for j in range(h)]
+            state = [s + u * (n - s) for s, u, n in zip(state, update, new, strict=True)]
+            states.append(state)
+        return states
+
+    words, best = toxicity.words_of(text), 0.0
+    for start in toxicity.window_starts(len(words)):
+        rows = [inputs(w) for w in words[start : start + toxicity.WINDOW]]
+        ahead, back = run(rows, "forward", 0), run(rows[::-1], "backward", 3 * h)[::-1]
+        states = [a + b for a, b in zip(ahead, back, strict=True)]
+        weights = [math.exp(sum(s * a for s, a in zip(state, p["attend"], strict=True))) for state in states]
+        pooled = [sum(w * s[j] for w, s in zip(weights, states, strict=True)) / sum(weights) for j in range(2 * h)]
+        logit = p["offset"][0] + sum(x * o for x, o in zip(pooled, p["output"], strict=True))
+        best = max(best, 1 / (1 + math.exp(-logit)))
+    return best
+
+
+def test_scores_against_plain_loops():
+    rows = _corpus(120, 4)
+    network = toxicity.train([r[1] for r in rows], [r[2] for r in rows], epochs=2)
+    long = " ".join(r[1] for r in rows[:12])
+    texts = [rows[0][1], rows[1][1], "a", "Ünseen wörds 日本 x", "", None, " ".join(long.split()[:130])]
+    got = Scorer(network).score(texts)[0]
+    assert got == pytest.approx([_plain_score(network, t) for t in texts], abs=1e-4)
+    assert len(set(got.round(6))) > 4
