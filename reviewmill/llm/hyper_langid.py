@@ -4,7 +4,7 @@ Every letter has a random vector of DIMENSIONS signs, drawn from the letter itse
 all tasks agree. A trigram (word ends count as a letter) binds three of them: the first
 permuted twice, the second once, the third as it is, multiplied place by place. A text bundles
 its trigrams by adding their vectors. A language's prototype bundles the unit vectors of at
-most SAMPLE learned documents, the first in hash order; a text gets the language of the
+most SAMPLE learned documents with a letter, the first in hash order; a text gets the language of the
 prototype with the largest cosine.
 
 The model is one vector per language. Scoring has no shuffle and reads whole texts.
@@ -25,6 +25,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from reviewmill.llm.common import stored
+from reviewmill.operators.skew import lookup_join
+
 DIMENSIONS = 1_024
 SAMPLE = 400
 PARTS = 64
@@ -126,8 +129,9 @@ def held_out(doc_id: str) -> Column:
 def learn(
     docs: DataFrame, sample: int = SAMPLE, doc_id: str = "doc_id", text: str = "text", lang: str = "lang"
 ) -> dict[str, np.ndarray]:
-    """Prototype of each language, from ``sample`` documents each at most."""
-    ids = docs.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"))
+    """Prototype of each language, from ``sample`` documents each at most, all with a letter."""
+    lettered = docs.filter(F.col(text).rlike(r"\p{L}"))
+    ids = lettered.select(F.col(doc_id).alias("doc_id"), F.col(lang).alias("lang"))
     usable = ids.filter(~held_out("doc_id") & F.col("doc_id").isNotNull() & F.col("lang").isNotNull())
     chosen = usable.withColumn("place", F.xxhash64("doc_id"))
     # first within parts of a language, so that the last step sees PARTS * sample rows of one
@@ -135,9 +139,9 @@ def learn(
         in_order = Window.partitionBy("lang", "part").orderBy("place", "doc_id")
         ranked = chosen.withColumn("part", part).withColumn("rank", F.row_number().over(in_order))
         chosen = ranked.filter(F.col("rank") <= sample).select("doc_id", "lang", "place")
-    wanted = F.broadcast(chosen.select("doc_id", "lang").distinct())
+    wanted = stored(chosen.select("doc_id", "lang").distinct(), "language-sample")  # grows with the languages
     texts = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), F.col(lang).alias("lang"))
-    texts = texts.join(wanted, ["doc_id", "lang"], "left_semi").select("lang", "text")
+    texts = lookup_join(texts, wanted, ["doc_id", "lang"], "left_semi").select("lang", "text")
 
     def bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, sums = Encoder(), {}

@@ -60,3 +60,38 @@ def test_odd_rows(spark):
     assert {r.score for r in got if r.lang_pred == "und"} == {0}
     assert hl.language(docs.limit(0)).count() == 0
     assert {r.lang_pred for r in hl.language(docs.withColumn("lang", docs.lang.substr(9, 1)).replace("", None)).collect()} == {"und"}
+
+
+def _plain_bundle(text):
+    padded = "\0" + "".join(c.lower() if c.isalpha() else "\0" for c in text) + "\0"
+    total = np.zeros(hl.DIMENSIONS)
+    for a, b, c in zip(padded, padded[1:], padded[2:], strict=False):
+        if b != "\0":
+            x, y, z = (hl.letter_vector(ord(v)).astype(int) for v in (a, b, c))
+            total += np.roll(x, 2) * np.roll(y, 1) * z
+    return total
+
+
+def test_prototypes_and_choice_by_definition(spark):
+    """Prototypes are the sums of unit bundles of the learnable documents, the answer is the nearest
+    by cosine; documents without a letter, first in hash order or not, don't use up the sample."""
+    words = {"en": "the of and house water", "de": "der und haus wasser über", "fr": "le la maison niño eau"}
+    draw = np.random.default_rng(3)
+    rows = [(i, " ".join(draw.choice(w.split(), 6)), lang) for i, (lang, w) in enumerate([*words.items()] * 9)]
+    rows += [(100 + i, "12 34 !?", "de") for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in hl.identify(docs, hl.learn(docs, sample=30)).collect()}
+    learned = [r for r in rows if r[0] < 100 and zlib.crc32(str(r[0]).encode()) % 3 != 1]
+    prototypes = {}
+    for _, text, lang in learned:
+        bundle = _plain_bundle(text)
+        prototypes[lang] = prototypes.get(lang, 0) + bundle / np.linalg.norm(bundle)
+    assert hl.learn(docs, sample=30).keys() == prototypes.keys()
+    for doc_id, text, _ in rows:
+        if doc_id >= 100:
+            assert (got[doc_id].lang_pred, got[doc_id].score) == ("und", 0.0)
+            continue
+        bundle = _plain_bundle(text)
+        cosines = {n: bundle @ p / np.linalg.norm(bundle) / np.linalg.norm(p) for n, p in prototypes.items()}
+        best = max(cosines, key=cosines.get)
+        assert got[doc_id].lang_pred == best and got[doc_id].score == pytest.approx(cosines[best], abs=1e-5)
