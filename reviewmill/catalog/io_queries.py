@@ -65,6 +65,35 @@ def io_stable_ids(spark, sf_dir):
     return back.select("review_id", "shop_visit_count", "review_text")
 
 
+@register(
+    "io_lexicon",
+    f"""WITH {inp.REVIEWS_SQL}
+SELECT shop_name AS word, CAST(arg_max(n_chars % 5 - 2, review_id) AS INTEGER) AS polarity
+FROM reviews WHERE shop_name IS NOT NULL AND n_chars IS NOT NULL GROUP BY shop_name""",
+)
+def io_lexicon(spark, sf_dir):
+    """A lexicon file with a line per review, read strictly: of a word's lines the last counts."""
+    path = scratch_path(spark, "lexicon")
+    rows = inp.reviews(spark, sf_dir).dropna(subset=["shop_name", "n_chars"])
+    rows = rows.repartitionByRange("review_id").sortWithinPartitions("review_id")
+    line = F.concat_ws("\t", "shop_name", (F.col("n_chars") % 5 - 2).cast("int"))
+    rows.select(line.alias("value")).write.text(path)
+    return readers.read_lexicon(spark, path)
+
+
+@register(
+    "io_word_list",
+    f"""WITH {inp.REVIEWS_SQL}
+SELECT DISTINCT word FROM (SELECT unnest(regexp_extract_all(review_text, '[a-z]+')) AS word FROM reviews)""",
+)
+def io_word_list(spark, sf_dir):
+    """A word per line, empty lines and repeated words among them, read as a table of words."""
+    path = scratch_path(spark, "words")
+    words = F.explode(F.split("review_text", "[^a-z]+")).alias("value")
+    inp.reviews(spark, sf_dir).select(words).write.text(path)
+    return readers.read_words(spark, path)
+
+
 @register(
     "io_text",
     f"""WITH {inp.REVIEWS_SQL}
