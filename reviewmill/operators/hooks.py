@@ -6,34 +6,54 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 Tagger = Callable[[str], list[tuple[str, str, str]]]
 
+TAG_ROWS = 1024
+TAG_TOKENS = 1 << 15
+
 
 def tag_with(
     df: DataFrame, text: str, row_id: str, load_tagger: Callable[[], Tagger]
 ) -> DataFrame:
     """Token rows ``row_id, token_no, surface, lemma, pos`` from an external tagger that each
-    task loads once. Null texts give no tokens."""
+    task loads once. Null texts give no tokens. A worker holds the tokens of one text and one
+    batch of at most TAG_TOKENS tokens, however many texts an Arrow batch has."""
     source = df.select(F.col(row_id).cast("long").alias("id"), F.col(text).alias("t")).dropna()
+    schema = "id long, token_no int, surface string, lemma string, pos string"
+    types = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string()]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tagger = load_tagger()
         for batch in batches:
-            tagged = [tagger(t) for t in batch["t"]]
-            sizes = [len(tokens) for tokens in tagged]
-            flat = pd.DataFrame(
-                [token for tokens in tagged for token in tokens],
-                columns=["surface", "lemma", "pos"],
-            )
-            flat.insert(0, "token_no", np.concatenate([np.arange(n) for n in sizes] or [[]]))
-            flat.insert(0, "id", np.repeat(batch["id"].to_numpy(), sizes))
-            yield flat
-
-    schema = "id long, token_no int, surface string, lemma string, pos string"
-    return source.mapInPandas(run, schema).withColumnRenamed("id", row_id)
+            for a in range(0, batch.num_rows, TAG_ROWS):
+                yield from _token_batches(tagger, batch.slice(a, TAG_ROWS), types)
+
+    return source.mapInArrow(run, schema).withColumnRenamed("id", row_id)
+
+
+def _token_batches(tagger: Tagger, batch: pa.RecordBatch, types: list[pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """Tokens of some texts, at most TAG_TOKENS a batch; beside them only one text's list is held."""
+    names = ["id", "token_no", "surface", "lemma", "pos"]
+    held: list[list] = [[] for _ in names]
+    for row_id, text in zip(batch.column(0), batch.column(1), strict=True):
+        tokens = tagger(text.as_py())
+        done = 0
+        while done < len(tokens):
+            part = tokens[done : done + TAG_TOKENS - len(held[0])]
+            held[0].extend([row_id.as_py()] * len(part))
+            held[1].extend(range(done, done + len(part)))
+            for column, values in zip(held[2:], zip(*part, strict=True), strict=True):
+                column.extend(values)
+            done += len(part)
+            if len(held[0]) >= TAG_TOKENS:
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(held, types, strict=True)], names)
+                held = [[] for _ in names]
+    if held[0]:
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(held, types, strict=True)], names)
 
 
 def text_function(load: Callable[[], Callable[[str], str]]) -> Callable[[str], Column]:

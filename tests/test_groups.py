@@ -377,3 +377,24 @@ def test_places_of_all_rows(spark):
     assert [tuple(r)[:4] for r in sorted(got, key=lambda r: r.place)] == want
     assert sorted(r.place for r in got) == list(range(1, 1_001))
     assert ordering.with_place(frame.limit(0), ["id"]).collect() == []
+
+
+def test_tagger_output_comes_in_bounded_batches(spark, monkeypatch):
+    import pyarrow as pa
+
+    from reviewmill.operators import hooks
+
+    def tagger(text):
+        return [(w, w.upper(), "Noun") for w in text.split()]
+
+    monkeypatch.setattr(hooks, "TAG_TOKENS", 4)
+    texts = ["a b c", "", "d e f g h i j k l", "m"]
+    rows = pa.RecordBatch.from_arrays([pa.array([7, 8, 9, 10]), pa.array(texts)], ["id", "t"])
+    types = [pa.int64(), pa.int32(), pa.string(), pa.string(), pa.string()]
+    found = list(hooks._token_batches(tagger, rows, types))
+    assert [b.num_rows for b in found] == [4, 4, 4, 1]
+    want = [(i, n, w, w.upper(), "Noun") for i, t in zip([7, 8, 9, 10], texts, strict=True) for n, w in enumerate(t.split())]
+    assert [tuple(r.values()) for b in found for r in b.to_pylist()] == want
+    frame = spark.createDataFrame([(1, "x y"), (2, None), (None, "z"), (3, "")], "review_id long, t string")
+    got = hooks.tag_with(frame, "t", "review_id", lambda: tagger).collect()
+    assert sorted(map(tuple, got)) == [(1, 0, "x", "X", "Noun"), (1, 1, "y", "Y", "Noun")]
