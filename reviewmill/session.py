@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructType
 
 SETTINGS = {
@@ -25,6 +26,8 @@ def build_session(app: str = "reviewmill", master: str | None = None, **conf: st
 
 
 def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
-    """Small literal table. Goes through Arrow, so it is a local relation of known size."""
-    columns = StructType.fromDDL(schema).names
-    return spark.createDataFrame(pd.DataFrame(rows, columns=columns), schema)
+    """Small literal table. An Arrow table is a local relation of known size whatever the session's
+    settings; rows or pandas would need Python workers where ``arrow.pyspark.enabled`` is off."""
+    kind = StructType.fromDDL(schema)
+    cells = [dict(zip(kind.names, row, strict=True)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(cells, to_arrow_schema(kind)), kind)

@@ -212,3 +212,18 @@ def test_required_rows(spark):
         jobs.preprocess_reviews(reviews, "u", "포도", dictionary, default_pos="Noun", required=True)
     assert jobs.preprocess_reviews(reviews, "v", "딸기", dictionary).collect() == []
     assert jobs.preprocess_reviews(reviews, "u", "딸기", dictionary, default_pos="Noun", required=True).count() == 1
+
+
+def test_local_tables_need_no_python_workers(spark):
+    from reviewmill.session import local_table
+
+    key = "spark.sql.execution.arrow.pyspark.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        found = local_table(spark, [("a", 1), ("b", None)], "word string, polarity int")
+        assert "LocalRelation" in found._jdf.queryExecution().optimizedPlan().toString()
+        assert sorted(map(tuple, found.collect())) == [("a", 1), ("b", None)]
+        assert local_table(spark, [], "word string").count() == 0
+    finally:
+        spark.conf.set(key, before)
