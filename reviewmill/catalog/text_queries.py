@@ -315,11 +315,12 @@ def morphemes(spark, sf_dir):
         inp.dictionary(spark),
         "Noun",
         F.lower,
+        listed=True,
     )
     return tk.regroup(
         tokens,
         ["review_id"],
-        {"morphs": F.col("lemma"), "tagged": F.concat_ws("/", "lemma", "pos")},
+        {"morphs": lambda t: t["lemma"], "tagged": lambda t: F.concat_ws("/", t["lemma"], t["pos"])},
     )
 
 

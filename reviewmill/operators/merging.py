@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill.operators.skew import cut_lineage, lookup_join
+from reviewmill.operators.tokens import is_listed
 
 SLICE_ROWS = 4096
 PART_CHARS = 16_000_000
@@ -99,11 +100,17 @@ def part_offsets(
 def merge_words(
     tokens: DataFrame, keys: list[str], row_id: str, separator: str = "|", **bounds: int
 ) -> DataFrame:
-    """Word lists of a group joined by ``|``: tokens per row first, then rows per group."""
-    pairs = F.array_sort(F.collect_list(F.struct("token_no", "word")))
-    per_row = tokens.groupBy(*keys, row_id).agg(
-        F.array_join(F.transform(pairs, lambda s: s["word"]), separator).alias("_words")
-    )
+    """Word lists of a group joined by ``|``: tokens per row first, then rows per group. ``tokens``
+    are rows, or lists by row as ``tokens.class_words`` gives them on request."""
+
+    def joined(pairs: Column) -> Column:
+        return F.array_join(F.transform(F.sort_array(pairs), lambda s: s["word"]), separator).alias("_words")
+
+    if is_listed(tokens):
+        # merge_text reads its rows twice; written, the lists are built once
+        per_row = cut_lineage(tokens.select(*keys, row_id, joined(F.col("tokens"))))
+    else:
+        per_row = tokens.groupBy(*keys, row_id).agg(joined(F.collect_list(F.struct("token_no", "word"))))
     return merge_text(per_row, keys, "_words", row_id, separator, output="words", **bounds)
 
 

@@ -276,6 +276,13 @@ def mean_polarity(min_length: int = 2) -> Column:
     return F.coalesce(F.avg(hit), F.lit(0.0))
 
 
+def mean_polarity_of(tokens: str, min_length: int = 2) -> Column:
+    """``mean_polarity`` of a list of scored tokens."""
+    hits = F.filter(tokens, lambda t: (F.length(t["word"]) >= min_length) & t["polarity"].isNotNull())
+    total = F.aggregate(hits, F.lit(0.0), lambda a, t: a + t["polarity"].cast("double"))
+    return F.when(F.size(hits) > 0, total / F.size(hits)).otherwise(0.0)
+
+
 def review_scores(
     df: DataFrame,
     words: str,

@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import atexit
+import json
 import shutil
 import tempfile
 import uuid
+from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
@@ -109,6 +111,29 @@ def lookup_join(
     return salted_join(left, small, on, how, salts)
 
 
+def list_lookup(small: DataFrame, key: str) -> Callable[[Column], Column] | None:
+    """``lookup_join`` for words inside lists: a function from a word to its row of ``small`` (a
+    struct without the key, null for unknown words), so that lists need not become rows. The table
+    is a constant of the plan, dealt into maps by hash. None where it is too large to be broadcast,
+    where a key repeats, or where its columns are no strings or integers; then rows have to be joined.
+    """
+    values = [f for f in small.schema.fields if f.name != key]
+    kinds = {f.dataType.simpleString() for f in values}
+    if not kinds <= {"string", "tinyint", "smallint", "int", "bigint"} or not fits_broadcast(small):
+        return None
+    rows = [r for r in small.withColumn("_hash", F.hash(key)).collect() if r[key] is not None]
+    if len({r[key] for r in rows}) < len(rows):
+        return None
+    count = max(1, len(rows) // 4)
+    maps: list[dict] = [{} for _ in range(count)]
+    for r in rows:
+        maps[r["_hash"] % count][r[key]] = {f.name: r[f.name] for f in values} | {"_known": True}
+    fields = ", ".join([*(f"`{f.name}`: {f.dataType.simpleString()}" for f in values), "_known: boolean"])
+    # a constant expression: the optimizer reads the text once
+    table = F.from_json(F.lit(json.dumps(maps, ensure_ascii=False)), f"array<map<string, struct<{fields}>>>")
+    return lambda word: F.try_element_at(F.get(table, F.pmod(F.hash(word), F.lit(count))), word)
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder: the setting, or else the folder the context was
     given; a temporary one only for a local master that has neither."""

@@ -26,7 +26,7 @@ from reviewmill.operators import tokens as tk
 from reviewmill.operators.keywords import first_rows
 from reviewmill.operators.profile import null_profile
 from reviewmill.operators.ranking import rank_cafes
-from reviewmill.operators.skew import cut_lineage, lookup_join
+from reviewmill.operators.skew import cut_lineage, list_lookup, lookup_join
 from reviewmill.sources.crawl import flatten_crawl
 
 UNIVERSITY, SHOP, TEXT, ROW = "university_name", "shop_name", "review_text", "review_id"
@@ -234,7 +234,7 @@ def noun_lists(
 ) -> DataFrame:
     """All nouns of each university joined by ``|``, in bounded parts."""
     nouns = tk.class_words(
-        reviews, text, [key, row_id], dictionary, ["Noun"], stop, "surface", 2, default_pos
+        reviews, text, [key, row_id], dictionary, ["Noun"], stop, "surface", 2, default_pos, listed=True
     )
     return merging.merge_words(nouns, [key], row_id, **bounds)
 
@@ -285,20 +285,40 @@ def review_scores(
     score 0 are dropped, the others get their class.
 
     The texts are read once. Short columns of a review travel with its tokens; only the text
-    itself is joined back, to the reviews that stay, unless ``with_text`` is off.
+    itself is joined back, to the reviews that stay, unless ``with_text`` is off. Where dictionary
+    and lexicon can be looked up inside lists, texts go to their row id and tokens never travel.
     """
     short = [c for c in reviews.columns if c not in (row_id, text)]
+    keys = [row_id, *short]
     cleaned = reviews.withColumn("_clean", F.coalesce(clean(text), F.lit("")))
-    tokens = tk.tag_tokens(cleaned, "_clean", [row_id, *short], dictionary, default_pos)
-    tokens = lookup_join(tokens.withColumn("word", tk.lemma_column()), lexicon, ["word"], "left")
+    tokens = tk.tag_tokens(cleaned, "_clean", keys, dictionary, default_pos, listed=True)
     columns = {
-        "nouns": F.when(F.col("pos") == "Noun", F.col("lemma")),
-        "adjectives": F.when(F.col("pos") == "Adjective", F.col("lemma")),
-        "words": F.col("word"),
+        "nouns": lambda t: F.when(t["pos"] == "Noun", t["lemma"]),
+        "adjectives": lambda t: F.when(t["pos"] == "Adjective", t["lemma"]),
+        "words": lambda t: t["word"],
     }
-    scored = tk.regroup(
-        tokens, [row_id, *short], columns, extra=[st.mean_polarity().alias("sent_score")]
-    )
+    polarity = list_lookup(lexicon.select("word", "polarity"), "word") if tk.is_listed(tokens) else None
+    if polarity is not None:
+
+        def worded(t: Column) -> Column:
+            return F.struct(*[t[c].alias(c) for c in ("token_no", "lemma", "pos")], tk.lemma_column(t).alias("word"))
+
+        def scored_word(t: Column) -> Column:
+            return F.struct(
+                *[t[c].alias(c) for c in ("token_no", "lemma", "pos", "word")],
+                polarity(t["word"])["polarity"].alias("polarity"),
+            )
+
+        # non_zero would be pushed below the lists and score each a second time
+        tokens = tk.nonempty(tokens.select(*keys, F.transform(F.transform("tokens", worded), scored_word).alias("tokens")))
+        mean = st.mean_polarity_of("tokens")
+    else:
+        tokens = tk.as_rows(tokens)
+        tokens = lookup_join(
+            tokens.withColumn("word", tk.lemma_column(F.struct("lemma", "pos"))), lexicon, ["word"], "left"
+        )
+        mean = st.mean_polarity()
+    scored = tk.regroup(tokens, keys, columns, extra=[mean.alias("sent_score")])
     scored = filters.non_zero(scored).withColumn("sentiment", sign_class_ko("sent_score"))
     if not with_text:
         return scored

@@ -162,3 +162,58 @@ def test_histogram_counts_everything(spark):
     assert bins[-1].n == 3
     flat = spark.createDataFrame([(1.0,), (1.0,)], "v double")
     assert sum(r.n for r in profile.histogram(flat, "v", 20).collect()) == 2
+
+
+def _odd_reviews(spark):
+    rows = [(1, "a", "the cats are big the"), (1, "a", "dogs 12 !! the"), (2, "a", None), (3, "b", ""), (None, "b", "are cats"), (4, None, "12")]
+    return spark.createDataFrame([(*r, 1) for r in rows], "review_id long, university_name string, review_text string, extra int")
+
+
+def _listed_and_rows(spark, monkeypatch, job):
+    """Results by lists and by token rows, and the plan by lists."""
+    from reviewmill.operators import merging  # noqa: F401
+    from reviewmill.plans import jobs
+
+    found = job(_odd_reviews(spark))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    listed = sorted(map(str, found.collect()))
+    monkeypatch.setattr(tk, "list_lookup", lambda *a: None)
+    monkeypatch.setattr(jobs, "list_lookup", lambda *a: None)
+    return listed, sorted(map(str, job(_odd_reviews(spark)).collect())), plan
+
+
+def _words(spark, repeated=False):
+    rows = [("cats", "cat", "Noun"), ("are", "be", "Verb"), ("big", "big", "Adjective"), ("the", "the", "Josa")]
+    return spark.createDataFrame(rows + rows[:1] * repeated, "surface string, lemma string, pos string")
+
+
+@pytest.mark.parametrize("name", ["content", "columns", "lemmas", "morphemes", "scores", "nouns"])
+def test_lists_equal_token_rows(spark, monkeypatch, name):
+    from reviewmill.plans import jobs
+
+    words = _words(spark)
+    lexicon = spark.createDataFrame([("cat", 2), ("be다", -1), ("dogs", 1), (None, 5)], "word string, polarity int")
+    stop = spark.createDataFrame([("dogs",), (None,)], "word string")
+    job = {
+        "content": lambda d: tk.content_text(d, "review_text", "review_id", words, keep=["extra"]),
+        "columns": lambda d: tk.pos_columns(d, "review_text", "review_id", words, {"n": ["Noun"], "a": ["Adjective"]}, "Noun"),
+        "lemmas": lambda d: tk.lemmatize(d, "review_text", "review_id", words, "Noun"),
+        "morphemes": lambda d: tk.regroup(
+            tk.tag_tokens(d, "review_text", ["review_id"], words, normalize=lambda c: c, listed=True),
+            ["review_id"],
+            {"m": lambda t: t["lemma"]},
+        ),
+        "scores": lambda d: jobs.review_scores(
+            d.drop("university_name"), lexicon, words, clean=lambda c: d[c], with_text=False, default_pos="Noun"
+        ),
+        "nouns": lambda d: jobs.noun_lists(d, words, stop, default_pos="Noun", slice_rows=2, part_chars=5),
+    }[name]
+    listed, rows, plan = _listed_and_rows(spark, monkeypatch, job)
+    assert listed == rows and listed
+    if name != "nouns":
+        assert "posexplode" not in plan  # tokens are no rows, so none are shuffled
+
+
+def test_repeated_surfaces_go_by_rows(spark):
+    tagged = tk.tag_tokens(_odd_reviews(spark), "review_text", ["review_id"], _words(spark, True), listed=True)
+    assert not tk.is_listed(tagged)
