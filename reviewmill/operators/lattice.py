@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.operators.skew import lookup_join
+from reviewmill.operators.skew import cut_lineage, lookup_join
 
 LONGEST_WORD = 256
 UNKNOWN_COST = 1_000_000
@@ -111,7 +111,7 @@ def cut_words(words: DataFrame, dictionary: DataFrame, column: str = "word") ->
     """Rows ``word, pieces``, one per distinct word of ``column``. ``dictionary`` has ``surface``."""
     # a word that holds the mark itself is left out here and stays whole for the caller
     distinct = words.select(F.col(column).alias("word")).filter(~F.col("word").contains(MARK)).distinct()
-    parts = _parts(distinct)
+    parts = cut_lineage(_parts(distinct))  # read for the starts, for words without edges, and for the order
     cut = _edges(parts, dictionary).withColumn("steps", _best_path()).select("part", _pieces().alias("own"))
     listed = parts.join(cut, "part").groupBy("word").agg(F.array_sort(F.collect_list(F.struct("part_no", "own"))).alias("p"))
     return listed.select("word", F.flatten(F.transform("p", lambda p: p["own"])).alias("pieces"))
@@ -122,7 +122,8 @@ def cut_tokens(tokens: DataFrame, dictionary: DataFrame, column: str = "word") -
     only piece. ``tokens`` should be counted already: every distinct word is looked up once."""
     rows = tokens.filter(F.length(column) > 0)
     wordlike = F.rlike(column, F.lit(r"^[\p{L}\p{M}]"))
-    cut = cut_words(rows.filter(wordlike), dictionary, column).select(F.col("word").alias(column), "pieces")
+    cut = cut_lineage(cut_words(rows.filter(wordlike), dictionary, column))  # measured, then joined
+    cut = cut.select(F.col("word").alias(column), "pieces")
     found = lookup_join(rows, cut, [column], "left")
     pieces = F.coalesce("pieces", F.array(F.col(column)))
     return found.select(*tokens.columns, F.posexplode(pieces).alias("piece_no", "piece"))

@@ -243,7 +243,8 @@ def compound_counts(reviews: DataFrame, text: str, keys: list[str], dictionary:
     """``keys, piece, lemma, pos, n``: dictionary pieces of the words of each group, counted. Words
     without spaces are cut along the best path; each distinct word is cut once."""
     words = reviews.select(*keys, F.explode(tx.word_tokens(text)).alias("word"))
-    counted = words.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n"))
+    # written once: the words are read for their pieces and joined to them, the texts are not again
+    counted = cut_lineage(words.groupBy(*keys, "word").agg(F.count(F.lit(1)).alias("n")))
     pieces = lattice.tagged_pieces(counted, dictionary)
     return pieces.groupBy(*keys, "piece", "lemma", "pos").agg(F.sum("n").alias("n"))
 
