@@ -6,9 +6,10 @@ bytes and the bits of the byte so far; contexts of order 2 and above are hashed
 ``2 ** TABLE_BITS`` places. These counts come from every training document. Each order predicts
 the bit; the predictions meet in the logistic domain under weights that a gate chooses (the
 longest order with evidence, how much it has, and the number of the bit). The weights are learned
-online, document by document, on a bounded sample (``SAMPLE_DOCUMENTS``, ``SAMPLE_CHARS``), with
-the document's own counts taken out; the same pass learns a refinement of the mixed probability
-by the last byte. A text is scored under the mixed and the refined model at once, with a share
+online from every training document: these are dealt into at most ``MOST_SLICES`` slices by a hash,
+each slice is learned pack by pack (up to ``LEARN_BYTES`` of texts, one text in a small corpus) with
+the pack's own counts taken out, and the slices' weights are averaged. The same pass learns a
+refinement of the mixed probability by the last byte. A text is scored under the mixed and the refined model at once, with a share
 that follows, block by block, whichever has predicted this text better so far.
 
 What a byte costs depends on it and the five before it alone, so a task evaluates a sequence of six
@@ -32,10 +33,9 @@ import zlib
 from collections.abc import Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.llm.common import byte_table, stored, text_slices, tokens_of
@@ -64,9 +64,9 @@ LEAST_CHANCE = 1e-6
 BUCKETS = 33
 REFINED_PRIOR = 32.0
 RATE = 0.02
-EPOCHS = 2
-SAMPLE_DOCUMENTS = 500
-SAMPLE_CHARS = 2_000_000
+STEP_GRAMS = 1 << 15
+SLICE_BYTES, MOST_SLICES = 8_000_000, 96
+LEARN_BYTES, LEAST_PACKS = 1 << 20, 64
 
 WORD = r"[^\x20\x09-\x0D]+"
 IN_WORD = byte_table([*range(9, 14), 32])
@@ -264,34 +264,59 @@ class Mixer:
         middle = np.linspace(-STEEPEST, STEEPEST, BUCKETS)
         start = np.tile(chance_of(middle), 8 * 256)
         self.cells = np.stack([REFINED_PRIOR * start, np.full(len(start), REFINED_PRIOR)])
+        self.seen = np.zeros(len(self.weights))
 
     def learn(self, table: np.ndarray, text: bytes, refine: bool) -> None:
-        for keys, _, _ in packs([text]):
+        self.learn_pack(table, [text], refine)
+
+    def learn_pack(self, table: np.ndarray, texts: list[bytes], refine: bool = True) -> None:
+        """Learn from some texts, a step per STEP_GRAMS of their sequences, with what they have
+        added to the counts taken out."""
+        for keys, _, _ in packs(texts):
             found, n = np.unique(keys, return_counts=True)
+            steps = max(1, len(keys) // STEP_GRAMS)
             previous = ((found >> np.uint64(8)) & np.uint64(255)).astype(np.int64)
             for j, bit, places in decisions(found):
                 inputs, levels = self._without(table, places, bit, n)
                 gate = gate_of(levels, j)
-                mixed = (self.weights[gate].T * inputs).sum(0)
-                missed = (bit - chance_of(mixed)) * n
-                slope, seen = np.zeros(self.weights.shape), np.bincount(gate, n, len(self.weights))
-                np.add.at(slope, gate, (missed * inputs).T)
-                some = seen > 0
-                slope = slope[some] / seen[some, None]
-                self.steps[some] += slope * slope
-                self.weights[some] += RATE * slope / np.sqrt(self.steps[some])
+                for first in range(steps):  # every step sees sequences of all kinds
+                    own = slice(first, None, steps)
+                    mixed = self._step(gate[own], inputs[:, own], bit[own], n[own])
+                if steps > 1:
+                    mixed = self._mixed(gate, inputs)
                 if refine:
                     cell = cell_of(mixed, previous, j)
-                    np.add.at(self.cells[0], cell, bit * n)
-                    np.add.at(self.cells[1], cell, n)
+                    self.cells[0] += np.bincount(cell, bit * n, len(self.cells[0]))
+                    self.cells[1] += np.bincount(cell, n, len(self.cells[1]))
+
+    def _mixed(self, gate: np.ndarray, inputs: np.ndarray) -> np.ndarray:
+        mixed = np.zeros(len(gate))
+        for k in range(ORDERS):
+            mixed += self.weights[gate, k] * inputs[k]
+        return mixed
+
+    def _step(self, gate: np.ndarray, inputs: np.ndarray, bit: np.ndarray, n: np.ndarray) -> np.ndarray:
+        mixed = self._mixed(gate, inputs)
+        missed = (bit - chance_of(mixed)) * n
+        seen = np.bincount(gate, n, len(self.weights))
+        slope = np.stack([np.bincount(gate, missed * one, len(self.weights)) for one in inputs], axis=1)
+        some = seen > 0
+        slope = slope[some] / seen[some, None]
+        self.steps[some] += slope * slope
+        self.weights[some] += RATE * slope / np.sqrt(self.steps[some])
+        self.seen += seen
+        return mixed
 
     @staticmethod
     def _without(table: np.ndarray, places: np.ndarray, bit: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Evidence of each order, without what this text has added to the counts."""
         inputs, levels = np.empty(places.shape, np.float32), np.empty(places.shape, np.uint8)
         for k, own in enumerate(places):
-            distinct, at = np.unique(own, return_inverse=True)
-            ones, every = np.bincount(at, n * bit), np.bincount(at, n)
+            if 8 * len(own) > SIZES[k]:
+                distinct, at = np.arange(OFFSETS[k], OFFSETS[k + 1]), own - OFFSETS[k]
+            else:
+                distinct, at = np.unique(own, return_inverse=True)
+            ones, every = np.bincount(at, n * bit, len(distinct)), np.bincount(at, n, len(distinct))
             zeros = np.maximum(table[0, distinct] - (every - ones), 0)
             inputs[k], levels[k] = (x[at] for x in evidence(zeros, np.maximum(table[1, distinct] - ones, 0)))
         return inputs, levels
@@ -379,40 +404,64 @@ def track(sums: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 # Spark jobs
 
 
-def training_sample(docs: DataFrame) -> DataFrame:
-    """The bounded sample, ``place, text``: the first training documents in hash order."""
-    found = docs.filter("NOT held").select(
-        "doc_id", "mark", F.xxhash64("doc_id", "mark").alias("place"), F.length("text").cast("long").alias("chars")
+def training_slices(docs: DataFrame) -> tuple[DataFrame, int]:
+    """Every training document as ``slice, text``, sorted within a task by slice and a hash, and the
+    bytes of a pack. Slices follow from the documents alone, not from how rows are dealt."""
+    rows = docs.filter("NOT held").select(
+        "doc_id", "mark", F.xxhash64("doc_id", "mark").alias("place"), F.col("text").cast("binary").alias("text")
     )
-    first = found.orderBy("place", "doc_id", "mark").limit(SAMPLE_DOCUMENTS)
-    earlier = Window.orderBy("place", "doc_id", "mark").rowsBetween(Window.unboundedPreceding, -1)
-    first = first.withColumn("before", F.coalesce(F.sum("chars").over(earlier), F.lit(0)))
-    chosen = F.broadcast(first.filter(F.col("before") < SAMPLE_CHARS).select("place").distinct())
-    rows = docs.filter("NOT held").select(F.xxhash64("doc_id", "mark").alias("place"), "text")
-    return rows.join(chosen, "place", "left_semi").dropDuplicates(["place"])
+    total = rows.agg(F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()[0]
+    count = min(MOST_SLICES, max(1, -(-total // SLICE_BYTES)))
+    dealt = rows.withColumn("slice", F.pmod(F.col("place"), F.lit(count)).cast("int")).repartition(count, "slice")
+    sorted_rows = dealt.sortWithinPartitions("slice", "place", "doc_id", "mark").select("slice", "text")
+    return sorted_rows, max(1, min(LEARN_BYTES, total // LEAST_PACKS))
 
 
 def fit(docs: DataFrame) -> bytes:
-    """A model of ``doc_id, text, mark, held``, learned from the rows that are not held out."""
+    """A model of ``doc_id, text, mark, held``, learned from all rows that are not held out.
+
+    Each slice of the documents is learned online from the same start; the weights of a gate are
+    averaged by what the slices saw of it, the refinement's counts add up."""
     spark = docs.sparkSession
     blocks = context_counts(docs.filter("NOT held"), "text")
     sent = spark.sparkContext.broadcast(blocks)
+    slices, pack = training_slices(docs)
 
-    def learn(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("place")
-        table, mixer = read_counts(sent.value), Mixer()
-        for epoch in range(EPOCHS):
-            for text in rows["text"]:
-                mixer.learn(table, text.encode(), refine=epoch == EPOCHS - 1)
-        return pd.DataFrame({"weights": [mixer.weights.tobytes()], "refined": [mixer.refined().tobytes()]})
-
-    learned = training_sample(docs).groupBy().applyInPandas(learn, "weights binary, refined binary").first()
-    if learned is None:
-        mixer = Mixer()
-        weights, refined = mixer.weights, mixer.refined()
-    else:
-        weights = np.frombuffer(learned.weights).reshape(-1, ORDERS)
-        refined = np.frombuffer(learned.refined)
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table, mixer, number, held, size = None, Mixer(), None, [], 0
+
+        def learned() -> pa.RecordBatch:
+            if held:
+                mixer.learn_pack(table, held)
+            found = [zlib.compress(x.tobytes(), 1) for x in (mixer.weights, mixer.seen, mixer.cells - Mixer().cells)]
+            columns = [pa.array([number], pa.int32()), *[pa.array([x], pa.binary()) for x in found]]
+            return pa.RecordBatch.from_arrays(columns, ["slice", "weights", "seen", "cells"])
+
+        for batch in batches:
+            for own, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if own != number:
+                    if number is not None:
+                        yield learned()
+                    table = read_counts(sent.value) if table is None else table
+                    mixer, number, held, size = Mixer(), own, [], 0
+                held.append(text.as_py())
+                size += len(held[-1]) + 1
+                if size >= pack:
+                    mixer.learn_pack(table, held)
+                    held, size = [], 0
+        if number is not None:
+            yield learned()
+
+    found = slices.mapInArrow(learn, "slice int, weights binary, seen binary, cells binary").collect()
+    mixer = Mixer()
+    start, weighted, seen = mixer.weights, np.zeros(mixer.weights.shape), np.zeros(len(mixer.weights))
+    for row in sorted(found, key=lambda r: r.slice):
+        weights, own, cells = (np.frombuffer(zlib.decompress(x)) for x in (row.weights, row.seen, row.cells))
+        weighted += own[:, None] * weights.reshape(start.shape)
+        seen += own
+        mixer.cells += cells.reshape(mixer.cells.shape)
+    weights = np.where(seen[:, None] > 0, weighted / np.maximum(seen, 1)[:, None], start)
+    refined = mixer.refined()
     return pickle.dumps((blocks, weights, refined))
 
 

@@ -28,8 +28,8 @@ from pyspark.sql import functions as F
 from reviewmill.operators.skew import cut_lineage, hot_key_join
 
 MIN_PIVOTS, MAX_PIVOTS = 64, 2048
-BLOCK = 4096
-CHUNK = 512
+BLOCKS, LEAST_BLOCK, BLOCK_BYTES = 8, 1024, 1 << 25
+CHUNK_PAIRS = 1 << 22
 _ANGLE_SLACK = 1e-6
 
 _POINT = "rep long, w long, vec array<double>, cell int, angle double, proven boolean, part long"
@@ -184,6 +184,13 @@ def _place(reps: DataFrame, pivots: _Pivots, min_samples: int) -> DataFrame:
     return cut_lineage(reps.select("rep", "w", "vec").mapInPandas(place, _POINT))
 
 
+def _block_of(reps: DataFrame) -> int:
+    """Points of a block: an eighth of all, so that a point is copied as often on any size of data,
+    but within BLOCK_BYTES of vectors, whatever a task's memory has to hold at once."""
+    count, longest = reps.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
+    return max(1, min(max(LEAST_BLOCK, -(-count // BLOCKS)), BLOCK_BYTES // (8 * max(longest or 1, 1))))
+
+
 class _Plan:
     """Where points live: cells packed into bins of about ``block`` points, so that a query
     is not copied more often than the data size asks for. A cell beyond ``block`` points is
@@ -267,11 +274,12 @@ def _meet(
 
 
 def _within(q: pd.DataFrame, p: pd.DataFrame, eps: float):
-    """Neighbour masks, CHUNK queries at a time."""
+    """Neighbour masks, CHUNK_PAIRS pairs at a time."""
     pv, pid = _matrix(p["vec"]), p["rep"].to_numpy()
     qv, qid = _matrix(q["vec"]), q["rep"].to_numpy()
-    for start in range(0, len(q), CHUNK):
-        part = slice(start, start + CHUNK)
+    step = max(1, CHUNK_PAIRS // len(p))
+    for start in range(0, len(q), step):
+        part = slice(start, start + step)
         near = (1.0 - qv[part] @ pv.T) <= eps
         yield part, near | (qid[part][:, None] == pid[None, :])
 
@@ -383,13 +391,14 @@ def _numbered(roots: DataFrame) -> DataFrame:
 
 
 def neighbour_counts(
-    df: DataFrame, row_id: str, vector: str, eps: float, pivots: int | None = None, block: int = BLOCK
+    df: DataFrame, row_id: str, vector: str, eps: float, pivots: int | None = None, block: int | None = None
 ) -> DataFrame:
     """Exact number of points within ``eps`` cosine distance of each point, itself included."""
     points = _unit(df, row_id, vector, eps)
     reps = _representatives(points)
     chosen = _choose_pivots(reps, pivots, eps)
     placed = _place(reps, chosen, 1)
+    block = block or _block_of(reps)
     found = _meet(placed, placed, chosen, block, _neighbour_kernel(eps, 0), "q long, x long, n long")
     counts = found.groupBy("q").agg(F.sum("n").alias("neighbours"))
     counted = reps.select("vec", "alone", "rep").join(counts.withColumnRenamed("q", "rep"), "rep")
@@ -405,7 +414,7 @@ def dbscan(
     eps: float = 1.0,
     min_samples: int = 5,
     pivots: int | None = None,
-    block: int = BLOCK,
+    block: int | None = None,
 ) -> DataFrame:
     """``row_id, cluster, is_core``. Noise is cluster -1; clusters are numbered by their
     smallest core id; a border point joins the lowest-numbered cluster in reach."""
@@ -419,6 +428,7 @@ def dbscan(
     _pivot_cores(reps, chosen, min_samples)
     _pivot_parts(reps, chosen, min_samples)
     placed = _place(reps, chosen, min_samples)
+    block = block or _block_of(reps)
 
     # counts for points that the pivots did not prove to be core
     open_points = placed.filter("NOT proven")

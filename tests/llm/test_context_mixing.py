@@ -200,3 +200,17 @@ def test_few_rows(spark):
     (row,) = cm.scores(_frame(spark, [(held, "only held out")])).collect()
     assert row.held_out and row.n_known == 0 and row.train_tokens == 0 and row.base_score == 0
     assert row.score == pytest.approx(-8 * (row.n_bytes + 1) * math.log10(2))
+
+
+def test_mixing_weights_learn_from_every_training_document(spark, monkeypatch):
+    rows = [r for r in _rows(1400, 8) if not _held(r[0])]
+    frame = _frame(spark, [(i, f"{text} d{i}") for i, text in rows])
+    docs = frame.select("doc_id", "text", cm.F.lit(False).alias("held"), cm.F.xxhash64("text").alias("mark"))
+    monkeypatch.setattr(cm, "SLICE_BYTES", 20_000)
+    slices, _ = cm.training_slices(docs)
+    found = slices.collect()
+    assert len({r.slice for r in found}) > 2  # more than 500 documents, in more than one slice
+    assert sorted(bytes(r.text).decode() for r in found) == sorted(f"{text} d{i}" for i, text in rows)
+    _, weights, refined = cm.pickle.loads(cm.fit(docs))
+    _, again, other = cm.pickle.loads(cm.fit(docs.repartition(3)))
+    assert (weights == again).all() and (refined == other).all()
