@@ -97,3 +97,15 @@ def test_hot_joins_inside_dbscan(spark, monkeypatch):
     labels, core, _ = brute_force(points, 0.1, 5)
     got_labels, got_core = run(spark, points, 0.1, pivots=5, block=30)
     assert (got_core == core).all() and (got_labels == labels).all()
+
+
+def test_blocks_grow_with_the_data_within_a_bound(spark):
+    """A point meets as many blocks however many points there are, while vectors fit a block."""
+
+    def reps(count, size):
+        return spark.range(count).select(density.F.array_repeat(density.F.lit(0.0), size).alias("vec"))
+
+    for count in (8 * 1024, 40_000):
+        assert -(-count // density._block_of(reps(count, 6))) == density.BLOCKS
+    assert density._block_of(reps(40_000, 20_000)) == density.BLOCK_BYTES // 160_000
+    assert density._block_of(reps(0, 6)) >= 1
