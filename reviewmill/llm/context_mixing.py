@@ -313,12 +313,12 @@ class Mixer:
         inputs, levels = np.empty(places.shape, np.float32), np.empty(places.shape, np.uint8)
         for k, own in enumerate(places):
             if 8 * len(own) > SIZES[k]:
-                distinct, at = np.arange(OFFSETS[k], OFFSETS[k + 1]), own - OFFSETS[k]
+                at = own - OFFSETS[k]
             else:
-                distinct, at = np.unique(own, return_inverse=True)
-            ones, every = np.bincount(at, n * bit, len(distinct)), np.bincount(at, n, len(distinct))
-            zeros = np.maximum(table[0, distinct] - (every - ones), 0)
-            inputs[k], levels[k] = (x[at] for x in evidence(zeros, np.maximum(table[1, distinct] - ones, 0)))
+                at = np.unique(own, return_inverse=True)[1]
+            ones, every = np.bincount(at, n * bit)[at], np.bincount(at, n)[at]
+            zeros = np.maximum(table[0, own] - (every - ones), 0)
+            inputs[k], levels[k] = evidence(zeros, np.maximum(table[1, own] - ones, 0))
         return inputs, levels
 
     def refined(self) -> np.ndarray:
