@@ -29,7 +29,7 @@ from reviewmill.operators.skew import cut_lineage, hot_key_join
 
 MIN_PIVOTS, MAX_PIVOTS = 64, 2048
 BLOCKS, LEAST_BLOCK, BLOCK_BYTES = 8, 1024, 1 << 25
-CHUNK_PAIRS = 1 << 22
+CHUNK_PAIRS, COLUMNS = 1 << 20, 1024
 _ANGLE_SLACK = 1e-6
 
 _POINT = "rep long, w long, vec array<double>, cell int, angle double, proven boolean, part long"
@@ -273,39 +273,83 @@ def _meet(
     return q.groupBy(*keys).cogroup(p.groupBy(*keys)).applyInPandas(kernel, schema)
 
 
-def _within(q: pd.DataFrame, p: pd.DataFrame, eps: float):
-    """Neighbour masks, CHUNK_PAIRS pairs at a time."""
-    pv, pid = _matrix(p["vec"]), p["rep"].to_numpy()
-    qv, qid = _matrix(q["vec"]), q["rep"].to_numpy()
-    step = max(1, CHUNK_PAIRS // len(p))
-    for start in range(0, len(q), step):
-        part = slice(start, start + step)
-        near = (1.0 - qv[part] @ pv.T) <= eps
-        yield part, near | (qid[part][:, None] == pid[None, :])
+class _Near:
+    """Which points of a block of queries and a block of points are neighbours."""
+
+    def __init__(self, q: pd.DataFrame, p: pd.DataFrame, eps: float):
+        self.qv, self.pv, self.eps = _matrix(q["vec"]), _matrix(p["vec"]), eps
+        ids, others = q["rep"].to_numpy(), p["rep"].to_numpy()
+        order = np.argsort(others)
+        place = np.minimum(np.searchsorted(others, ids, sorter=order), len(others) - 1)
+        self.itself = np.where(others[order[place]] == ids, order[place], -1)  # among the points
+
+    def __call__(self, rows: np.ndarray, columns: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Neighbour masks of some of the rows, CHUNK_PAIRS pairs at a time; ``columns`` ascend."""
+        points = self.pv[columns].T
+        step = max(1, CHUNK_PAIRS // max(1, len(columns)))
+        for start in range(0, len(rows) if len(columns) else 0, step):
+            part = rows[start : start + step]
+            near = (1.0 - self.qv[part] @ points) <= self.eps
+            at = np.minimum(np.searchsorted(columns, self.itself[part]), len(columns) - 1)
+            own = np.flatnonzero(columns[at] == self.itself[part])
+            near[own, at[own]] = True
+            yield part, near
 
 
 def _neighbour_kernel(eps: float, min_samples: int):
-    """Neighbour weight of each query, and its neighbours where they are few."""
+    """Neighbour weight of each query, and its neighbours where they are few.
+
+    With ``min_samples`` the weight is counted until it reaches that: what is beyond it does not
+    matter, so a query leaves the block as soon as it is known to be core. Without, it is exact.
+    """
 
     def run(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"q": [], "x": [], "n": []}).astype("Int64")
         if q.empty or p.empty:
-            return empty
-        ids, others, weights = q["rep"].to_numpy(), p["rep"].to_numpy(), p["w"].to_numpy()
-        found = []
-        for part, near in _within(q, p, eps):
-            mine, n = ids[part], (near.astype("float64") @ weights).astype("int64")
-            found.append(pd.DataFrame({"q": mine, "x": None, "n": n}).astype("Int64"))
-            few = n < min_samples
-            row, col = np.nonzero(near & few[:, None])
-            found.append(pd.DataFrame({"q": mine[row], "x": others[col], "n": None}).astype("Int64"))
-        return pd.concat(found)
+            return pd.DataFrame({"q": [], "x": [], "n": []}).astype("Int64")
+        ids, others, weights = q["rep"].to_numpy(), p["rep"].to_numpy(), p["w"].to_numpy().astype("float64")
+        near_of = _Near(q, p, eps)
+        n, open_rows = np.zeros(len(q), dtype="int64"), np.arange(len(q))
+        row, col = [np.zeros(0, dtype="int64")], [np.zeros(0, dtype="int64")]
+        for first in range(0, len(p), COLUMNS):
+            columns = np.arange(first, min(first + COLUMNS, len(p)))
+            for part, near in near_of(open_rows, columns):
+                n[part] += (near @ weights[columns]).astype("int64")
+                r, c = np.nonzero(near & (n[part] < min_samples)[:, None])
+                row.append(part[r])
+                col.append(columns[c])
+            if min_samples:
+                open_rows = open_rows[n[open_rows] < min_samples]
+        row, col = np.concatenate(row), np.concatenate(col)
+        few = n[row] < min_samples
+        counted = pd.DataFrame({"q": ids, "x": None, "n": n}).astype("Int64")
+        listed = pd.DataFrame({"q": ids[row[few]], "x": others[col[few]], "n": None}).astype("Int64")
+        return pd.concat([counted, listed])
 
     return run
 
 
+def _join(root: np.ndarray, one: np.ndarray, two: np.ndarray, near: np.ndarray) -> np.ndarray:
+    """Roots after the nodes ``one`` (rows) and ``two`` (columns) are joined where they are near."""
+    some = near.any(axis=1)
+    one, near = one[some], near[some]
+    while True:
+        mine, theirs = root[one], root[two]
+        low = np.minimum(mine, np.where(near, theirs[None, :], len(root)).min(axis=1, initial=len(root)))
+        down = np.minimum(theirs, np.where(near, low[:, None], len(root)).min(axis=0, initial=len(root)))
+        if np.array_equal(low, mine) and np.array_equal(down, theirs):
+            return root
+        np.minimum.at(root, mine, low)
+        np.minimum.at(root, theirs, down)
+        while not np.array_equal(root, root[root]):
+            root = root[root]
+
+
 def _edge_kernel(eps: float):
-    """Spanning edges between the nodes of two blocks of core points."""
+    """Spanning edges between the nodes of two blocks of core points.
+
+    Points that are joined already need no test. Only the component that holds most points is
+    left out: its rows meet the columns outside it, the other rows meet all columns.
+    """
 
     def run(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         if q.empty or p.empty:
@@ -314,21 +358,15 @@ def _edge_kernel(eps: float):
             np.concatenate([q["part"].to_numpy(), p["part"].to_numpy()]), return_inverse=True
         )
         qc, pc = code[: len(q)], code[len(q) :]
+        near_of = _Near(q, p, eps)
         root = np.arange(len(nodes))
-        changed = True
-        while changed:
-            before = root.copy()
-            for part, near in _within(q, p, eps):
-                has = near.any(axis=1)
-                if not has.any():
-                    continue
-                reach = np.where(near, root[pc][None, :], len(nodes)).min(axis=1)
-                low = np.minimum(root[qc[part]], reach)
-                np.minimum.at(root, qc[part], low)
-                down = np.where(near, low[:, None], len(nodes)).min(axis=0)
-                np.minimum.at(root, pc, down)
-            root = root[root]
-            changed = not np.array_equal(before, root)
+        for first in range(0, len(p), COLUMNS):
+            columns = np.arange(first, min(first + COLUMNS, len(p)))
+            most = np.bincount(root[code]).argmax()
+            inside, met = root[qc] == most, root[pc[columns]] == most
+            for rows, others in ((np.flatnonzero(~inside), columns), (np.flatnonzero(inside), columns[~met])):
+                for part, near in near_of(rows, others):
+                    root = _join(root, qc[part], pc[others], near)
         moved = root != np.arange(len(nodes))
         return pd.DataFrame({"a": nodes[moved], "b": nodes[root[moved]]})
 
@@ -390,6 +428,13 @@ def _numbered(roots: DataFrame) -> DataFrame:
     return parts.join(before, "part").select("root", (F.col("before") + inside - 1).alias("cluster"))
 
 
+def _of_copies(points: DataFrame, found: DataFrame) -> DataFrame:
+    """All points with what was found for their vector. A hash comes first among the keys, so that
+    sorting seldom has to compare vectors."""
+    code = F.xxhash64("vec")
+    return hot_key_join(points.withColumn("code", code), found.withColumn("code", code), ["code", "vec", "alone"])
+
+
 def neighbour_counts(
     df: DataFrame, row_id: str, vector: str, eps: float, pivots: int | None = None, block: int | None = None
 ) -> DataFrame:
@@ -402,7 +447,7 @@ def neighbour_counts(
     found = _meet(placed, placed, chosen, block, _neighbour_kernel(eps, 0), "q long, x long, n long")
     counts = found.groupBy("q").agg(F.sum("n").alias("neighbours"))
     counted = reps.select("vec", "alone", "rep").join(counts.withColumnRenamed("q", "rep"), "rep")
-    return hot_key_join(points, counted.drop("rep"), ["vec", "alone"]).select(
+    return _of_copies(points, counted.drop("rep")).select(
         F.col("id").alias(row_id), "neighbours"
     )
 
@@ -498,6 +543,6 @@ def dbscan(
             F.col("cluster").isNotNull().alias("is_core"),
         )
     )
-    return hot_key_join(points, labels, ["vec", "alone"]).select(
+    return _of_copies(points, labels).select(
         F.col("id").alias(row_id), "cluster", "is_core"
     )

@@ -109,3 +109,66 @@ def test_blocks_grow_with_the_data_within_a_bound(spark):
         assert -(-count // density._block_of(reps(count, 6))) == density.BLOCKS
     assert density._block_of(reps(40_000, 20_000)) == density.BLOCK_BYTES // 160_000
     assert density._block_of(reps(0, 6)) >= 1
+
+
+def block(vectors, first=0):
+    ids = np.arange(first, first + len(vectors))
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    return density.pd.DataFrame({"rep": ids, "w": 1, "vec": list(unit), "part": ids})
+
+
+def tested_pairs(monkeypatch):
+    sizes, call = [], density._Near.__call__
+
+    def counted(self, rows, columns):
+        sizes.append(len(rows) * len(columns))
+        return call(self, rows, columns)
+
+    monkeypatch.setattr(density._Near, "__call__", counted)
+    return sizes
+
+
+def test_joined_points_are_not_tested_again(monkeypatch):
+    monkeypatch.setattr(density, "COLUMNS", 50)
+    draw = np.random.default_rng(2)
+    q = block(np.concatenate([draw.normal(size=(1000, 4)) + 4, draw.normal(size=(20, 4)) - 4]))
+    sizes = tested_pairs(monkeypatch)
+    edges = density._edge_kernel(0.3)(q, q)
+    root = np.arange(len(q))
+    for a, b in zip(edges["a"], edges["b"], strict=True):
+        root[root == root[a]] = root[b]
+    labels, _, _ = brute_force(np.stack(q["vec"]), 0.3, 1)
+    assert len({*zip(root, labels, strict=True)}) == len(set(root)) == len(set(labels)) > 1
+    assert sum(sizes) < len(q) ** 2 / 4
+
+
+def test_core_points_leave_a_block_early(monkeypatch):
+    monkeypatch.setattr(density, "COLUMNS", 50)
+    draw = np.random.default_rng(3)
+    q = block(np.concatenate([draw.normal(size=(1000, 4)) + 4, draw.normal(size=(20, 4))]))
+    _, _, counts = brute_force(np.stack(q["vec"]), 0.05, 5)
+    sizes = tested_pairs(monkeypatch)
+    found = density._neighbour_kernel(0.05, 5)(q, q)
+    n = found.dropna(subset="n").set_index("q")["n"]
+    assert ((n >= 5).to_numpy() == (counts >= 5)).all() and (n[counts < 5] == counts[counts < 5]).all()
+    assert found.dropna(subset="x").groupby("q").size().to_dict() == {i: c for i, c in enumerate(counts) if c < 5}
+    assert sum(sizes) < len(q) ** 2 / 2
+    exact = density._neighbour_kernel(0.05, 0)(q, q)
+    assert (exact["n"].to_numpy() == counts).all()
+
+
+def test_hashed_embedding_has_a_place_for_every_count(spark):
+    from hashlib import md5
+
+    from reviewmill.operators import embedding
+
+    texts = ["a b b", "", None, "a\u3000a\u001cb", " ".join(f"w{i}" for i in range(5000))]
+    frame = spark.createDataFrame(list(enumerate(texts)), "id long, t string")
+    vectors = embedding.embed_hashing(frame, "t", "id", 16)
+    assert "transform(" not in vectors._jdf.queryExecution().optimizedPlan().toString().lower()
+    got = {r.id: list(r.embedding) for r in vectors.collect()}
+    for i, text in enumerate(texts):
+        n = np.zeros(16)
+        for word in (text or "").split():
+            n[int(md5(word.encode()).hexdigest()[:8], 16) % 16] += 1
+        assert got[i] == list((n / max(1.0, np.sqrt((n * n).sum()))).astype("float32"))
