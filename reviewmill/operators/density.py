@@ -11,8 +11,10 @@ edges leave a task. What keeps the work small:
 3. What is left ("queries") visits only the cells (points by nearest pivot) that the
    triangle inequality on angles cannot rule out.
 4. Small cells are packed together and large ones cut, into blocks of bounded size.
+5. Clustering first lets each block by hash meet itself and the next one. Points that this proves
+   to be core need no more neighbours, and the largest cluster that it finds needs no test inside.
 
-Steps 2 to 4 only skip pairs whose outcome is already proven.
+Steps 2 to 5 only skip pairs whose outcome is already proven.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill.operators.skew import cut_lineage, hot_key_join
@@ -30,6 +32,7 @@ from reviewmill.operators.skew import cut_lineage, hot_key_join
 MIN_PIVOTS, MAX_PIVOTS = 64, 2048
 BLOCKS, LEAST_BLOCK, BLOCK_BYTES = 8, 1024, 1 << 25
 CHUNK_PAIRS, COLUMNS = 1 << 20, 1024
+MET_BLOCKS = 2
 _ANGLE_SLACK = 1e-6
 
 _POINT = "rep long, w long, vec array<double>, cell int, angle double, proven boolean, part long"
@@ -273,6 +276,29 @@ def _meet(
     return q.groupBy(*keys).cogroup(p.groupBy(*keys)).applyInPandas(kernel, schema)
 
 
+def _meet_ring(queries: DataFrame, points: DataFrame, blocks: int, kernel, schema: str) -> DataFrame:
+    """Run ``kernel`` on each of ``blocks`` blocks by hash with itself and with the next one.
+
+    A row is copied twice, however many blocks there are. What this settles need not meet the
+    other blocks, and a large cluster hangs together around the ring.
+    """
+    columns = [F.col(c).alias(c) for c in ("rep", "w", "vec", "part")]  # attributes of their own for the cogroup
+    own, count = F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int"), F.lit(blocks)
+
+    def beside(step: int) -> Column:
+        return F.explode(F.array_distinct(F.array(own, F.pmod(own + step, count))))
+
+    q = queries.select(*columns, own.alias("qb"), beside(1).alias("pb"))
+    p = points.select(*columns, own.alias("pb"), beside(-1).alias("qb"))
+    return q.groupBy("qb", "pb").cogroup(p.groupBy("qb", "pb")).applyInPandas(kernel, schema)
+
+
+def _enough(found: DataFrame, min_samples: int) -> DataFrame:
+    """``rep`` of the queries whose counted neighbours make them core points."""
+    weights = found.filter("n IS NOT NULL").groupBy(F.col("q").alias("rep")).agg(F.sum("n").alias("n"))
+    return weights.filter(F.col("n") >= min_samples).select("rep")
+
+
 class _Near:
     """Which points of a block of queries and a block of points are neighbours."""
 
@@ -475,22 +501,18 @@ def dbscan(
     placed = _place(reps, chosen, min_samples)
     block = block or _block_of(reps)
 
+    blocks = -(-reps.count() // block)
+    ring = blocks > MET_BLOCKS  # else the ring is no less than all blocks
+
     # counts for points that the pivots did not prove to be core
     open_points = placed.filter("NOT proven")
-    found = cut_lineage(
-        _meet(
-            open_points,
-            placed,
-            chosen,
-            block,
-            _neighbour_kernel(eps, min_samples),
-            "q long, x long, n long",
-        )
-    )
-    weights = found.filter("n IS NOT NULL").groupBy("q").agg(F.sum("n").alias("n"))
-    late = weights.filter(F.col("n") >= min_samples).select(
-        F.col("q").alias("rep"), F.lit(True).alias("late")
-    )
+    kernel, columns = _neighbour_kernel(eps, min_samples), "q long, x long, n long"
+    if ring:
+        sure = cut_lineage(_enough(_meet_ring(open_points, placed, blocks, kernel, columns), min_samples))
+        open_points = cut_lineage(open_points.join(sure, "rep", "left_anti"))
+    found = cut_lineage(_meet(open_points, placed, chosen, block, kernel, columns))
+    late = _enough(found, min_samples)
+    late = (late.unionByName(sure) if ring else late).withColumn("late", F.lit(True))
     flagged = placed.join(late, "rep", "left").withColumn(
         "core", F.col("proven") | F.coalesce("late", F.lit(False))
     )
@@ -510,6 +532,12 @@ def dbscan(
     )
     cores = cut_lineage(flagged.filter("core").withColumn("part", node).drop("late", "core"))
     outside = cores.filter(F.col("part") != int(largest))
+    if ring:
+        near = connected_components(cut_lineage(_meet_ring(outside, cores, blocks, _edge_kernel(eps), "a long, b long")))
+        named = hot_key_join(cores.withColumnRenamed("part", "node"), near, ["node"], "left")
+        cores = cut_lineage(named.withColumn("part", F.coalesce("root", "node")).drop("node", "root"))
+        most = cores.groupBy("part").count().orderBy(F.desc("count"), "part").first()
+        outside = cores.filter(F.col("part") != (most["part"] if most else -1))
     edges = cut_lineage(
         _meet(outside, cores, chosen, block, _edge_kernel(eps), "a long, b long")
     )

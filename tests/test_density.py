@@ -172,3 +172,14 @@ def test_hashed_embedding_has_a_place_for_every_count(spark):
         for word in (text or "").split():
             n[int(md5(word.encode()).hexdigest()[:8], 16) % 16] += 1
         assert got[i] == list((n / max(1.0, np.sqrt((n * n).sum()))).astype("float32"))
+
+
+def test_what_the_ring_settles_meets_no_other_block(spark, monkeypatch):
+    draw = np.random.default_rng(5)
+    points = np.concatenate([draw.normal(size=(400, 3)) + 4, draw.normal(size=(20, 3))]).astype("float32").tolist()
+    asked, meet = [], density._meet
+    monkeypatch.setattr(density, "_meet", lambda q, *rest: asked.append(q.count()) or meet(q, *rest))
+    labels, core, _ = brute_force(points, 0.02, 5)
+    got_labels, got_core = run(spark, points, 0.02, pivots=1, block=100)
+    assert (got_core == core).all() and (got_labels == labels).all()
+    assert len(asked) == 2 and max(asked) < len(points) / 3
