@@ -10,7 +10,8 @@ edges leave a task. What keeps the work small:
    certainly one cluster. Pairs inside the largest such cluster need no test.
 3. What is left ("queries") visits only the cells (points by nearest pivot) that the
    triangle inequality on angles cannot rule out.
-4. Small cells are packed together and large ones cut, into blocks of bounded size.
+4. Small cells are packed together and large ones cut, into blocks of bounded size. A block is
+   written once; the tasks that compare it read it from there.
 5. Clustering first lets each block by hash meet itself and the next one. Points that this proves
    to be core need no more neighbours, and the largest cluster that it finds needs no test inside.
 
@@ -24,8 +25,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from reviewmill.operators.skew import cut_lineage, hot_key_join
 
@@ -188,43 +191,72 @@ def _place(reps: DataFrame, pivots: _Pivots, min_samples: int) -> DataFrame:
 
 
 def _block_of(reps: DataFrame) -> int:
-    """Points of a block: an eighth of all, so that a point is copied as often on any size of data,
-    but within BLOCK_BYTES of vectors, whatever a task's memory has to hold at once."""
+    """Points of a block: an eighth of all, but within BLOCK_BYTES of vectors, whatever a task's
+    memory has to hold at once."""
     count, longest = reps.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
     return max(1, min(max(LEAST_BLOCK, -(-count // BLOCKS)), BLOCK_BYTES // (8 * max(longest or 1, 1))))
 
 
-class _Plan:
-    """Where points live: cells packed into bins of about ``block`` points, so that a query
-    is not copied more often than the data size asks for. A cell beyond ``block`` points is
-    a bin of its own with several blocks."""
+class _Reach:
+    """Which cells (points by nearest pivot) may hold neighbours of a vector, and an order in which
+    neighbouring cells stand together."""
 
-    def __init__(self, points: DataFrame, pivots: _Pivots, block: int):
-        count = len(pivots.reps)
-        radius = np.full(count, -10.0)
-        sizes = np.zeros(count, dtype="int64")
-        stats = points.groupBy("cell").agg(F.max("angle").alias("r"), F.count(F.lit(1)).alias("n"))
-        for cell, r, n in stats.collect():  # at most one row per pivot
-            radius[cell], sizes[cell] = r, n
+    def __init__(self, points: DataFrame, pivots: _Pivots):
+        self.pivots = pivots
+        radius = np.full(len(pivots.reps), -10.0)
+        for cell, r in points.groupBy("cell").agg(F.max("angle")).collect():  # at most one row per pivot
+            radius[cell] = r
         widest = np.arccos(np.clip(1.0 - pivots.eps, -1.0, 1.0))
         self.limit = widest + radius + _ANGLE_SLACK
-        # neighbouring cells share a bin where possible: walk them by angle to the first pivot
         order = np.argsort(-pivots.similarity(pivots.vectors)[:, 0], kind="stable")
-        self.bin_of = np.zeros(count, dtype="int64")
-        bins: list[int] = [0]
-        for cell in order:
-            if bins[-1] and bins[-1] + sizes[cell] > block:
-                bins.append(0)
-            self.bin_of[cell] = len(bins) - 1
-            bins[-1] += int(sizes[cell])
-        self.blocks = [max(1, -(-n // block)) for n in bins]
-
-    def visits(self, pivots: _Pivots, vectors: np.ndarray) -> np.ndarray:
-        """Bins (columns) that may hold neighbours of each vector."""
-        cells = np.arccos(pivots.similarity(vectors)) <= self.limit[None, :]
-        members = np.zeros((len(self.bin_of), len(self.blocks)), dtype="float32")
-        members[np.arange(len(self.bin_of)), self.bin_of] = 1
-        return (cells.astype("float32") @ members) > 0
+        self.place = np.argsort(order)
+
+    def __call__(self, vectors: np.ndarray, cells: np.ndarray) -> np.ndarray:
+        """A row per vector, a column per cell."""
+        similarity = np.clip(vectors @ self.pivots.vectors[cells].T, -1.0, 1.0)
+        return np.arccos(similarity) <= self.limit[cells]
+
+
+_POINT_LONGS = ("rep", "w", "part")
+_PACKED = (*_POINT_LONGS, "vec")
+
+
+def _pack(points: DataFrame, reach: _Reach, block: int) -> DataFrame:
+    """A row for each block of at most ``block`` points, written once: the points' columns as
+    numbers, the cells they are in, and the cells that may hold neighbours of theirs."""
+    place = F.element_at(F.lit([int(x) for x in reach.place]), F.col("cell") + 1)
+    count = max(1, -(-points.count() // block))
+    dealt = points.select(*_PACKED, "cell").repartitionByRange(count, place, F.xxhash64("rep"))
+    cells = np.arange(len(reach.place))
+
+    def packed(held: list[list[np.ndarray]]) -> pd.DataFrame:
+        *columns, home, near = zip(*held, strict=True)
+        row = {n: [np.concatenate(c).tobytes()] for n, c in zip(_PACKED, columns, strict=True)}
+        return pd.DataFrame(row | {"cells": [np.unique(np.concatenate(home))], "near": [np.unique(np.concatenate(near))]})
+
+    def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, size = [], 0
+        for b in batches:
+            while len(b):
+                some, b = b.iloc[: block - size], b.iloc[block - size :]
+                vectors = _matrix(some["vec"])
+                longs = [some[c].to_numpy("int64") for c in _POINT_LONGS]
+                held.append([*longs, vectors, some["cell"].to_numpy(), cells[reach(vectors, cells).any(axis=0)]])
+                size += len(some)
+                if size == block:
+                    yield packed(held)
+                    held, size = [], 0
+        if held:
+            yield packed(held)
+
+    schema = ", ".join(f"{c} binary" for c in _PACKED) + ", cells array<int>, near array<int>"
+    return cut_lineage(dealt.mapInPandas(pack, schema))
+
+
+def _unpack(row: list[pa.Scalar]) -> pd.DataFrame:
+    *longs, vectors = (np.frombuffer(x.as_buffer(), kind) for x, kind in zip(row, ("i8", "i8", "i8", "f8"), strict=True))
+    points = pd.DataFrame(dict(zip(_POINT_LONGS, longs, strict=True)))
+    return points.assign(vec=list(vectors.reshape(len(points), -1)))
 
 
 def _meet(
@@ -232,48 +264,28 @@ def _meet(
 ) -> DataFrame:
     """Run ``kernel(queries, points)`` on every pair of blocks that may hold neighbours.
 
-    Tasks are keyed by (bin, point block, query block). A query is copied to the bins in
-    reach, a point to the query blocks of its own bin.
+    Each block is written once. A task reads the two blocks that it compares from there, so no
+    point is copied, shuffled or written again for the blocks that it meets.
     """
-    plan = _Plan(points, pivots, block)
-    columns = "rep long, w long, vec array<double>, part long"
-    asked = queries.select("rep", "w", "vec", "part")
-
-    def visit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            row, target = np.nonzero(plan.visits(pivots, _matrix(b["vec"])))
-            out = b.iloc[row].assign(bin=target)
-            for start in range(0, len(out), 10_000):
-                yield out.iloc[start : start + 10_000]
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(len(plan.blocks), dtype="int64")
-        for b in batches:
-            total += plan.visits(pivots, _matrix(b["vec"])).sum(axis=0)
-        yield pd.DataFrame({"bin": np.arange(len(total)), "n": total})
-
-    query_blocks = [1] * len(plan.blocks)
-    counted = asked.mapInPandas(count, "bin int, n long").groupBy("bin").agg(F.sum("n").alias("n"))
-    for target, n in counted.collect():  # at most one row per pivot
-        query_blocks[target] = max(1, -(-n // block))
-
-    point_blocks = F.element_at(F.lit(plan.blocks), F.col("bin") + 1)
-    meet_blocks = F.element_at(F.lit(query_blocks), F.col("bin") + 1)
-    spread = F.xxhash64("rep")
-    zero = F.lit(0)
-    q = asked.mapInPandas(visit, columns + ", bin int").select(
-        "*",
-        F.pmod(spread, meet_blocks).cast("int").alias("qb"),
-        F.explode(F.sequence(zero, point_blocks - 1)).alias("pb"),
-    )
-    home = F.element_at(F.lit([int(x) for x in plan.bin_of]), F.col("cell") + 1)
-    p = points.select("rep", "w", "vec", "part", home.cast("int").alias("bin")).select(
-        "*",
-        F.pmod(spread, point_blocks).cast("int").alias("pb"),
-        F.explode(F.sequence(zero, meet_blocks - 1)).alias("qb"),
-    )
-    keys = ["bin", "pb", "qb"]
-    return q.groupBy(*keys).cogroup(p.groupBy(*keys)).applyInPandas(kernel, schema)
+    reach = _Reach(points, pivots)
+    p = _pack(points, reach, block)
+    q = p if queries is points else _pack(queries, reach, block)
+    q = q.select("near", *[F.col(c).alias(f"q_{c}") for c in _PACKED])
+    p = p.select("cells", *[F.col(c).alias(f"p_{c}") for c in _PACKED])
+    # a Cartesian product reads both sides where they lie
+    pairs = q.join(p.hint("shuffle_replicate_nl"), F.arrays_overlap("near", "cells"))
+    pairs = pairs.select("cells", *[f"{side}_{c}" for side in "qp" for c in _PACKED])
+    columns = pa.schema([(name, pa.int64()) for name in StructType.fromDDL(schema).names])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in zip(*batch.columns, strict=True):
+                cells, asked, met = np.array(row[0].as_py()), _unpack(row[1:5]), _unpack(row[5:])
+                parts = (asked.iloc[a : a + 10_000] for a in range(0, len(asked), 10_000))
+                asked = pd.concat([part[reach(_matrix(part["vec"]), cells).any(axis=1)] for part in parts])
+                yield pa.RecordBatch.from_pandas(kernel(asked, met), columns, preserve_index=False)
+
+    return pairs.mapInArrow(run, schema)
 
 
 def _meet_ring(queries: DataFrame, points: DataFrame, blocks: int, kernel, schema: str) -> DataFrame:
@@ -471,11 +483,10 @@ def neighbour_counts(
     placed = _place(reps, chosen, 1)
     block = block or _block_of(reps)
     found = _meet(placed, placed, chosen, block, _neighbour_kernel(eps, 0), "q long, x long, n long")
-    counts = found.groupBy("q").agg(F.sum("n").alias("neighbours"))
-    counted = reps.select("vec", "alone", "rep").join(counts.withColumnRenamed("q", "rep"), "rep")
-    return _of_copies(points, counted.drop("rep")).select(
-        F.col("id").alias(row_id), "neighbours"
-    )
+    counts = cut_lineage(found.groupBy(F.col("q").alias("rep")).agg(F.sum("n").alias("neighbours")))
+    members = cut_lineage(_of_copies(points, reps.select("vec", "alone", "rep")).select("id", "rep"))
+    # very many copies of a vector are one hot key
+    return hot_key_join(members, counts, ["rep"]).select(F.col("id").alias(row_id), "neighbours")
 
 
 def dbscan(

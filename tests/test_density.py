@@ -183,3 +183,17 @@ def test_what_the_ring_settles_meets_no_other_block(spark, monkeypatch):
     got_labels, got_core = run(spark, points, 0.02, pivots=1, block=100)
     assert (got_core == core).all() and (got_labels == labels).all()
     assert len(asked) == 2 and max(asked) < len(points) / 3
+
+
+def test_no_point_is_copied_for_the_blocks_that_it_meets(spark, monkeypatch):
+    """However many blocks there are, a point leaves its task once; blocks stay within their bound."""
+    points = blobs(6, copies=5)
+    frame = spark.createDataFrame(list(enumerate(points)), "id long, v array<float>")
+    met, meet = [], density._meet
+    monkeypatch.setattr(density, "_meet", lambda *options: met.append(meet(*options)) or met[-1])
+    got = {r.id: r.neighbours for r in density.neighbour_counts(frame, "id", "v", 1.5, pivots=5, block=10).collect()}
+    assert [got[i] for i in range(len(points))] == brute_force(points, 1.5, 5)[2].tolist()
+    plan = met[0]._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" in plan and "Generate" not in plan and "Exchange" not in plan
+    kernel_sizes = [r.n for r in met[0].filter("n IS NOT NULL").groupBy("q").agg(density.F.count("q").alias("n")).collect()]
+    assert min(kernel_sizes) >= len({tuple(p) for p in points}) // 10  # a row per block that a point meets
