@@ -1,13 +1,14 @@
 """Audit of how sources diverge within a language, by exact integer term shares.
 
 Terms of all documents go through Spark ML's ``CountVectorizer`` (``minDF`` of three documents,
-the largest vocabulary size there is), which gives one exact sparse vector of counts per
-document. A term carries its language as a prefix, so the vocabularies of all languages are fitted
+the largest vocabulary size there is). What it turns into sparse vectors is, for each group and
+slice of documents, the list of the distinct terms that occur equally often there: a vector times
+that number, summed, is the sum of the documents' own vectors. A term carries its language as a prefix, so the vocabularies of all languages are fitted
 at once and stay apart. The vocabulary of a fit lives on the driver and in a broadcast, so terms
 are first dealt by hash into as many slices as keep a fit below ``SLICE_TERMS`` distinct terms
 (counted before, at a margin of three standard errors); each slice is read by its own fit only.
 
-Sparse vectors are summed per language and source, first inside a batch, then by Spark. A pair of
+Sparse vectors are summed per language and source, first inside a task, then by Spark. A pair of
 sources is compared over all kept terms without visiting those that neither has: the sum over
 terms that both lack is a product, terms that one has are summed against the other's share of an
 absent term, and terms that both have correct these sums. The three sums come from blocks of
@@ -89,6 +90,25 @@ def terms_of(batch: pa.RecordBatch, most: int = 0) -> tuple[pa.Array, np.ndarray
     return pc.binary_join_element_wise(batch.column("lang").take(pa.array(owner)), terms, "\0"), begins
 
 
+def repeats_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """Rows ``gid, times, terms`` of a batch ``gid, lang, text``: a group's distinct terms that occur
+    ``times`` times in its rows, each after its language and a zero character."""
+    terms, begins = tokens_of(batch.column("text"), IN_TERM)
+    coded = terms.dictionary_encode()
+    size = max(1, len(coded.dictionary))
+    gids, first, group = np.unique(batch.column("gid").to_numpy(), return_index=True, return_inverse=True)
+    key = np.repeat(group.astype(np.int64), np.diff(begins)) * size + coded.indices.to_numpy()
+    key, times = np.unique(key, return_counts=True)
+    order = np.lexsort((times, key // size))
+    group, term, times = key[order] // size, key[order] % size, times[order]
+    starts = np.flatnonzero(np.r_[True, (group[1:] != group[:-1]) | (times[1:] != times[:-1])][: len(key)])
+    langs = batch.column("lang").take(pa.array(first[group]))
+    named = pc.binary_join_element_wise(langs, coded.dictionary.take(pa.array(term)), "\0")
+    lists = pa.ListArray.from_arrays(pa.array(np.append(starts, len(key)), pa.int32()), named)
+    columns = [pa.array(gids[group[starts]], pa.int64()), pa.array(times[starts], pa.int64()), lists]
+    return pa.RecordBatch.from_arrays(columns, ["gid", "times", "terms"])
+
+
 def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The batches; when a task is done with them, its worker gives unused memory back."""
     try:
@@ -116,18 +136,20 @@ def distinct_terms(docs: DataFrame) -> int:
 
 
 def term_slices(docs: DataFrame, least: int, slice_terms: int) -> list[tuple[DataFrame, DataFrame]]:
-    """Rows ``gid, terms`` in slices by a hash of the term, each of a bounded vocabulary: for a fit,
-    which needs to see a term once per row and in ``least`` rows of a batch, and for the vectors."""
+    """Rows in slices by a hash of the term, each of a bounded vocabulary: ``terms`` for a fit, which
+    needs to see a term once per row and in ``least`` rows of a batch, and ``gid, times, terms`` for
+    the vectors, which need a group's term of a batch once and how often it occurs."""
     count = max(1, -(-distinct_terms(docs) // slice_terms))
 
-    def whole(batches: Iterator[pa.RecordBatch], most: int = 0) -> Iterator[pa.RecordBatch]:
-        for batch in text_slices(released(batches), COUNTED_BYTES if most else SLICE_BYTES):
-            terms, begins = terms_of(batch, most)
-            lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), terms)
-            yield pa.RecordBatch.from_arrays([batch.column("gid"), lists], ["gid", "terms"])
+    def repeats(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(released(batches), SLICE_BYTES):
+            yield repeats_of(batch)
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        return whole(batches, max(1, least))
+        for batch in text_slices(released(batches), COUNTED_BYTES):
+            terms, begins = terms_of(batch, max(1, least))
+            lists = pa.ListArray.from_arrays(pa.array(begins, pa.int32()), terms)
+            yield pa.RecordBatch.from_arrays([lists], ["terms"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(released(batches), SLICE_BYTES):
@@ -145,16 +167,18 @@ def term_slices(docs: DataFrame, least: int, slice_terms: int) -> list[tuple[Dat
             )
 
     if count == 1:
-        columns = "gid long, terms array<string>"
-        return [(docs.mapInArrow(distinct, columns), docs.mapInArrow(whole, columns))]
+        terms = "terms array<string>"
+        return [(docs.mapInArrow(distinct, terms), docs.mapInArrow(repeats, f"gid long, times long, {terms}"))]
     dealt = docs.mapInArrow(deal, "gid long, terms array<string>, slice int")
     dealt = stored(dealt.sortWithinPartitions("slice"), "divergence-slices")  # a fit reads its pages only
-    parts = [dealt.filter(F.col("slice") == k).select("gid", "terms") for k in range(count)]
+    once = F.lit(1).cast("long").alias("times")
+    parts = [dealt.filter(F.col("slice") == k).select("gid", once, "terms") for k in range(count)]
     return [(part, part) for part in parts]
 
 
 def add_vectors(vectors: DataFrame) -> DataFrame:
-    """Rows ``gid, at, count``: the sparse vectors ``v`` summed per group, as far as a task sees them."""
+    """Rows ``gid, at, count``: the sparse vectors ``v``, each ``times`` times, summed per group, as far
+    as a task sees them."""
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in released(batches):
@@ -170,7 +194,8 @@ def add_vectors(vectors: DataFrame) -> DataFrame:
                 sizes = pc.list_value_length(indices).to_numpy(zero_copy_only=False).astype(np.int64)
                 key = np.repeat(group.ravel().astype(np.int64) << 32, sizes) | indices.flatten().to_numpy()
                 order = np.argsort(key)
-                key, count = key[order], values.flatten().to_numpy()[order].astype(np.int64)
+                count = values.flatten().to_numpy().astype(np.int64) * np.repeat(batch.column("times").to_numpy(), sizes)
+                key, count = key[order], count[order]
                 begins = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
                 key, count = key[begins], np.add.reduceat(count, begins) if len(begins) else count
                 columns = [groups[key >> 32], key & 0xFFFFFFFF, count]
@@ -203,7 +228,7 @@ def group_counts(docs: DataFrame, least: int, slice_terms: int) -> tuple[DataFra
         vocabulary = stored(fitted_terms(model), "divergence-terms")
         sizes.append(vocabulary.groupBy("lang").agg(F.count(F.lit(1)).alias("vocabulary")))
         # dealt by term alone: sums, the language's count and the join need no other shuffle
-        sums = add_vectors(model.transform(part).select("gid", "v")).repartition("at")
+        sums = add_vectors(model.transform(part).select("gid", "times", "v")).repartition("at")
         sums = sums.groupBy("gid", "at").agg(F.sum("count").alias("count"))
         sums = sums.withColumn("of_lang", F.sum("count").over(of_term)).join(vocabulary, "at")
         found.append(stored(sums.select("gid", "lang", "term", "count", "of_lang"), "divergence-counts"))

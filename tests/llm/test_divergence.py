@@ -132,3 +132,23 @@ def test_a_fit_sees_a_term_in_so_many_rows(most):
     got = [terms.slice(a, b - a).to_pylist() for a, b in zip(begins[:-1], begins[1:], strict=True)]
     assert [set(g) for g in got] == want and sum(map(len, got)) == sum(map(len, want))
     assert dv.terms_of(batch.slice(0, 0), most)[0].to_pylist() == []
+
+
+def test_vectors_see_a_term_of_a_group_once():
+    """A group's distinct terms, dealt by how often they occur; before, each occurrence was sent."""
+    rows = _rows(80, 12) + [("en", "a", ""), ("xx", "a", "ab ab"), ("xx", "b", None)]
+    names = sorted({r[:2] for r in rows})
+    gids = [7 * names.index(r[:2]) for r in rows]
+    columns = {"gid": gids, "lang": [r[0] for r in rows], "text": [r[2] for r in rows]}
+    batch = pa.RecordBatch.from_pydict(columns)
+    want = defaultdict(Counter)
+    for gid, (lang, _, text) in zip(gids, rows, strict=True):
+        low = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        want[gid].update(f"{lang}\0{t}" for t in re.findall(dv.TERM, low))
+    got, lists = defaultdict(Counter), dv.repeats_of(batch).to_pylist()
+    for row in lists:
+        assert row["terms"] and not got[row["gid"]].keys() & set(row["terms"])
+        got[row["gid"]] |= dict.fromkeys(row["terms"], row["times"])
+    assert got == {gid: c for gid, c in want.items() if c}
+    assert len({(r["gid"], r["times"]) for r in lists}) == len(lists)
+    assert dv.repeats_of(batch.slice(0, 0)).num_rows == 0
