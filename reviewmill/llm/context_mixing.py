@@ -6,16 +6,19 @@ bytes and the bits of the byte so far; contexts of order 2 and above are hashed
 ``2 ** TABLE_BITS`` places. These counts come from every training document. Each order predicts
 the bit; the predictions meet in the logistic domain under weights that a gate chooses (the
 longest order with evidence, how much it has, and the number of the bit). The weights are learned
-online from every training document: these are dealt into at most ``MOST_SLICES`` slices by a hash,
-each slice is learned pack by pack (up to ``LEARN_BYTES`` of texts, one text in a small corpus) with
-the pack's own counts taken out, and the slices' weights are averaged. The same pass learns a
+online from every training document: each distinct sequence of six bytes of the whole corpus is
+learned once, weighted by how often it occurs. Documents are dealt into ``DOC_SLICES`` slices by a
+hash of the text (copies stay together), and a sequence sees the counts without what a slice that
+holds it has added on average, rounded up: what only one document says is no evidence. Sequences are dealt by
+a hash into at most ``MOST_GROUPS`` groups that learn apart, and their weights are averaged. The same pass learns a
 refinement of the mixed probability by the last byte. A text is scored under the mixed and the refined model at once, with a share
 that follows, block by block, whichever has predicted this text better so far.
 
 What a byte costs depends on it and the five before it alone, so a task evaluates a sequence of six
-bytes once and keeps it in a table of ``2 ** CACHE_BITS`` places. Counts leave a task as
-compressed blocks of the tables, and a task that merges them reads one block after the other: no
-step holds more than the tables, whose size is fixed, however large the corpus.
+bytes once and keeps it in a table of ``2 ** CACHE_BITS`` places. Distinct sequences of a task, with
+their numbers, meet those of other tasks in parts by a hash, as many as the corpus has
+``SLICE_BYTES``, so a part holds no more of them than that; no text is shuffled to learn. Counts leave a task as
+compressed blocks of the tables, and a task that merges them reads one block after the other.
 
 The word model counts lower-cased (A to Z) words and an end token per document; the distinct words
 of a slice of documents meet their counts by a join.
@@ -51,7 +54,7 @@ CACHE_BITS = 20
 NO_GRAM = np.uint64((1 << 64) - 1)
 
 END = b"\xff"
-PACK_BYTES = 1 << 21
+PACK_BYTES = 1 << 20
 WORD_BYTES = 1 << 23
 PIECE_BYTES = 1 << 20
 TRACK_BYTES = 64
@@ -64,9 +67,10 @@ LEAST_CHANCE = 1e-6
 BUCKETS = 33
 REFINED_PRIOR = 32.0
 RATE = 0.02
-STEP_GRAMS = 1 << 15
-SLICE_BYTES, MOST_SLICES = 8_000_000, 96
-LEARN_BYTES, LEAST_PACKS = 1 << 20, 64
+STEP_GRAMS, LEARN_GRAMS = 1 << 12, 1 << 17
+SLICE_BYTES, DOC_SLICES = 8_000_000, 64
+MOST_GROUPS, GROUP_GRAMS = 96, 1 << 20
+WAITING_GRAMS = 1 << 20
 
 WORD = r"[^\x20\x09-\x0D]+"
 IN_WORD = byte_table([*range(9, 14), 32])
@@ -138,32 +142,119 @@ def decisions(found: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]
         yield j, bit, places
 
 
+Grams = tuple[np.ndarray, np.ndarray, np.ndarray]
+
+
+def distinct_grams(texts: list[bytes], slices: np.ndarray) -> Iterator[Grams]:
+    """Distinct sequences of a pack, ascending, how often they occur, and a bit for each slice of
+    documents that holds them."""
+    for keys, sizes, numbers in packs(texts):
+        keys = (keys << np.uint64(6)) | np.repeat(slices[numbers].astype(np.uint64), sizes)
+        keys.sort()
+        found = keys >> np.uint64(6)
+        begins = np.flatnonzero(np.r_[True, found[1:] != found[:-1]])
+        times = np.diff(np.append(begins, len(keys)))
+        yield found[begins], times, np.bitwise_or.reduceat(np.uint64(1) << (keys & np.uint64(63)), begins)
+
+
+def added_up(some: list[Grams]) -> Grams:
+    found, times, held = (np.concatenate(x) for x in zip(*some, strict=True))
+    order = np.argsort(found, kind="stable")  # runs in order merge
+    found = found[order]
+    begins = np.flatnonzero(np.r_[True, found[1:] != found[:-1]])
+    return found[begins], np.add.reduceat(times[order], begins), np.bitwise_or.reduceat(held[order], begins)
+
+
+class Gatherer:
+    """Adds up distinct sequences; what waits is bounded, or by what is added up already."""
+
+    def __init__(self) -> None:
+        self.some: list[Grams] = []
+        self.waiting = 0
+
+    def add(self, more: Grams) -> None:
+        self.some.append(more)
+        self.waiting += len(more[0])
+        if self.waiting >= max(WAITING_GRAMS, len(self.some[0][0])):
+            self.some, self.waiting = [added_up(self.some)], 0
+
+    def total(self) -> Grams:
+        return added_up(self.some) if len(self.some) > 1 else self.some[0]
+
+
+def gram_batch(part: int, grams: Grams) -> pa.RecordBatch:
+    """A row of sequences in order: their differences, numbers and slices, compressed."""
+    found, times, held = grams
+    packed = [zlib.compress(x.tobytes(), 1) for x in (np.diff(found, prepend=np.uint64(0)), times, held)]
+    columns = [pa.array([part], pa.int32()), pa.array([len(found)], pa.int64()), *[pa.array([x], pa.binary()) for x in packed]]
+    return pa.RecordBatch.from_arrays(columns, ["part", "size", "grams", "times", "held"])
+
+
+def grams_in(batch: pa.RecordBatch) -> Iterator[tuple[int, Grams]]:
+    for n, part in enumerate(batch.column("part").to_pylist()):
+        packed = [zlib.decompress(batch.column(c)[n].as_py()) for c in ("grams", "times", "held")]
+        found, times, held = (np.frombuffer(x, t) for x, t in zip(packed, (np.uint64, np.int64, np.uint64), strict=True))
+        yield part, (np.cumsum(found, dtype=np.uint64), times, held)
+
+
+GRAMS = "part int, size long, grams binary, times binary, held binary"
+
+
+def corpus_grams(rows: DataFrame, parts: int) -> DataFrame:
+    """The distinct sequences of all ``slice, text`` (binary), a row for each part by their hash."""
+
+    def leave(grams: Grams) -> Iterator[pa.RecordBatch]:
+        dealt = hashed(grams[0], 32) % parts
+        order = np.argsort(dealt, kind="stable")
+        ends = np.cumsum(np.bincount(dealt, minlength=parts))
+        for part in np.unique(dealt).tolist():
+            own = order[ends[part - 1] if part else 0 : ends[part]]
+            yield gram_batch(part, tuple(x[own] for x in grams))
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = Gatherer()
+        for batch in text_slices(batches, PACK_BYTES):
+            texts, slices = batch.column("text").to_pylist(), batch.column("slice").to_numpy()
+            for grams in distinct_grams(texts, slices):
+                held.add(grams)
+                if len(held.some) == 1 and len(held.some[0][0]) >= WAITING_GRAMS:
+                    yield from leave(held.total())
+                    held = Gatherer()
+        if held.some:
+            yield from leave(held.total())
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, number = Gatherer(), None
+        for batch in batches:
+            for part, grams in grams_in(batch):
+                if held.some and part != number:
+                    yield gram_batch(number, held.total())
+                    held = Gatherer()
+                number = part
+                held.add(grams)
+        if held.some:
+            yield gram_batch(number, held.total())
+
+    gathered = rows.select("slice", "text").mapInArrow(gather, GRAMS)
+    return gathered.repartition("part").sortWithinPartitions("part").mapInArrow(merge, GRAMS)
+
+
 # ---------------------------------------------------------------------------------------------
 # counts
 
 
 class Counter:
-    """Bit counts of all orders; frequent grams are counted as wholes first."""
+    """Bit counts of all orders."""
 
     def __init__(self) -> None:
         self.counts = np.zeros(2 * PLACES, np.int64)
-        self.known = np.full(1 << CACHE_BITS, NO_GRAM)
-        self.times = np.zeros(1 << CACHE_BITS, np.int64)
 
     def add(self, texts: Iterable[bytes]) -> None:
-        for keys, _, _ in packs(texts):
-            at = hashed(keys, CACHE_BITS)
-            hit = self.known[at] == keys
-            self.times += np.bincount(at[hit], minlength=len(self.times))
-            rest, n = np.unique(keys[~hit], return_counts=True)
-            at = hashed(rest, CACHE_BITS)
-            free = self.known[at] == NO_GRAM
-            self.known[at[free]] = rest[free]
-            kept = self.known[at] == rest
-            self.times[at[kept]] += n[kept]
-            self._spread(rest[~kept], n[~kept])
-
-    def _spread(self, keys: np.ndarray, n: np.ndarray) -> None:
+        texts = list(texts)
+        for found, times, _ in distinct_grams(texts, np.zeros(len(texts), np.int64)):
+            self.add_grams(found, times)
+
+    def add_grams(self, keys: np.ndarray, n: np.ndarray) -> None:
         step = 1 << 17
         for a in range(0, len(keys), step):
             for _, bit, places in decisions(keys[a : a + step]):
@@ -171,8 +262,6 @@ class Counter:
                     np.add.at(self.counts, bit * PLACES + own, n[a : a + step])
 
     def blocks(self) -> Iterator[tuple[int, bytes]]:
-        used = self.known != NO_GRAM
-        self._spread(self.known[used], self.times[used])
         table = self.counts.reshape(2, PLACES)
         for number in range(-(-PLACES // BLOCK_PLACES)):
             block = table[:, number * BLOCK_PLACES : (number + 1) * BLOCK_PLACES]
@@ -195,12 +284,19 @@ def _texts(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
 
 def context_counts(docs: DataFrame, text: str) -> list[tuple[int, bytes]]:
     """Blocks of the tables over all rows of ``docs``, compressed."""
+    rows = docs.select(F.lit(0).alias("slice"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
+    return gram_counts(corpus_grams(rows, 1))
+
+
+def gram_counts(grams: DataFrame) -> list[tuple[int, bytes]]:
+    """Blocks of the tables over all rows of ``corpus_grams``, compressed."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter, some = Counter(), False
         for batch in batches:
-            counter.add(_texts(batch))
-            some = some or batch.num_rows > 0
+            for _, (found, times, _) in grams_in(batch):
+                counter.add_grams(found, times)
+                some = True
         if some:
             yield _block_batch(list(counter.blocks()))
 
@@ -213,7 +309,7 @@ def context_counts(docs: DataFrame, text: str) -> list[tuple[int, bytes]]:
         if sums:
             yield _block_batch([(block, zlib.compress(total.tobytes(), 6)) for block, total in sorted(sums.items())])
 
-    counted = docs.select(F.col(text).alias("text")).mapInArrow(count, BLOCKS)
+    counted = grams.mapInArrow(count, BLOCKS)
     merged = counted.repartition("block").mapInArrow(merge, BLOCKS)
     return sorted((r.block, bytes(r.numbers)) for r in merged.collect())
 
@@ -256,7 +352,7 @@ def chance_of(push: np.ndarray) -> np.ndarray:
 
 
 class Mixer:
-    """Weights and refinement; learns from one document after the other."""
+    """Weights and refinement; learns from one set of sequences after the other."""
 
     def __init__(self) -> None:
         self.weights = np.full((ORDERS * len(LEVELS) * 8, ORDERS), 0.25)
@@ -267,21 +363,24 @@ class Mixer:
         self.seen = np.zeros(len(self.weights))
 
     def learn(self, table: np.ndarray, text: bytes, refine: bool) -> None:
-        self.learn_pack(table, [text], refine)
-
-    def learn_pack(self, table: np.ndarray, texts: list[bytes], refine: bool = True) -> None:
-        """Learn from some texts, a step per STEP_GRAMS of their sequences, with what they have
-        added to the counts taken out."""
-        for keys, _, _ in packs(texts):
-            found, n = np.unique(keys, return_counts=True)
-            steps = max(1, len(keys) // STEP_GRAMS)
+        """Learn from a text, whose sequences see no evidence that it has added itself."""
+        for found, times, _ in distinct_grams([text], np.zeros(1, np.int64)):
+            self.learn_grams(table, found, times, times, refine)
+
+    def learn_grams(self, table: np.ndarray, grams: np.ndarray, times: np.ndarray, own: np.ndarray, refine: bool = True) -> None:
+        """Learn from distinct sequences that occur ``times`` times, a step per STEP_GRAMS of them,
+        with ``own`` taken out of the counts."""
+        parts = -(-len(grams) // LEARN_GRAMS)
+        for part in range(parts):  # every part and step sees sequences of all kinds
+            found, n, less = (x[part::parts] for x in (grams, times, own))
+            steps = max(1, len(found) // STEP_GRAMS)
             previous = ((found >> np.uint64(8)) & np.uint64(255)).astype(np.int64)
             for j, bit, places in decisions(found):
-                inputs, levels = self._without(table, places, bit, n)
+                inputs, levels = self._without(table, places, bit, less)
                 gate = gate_of(levels, j)
-                for first in range(steps):  # every step sees sequences of all kinds
-                    own = slice(first, None, steps)
-                    mixed = self._step(gate[own], inputs[:, own], bit[own], n[own])
+                for first in range(steps):
+                    some = slice(first, None, steps)
+                    mixed = self._step(gate[some], inputs[:, some], bit[some], n[some])
                 if steps > 1:
                     mixed = self._mixed(gate, inputs)
                 if refine:
@@ -308,17 +407,12 @@ class Mixer:
         return mixed
 
     @staticmethod
-    def _without(table: np.ndarray, places: np.ndarray, bit: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Evidence of each order, without what this text has added to the counts."""
+    def _without(table: np.ndarray, places: np.ndarray, bit: np.ndarray, less: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Evidence of each order, without what the sequences' own slices have added to the counts."""
         inputs, levels = np.empty(places.shape, np.float32), np.empty(places.shape, np.uint8)
         for k, own in enumerate(places):
-            if 8 * len(own) > SIZES[k]:
-                at = own - OFFSETS[k]
-            else:
-                at = np.unique(own, return_inverse=True)[1]
-            ones, every = np.bincount(at, n * bit)[at], np.bincount(at, n)[at]
-            zeros = np.maximum(table[0, own] - (every - ones), 0)
-            inputs[k], levels[k] = evidence(zeros, np.maximum(table[1, own] - ones, 0))
+            zeros = np.maximum(table[0, own] - less * (1 - bit), 0)
+            inputs[k], levels[k] = evidence(zeros, np.maximum(table[1, own] - less * bit, 0))
         return inputs, levels
 
     def refined(self) -> np.ndarray:
@@ -405,54 +499,50 @@ def track(sums: np.ndarray, lengths: np.ndarray) -> np.ndarray:
 
 
 def training_slices(docs: DataFrame) -> tuple[DataFrame, int]:
-    """Every training document as ``slice, text``, sorted within a task by slice and a hash, and the
-    bytes of a pack. Slices follow from the documents alone, not from how rows are dealt."""
+    """Every training document as ``slice, text``, and the parts its sequences are dealt into. Slices
+    follow from the texts alone, not from how rows are dealt; equal texts are in one slice."""
     rows = docs.filter("NOT held").select(
-        "doc_id", "mark", F.xxhash64("doc_id", "mark").alias("place"), F.col("text").cast("binary").alias("text")
+        F.pmod(F.col("mark"), F.lit(DOC_SLICES)).cast("int").alias("slice"), F.col("text").cast("binary").alias("text")
     )
     total = rows.agg(F.coalesce(F.sum(F.length("text").cast("long")), F.lit(0))).first()[0]
-    count = min(MOST_SLICES, max(1, -(-total // SLICE_BYTES)))
-    dealt = rows.withColumn("slice", F.pmod(F.col("place"), F.lit(count)).cast("int")).repartition(count, "slice")
-    sorted_rows = dealt.sortWithinPartitions("slice", "place", "doc_id", "mark").select("slice", "text")
-    return sorted_rows, max(1, min(LEARN_BYTES, total // LEAST_PACKS))
+    return rows, max(1, -(-total // SLICE_BYTES))
 
 
 def fit(docs: DataFrame) -> bytes:
     """A model of ``doc_id, text, mark, held``, learned from all rows that are not held out.
 
-    Each slice of the documents is learned online from the same start; the weights of a gate are
-    averaged by what the slices saw of it, the refinement's counts add up."""
+    Each group of sequences is learned online from the same start; the weights of a gate are
+    averaged by what the groups saw of it, the refinement's counts add up."""
     spark = docs.sparkSession
-    blocks = context_counts(docs.filter("NOT held"), "text")
+    grams = stored(corpus_grams(*training_slices(docs)), "lm-grams")
+    blocks = gram_counts(grams)
     sent = spark.sparkContext.broadcast(blocks)
-    slices, pack = training_slices(docs)
+    total = grams.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    groups = min(MOST_GROUPS, max(1, -(-total // GROUP_GRAMS)))
+    group = F.pmod(F.col("part"), F.lit(groups)).alias("slice")
+    dealt = grams.select(group, "part", "grams", "times", "held").repartition(groups, "slice")
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table, mixer, number, held, size = None, Mixer(), None, [], 0
+        table, mixer, number = None, Mixer(), None
 
         def learned() -> pa.RecordBatch:
-            if held:
-                mixer.learn_pack(table, held)
             found = [zlib.compress(x.tobytes(), 1) for x in (mixer.weights, mixer.seen, mixer.cells - Mixer().cells)]
             columns = [pa.array([number], pa.int32()), *[pa.array([x], pa.binary()) for x in found]]
             return pa.RecordBatch.from_arrays(columns, ["slice", "weights", "seen", "cells"])
 
         for batch in batches:
-            for own, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            for own, (_, (found, times, held)) in zip(batch.column("slice").to_pylist(), grams_in(batch), strict=True):
                 if own != number:
                     if number is not None:
                         yield learned()
                     table = read_counts(sent.value) if table is None else table
-                    mixer, number, held, size = Mixer(), own, [], 0
-                held.append(text.as_py())
-                size += len(held[-1]) + 1
-                if size >= pack:
-                    mixer.learn_pack(table, held)
-                    held, size = [], 0
+                    mixer, number = Mixer(), own
+                mixer.learn_grams(table, found, times, -(-times // np.bitwise_count(held)))
         if number is not None:
             yield learned()
 
-    found = slices.mapInArrow(learn, "slice int, weights binary, seen binary, cells binary").collect()
+    ordered = dealt.sortWithinPartitions("slice", "part")
+    found = ordered.mapInArrow(learn, "slice int, weights binary, seen binary, cells binary").collect()
     mixer = Mixer()
     start, weighted, seen = mixer.weights, np.zeros(mixer.weights.shape), np.zeros(len(mixer.weights))
     for row in sorted(found, key=lambda r: r.slice):

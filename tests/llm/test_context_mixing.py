@@ -214,3 +214,44 @@ def test_mixing_weights_learn_from_every_training_document(spark, monkeypatch):
     _, weights, refined = cm.pickle.loads(cm.fit(docs))
     _, again, other = cm.pickle.loads(cm.fit(docs.repartition(3)))
     assert (weights == again).all() and (refined == other).all()
+
+
+def test_each_sequence_of_the_corpus_is_learned_once(spark, monkeypatch):
+    """Before, a sequence was learned again in every pack of documents that held it."""
+    rows = [r for r in _rows(300, 9) if not _held(r[0])]
+    rows += [(-1, rows[0][1]), (-2, rows[0][1]), (-3, ""), (-4, "é" * 50)]
+    frame = _frame(spark, rows)
+    docs = frame.select("doc_id", "text", cm.F.lit(False).alias("held"), cm.F.xxhash64("text").alias("mark"))
+    monkeypatch.setattr(cm, "SLICE_BYTES", 5_000)
+    monkeypatch.setattr(cm, "WAITING_GRAMS", 1_000)  # tasks give up what they hold more than once
+    dealt, parts = cm.training_slices(docs)
+    slice_of = {bytes(r.text).decode(): {s.slice for s in dealt.collect() if s.text == r.text} for r in dealt.collect()}
+    times, held = Counter(), {}
+    for _, text in rows:
+        (own,) = slice_of[text]  # copies are in one slice
+        whole = bytes(5) + text.encode() + b"\xff"
+        for at in range(5, len(whole)):
+            gram = int.from_bytes(whole[at - 5 : at + 1], "big")
+            times[gram] += 1
+            held[gram] = held.get(gram, 0) | 1 << own
+    for spread in (dealt, dealt.repartition(3)):
+        got = [g for b in cm.corpus_grams(spread, parts).toArrow().to_batches() for g in cm.grams_in(b)]
+        assert parts > 2 and len({part for part, _ in got}) == len(got)
+        found, n, bits = (np.concatenate(x).tolist() for x in zip(*[g for _, g in got], strict=True))
+        assert len(set(found)) == len(found)
+        assert dict(zip(found, n, strict=True)) == times and dict(zip(found, bits, strict=True)) == held
+
+
+def test_own_slices_are_no_evidence():
+    """What all documents of the only slice say is taken out, what other slices say stays."""
+    counter = cm.Counter()
+    counter.add([b"abcdefg"] * 3)
+    table = cm.read_counts(list(counter.blocks()))
+    (found, times, _), = cm.distinct_grams([b"abcdefg"], np.zeros(1, np.int64))
+    for own, left in ((3 * times, 0), (times, 2)):
+        for _, bit, places in cm.decisions(found):
+            zeros = np.maximum(table[0, places[5]] - own * (1 - bit), 0)
+            ones = np.maximum(table[1, places[5]] - own * bit, 0)
+            inputs, levels = cm.Mixer._without(table, places, bit, own)
+            assert (inputs[5] == cm.evidence(zeros, ones)[0]).all()
+            assert (levels[5] == np.searchsorted(cm.LEVELS, left, side="right")).all()
