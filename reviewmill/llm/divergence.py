@@ -6,9 +6,10 @@ slice of documents, the list of the distinct terms that occur equally often ther
 that number, summed, is the sum of the documents' own vectors. A term carries its language as a prefix, so the vocabularies of all languages are fitted
 at once and stay apart. The vocabulary of a fit lives on the driver and in a broadcast, so terms
 are first dealt by hash into as many slices as keep a fit below ``SLICE_TERMS`` distinct terms
-(counted before, at a margin of three standard errors); each slice is read by its own fit only.
+(estimated before from hashes of the terms, at a margin of three standard errors); each slice is read by its own fit only.
 
-Sparse vectors are summed per language and source, first inside a task, then by Spark. A pair of
+Sparse vectors are summed per language and source inside a task; sums leave it as one row for each
+``BUCKETS``-th of the terms and are added up where all rows of a bucket meet. A pair of
 sources is compared over all kept terms without visiting those that neither has: the sum over
 terms that both lack is a product, terms that one has are summed against the other's share of an
 absent term, and terms that both have correct these sums. The three sums come from blocks of
@@ -46,6 +47,8 @@ SLICE_TERMS = 3_000_000
 SLICE_BYTES = 1 << 20
 COUNTED_BYTES = 1 << 21
 VECTOR_ENTRIES = 1 << 21
+BUCKETS = 1 << 12
+POWER = np.uint64(0x9E3779B97F4A7C15)
 BLOCK_ENTRIES = 1 << 16
 TILE_PAIRS = 1 << 21
 STEP = 1 << 18
@@ -117,21 +120,31 @@ def released(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pa.default_memory_pool().release_unused()
 
 
+def term_hashes(batch: pa.RecordBatch) -> np.ndarray:
+    """A number of 64 bits for each distinct pair of a term and its language, from its bytes alone."""
+    terms, begins = tokens_of(batch.column("text"), IN_TERM)
+    if not len(terms):
+        return np.zeros(0, np.int64)
+    starts = np.frombuffer(terms.buffers()[1], np.int32)[: len(terms) + 1].astype(np.int64)
+    sizes = np.diff(starts)
+    powers = np.cumprod(np.full(int(sizes.max()), POWER))
+    place = np.arange(starts[-1]) - np.repeat(starts[:-1], sizes)
+    found = np.add.reduceat(powers[place] * np.frombuffer(terms.buffers()[2], np.uint8)[: starts[-1]], starts[:-1])
+    langs = batch.column("lang").dictionary_encode()
+    seeds = [zlib.crc32(x.encode()) << 32 | zlib.adler32(x.encode()) for x in langs.dictionary.to_pylist()]
+    found ^= np.repeat(np.array(seeds, np.uint64)[langs.indices.to_numpy()] * POWER, np.diff(begins))
+    found.sort()
+    return found[np.r_[True, found[1:] != found[:-1]]].view(np.int64)
+
+
 def distinct_terms(docs: DataFrame) -> int:
     """More terms than there are, by an estimate and three times its standard error."""
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(released(batches), COUNTED_BYTES):
-            terms, begins = tokens_of(batch.column("text"), IN_TERM)
-            coded, langs = terms.dictionary_encode(), batch.column("lang").dictionary_encode()
-            size = max(1, len(coded.dictionary))
-            of_lang = np.repeat(langs.indices.to_numpy().astype(np.int64), np.diff(begins))
-            found = pa.array(of_lang * size + coded.indices.to_numpy()).unique().to_numpy()
-            lang = langs.dictionary.take(pa.array(found // size))
-            term = coded.dictionary.take(pa.array(found % size))
-            yield pa.RecordBatch.from_arrays([pc.binary_join_element_wise(lang, term, "\0")], ["term"])
-
-    found = docs.mapInArrow(distinct, "term string").agg(F.approx_count_distinct("term", DISTINCT_ERROR)).first()[0]
+            yield pa.RecordBatch.from_arrays([pa.array(term_hashes(batch))], ["term"])
+
+    found = docs.mapInArrow(distinct, "term long").agg(F.approx_count_distinct("term", DISTINCT_ERROR)).first()[0]
     return int(found * (1 + 3 * DISTINCT_ERROR))
 
 
@@ -176,9 +189,38 @@ def term_slices(docs: DataFrame, least: int, slice_terms: int) -> list[tuple[Dat
     return [(part, part) for part in parts]
 
 
+def added_up(key: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sums of their counts."""
+    order = np.argsort(key)
+    key = key[order]
+    begins = np.flatnonzero(np.r_[True, key[1:] != key[:-1]][: len(key)])
+    return key[begins], np.add.reduceat(count[order], begins) if len(begins) else count
+
+
+def bucket_of(key: np.ndarray) -> np.ndarray:
+    return ((key >> 32) % BUCKETS).astype(np.uint16)
+
+
+def bucket_rows(key: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+    """Rows ``bucket, keys, counts``: numbers of the terms of each bucket, 8 bytes each."""
+    bucket = bucket_of(key)
+    order = np.argsort(bucket, kind="stable")
+    found, sizes = np.unique(bucket, return_counts=True)
+    offsets = pa.py_buffer((np.append(0, np.cumsum(sizes)) * 8).astype(np.int32))
+    columns = [pa.Array.from_buffers(pa.binary(), len(found), [None, offsets, pa.py_buffer(x[order])]) for x in (key, count)]
+    return pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), *columns], ["bucket", "keys", "counts"])
+
+
+def numbers_in(column: pa.Array) -> np.ndarray:
+    """All numbers of 8 bytes of the rows of a binary column."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1]
+    held = column.buffers()[2]
+    return np.frombuffer(held, np.uint8)[ends[0] : ends[-1]].copy().view(np.int64) if held is not None else np.zeros(0, np.int64)
+
+
 def add_vectors(vectors: DataFrame) -> DataFrame:
-    """Rows ``gid, at, count``: the sparse vectors ``v``, each ``times`` times, summed per group, as far
-    as a task sees them."""
+    """Rows ``gid, at, count, of_lang``: the sparse vectors ``v``, each ``times`` times, summed per
+    group, and summed over all groups. A key is the term's number before the group's, 32 bits each."""
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in released(batches):
@@ -189,19 +231,33 @@ def add_vectors(vectors: DataFrame) -> DataFrame:
                 first, done = last, ends[last - 1] if last else 0
                 last = max(first + 1, int(np.searchsorted(ends, done + VECTOR_ENTRIES)))
                 batch = whole.slice(first, last - first)
-                groups, group = np.unique(batch.column("gid").to_numpy(), return_inverse=True)
                 indices, values = (pc.struct_field(batch.column("v"), n) for n in ("indices", "values"))
                 sizes = pc.list_value_length(indices).to_numpy(zero_copy_only=False).astype(np.int64)
-                key = np.repeat(group.ravel().astype(np.int64) << 32, sizes) | indices.flatten().to_numpy()
-                order = np.argsort(key)
-                count = values.flatten().to_numpy().astype(np.int64) * np.repeat(batch.column("times").to_numpy(), sizes)
-                key, count = key[order], count[order]
-                begins = np.flatnonzero(np.r_[True, key[1:] != key[:-1]]) if len(key) else np.zeros(0, np.int64)
-                key, count = key[begins], np.add.reduceat(count, begins) if len(begins) else count
-                columns = [groups[key >> 32], key & 0xFFFFFFFF, count]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gid", "at", "count"])
-
-    return vectors.mapInArrow(add_up, "gid long, at long, count long")
+                gid, times = (np.repeat(batch.column(c).to_numpy(), sizes) for c in ("gid", "times"))
+                key = indices.flatten().to_numpy().astype(np.int64) << 32 | gid
+                yield bucket_rows(*added_up(key, values.flatten().to_numpy().astype(np.int64) * times))
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def summed(key: np.ndarray, count: np.ndarray) -> pa.RecordBatch:
+            at = key >> 32
+            begins = np.flatnonzero(np.r_[True, at[1:] != at[:-1]][: len(at)])
+            of_lang = np.repeat(np.add.reduceat(count, begins), np.diff(np.append(begins, len(at)))) if len(at) else count
+            columns = [key & 0xFFFFFFFF, at, count, of_lang]
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["gid", "at", "count", "of_lang"])
+
+        key = count = np.zeros(0, np.int64)
+        for batch in released(batches):
+            if batch.num_rows:
+                more = numbers_in(batch.column("keys")), numbers_in(batch.column("counts"))
+                key, count = added_up(np.append(key, more[0]), np.append(count, more[1]))
+                waits = bucket_of(key) == batch.column("bucket")[-1].as_py()  # more rows may follow
+                yield summed(key[~waits], count[~waits])
+                key, count = key[waits], count[waits]
+        yield summed(key, count)
+
+    rows = vectors.mapInArrow(add_up, "bucket int, keys binary, counts binary")
+    met = rows.repartition("bucket").sortWithinPartitions("bucket")
+    return met.mapInArrow(merge, "gid long, at long, count long, of_lang long")
 
 
 def fitted_terms(model: CountVectorizerModel) -> DataFrame:
@@ -222,15 +278,11 @@ def group_counts(docs: DataFrame, least: int, slice_terms: int) -> tuple[DataFra
     """Rows ``gid, lang, term, count, of_lang`` of the kept terms that occur in a group (and their
     count in the language), written once; and the number of kept terms by language."""
     found, sizes = [], []
-    of_term = Window.partitionBy("at")
     for once, part in term_slices(docs, least, slice_terms):
         model = CountVectorizer(inputCol="terms", outputCol="v", minDF=float(least), vocabSize=INTEGER_MAX).fit(once)
         vocabulary = stored(fitted_terms(model), "divergence-terms")
         sizes.append(vocabulary.groupBy("lang").agg(F.count(F.lit(1)).alias("vocabulary")))
-        # dealt by term alone: sums, the language's count and the join need no other shuffle
-        sums = add_vectors(model.transform(part).select("gid", "times", "v")).repartition("at")
-        sums = sums.groupBy("gid", "at").agg(F.sum("count").alias("count"))
-        sums = sums.withColumn("of_lang", F.sum("count").over(of_term)).join(vocabulary, "at")
+        sums = add_vectors(model.transform(part).select("gid", "times", "v")).join(vocabulary, "at")
         found.append(stored(sums.select("gid", "lang", "term", "count", "of_lang"), "divergence-counts"))
     kept = reduce(DataFrame.unionByName, sizes).groupBy("lang").agg(F.sum("vocabulary").alias("vocabulary"))
     return reduce(DataFrame.unionByName, found), kept

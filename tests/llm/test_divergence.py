@@ -152,3 +152,38 @@ def test_vectors_see_a_term_of_a_group_once():
     assert got == {gid: c for gid, c in want.items() if c}
     assert len({(r["gid"], r["times"]) for r in lists}) == len(lists)
     assert dv.repeats_of(batch.slice(0, 0)).num_rows == 0
+
+
+def test_hashes_tell_terms_and_languages_apart():
+    """The estimate of distinct terms sends one number for each; before, the strings themselves."""
+    rows = _rows(80, 13) + [("", "a", "ab ba abc b" + "a" * 5000), (None, "a", ""), ("xx", "a", "ab Ab  aB")]
+    batch = pa.RecordBatch.from_pydict({"lang": [r[0] or "" for r in rows], "text": [r[2] for r in rows]})
+    terms = {(lang or "", t.lower() if t.isascii() else t) for lang, _, text in rows for t in re.findall(dv.TERM, text)}
+    found = [dv.term_hashes(batch.slice(a, 9)).tolist() for a in range(0, len(rows), 9)]
+    assert {h for hashes in found for h in hashes} == set(dv.term_hashes(batch).tolist())
+    assert len(dv.term_hashes(batch)) == len(terms)
+    assert dv.term_hashes(batch.slice(0, 0)).tolist() == dv.term_hashes(batch.slice(len(rows) - 2, 1)).tolist() == []
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 1 << 12])
+def test_sums_leave_a_task_as_a_row_per_bucket(spark, monkeypatch, buckets):
+    """Before, each number of a sum was a row of the shuffle."""
+    monkeypatch.setattr(dv, "BUCKETS", buckets)
+    monkeypatch.setattr(dv, "VECTOR_ENTRIES", 50)
+    draw = np.random.default_rng(buckets)
+    key = np.unique(draw.integers(0, 300, 200)) << 32 | 5
+    rows = dv.bucket_rows(key, key * 2)
+    assert rows.num_rows == len(set((key >> 32) % buckets))
+    assert sorted(dv.numbers_in(rows.column("keys"))) == key.tolist()
+    assert (dv.numbers_in(rows.column("keys").slice(1)) * 2 == dv.numbers_in(rows.column("counts").slice(1))).all()
+    want, vectors = defaultdict(Counter), []
+    for _ in range(120):
+        gid, times = int(draw.integers(0, 6)), int(draw.integers(1, 4))
+        at = np.flatnonzero(draw.random(40) < 0.3)
+        n = draw.integers(1, 5, len(at))
+        vectors.append((gid, times, (at.tolist(), n.astype(float).tolist())))
+        want[gid].update({int(a): int(c) * times for a, c in zip(at, n, strict=True)})
+    whole = sum(want.values(), Counter())
+    frame = spark.createDataFrame(vectors, "gid long, times long, v struct<indices:array<int>,values:array<double>>")
+    got = [tuple(r) for r in dv.add_vectors(frame.repartition(5)).collect()]
+    assert sorted(got) == sorted((g, a, n, whole[a]) for g, c in want.items() for a, n in c.items())
