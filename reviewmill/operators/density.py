@@ -5,195 +5,196 @@ inside tasks, and only neighbour counts, the few neighbours of sparse points and
 edges leave a task. What keeps the work small:
 
 1. Copies of a vector are one weighted point.
-2. A few pivots, known to every task, settle most of a dense data set: a point with enough
-   pivot weight in reach is certainly core, and core points near the same core pivot are
-   certainly one cluster. Pairs inside the largest such cluster need no test.
-3. What is left ("queries") visits only the cells (points by nearest pivot) that the
-   triangle inequality on angles cannot rule out.
+2. A sample, known to every task, settles most of a dense data set: a point with enough
+   weight of the sample in reach is certainly core, and it belongs to the cluster of any certain
+   core point of the sample in its reach. Pairs inside the largest such cluster need no test.
+3. What is left ("queries") meets a small share of the points by hash first, and leaves as soon
+   as it is proven to be core. The rest visits only the cells (points by nearest pivot, the first
+   of the sample) that the triangle inequality on angles cannot rule out.
 4. Small cells are packed together and large ones cut, into blocks of bounded size. A block is
-   written once; the tasks that compare it read it from there.
-5. Clustering first lets each block by hash meet itself and the next one. Points that this proves
-   to be core need no more neighbours, and the largest cluster that it finds needs no test inside.
+   written once; the tasks that compare it read it from there. A few queries are known to every
+   task instead, and no point is written for them.
+5. Similarities are computed in single precision; the pairs that its rounding leaves open, and
+   only those, are computed again in double precision.
 
-Steps 2 to 5 only skip pairs whose outcome is already proven.
+Steps 2 to 4 only skip pairs whose outcome is already proven.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from reviewmill.operators.skew import cut_lineage, hot_key_join
+from reviewmill.operators.skew import cut_lineage, fits_broadcast, hot_key_join
 
 MIN_PIVOTS, MAX_PIVOTS = 64, 2048
 BLOCKS, LEAST_BLOCK, BLOCK_BYTES = 8, 1024, 1 << 25
-CHUNK_PAIRS, COLUMNS = 1 << 20, 1024
-MET_BLOCKS = 2
+CHUNK_PAIRS, COLUMNS, SPARSE = 1 << 20, 1024, 16
+MET_BLOCKS, MET_SHARE = 2, 16
+MAX_SAMPLE, SAMPLE_BYTES = 8192, 1 << 24
+FEW_QUERIES, QUERY_BYTES = 8192, 1 << 24
 _ANGLE_SLACK = 1e-6
+_NO_PART = -(1 << 63)
 
-_POINT = "rep long, w long, vec array<double>, cell int, angle double, proven boolean, part long"
+_POINT = "rep long, w long, vec binary, cell int, angle double, proven boolean, open boolean, part long"
+_FOUND, _EDGES = "q long, x long, n long, part long", "a long, b long"
 
 
 def _unit(df: DataFrame, row_id: str, vector: str, eps: float) -> DataFrame:
-    """``id, vec, alone``: unit vectors, written once so that no embedding is made twice.
+    """``id, code, vec, alone``: vectors as the bytes of their values and a 128-bit digest of them,
+    written once so that no embedding is made twice. A power of two keeps values from overflowing;
+    it does not round them, so similarities are those of the given values.
 
     A zero vector stays zero. It has distance 1 to everything, its own copies included, so
     below that radius ``alone`` keeps it from being merged with its copies.
     """
 
-    def normalize(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for b in batches:
-            if b.empty:
+    def normalize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            raw = _matrix(b["vec"])
-            norm = np.sqrt((raw * raw).sum(axis=1))
-            unit = raw / np.where(norm > 0, norm, 1.0)[:, None] + 0.0  # no negative zeros
-            ids = b["id"].to_numpy()
-            alone = np.where((norm == 0) & (eps < 1), ids, -1)
-            yield pd.DataFrame({"id": ids, "vec": list(unit), "alone": alone})
+            ids, held = batch.columns
+            sizes = set(pc.list_value_length(held).to_pylist())
+            if len(sizes) > 1 or None in sizes:
+                raise ValueError("vectors are null or differ in length")
+            raw = held.flatten().to_numpy(zero_copy_only=False).astype("float64").reshape(len(ids), -1)
+            largest = np.abs(raw).max(axis=1, initial=0.0)
+            held = _bytes(np.ldexp(raw, -np.frexp(largest)[1][:, None]) + 0.0)  # no negative zeros
+            codes = [blake2b(x, digest_size=16).digest() for x in held]
+            alone = pc.if_else(pa.array((largest == 0) & (eps < 1)), ids, pa.scalar(-1, pa.int64()))
+            columns = [ids, pa.array(codes, pa.binary()), pa.array(held, pa.binary()), alone]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "code", "vec", "alone"])
 
     rows = df.select(F.col(row_id).cast("long").alias("id"), F.col(vector).alias("vec"))
-    return cut_lineage(rows.mapInPandas(normalize, "id long, vec array<double>, alone long"))
+    return cut_lineage(rows.mapInArrow(normalize, "id long, code binary, vec binary, alone long"))
 
 
 def _representatives(points: DataFrame) -> DataFrame:
     return cut_lineage(
-        points.groupBy("vec", "alone").agg(
+        points.groupBy("code", "vec", "alone").agg(
             F.min("id").alias("rep"), F.count(F.lit(1)).alias("w")
         )
     )
 
 
 class _Pivots:
-    """Pivot vectors and what is known about them; small, sent to every task."""
+    """Pivot vectors, the first of the sample, and the sample (``rep, w, vec, part``), of which the
+    certain core points have a part; small, sent to every task."""
 
-    def __init__(self, reps: list[int], weights: list[int], vectors: np.ndarray, eps: float):
-        self.reps = np.asarray(reps, dtype="int64")
-        self.weights = np.asarray(weights, dtype="int64")
-        self.vectors = vectors
-        self.eps = eps
-        self.core = np.zeros(len(reps), dtype=bool)
-        self.part = np.arange(len(reps))
+    def __init__(self, sample: pd.DataFrame, count: int, eps: float):
+        self.sample, self.eps = sample, eps
+        self.reps = sample["rep"].to_numpy("int64")[:count]
+        self.vectors = _units(sample["vec"].iloc[:count])
 
     def similarity(self, vectors: np.ndarray) -> np.ndarray:
         if not len(vectors):
             return np.zeros((0, len(self.reps)))
         return np.clip(vectors @ self.vectors.T, -1.0, 1.0)
 
-    def reach(self, reps: np.ndarray, similarity: np.ndarray) -> np.ndarray:
-        """Pivots within eps of each point; a point always reaches itself."""
-        return ((1.0 - similarity) <= self.eps) | (reps[:, None] == self.reps[None, :])
-
-    def certain_core(self, reps, weights, reach, min_samples: int) -> np.ndarray:
-        """Points whose own weight and pivots in reach suffice, and pivots counted as core."""
-        own = reps[:, None] == self.reps[None, :]
-        others = (reach & ~own).astype("float64") @ self.weights
-        return ((weights + others) >= min_samples) | (own & self.core[None, :]).any(axis=1)
-
 
 def _matrix(column: pd.Series) -> np.ndarray:
-    return np.stack(column.to_numpy()).astype("float64") if len(column) else np.zeros((0, 0))
+    """A row per vector, which is a list of numbers or the bytes of its values."""
+    if not len(column):
+        return np.zeros((0, 0))
+    if isinstance(column.iloc[0], bytes):
+        return np.frombuffer(b"".join(column)).reshape(len(column), -1)
+    return np.stack(column.to_numpy()).astype("float64")
 
 
-def _choose_pivots(reps: DataFrame, count: int | None, eps: float) -> _Pivots:
-    """A deterministic sample. Its size grows with the root of the data, within bounds that
-    keep it small on every machine."""
-    if count is None:
-        count = min(MAX_PIVOTS, max(MIN_PIVOTS, math.isqrt(reps.count()) // 16))
-    rows = reps.orderBy(F.xxhash64("rep"), "rep").limit(count).collect()
-    vectors = np.array([r["vec"] for r in rows], dtype="float64")
-    return _Pivots([r["rep"] for r in rows], [r["w"] for r in rows], vectors, eps)
-
+def _units(column: pd.Series) -> np.ndarray:
+    vectors = _matrix(column)
+    norm = np.sqrt((vectors * vectors).sum(axis=1))
+    return vectors / np.where(norm > 0, norm, 1.0)[:, None]
 
-def _pivot_cores(reps: DataFrame, pivots: _Pivots, min_samples: int) -> None:
-    """Exact neighbour weight of every pivot: one small row per task."""
 
-    def weigh(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(len(pivots.reps), dtype="int64")
-        for b in batches:
-            ids = b["rep"].to_numpy()
-            reach = pivots.reach(ids, pivots.similarity(_matrix(b["vec"])))
-            total += (reach.T.astype("float64") @ b["w"].to_numpy()).astype("int64")
-        yield pd.DataFrame({"p": np.arange(len(total)), "n": total})
+def _bytes(vectors: np.ndarray) -> list[bytes]:
+    return [v.tobytes() for v in vectors]
 
-    sums = reps.mapInPandas(weigh, "p int, n long").groupBy("p").agg(F.sum("n").alias("n"))
-    for p, n in sums.collect():
-        pivots.core[p] = n >= min_samples
 
+def _choose_pivots(reps: DataFrame, count: int | None, eps: float) -> _Pivots:
+    """A deterministic sample, the lowest hashes, and how many of it are pivots. Their number grows
+    with the root of the data; both have bounds that keep them small on every machine."""
+    total, most = reps.count(), count
+    if count is None:
+        count = min(MAX_PIVOTS, max(MIN_PIVOTS, math.isqrt(total) // 16))
+        size = reps.select(_size(reps).alias("n")).first()
+        most = max(count, min(MAX_SAMPLE, SAMPLE_BYTES // (8 * max(size["n"] if size else 1, 1))))
+    code = F.xxhash64("rep")
+    share = min(1 << 30, -(-(2 * most + 64) * (1 << 30) // max(total, 1)))  # twice as many as needed
+    some = reps.filter(F.pmod(code, F.lit(1 << 30)) < share)
+    lowest = some.orderBy(F.pmod(code, F.lit(1 << 30)), "rep").limit(most)
+    rows = lowest.select("rep", "w", "vec").collect()
+    sample = pd.DataFrame(
+        {"rep": [r["rep"] for r in rows], "w": [r["w"] for r in rows], "vec": [bytes(r["vec"]) for r in rows], "part": _NO_PART}
+    )
+    return _Pivots(sample, count, eps)
 
-def _pivot_parts(reps: DataFrame, pivots: _Pivots, min_samples: int) -> None:
-    """Core pivots that share a certainly core point belong together."""
 
-    def link(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        together = np.zeros((len(pivots.reps), len(pivots.reps)), dtype=bool)
-        for b in batches:
-            ids = b["rep"].to_numpy()
-            reach = pivots.reach(ids, pivots.similarity(_matrix(b["vec"])))
-            sure = pivots.certain_core(ids, b["w"].to_numpy(), reach, min_samples)
-            near = (reach[sure] & pivots.core).astype("float32")
-            together |= (near.T @ near) > 0
-        root = np.arange(len(together))
-        while True:
-            low = np.where(together, root[None, :], root[:, None]).min(axis=1)
-            low = low[low]
-            if np.array_equal(low, root):
-                break
-            root = low
-        moved = np.flatnonzero(root != np.arange(len(root)))
-        yield pd.DataFrame({"a": moved, "b": root[moved]})
-
-    # each task sends a spanning forest of the pivots, not their pairs
-    edges = reps.mapInPandas(link, "a int, b int").distinct().collect()
-    a = np.array([e[0] for e in edges], dtype="int64")
-    b = np.array([e[1] for e in edges], dtype="int64")
-    part = pivots.part
-    while True:
-        low = np.minimum(part[a], part[b])
-        if (part[a] == low).all() and (part[b] == low).all():
-            return
-        np.minimum.at(part, a, low)
-        np.minimum.at(part, b, low)
+def _sample_parts(pivots: _Pivots, min_samples: int) -> None:
+    """Points of the sample that others of it prove to be core, and which of those are in one
+    cluster. A part is named by its smallest point."""
+    sample = pivots.sample
+    n = _neighbour_kernel(pivots.eps, min_samples)(sample, sample)["n"].dropna().to_numpy("int64")
+    sure = sample[n >= min_samples]
+    sure = sure.assign(part=sure["rep"])
+    edges = _edge_kernel(pivots.eps)(sure, sure)
+    root = dict(zip(edges["a"], edges["b"], strict=True))
+    sample.loc[sure.index, "part"] = [root.get(r, r) for r in sure["rep"]]
 
 
 def _place(reps: DataFrame, pivots: _Pivots, min_samples: int) -> DataFrame:
-    """Add cell, angle to its pivot, certain core flag and certain part (-1: none)."""
+    """Add cell, angle to its pivot, certain core flag, certain part (_NO_PART: none), and whether
+    a point is open: neither certainly core nor, as a zero vector, certainly without neighbours.
+    Without ``min_samples`` no point is proven."""
+    kernel = _neighbour_kernel(pivots.eps, min_samples)
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            ids = b["rep"].to_numpy()
-            similarity = pivots.similarity(_matrix(b["vec"]))
-            reach = pivots.reach(ids, similarity)
-            proven = pivots.certain_core(ids, b["w"].to_numpy(), reach, min_samples)
-            near = reach & pivots.core[None, :] & proven[:, None]
-            first = np.where(near.any(axis=1), pivots.part[near.argmax(axis=1)], -1)
+            vectors = _units(b["vec"])
+            similarity = pivots.similarity(vectors)
             cell = similarity.argmax(axis=1)
-            best = similarity[np.arange(len(ids)), cell]
+            proven, part = np.zeros(len(b), dtype=bool), np.full(len(b), _NO_PART)
+            if min_samples:
+                found = kernel(b, pivots.sample).iloc[: len(b)]
+                n = found["n"].to_numpy("int64") + np.where(b["rep"].isin(pivots.sample["rep"]), 0, b["w"])
+                proven = n >= min_samples
+                part = np.where(proven, found["part"].to_numpy("int64"), _NO_PART)
+            lone = (pivots.eps < 1) & ~vectors.any(axis=1)
             yield pd.DataFrame(
                 {
-                    "rep": ids,
+                    "rep": b["rep"],
                     "w": b["w"],
                     "vec": b["vec"],
                     "cell": cell,
-                    "angle": np.arccos(best),
+                    "angle": np.arccos(similarity[np.arange(len(b)), cell]),
                     "proven": proven,
-                    "part": first,
+                    "open": ~proven & ~lone,
+                    "part": part,
                 }
             )
 
     return cut_lineage(reps.select("rep", "w", "vec").mapInPandas(place, _POINT))
 
 
+def _size(reps: DataFrame) -> Column:
+    """Dimensions of a point's vector, which is bytes or a list of numbers."""
+    size = F.length("vec") / 8 if dict(reps.dtypes)["vec"] == "binary" else F.size("vec")
+    return size.cast("long")
+
+
 def _block_of(reps: DataFrame) -> int:
     """Points of a block: an eighth of all, but within BLOCK_BYTES of vectors, whatever a task's
     memory has to hold at once."""
-    count, longest = reps.agg(F.count(F.lit(1)), F.max(F.size("vec"))).first()
+    count, longest = reps.agg(F.count(F.lit(1)), F.max(_size(reps))).first()
     return max(1, min(max(LEAST_BLOCK, -(-count // BLOCKS)), BLOCK_BYTES // (8 * max(longest or 1, 1))))
 
 
@@ -241,7 +242,8 @@ def _pack(points: DataFrame, reach: _Reach, block: int) -> DataFrame:
                 some, b = b.iloc[: block - size], b.iloc[block - size :]
                 vectors = _matrix(some["vec"])
                 longs = [some[c].to_numpy("int64") for c in _POINT_LONGS]
-                held.append([*longs, vectors, some["cell"].to_numpy(), cells[reach(vectors, cells).any(axis=0)]])
+                near = cells[reach(_units(some["vec"]), cells).any(axis=0)]
+                held.append([*longs, vectors, some["cell"].to_numpy(), near])
                 size += len(some)
                 if size == block:
                     yield packed(held)
@@ -256,17 +258,29 @@ def _pack(points: DataFrame, reach: _Reach, block: int) -> DataFrame:
 def _unpack(row: list[pa.Scalar]) -> pd.DataFrame:
     *longs, vectors = (np.frombuffer(x.as_buffer(), kind) for x, kind in zip(row, ("i8", "i8", "i8", "f8"), strict=True))
     points = pd.DataFrame(dict(zip(_POINT_LONGS, longs, strict=True)))
-    return points.assign(vec=list(vectors.reshape(len(points), -1)))
+    return points.assign(vec=_bytes(vectors.reshape(len(points), -1)))
 
 
 def _meet(
     queries: DataFrame, points: DataFrame, pivots: _Pivots, block: int, kernel, schema: str
+) -> DataFrame:
+    """``_compared`` with all points that no earlier step has compared."""
+    return _compared(queries, points, pivots, block, kernel, schema)
+
+
+def _compared(
+    queries: DataFrame, points: DataFrame, pivots: _Pivots, block: int, kernel, schema: str
 ) -> DataFrame:
     """Run ``kernel(queries, points)`` on every pair of blocks that may hold neighbours.
 
     Each block is written once. A task reads the two blocks that it compares from there, so no
-    point is copied, shuffled or written again for the blocks that it meets.
+    point is copied, shuffled or written again for the blocks that it meets. Queries that are few
+    are sent to every task, and the points are read where they are.
     """
+    columns = pa.schema([(name, pa.int64()) for name in StructType.fromDDL(schema).names])
+    few = min(block, FEW_QUERIES, QUERY_BYTES // (8 * max(1, pivots.vectors.shape[1])))
+    if queries is not points and queries.count() <= few:
+        return _compared_few(queries, points, kernel, schema)
     reach = _Reach(points, pivots)
     p = _pack(points, reach, block)
     q = p if queries is points else _pack(queries, reach, block)
@@ -275,40 +289,42 @@ def _meet(
     # a Cartesian product reads both sides where they lie
     pairs = q.join(p.hint("shuffle_replicate_nl"), F.arrays_overlap("near", "cells"))
     pairs = pairs.select("cells", *[f"{side}_{c}" for side in "qp" for c in _PACKED])
-    columns = pa.schema([(name, pa.int64()) for name in StructType.fromDDL(schema).names])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in zip(*batch.columns, strict=True):
                 cells, asked, met = np.array(row[0].as_py()), _unpack(row[1:5]), _unpack(row[5:])
                 parts = (asked.iloc[a : a + 10_000] for a in range(0, len(asked), 10_000))
-                asked = pd.concat([part[reach(_matrix(part["vec"]), cells).any(axis=1)] for part in parts])
+                asked = pd.concat([part[reach(_units(part["vec"]), cells).any(axis=1)] for part in parts])
                 yield pa.RecordBatch.from_pandas(kernel(asked, met), columns, preserve_index=False)
 
     return pairs.mapInArrow(run, schema)
 
 
-def _meet_ring(queries: DataFrame, points: DataFrame, blocks: int, kernel, schema: str) -> DataFrame:
-    """Run ``kernel`` on each of ``blocks`` blocks by hash with itself and with the next one.
+def _compared_few(queries: DataFrame, points: DataFrame, kernel, schema: str) -> DataFrame:
+    asked = pd.DataFrame(
+        [(r["rep"], r["w"], r["part"], bytes(r["vec"])) for r in queries.select(*_PACKED).collect()], columns=_PACKED
+    )
 
-    A row is copied twice, however many blocks there are. What this settles need not meet the
-    other blocks, and a large cluster hangs together around the ring.
-    """
-    columns = [F.col(c).alias(c) for c in ("rep", "w", "vec", "part")]  # attributes of their own for the cogroup
-    own, count = F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int"), F.lit(blocks)
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield kernel(asked, b)
 
-    def beside(step: int) -> Column:
-        return F.explode(F.array_distinct(F.array(own, F.pmod(own + step, count))))
+    points = points if len(asked) else points.limit(0)
+    return points.select(*_PACKED).mapInPandas(run, schema)
 
-    q = queries.select(*columns, own.alias("qb"), beside(1).alias("pb"))
-    p = points.select(*columns, own.alias("pb"), beside(-1).alias("qb"))
-    return q.groupBy("qb", "pb").cogroup(p.groupBy("qb", "pb")).applyInPandas(kernel, schema)
+
+def _met_early(points: DataFrame, blocks: int) -> Column:
+    """Which points all queries meet first: a share of them by hash, at least MET_BLOCKS blocks."""
+    return F.pmod(F.xxhash64("rep"), F.lit(blocks)) < max(MET_BLOCKS, blocks // MET_SHARE)
 
 
 def _enough(found: DataFrame, min_samples: int) -> DataFrame:
-    """``rep`` of the queries whose counted neighbours make them core points."""
-    weights = found.filter("n IS NOT NULL").groupBy(F.col("q").alias("rep")).agg(F.sum("n").alias("n"))
-    return weights.filter(F.col("n") >= min_samples).select("rep")
+    """``rep`` of the queries whose counted neighbours make them core points, and a part (or null)
+    that one of those neighbours is certainly in."""
+    weights = found.filter("n IS NOT NULL").groupBy(F.col("q").alias("rep"))
+    weights = weights.agg(F.sum("n").alias("n"), F.max("part").alias("reached"))
+    return weights.filter(F.col("n") >= min_samples).select("rep", "reached")
 
 
 class _Near:
@@ -316,6 +332,10 @@ class _Near:
 
     def __init__(self, q: pd.DataFrame, p: pd.DataFrame, eps: float):
         self.qv, self.pv, self.eps = _matrix(q["vec"]), _matrix(p["vec"]), eps
+        self.q4, self.p4 = _units(q["vec"]).astype("float32"), _units(p["vec"]).astype("float32")
+        self.qn, self.pn = (self.qv * self.qv).sum(axis=1), (self.pv * self.pv).sum(axis=1)
+        # what rounding of unit vectors and of their sums can come to
+        self.slack = np.float32((self.qv.shape[1] + 8) * 2.0**-23)
         ids, others = q["rep"].to_numpy(), p["rep"].to_numpy()
         order = np.argsort(others)
         place = np.minimum(np.searchsorted(others, ids, sorter=order), len(others) - 1)
@@ -323,44 +343,75 @@ class _Near:
 
     def __call__(self, rows: np.ndarray, columns: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Neighbour masks of some of the rows, CHUNK_PAIRS pairs at a time; ``columns`` ascend."""
-        points = self.pv[columns].T
+        points = self.p4[columns].T
+        least = np.float32(1.0 - self.eps)
         step = max(1, CHUNK_PAIRS // max(1, len(columns)))
         for start in range(0, len(rows) if len(columns) else 0, step):
             part = rows[start : start + step]
-            near = (1.0 - self.qv[part] @ points) <= self.eps
+            similarity = self.q4[part] @ points
+            near = similarity >= least - self.slack
+            if np.count_nonzero(near) * SPARSE > near.size:
+                unsure = np.flatnonzero(near & (similarity < least + self.slack))
+            else:
+                some = np.flatnonzero(near)
+                unsure = some[similarity.ravel()[some] < least + self.slack]
+            if len(unsure):
+                r, c = (np.unique(x) for x in np.divmod(unsure, len(columns)))
+                near[np.ix_(r, c)] = self.exact(part[r], columns[c])
             at = np.minimum(np.searchsorted(columns, self.itself[part]), len(columns) - 1)
             own = np.flatnonzero(columns[at] == self.itself[part])
             near[own, at[own]] = True
             yield part, near
 
+    def exact(self, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
+        norms = np.sqrt(self.qn[rows][:, None] * self.pn[columns])
+        similarity = self.qv[rows] @ self.pv[columns].T / np.where(norms > 0, norms, 1.0)
+        return (1.0 - np.clip(similarity, -1.0, 1.0)) <= self.eps
+
 
 def _neighbour_kernel(eps: float, min_samples: int):
     """Neighbour weight of each query, and its neighbours where they are few.
 
     With ``min_samples`` the weight is counted until it reaches that: what is beyond it does not
     matter, so a query leaves the block as soon as it is known to be core. Without, it is exact.
+    ``part`` is one that a counted neighbour is certainly in, or _NO_PART.
     """
 
     def run(q: pd.DataFrame, p: pd.DataFrame) -> pd.DataFrame:
         if q.empty or p.empty:
-            return pd.DataFrame({"q": [], "x": [], "n": []}).astype("Int64")
+            return pd.DataFrame({"q": [], "x": [], "n": [], "part": []}).astype("Int64")
         ids, others, weights = q["rep"].to_numpy(), p["rep"].to_numpy(), p["w"].to_numpy().astype("float64")
+        parts = p["part"].to_numpy("int64")
         near_of = _Near(q, p, eps)
         n, open_rows = np.zeros(len(q), dtype="int64"), np.arange(len(q))
+        reached = np.full(len(q), _NO_PART)
         row, col = [np.zeros(0, dtype="int64")], [np.zeros(0, dtype="int64")]
         for first in range(0, len(p), COLUMNS):
             columns = np.arange(first, min(first + COLUMNS, len(p)))
+            known = np.flatnonzero(parts[columns] != _NO_PART)
             for part, near in near_of(open_rows, columns):
-                n[part] += (near @ weights[columns]).astype("int64")
-                r, c = np.nonzero(near & (n[part] < min_samples)[:, None])
+                if np.count_nonzero(near) * SPARSE > near.size:
+                    n[part] += (near @ weights[columns]).astype("int64")
+                    r, c = np.nonzero(near & (n[part] < min_samples)[:, None])
+                    if min_samples and len(known):
+                        some = near[:, known]
+                        best = np.where(some.any(axis=1), parts[columns[known[some.argmax(axis=1)]]], _NO_PART)
+                        reached[part] = np.maximum(reached[part], best)
+                else:
+                    r, c = np.divmod(np.flatnonzero(near), len(columns))
+                    n[part] += np.bincount(r, weights[columns[c]], len(part)).astype("int64")
+                    if min_samples and len(known):
+                        np.maximum.at(reached, part[r], parts[columns[c]])
+                    few = n[part[r]] < min_samples
+                    r, c = r[few], c[few]
                 row.append(part[r])
                 col.append(columns[c])
             if min_samples:
                 open_rows = open_rows[n[open_rows] < min_samples]
         row, col = np.concatenate(row), np.concatenate(col)
         few = n[row] < min_samples
-        counted = pd.DataFrame({"q": ids, "x": None, "n": n}).astype("Int64")
-        listed = pd.DataFrame({"q": ids[row[few]], "x": others[col[few]], "n": None}).astype("Int64")
+        counted = pd.DataFrame({"q": ids, "x": None, "n": n, "part": reached}).astype("Int64")
+        listed = pd.DataFrame({"q": ids[row[few]], "x": others[col[few]], "n": None, "part": None}).astype("Int64")
         return pd.concat([counted, listed])
 
     return run
@@ -467,10 +518,14 @@ def _numbered(roots: DataFrame) -> DataFrame:
 
 
 def _of_copies(points: DataFrame, found: DataFrame) -> DataFrame:
-    """All points with what was found for their vector. A hash comes first among the keys, so that
-    sorting seldom has to compare vectors."""
-    code = F.xxhash64("vec")
-    return hot_key_join(points.withColumn("code", code), found.withColumn("code", code), ["code", "vec", "alone"])
+    """All points with what was found for their vector, which its digest stands for."""
+    return hot_key_join(points.select("id", "code", "alone"), found, ["code", "alone"])
+
+
+def _largest(cores: DataFrame) -> int:
+    """The part of most core points."""
+    most = cores.groupBy("part").count().orderBy(F.desc("count"), "part").first()
+    return int(most["part"]) if most else _NO_PART
 
 
 def neighbour_counts(
@@ -480,11 +535,11 @@ def neighbour_counts(
     points = _unit(df, row_id, vector, eps)
     reps = _representatives(points)
     chosen = _choose_pivots(reps, pivots, eps)
-    placed = _place(reps, chosen, 1)
+    placed = _place(reps, chosen, 0)
     block = block or _block_of(reps)
-    found = _meet(placed, placed, chosen, block, _neighbour_kernel(eps, 0), "q long, x long, n long")
+    found = _meet(placed, placed, chosen, block, _neighbour_kernel(eps, 0), _FOUND)
     counts = cut_lineage(found.groupBy(F.col("q").alias("rep")).agg(F.sum("n").alias("neighbours")))
-    members = cut_lineage(_of_copies(points, reps.select("vec", "alone", "rep")).select("id", "rep"))
+    members = cut_lineage(_of_copies(points, reps.select("code", "alone", "rep")).select("id", "rep"))
     # very many copies of a vector are one hot key
     return hot_key_join(members, counts, ["rep"]).select(F.col("id").alias(row_id), "neighbours")
 
@@ -500,6 +555,7 @@ def dbscan(
 ) -> DataFrame:
     """``row_id, cluster, is_core``. Noise is cluster -1; clusters are numbered by their
     smallest core id; a border point joins the lowest-numbered cluster in reach."""
+    min_samples = max(min_samples, 1)  # a point is in its own reach
     points = _unit(df, row_id, vector, eps)
     reps = _representatives(points)
     chosen = _choose_pivots(reps, pivots, eps)
@@ -507,51 +563,41 @@ def dbscan(
         return df.select(
             F.col(row_id), F.lit(-1).cast("long").alias("cluster"), F.lit(False).alias("is_core")
         )
-    _pivot_cores(reps, chosen, min_samples)
-    _pivot_parts(reps, chosen, min_samples)
+    _sample_parts(chosen, min_samples)
     placed = _place(reps, chosen, min_samples)
     block = block or _block_of(reps)
 
     blocks = -(-reps.count() // block)
-    ring = blocks > MET_BLOCKS  # else the ring is no less than all blocks
-
-    # counts for points that the pivots did not prove to be core
-    open_points = placed.filter("NOT proven")
-    kernel, columns = _neighbour_kernel(eps, min_samples), "q long, x long, n long"
-    if ring:
-        sure = cut_lineage(_enough(_meet_ring(open_points, placed, blocks, kernel, columns), min_samples))
+    early = _met_early(placed, blocks) if blocks > MET_BLOCKS else F.lit(False)  # else no less than all
+
+    # counts for points that the sample did not prove to be core
+    open_points, others = placed.filter("open"), placed
+    kernel, first = _neighbour_kernel(eps, min_samples), None
+    if blocks > MET_BLOCKS:
+        first = cut_lineage(_compared(open_points, placed.filter(early), chosen, block, kernel, _FOUND))
+        sure = _enough(first, min_samples).select("rep")
         open_points = cut_lineage(open_points.join(sure, "rep", "left_anti"))
-    found = cut_lineage(_meet(open_points, placed, chosen, block, kernel, columns))
-    late = _enough(found, min_samples)
-    late = (late.unionByName(sure) if ring else late).withColumn("late", F.lit(True))
-    flagged = placed.join(late, "rep", "left").withColumn(
-        "core", F.col("proven") | F.coalesce("late", F.lit(False))
-    )
-
-    # a node is a certain part, named by its smallest core id, or a single core point
-    part_rows = (
-        placed.filter("part >= 0")
-        .groupBy("part")
-        .agg(F.min("rep").alias("low"), F.count(F.lit(1)).alias("n"))
-        .collect()
-    )
-    low = {r["part"]: r["low"] for r in part_rows}
-    largest = max(part_rows, key=lambda r: (r["n"], -r["part"]))["low"] if part_rows else -1
-    names = F.lit([int(low.get(i, -1)) for i in range(len(chosen.reps))])
-    node = F.when(F.col("part") >= 0, F.element_at(names, F.col("part").cast("int") + 1)).otherwise(
-        F.col("rep")
-    )
-    cores = cut_lineage(flagged.filter("core").withColumn("part", node).drop("late", "core"))
-    outside = cores.filter(F.col("part") != int(largest))
-    if ring:
-        near = connected_components(cut_lineage(_meet_ring(outside, cores, blocks, _edge_kernel(eps), "a long, b long")))
-        named = hot_key_join(cores.withColumnRenamed("part", "node"), near, ["node"], "left")
+        others = placed.filter(~early)
+    found = cut_lineage(_meet(open_points, others, chosen, block, kernel, _FOUND))
+    found = first.unionByName(found) if first is not None else found
+
+    # a node is a certain part, named by a core point of the sample, or a single core point
+    late = placed.filter("open").join(_enough(found, min_samples), "rep")
+    late = late.withColumn("part", F.coalesce("reached", F.lit(_NO_PART)))
+    columns = ["rep", "w", "vec", "cell", "angle", "part"]
+    cores = placed.filter("proven").select(*columns).unionByName(late.select(*columns))
+    cores = cores.withColumn("part", F.when(F.col("part") != _NO_PART, F.col("part")).otherwise(F.col("rep")))
+    cores = cut_lineage(cores)
+    if blocks > MET_BLOCKS:
+        outside = cores.filter(F.col("part") != _largest(cores))
+        near = _compared(outside, cores.filter(early), chosen, block, _edge_kernel(eps), _EDGES)
+        near = connected_components(cut_lineage(near))
+        nodes = cores.withColumnRenamed("part", "node")
+        few = fits_broadcast(near)
+        named = nodes.join(F.broadcast(near), "node", "left") if few else hot_key_join(nodes, near, ["node"], "left")
         cores = cut_lineage(named.withColumn("part", F.coalesce("root", "node")).drop("node", "root"))
-        most = cores.groupBy("part").count().orderBy(F.desc("count"), "part").first()
-        outside = cores.filter(F.col("part") != (most["part"] if most else -1))
-    edges = cut_lineage(
-        _meet(outside, cores, chosen, block, _edge_kernel(eps), "a long, b long")
-    )
+    outside = cores.filter(F.col("part") != _largest(cores))
+    edges = cut_lineage(_meet(outside, cores, chosen, block, _edge_kernel(eps), _EDGES))
     components = connected_components(edges)
     # one cluster may hold most points: these joins meet a hot node, root or core point
     nodes = cores.select("rep", F.col("part").alias("node"))
@@ -560,8 +606,10 @@ def dbscan(
             "rep", F.coalesce("root", "node").alias("root")
         )
     )
+    lowest = cut_lineage(rooted.groupBy("root").agg(F.min("rep").alias("low")))
+    ranked = lowest.join(_numbered(lowest.select(F.col("low").alias("root"))).withColumnRenamed("root", "low"), "low")
     numbered = cut_lineage(
-        hot_key_join(rooted, _numbered(rooted), ["root"]).select("rep", "cluster")
+        hot_key_join(rooted, ranked.select("root", "cluster"), ["root"]).select("rep", "cluster")
     )
 
     # points below min_samples keep their neighbours: the lowest core cluster among them
@@ -572,11 +620,11 @@ def dbscan(
         .agg(F.min("cluster").alias("near"))
     )
     labels = (
-        reps.select("rep", "vec", "alone")
+        reps.select("rep", "code", "alone")
         .join(numbered, "rep", "left")
         .join(borders, "rep", "left")
         .select(
-            "vec",
+            "code",
             "alone",
             F.coalesce("cluster", "near", F.lit(-1)).alias("cluster"),
             F.col("cluster").isNotNull().alias("is_core"),

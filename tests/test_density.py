@@ -197,3 +197,59 @@ def test_no_point_is_copied_for_the_blocks_that_it_meets(spark, monkeypatch):
     assert "CartesianProduct" in plan and "Generate" not in plan and "Exchange" not in plan
     kernel_sizes = [r.n for r in met[0].filter("n IS NOT NULL").groupBy("q").agg(density.F.count("q").alias("n")).collect()]
     assert min(kernel_sizes) >= len({tuple(p) for p in points}) // 10  # a row per block that a point meets
+
+
+def test_texts_are_counted_where_they_are_read(spark, monkeypatch):
+    """No token is a row: a text leaves its task once. Rows of one id are one text, and long texts come in parts."""
+    from hashlib import md5
+
+    from reviewmill.operators import embedding
+
+    monkeypatch.setattr(embedding, "CHARS_AT_ONCE", 12)
+    texts = ["a b b", "", None, "  \n ", "b c\x1fd e", " ".join(f"w{i} é" for i in range(60)), "x" * 40]
+    rows = [*enumerate(texts), (0, "a z"), (None, "n m"), (None, "n")]
+    frame = spark.createDataFrame(rows, "id long, t string")
+    vectors = embedding.embed_hashing(frame, "t", "id", 16)
+    assert "Generate" not in vectors._jdf.queryExecution().optimizedPlan().toString()
+    got = {r.id: list(r.embedding) for r in vectors.collect()}
+    whole = dict(enumerate(texts)) | {0: "a b b a z", None: "n m n"}
+    assert len(got) == len(whole)
+    for i, text in whole.items():
+        n = np.zeros(16)
+        for word in (text or "").split():
+            n[int(md5(word.encode()).hexdigest()[:8], 16) % 16] += 1
+        assert got[i] == list((n / max(1.0, np.sqrt((n * n).sum()))).astype("float32"))
+    (count,) = embedding._places(embedding.pa.array(["b a b"]), 1 << 31)
+    assert count[0].tolist() == [0, 0, 0] and count[1][0] == count[1][2] != count[1][1]
+
+
+def test_the_sample_settles_dense_points_before_blocks_meet(spark, monkeypatch):
+    """Points of several dense clusters are proven without a neighbour outside the sample."""
+    draw = np.random.default_rng(9)
+    centres = np.eye(8)[:4] * 9
+    points = np.concatenate([c + draw.normal(size=(150, 8)) for c in centres] + [draw.normal(size=(12, 8))])
+    points = points.astype("float32").tolist()
+    met, compared = [], density._compared
+    monkeypatch.setattr(density, "_compared", lambda q, *rest: met.append(q.count()) or compared(q, *rest))
+    labels, core, _ = brute_force(points, 0.3, 5)
+    got_labels, got_core = run(spark, points, 0.3, block=50)
+    assert (got_core == core).all() and (got_labels == labels).all()
+    assert max(met[:2]) <= (~core).sum() + 5  # counts: what is sparse, not three quarters of all points
+
+
+def test_pairs_at_the_radius_are_decided_exactly(monkeypatch):
+    """Four words against four, two of them shared, or 256 words against 6: similarity 0.5 whatever the order of sums."""
+    monkeypatch.setattr(density, "COLUMNS", 7)
+    draw = np.random.default_rng(4)
+    q = np.zeros((300, 64))
+    for row in q:
+        row[draw.choice(64, draw.choice([4, 8, 12, 16]), replace=False)] = 1
+    unit = (q / np.sqrt((q * q).sum(axis=1))[:, None]).astype("float32").astype("float64")
+    dots, n = q @ q.T, (q * q).sum(axis=1)
+    frame = density.pd.DataFrame({"rep": np.arange(300), "w": 1, "vec": list(q), "part": density._NO_PART})
+    near = density._neighbour_kernel(0.5, 0)(frame, frame)["n"].to_numpy()
+    assert (near == (2 * dots >= np.sqrt(np.outer(n, n))).sum(axis=1)).all()
+    norms = (unit * unit).sum(axis=1)
+    frame["vec"] = list(unit)
+    near = density._neighbour_kernel(0.5, 0)(frame, frame)["n"].to_numpy()
+    assert (near == (1 - np.clip(unit @ unit.T / np.sqrt(np.outer(norms, norms)), -1, 1) <= 0.5).sum(axis=1)).all()
