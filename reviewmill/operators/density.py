@@ -107,7 +107,7 @@ def _matrix(column: pd.Series) -> np.ndarray:
         return np.zeros((0, 0))
     if isinstance(column.iloc[0], bytes):
         return np.frombuffer(b"".join(column)).reshape(len(column), -1)
-    return np.stack(column.to_numpy()).astype("float64")
+    return np.stack(column.to_numpy()).astype("float64", copy=False)
 
 
 def _units(column: pd.Series) -> np.ndarray:
@@ -258,7 +258,7 @@ def _pack(points: DataFrame, reach: _Reach, block: int) -> DataFrame:
 def _unpack(row: list[pa.Scalar]) -> pd.DataFrame:
     *longs, vectors = (np.frombuffer(x.as_buffer(), kind) for x, kind in zip(row, ("i8", "i8", "i8", "f8"), strict=True))
     points = pd.DataFrame(dict(zip(_POINT_LONGS, longs, strict=True)))
-    return points.assign(vec=_bytes(vectors.reshape(len(points), -1)))
+    return points.assign(vec=list(vectors.reshape(len(points), -1)))
 
 
 def _meet(
@@ -294,7 +294,7 @@ def _compared(
         for batch in batches:
             for row in zip(*batch.columns, strict=True):
                 cells, asked, met = np.array(row[0].as_py()), _unpack(row[1:5]), _unpack(row[5:])
-                parts = (asked.iloc[a : a + 10_000] for a in range(0, len(asked), 10_000))
+                parts = (asked.iloc[a : a + 1_000] for a in range(0, len(asked), 1_000))
                 asked = pd.concat([part[reach(_units(part["vec"]), cells).any(axis=1)] for part in parts])
                 yield pa.RecordBatch.from_pandas(kernel(asked, met), columns, preserve_index=False)
 
@@ -332,8 +332,7 @@ class _Near:
 
     def __init__(self, q: pd.DataFrame, p: pd.DataFrame, eps: float):
         self.qv, self.pv, self.eps = _matrix(q["vec"]), _matrix(p["vec"]), eps
-        self.q4, self.p4 = _units(q["vec"]).astype("float32"), _units(p["vec"]).astype("float32")
-        self.qn, self.pn = (self.qv * self.qv).sum(axis=1), (self.pv * self.pv).sum(axis=1)
+        (self.qn, self.q4), (self.pn, self.p4) = self.unit(self.qv), self.unit(self.pv)
         # what rounding of unit vectors and of their sums can come to
         self.slack = np.float32((self.qv.shape[1] + 8) * 2.0**-23)
         ids, others = q["rep"].to_numpy(), p["rep"].to_numpy()
@@ -363,6 +362,13 @@ class _Near:
             near[own, at[own]] = True
             yield part, near
 
+    @staticmethod
+    def unit(vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Squared lengths, and unit vectors in single precision."""
+        squares, units = np.einsum("ij,ij->i", vectors, vectors), np.empty(vectors.shape, dtype="float32")
+        length = np.sqrt(np.where(squares > 0, squares, 1.0))[:, None]
+        return squares, np.divide(vectors, length, out=units, casting="same_kind")
+
     def exact(self, rows: np.ndarray, columns: np.ndarray) -> np.ndarray:
         norms = np.sqrt(self.qn[rows][:, None] * self.pn[columns])
         similarity = self.qv[rows] @ self.pv[columns].T / np.where(norms > 0, norms, 1.0)
