@@ -37,7 +37,7 @@ from pyspark.sql.types import StructType
 from reviewmill.operators.skew import cut_lineage, fits_broadcast, hot_key_join
 
 MIN_PIVOTS, MAX_PIVOTS = 64, 2048
-BLOCKS, LEAST_BLOCK, BLOCK_BYTES = 8, 1024, 1 << 25
+BLOCKS, LEAST_BLOCK, BLOCK_BYTES = 8, 1024, 1 << 23
 CHUNK_PAIRS, COLUMNS, SPARSE = 1 << 20, 1024, 16
 MET_BLOCKS, MET_SHARE = 2, 16
 MAX_SAMPLE, SAMPLE_BYTES = 8192, 1 << 24
